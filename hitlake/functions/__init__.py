@@ -1,6 +1,7 @@
 from .paths import (
     column_at,
     get_path,
+    get_paths,
     is_json,
     parse_field_spec,
     result_name,
@@ -10,7 +11,7 @@ from .paths import (
     type_at,
     typed_text,
 )
-from .patterns import java_pattern
+from .patterns import finder
 from .schema import (
     base_type,
     default_columns,
@@ -31,12 +32,13 @@ __all__ = [
     "default_columns",
     "describe_schema",
     "detect_time_field",
+    "finder",
     "fmt_bytes",
     "fmt_count",
     "fmt_epoch_ms",
     "get_path",
+    "get_paths",
     "is_json",
-    "java_pattern",
     "json_safe",
     "leaf_fields",
     "parse_field_spec",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -72,36 +73,68 @@ def typed_text(df: DataFrame, path: str) -> Column:
 
 # --- raw JSON lines --------------------------------------------------------------------
 
+CORRUPT = "_corrupt_record"
+STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": CORRUPT}
 
-def get_path(raw: Column, path: str) -> Column:
-    """Text at a dotted path of a raw JSON line.
+
+def get_paths(raw: Column, paths: Sequence[str]) -> list[Column]:
+    """Text at dotted paths of a raw JSON line, from one parse of the line.
 
     Descends objects only: a missing step, a step into something else, and JSON null give
-    NULL. Values keep JSON spelling (``true``, ``{"x":1}``). The line must be valid JSON,
-    see :func:`is_json`.
+    NULL. Values keep JSON spelling (``true``, ``{"x":1}``); of equal keys the last counts.
+    The line must be JSON, see :func:`is_json`.
     """
-    value, plain = raw, []
-    for step in path.split("."):
-        if "'" in step or "?" in step or step in ("", "*"):  # not expressible in a JSON path
-            if plain:
-                value, plain = F.get_json_object(value, "$" + "".join(plain)), []
-            value = F.from_json(value, "map<string,string>").getItem(step)
+    trees: list[dict] = []  # paths that cannot be in one schema (a.b beside a) are parsed apart
+    placed = []
+    for path in paths:
+        steps = path.split(".")
+        for number, tree in enumerate(trees):
+            if _insert(tree, steps):
+                break
         else:
-            plain.append(f"['{step}']")
-    return F.get_json_object(value, "$" + "".join(plain)) if plain else value
+            number = len(trees)
+            trees.append({})
+            _insert(trees[-1], steps)
+        placed.append((number, steps))
+    parsed = [F.from_json(raw, _struct(tree), STRICT) for tree in trees]
+    return [reduce(lambda c, step: c.getField(step), steps, parsed[n]) for n, steps in placed]
+
+
+def get_path(raw: Column, path: str) -> Column:
+    """:func:`get_paths` for a single path."""
+    return get_paths(raw, [path])[0]
+
+
+def _insert(tree: dict, steps: Sequence[str]) -> bool:
+    """Add a path to a tree of steps; False if a leaf and an object would share a name."""
+    step, below = steps[0], steps[1:]
+    if any(other != step and other.lower() == step.lower() for other in tree):
+        return False
+    if step not in tree:
+        tree[step] = {}
+        return not below or _insert(tree[step], below)
+    if not below or not tree[step]:
+        return not below and not tree[step]
+    return _insert(tree[step], below)
+
+
+def _struct(tree: dict) -> T.StructType:
+    return T.StructType(
+        [T.StructField(step, _struct(below) if below else T.StringType()) for step, below in tree.items()]
+    )
 
 
 def is_json(raw: Column) -> Column:
     """Whether a whole line is one JSON value.
 
-    Spark's JSON functions stop after the first value, so text behind it would go unseen.
-    Wrapped both as an array and as an object, only one value alone is well formed in both.
-    They also let raw control characters in strings pass; lines holding any are parsed strictly.
+    A parser stops after the first value, so text behind it would go unseen. Wrapped both as
+    an array and as an object, only one value alone is well formed in both.
     """
-    one_value = F.json_array_length(F.concat(F.lit("["), raw, F.lit("]"))) == 1
-    as_member = F.json_object_keys(F.concat(F.lit('{"v":'), raw, F.lit("}"))) == F.array(F.lit("v"))
-    strict = ~raw.rlike(r"[\x00-\x1f]") | F.try_parse_json(raw).isNotNull()
-    return F.coalesce(one_value & as_member & strict, F.lit(False))
+    items = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), "array<string>", STRICT)
+    member = F.from_json(
+        F.concat(F.lit('{"v":'), raw, F.lit("}")), f"_ boolean, {CORRUPT} string", STRICT
+    )
+    return F.coalesce((F.size(items) == 1) & member.getField(CORRUPT).isNull(), F.lit(False))
 
 
 # --- projections -----------------------------------------------------------------------
@@ -152,5 +185,6 @@ def source_includes(df: DataFrame, names: Sequence[str], source: str = "_source"
     wanted = [name.split(".") for name in names]
     data_type = df.schema[source].dataType
     if not _reachable(data_type, wanted):
-        return df.withColumn(source, F.from_json(F.lit("{}"), T.StructType([])))
+        empty = F.from_json(F.lit("{}"), T.StructType([]))
+        return df.withColumn(source, F.when(F.col(source).isNotNull(), empty))
     return df.withColumn(source, _prune(F.col(source), data_type, wanted))

@@ -1,8 +1,11 @@
-"""Regular expressions in Python's dialect, spelled for Spark's (Java) engine.
+"""Regular expressions in Python's dialect, run by Spark's own (Java) engine.
 
 Users write patterns as they would for ``re``. Python itself checks the pattern before any
-row is read; then each construct whose meaning differs is written out explicitly. It runs
+row is read; then each construct whose meaning differs is written out explicitly. This runs
 once per query, on the driver.
+
+Two kinds of pattern keep Python's engine, in Arrow batches: conditional groups, which Java
+lacks, and patterns that can match nothing, after which the two engines go on differently.
 """
 
 from __future__ import annotations
@@ -11,6 +14,9 @@ import re
 import unicodedata
 from typing import NamedTuple
 
+import pandas as pd
+from pyspark.sql import Column, functions as F
+
 # What \d, \s and \w stand for in Unicode and in ASCII mode.
 UNICODE_SETS = {
     "d": r"\p{Nd}",
@@ -25,23 +31,57 @@ FLAG_GROUP = re.compile(r"\(\?([aiLmsux]*)(?:-([imsx]+))?([:)])")
 FLAGS = {"a": re.A, "i": re.I, "m": re.M, "s": re.S, "u": re.U, "x": re.X}
 
 
-class JavaPattern(NamedTuple):
-    text: str
+class Finder(NamedTuple):
+    """How to find a pattern in a text column."""
+
+    pattern: str
+    java: str | None  # None: left to Python's engine
     groups: int
 
-    @property
-    def reported_group(self) -> int:
-        """The group a match reports: the first one, or the whole match without groups."""
-        return 1 if self.groups else 0
+    def all_in(self, source: Column) -> Column:
+        """All matches as an array: the first group of each, or the whole match without groups.
+
+        A group that took no part gives an empty string.
+        """
+        if self.java is None:
+            return _find_in_python(self.pattern)(source)
+        return F.regexp_extract_all(source, F.lit(self.java), F.lit(1 if self.groups else 0))
 
+    def may_be_in(self, source: Column) -> Column:
+        """A cheap test before :meth:`all_in`; NULL sources fail it."""
+        return source.isNotNull() if self.java is None else source.rlike(self.java)
 
-def java_pattern(pattern: str) -> JavaPattern:
-    """Translate ``pattern``; raises ValueError if it is invalid or has no Java equivalent."""
+
+def finder(pattern: str) -> Finder:
+    """Prepare a pattern; raises ValueError if it is invalid."""
     try:
         compiled = re.compile(pattern)
     except re.error as error:
         raise ValueError(f"Invalid regex pattern: {error}") from error
-    return JavaPattern(_Translation(pattern, compiled).run(), compiled.groups)
+    keep = "(?(" in pattern or _can_be_empty(pattern)
+    java = None if keep else _Translation(pattern, compiled).run()
+    return Finder(pattern, java, compiled.groups)
+
+
+def _can_be_empty(pattern: str) -> bool:
+    try:
+        from re import _parser
+    except ImportError:
+        return True
+    return _parser.parse(pattern).getwidth()[0] == 0
+
+
+def _find_in_python(pattern: str):
+    @F.pandas_udf("array<string>")
+    def find(texts: pd.Series) -> pd.Series:
+        compiled = re.compile(pattern)
+
+        def reported(text: str) -> list[str]:
+            return [m if isinstance(m, str) else m[0] for m in compiled.findall(text)]
+
+        return texts.map(reported, na_action="ignore")
+
+    return find
 
 
 def _literal(code: int) -> str:
@@ -107,8 +147,6 @@ class _Translation:
         if rest.startswith("?#"):
             self.at = self.pattern.index(")", self.at) + 1
             return ""
-        if rest.startswith("?("):
-            raise ValueError("conditional groups (?(…)…|…) are not supported")
         if rest.startswith("?P="):
             end = self.pattern.index(")", self.at)
             number = self.names[self.pattern[self.at + 3 : end]]

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.paths import get_path, is_json, parse_field_spec, typed_text
-from ..functions.patterns import java_pattern
+from ..functions.paths import get_paths, is_json, parse_field_spec, typed_text
+from ..functions.patterns import finder
 
 DEFAULT_SOURCE = "_source.message"
 POSITION = "_position"
@@ -19,9 +19,9 @@ def extract_matches(df: DataFrame, pattern: str, source: Column, name: str = "ma
     A match reports its first group, or itself if the pattern has none; a group that took no
     part reports an empty string. Rows without a source or a match drop out.
     """
-    java = java_pattern(pattern)
-    found = F.regexp_extract_all(source, F.lit(java.text), F.lit(java.reported_group))
-    return df.where(source.isNotNull() & source.rlike(java.text)).withColumn(name, F.explode(found))
+    find = finder(pattern)
+    found = df.where(find.may_be_in(source)).withColumn(name, find.all_in(source))
+    return found.withColumn(name, F.explode(name))
 
 
 def _rows(
@@ -32,13 +32,13 @@ def _rows(
     valid: Column | None,
     keep: Sequence[str],
 ) -> DataFrame:
-    java = java_pattern(pattern)
-    found = df.where(source.isNotNull() & source.rlike(java.text))
+    find = finder(pattern)
+    found = df.where(find.may_be_in(source))
     if valid is not None:  # after the pattern, so that only lines with matches pay for it
         found = found.where(valid)
     columns = [F.coalesce(column, F.lit("")).alias(name) for name, column in fields]
-    matches = F.regexp_extract_all(source, F.lit(java.text), F.lit(java.reported_group))
-    return found.select(F.explode(matches).alias("match"), *columns, *keep)
+    texts = found.select(find.all_in(source).alias("match"), *columns, *keep)
+    return texts.select(F.explode("match").alias("match"), *(F.col(f"`{c}`") for c in texts.columns[1:]))
 
 
 def raw_matches(
@@ -54,8 +54,9 @@ def raw_matches(
     """
     value = F.col("value")
     specs = _unique([parse_field_spec(spec) for spec in fields])
-    columns = [(name, get_path(value, path)) for path, name in specs]
-    return _rows(lines, pattern, get_path(value, source), columns, is_json(value), keep)
+    found, *texts = get_paths(value, [source, *(path for path, _ in specs)])
+    columns = [(name, text) for (_, name), text in zip(specs, texts)]
+    return _rows(lines, pattern, found, columns, is_json(value), keep)
 
 
 def typed_matches(

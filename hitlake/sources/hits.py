@@ -7,11 +7,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.paths import column_at, is_json, split_path
+from ..functions.paths import CORRUPT, STRICT, column_at, is_json, split_path
 from .lines import read_lines
 
 MAX_OBJECT_BYTES = 33_554_432  # fixed value: largest JSON object that is read
-CORRUPT = "_corrupt_record"
 
 
 @contextmanager
@@ -54,7 +53,7 @@ def read_hits(
     lines = read_lines(spark, *paths).where(F.trim(value) != "")
     good = (F.octet_length(value) <= max_object_bytes) & value.rlike(r"^\s*\{") & is_json(value)
     rows = lines.select(
-        F.from_json(F.when(good, value), schema).alias("hit"), F.when(~good, value).alias(CORRUPT)
+        F.from_json(F.when(good, value), schema, STRICT).alias("hit"), F.when(~good, value).alias(CORRUPT)
     )
     with case_sensitive(spark):
         return rows.select("hit.*", CORRUPT)
