@@ -90,11 +90,13 @@ def dedupe(rows: DataFrame) -> DataFrame:
 def report_order(rows: DataFrame) -> DataFrame:
     """Descending by first field and match (by match alone without fields), ties as first seen.
 
-    The position makes the order total, so equal rows spread over the sort's partitions.
+    The position makes the order total, so equal rows spread over the sort's partitions. Rows
+    without one (a stream's output) are ordered by their other fields instead.
     """
     columns = [c for c in rows.columns if c != POSITION]
     keys = [F.col(f"`{c}`").desc() for c in [*columns[1:2], columns[0]]]
-    return rows.orderBy(*keys, F.asc(POSITION)).drop(POSITION)
+    ties = [POSITION] if POSITION in rows.columns else [f"`{c}`" for c in columns[2:]]
+    return rows.orderBy(*keys, *map(F.asc, ties)).drop(POSITION)
 
 
 def extract(

@@ -113,11 +113,14 @@ def profile(df: DataFrame, fields: Sequence[str] | None = None, k: int = TOP_VAL
         F.count("value").alias("unique_count"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).alias("null_count"),
     )
-    by_frequency = Window.partitionBy("field").orderBy(F.desc("count"), F.asc("value"))
+    # NULL comes last and is dropped after ranking: dropped before, the filter would reach the
+    # scan, and the two halves would no longer share it.
+    by_frequency = Window.partitionBy("field").orderBy(
+        F.col("value").isNull(), F.desc("count"), F.asc("value")
+    )
     top = (
-        counts.where(F.col("value").isNotNull())
-        .withColumn("rank", F.row_number().over(by_frequency))
-        .where(F.col("rank") <= k)
+        counts.withColumn("rank", F.row_number().over(by_frequency))
+        .where((F.col("rank") <= k) & F.col("value").isNotNull())
     )
     names = F.create_map(*(F.lit(x) for f in leaves for x in (f.path, f.display_path)))
     types = F.create_map(*(F.lit(x) for f in leaves for x in (f.path, short_type(f.data_type))))
