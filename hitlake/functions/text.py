@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F, types as T
 
 from .paths import text_of
 
-# Output formats of times, and the integers a double holds exactly.
-LIST_TIME = "yyyy-MM-dd HH:mm"
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+# Fixed value: the integers a double holds exactly.
 MAX_SAFE_INTEGER = 9007199254740991
 
 
@@ -21,16 +20,40 @@ def utc(column: Column, data_type: T.DataType) -> Column:
     return column.cast("timestamp_ntz")
 
 
+def list_time(moment: Column) -> Column:
+    """``2024-01-31 23:59`` of a UTC wall-clock time.
+
+    Cut from the time's own text: formatting would go through the session time zone, which
+    lacks some wall-clock times.
+    """
+    return F.substr(moment.cast("string"), F.lit(1), F.lit(16))
+
+
+def iso_seconds(moment: Column) -> Column:
+    """``2024-01-31T23:59:59Z`` of a UTC wall-clock time."""
+    text = moment.cast("string")
+    date, time = F.substr(text, F.lit(1), F.lit(10)), F.substr(text, F.lit(12), F.lit(8))
+    return F.concat(date, F.lit("T"), time, F.lit("Z"))
+
+
+def iso_millis(moment: Column) -> Column:
+    """``2024-01-31T23:59:59.000Z`` of a UTC wall-clock time."""
+    text = moment.cast("string")
+    date, time = F.substr(text, F.lit(1), F.lit(10)), F.substr(text, F.lit(12), F.lit(8))
+    millis = F.rpad(F.substr(text, F.lit(21), F.lit(3)), 3, "0")
+    return F.concat(date, F.lit("T"), time, F.lit("."), millis, F.lit("Z"))
+
+
 def _blank_as_dash(text: Column, shown: Column) -> Column:
     """``-`` for no text, the text itself where it could not be read as a number."""
     return F.when(F.coalesce(text, F.lit("")) == "", "-").otherwise(F.coalesce(shown, text))
 
 
-def fmt_epoch_ms(text: Column, pattern: str = LIST_TIME) -> Column:
-    """Epoch milliseconds as UTC time."""
-    millis = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    moment = F.timestamp_add("MILLISECOND", text.cast("string").try_cast("bigint"), millis)
-    return _blank_as_dash(text.cast("string"), F.date_format(moment, pattern))
+def fmt_epoch_ms(text: Column, style: Callable[[Column], Column] = list_time) -> Column:
+    """Epoch milliseconds as UTC time, in one of the styles above."""
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    moment = F.timestamp_add("MILLISECOND", text.cast("string").try_cast("bigint"), start)
+    return _blank_as_dash(text.cast("string"), style(moment))
 
 
 def fmt_count(text: Column) -> Column:

@@ -21,7 +21,17 @@ def extract_matches(df: DataFrame, pattern: str, source: Column, name: str = "ma
     """
     find = finder(pattern)
     found = df.where(find.may_be_in(source)).withColumn(name, find.all_in(source))
-    return found.withColumn(name, F.explode(name))
+    return _one_row_each(found, name)
+
+
+def _one_row_each(found: DataFrame, name: str) -> DataFrame:
+    """Explode the array ``name``.
+
+    A plain explode makes the optimizer test the array before building it, which would search
+    every text once more.
+    """
+    columns = [F.explode_outer(f"`{name}`").alias(name) if c == name else F.col(f"`{c}`") for c in found.columns]
+    return found.select(*columns).where(F.col(f"`{name}`").isNotNull())
 
 
 def _rows(
@@ -37,8 +47,7 @@ def _rows(
     if valid is not None:  # after the pattern, so that only lines with matches pay for it
         found = found.where(valid)
     columns = [F.coalesce(column, F.lit("")).alias(name) for name, column in fields]
-    texts = found.select(find.all_in(source).alias("match"), *columns, *keep)
-    return texts.select(F.explode("match").alias("match"), *(F.col(f"`{c}`") for c in texts.columns[1:]))
+    return _one_row_each(found.select(find.all_in(source).alias("match"), *columns, *keep), "match")
 
 
 def raw_matches(
@@ -114,4 +123,6 @@ def extract(
     positioned = df.withColumn(POSITION, F.monotonically_increasing_id())
     matches = raw_matches if raw else typed_matches
     rows = matches(positioned, pattern, source, fields, keep=[POSITION])
-    return report_order(dedupe(rows) if unique else rows)
+    # Either way the matches are shuffled before they are sorted: a sort samples its input, and
+    # must not search the documents a second time for that.
+    return report_order(dedupe(rows) if unique else rows.repartition(POSITION))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.paths import column_at, text_of
 from ..functions.schema import short_type, walk_fields
-from ..functions.text import ISO_MILLIS, span_text, utc
+from ..functions.text import iso_millis, span_text, utc
 from .predicates import Filter, TimeRange, field_type, where_all
 
 TOP_VALUES = 10
@@ -85,8 +85,8 @@ def date_texts(data_type: T.DataType) -> list:
     """``oldest`` and ``newest`` as ISO text in UTC, and the ``span`` between them."""
     start, end = utc(F.col("oldest"), data_type), utc(F.col("newest"), data_type)
     return [
-        F.date_format(start, ISO_MILLIS).alias("oldest"),
-        F.date_format(end, ISO_MILLIS).alias("newest"),
+        iso_millis(start).alias("oldest"),
+        iso_millis(end).alias("newest"),
         span_text(start, end).alias("span"),
     ]
 

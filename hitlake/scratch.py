@@ -37,3 +37,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(df: DataFrame) -> None:
+    """Delete the scratch tables a DataFrame reads, when it is no longer needed."""
+    spark = df.sparkSession
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        if folder.rpartition("/")[2].startswith("hitlake-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(configuration).delete(path, True)

@@ -112,11 +112,12 @@ def _file_facts(spark: SparkSession, name: str, dataset: Dataset) -> DataFrame:
 
 
 def _doc_facts(spark: SparkSession, name: str, dataset: Dataset) -> DataFrame:
-    """One row with the document count. Parquet counts come from file footers."""
+    """One row with the document count. Parquet counts come from file footers alone: with no
+    column asked for, not even the schema is looked up."""
     if dataset.format == "json":
         rows = read_lines(spark, dataset.path).where(F.trim("value") != "")
     else:
-        rows = read_dataset(spark, dataset)
+        rows = spark.read.schema(T.StructType([])).parquet(dataset.path)
     return rows.agg(F.count(F.lit(1)).alias("docs")).select(
         F.lit(name).alias("index"),
         "docs",
@@ -163,13 +164,19 @@ def describe_dataset(
     if dataset is None:
         raise KeyError(f"Index not found: {name}")
     rows = read_dataset(spark, dataset)
-    times = rows.agg(F.count(F.lit(1)).alias("docs"), *date_bounds(rows, time_field)).select(
-        F.lit(name).alias("index"), "docs", *date_texts(field_type(rows.schema, time_field))
+    index = F.lit(name).alias("index")
+    times = rows.agg(F.count(F.lit(1)).alias("docs"), *date_bounds(rows, time_field)).select(index, "*")
+    facts = _file_facts(spark, name, dataset).unionByName(times, allowMissingColumns=True)
+    totals = facts.groupBy("index").agg(
+        F.sum("docs").alias("docs"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("files").alias("files"),
+        F.min("created").alias("created"),
+        F.min("oldest").alias("oldest"),
+        F.max("newest").alias("newest"),
     )
-    sizes = _file_facts(spark, name, dataset).agg(
-        F.sum("bytes").alias("bytes"), F.sum("files").alias("files"), F.min("created").alias("created")
-    )
-    return times.crossJoin(sizes)  # one row each
+    times_shown = date_texts(field_type(rows.schema, time_field))
+    return totals.select("index", "docs", "bytes", "files", "created", *times_shown)
 
 
 def dataset_schema(spark: SparkSession, catalog: Catalog, name: str) -> DataFrame:

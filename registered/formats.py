@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hitlake.functions import cell_text, fmt_bytes, fmt_count, fmt_epoch_ms, json_safe
-from hitlake.functions.text import ISO_SECONDS
+from hitlake.functions.text import iso_seconds
 
 from .tables import event_hits, table
 
@@ -26,7 +26,7 @@ def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     millis = day * 86_400_000 + F.col("o_custkey") * 61_007
     text = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(millis.cast("string"))
     return orders.select(
-        "o_orderkey", fmt_epoch_ms(text).alias("listed"), fmt_epoch_ms(text, ISO_SECONDS).alias("described")
+        "o_orderkey", fmt_epoch_ms(text).alias("listed"), fmt_epoch_ms(text, iso_seconds).alias("described")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hitlake.functions import get_path, is_json, select_fields, source_includes, typed_text
-from hitlake.operators import SortKey, extract
+from hitlake.operators import SortKey, extract, top_values
 from hitlake.scratch import scratch_path
 from hitlake.sources import (
     as_json_array,
@@ -111,10 +111,10 @@ def csv_crlf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events of one user as a single JSON array, taken apart again."""
-    mine = events(spark, sf_dir).where(F.col("user_id") == 8).select("event_id", "event_type")
-    array = as_json_array(mine, [SortKey("event_id")])
-    items = F.from_json("value", "array<struct<event_id: bigint, event_type: string>>")
+    """A short report as a single JSON array, taken apart again."""
+    top = top_values(events(spark, sf_dir), "user_id")
+    array = as_json_array(top, [SortKey("count", descending=True), SortKey("value")])
+    items = F.from_json("value", "array<struct<value: string, count: bigint>>")
     return array.select(F.posexplode(items).alias("place", "item")).select("place", "item.*")
 
 
@@ -164,7 +164,8 @@ QUERIES = {
     "write_csv_crlf": (csv_crlf_round_trip, _META),
     "as_json_array": (
         small_array,
-        "SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS INTEGER) AS place, event_id, event_type"
-        " FROM events WHERE user_id = 8",
+        "SELECT CAST(row_number() OVER (ORDER BY count DESC, value) - 1 AS INTEGER) AS place, value, count"
+        " FROM (SELECT CAST(user_id AS VARCHAR) AS value, count(*) AS count FROM events GROUP BY 1)"
+        " ORDER BY 1 LIMIT 10",
     ),
 }

@@ -1,4 +1,6 @@
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -22,6 +24,7 @@ from hitlake.operators import (
     sort_by,
 )
 from hitlake.operators import numbering, paging
+from hitlake.scratch import materialize, remove_scratch
 
 
 def test_nulls_are_last_both_ways(spark):
@@ -128,8 +131,6 @@ def test_hot_key_is_sorted_by_several_tasks(spark):
     df = spark.range(100_000).select("id", F.lit("same").alias("hot")).repartition(8)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        from hitlake.scratch import materialize
-
         stored = materialize(df.orderBy("hot", "id").withColumn("part", F.spark_partition_id()), "hot")
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -177,3 +178,14 @@ def test_row_detail(spark):
     assert row_detail(df).first().detail == (
         '{\n  "n" : 1,\n  "s" : {\n    "a" : null,\n    "b" : "x"\n  }\n}'
     )
+
+
+def test_scratch_tables_can_be_removed(spark):
+    numbered = number_rows(spark.range(10), [F.asc("id")])
+    folder = Path(urlparse(numbered.inputFiles()[0]).path).parent
+    assert folder.exists()
+    remove_scratch(numbered)
+    assert not folder.exists()
+    source = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
+    remove_scratch(source)
+    assert source.count() == 5

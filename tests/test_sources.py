@@ -1,14 +1,15 @@
 import csv
 import io
 import json
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from hitlake.functions import fmt_bytes, fmt_count, fmt_epoch_ms, json_safe, span_text
-from hitlake.functions.text import ISO_SECONDS
-from hitlake.operators import SortKey, extract
+from hitlake.functions.text import iso_seconds
+from hitlake.operators import SortKey, date_range, extract
 from hitlake.sources import (
     as_hits,
     as_json_array,
@@ -229,10 +230,27 @@ def test_fmt_count(spark, text, shown):
 )
 def test_fmt_epoch_ms(spark, text, listed, described):
     df = spark.createDataFrame([(text,)], "t string")
-    columns = fmt_epoch_ms(F.col("t")), fmt_epoch_ms(F.col("t"), ISO_SECONDS)
+    columns = fmt_epoch_ms(F.col("t")), fmt_epoch_ms(F.col("t"), iso_seconds)
     assert tuple(df.select(*columns).first()) == (listed, described)
 
 
+def test_times_do_not_depend_on_the_session_zone(spark):
+    """02:30 on this day does not exist in New York."""
+    gap = str(int(datetime(2024, 3, 10, 2, 30, tzinfo=timezone.utc).timestamp() * 1000))
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(gap,)], "t string")
+        moment = F.timestamp_millis(F.col("t").cast("bigint")).alias("m")
+        assert df.select(fmt_epoch_ms(F.col("t"))).first()[0] == "2024-03-10 02:30"
+        assert date_range(df.select(moment), "m").first().oldest == "2024-03-10T02:30:00.000Z"
+        assert date_range(df.select(F.lit("2024-03-10 02:30").cast("timestamp_ntz").alias("m")), "m").first().oldest == (
+            "2024-03-10T02:30:00.000Z"
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+
+
 @pytest.mark.parametrize(
     "size, shown",
     [(0, "0 B"), (1023, "1023 B"), (1024, "1.0 KB"), (1280, "1.3 KB"), (1048576, "1.0 MB"), (5_500_000_000, "5.12 GB")],
