@@ -124,17 +124,24 @@ def _struct(tree: dict) -> T.StructType:
     )
 
 
+END_MARK = "end of the line"
+
+
 def is_json(raw: Column) -> Column:
     """Whether a whole line is one JSON value.
 
-    A parser stops after the first value, so text behind it would go unseen. Wrapped both as
-    an array and as an object, only one value alone is well formed in both.
+    A parser stops after the first value, so text behind it would go unseen. As an array with
+    a mark behind it, a line that is one value gives two items. A line that holds the mark
+    itself is wrapped both as an array and as an object: only one value alone fits both.
     """
-    items = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), "array<string>", STRICT)
-    member = F.from_json(
-        F.concat(F.lit('{"v":'), raw, F.lit("}")), f"_ boolean, {CORRUPT} string", STRICT
-    )
-    return F.coalesce((F.size(items) == 1) & member.getField(CORRUPT).isNull(), F.lit(False))
+
+    def wrapped(start: str, end: str, schema: str) -> Column:
+        return F.from_json(F.concat(F.lit(start), raw, F.lit(end)), schema, STRICT)
+
+    marked = F.size(wrapped("[", f',"{END_MARK}"]', "array<string>")) == 2
+    item = F.size(wrapped("[", "]", "array<string>")) == 1
+    member = wrapped('{"v":', "}", f"_ boolean, {CORRUPT} string").getField(CORRUPT).isNull()
+    return F.coalesce(F.when(raw.contains(END_MARK), item & member).otherwise(marked), F.lit(False))
 
 
 # --- projections -----------------------------------------------------------------------

@@ -12,6 +12,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Sequence
+from functools import reduce
+from re import _parser  # the syntax tree of a pattern, as Python itself reads it
 from typing import NamedTuple
 
 import pandas as pd
@@ -26,6 +29,8 @@ UNICODE_SETS = {
 ASCII_SETS = {"d": "0-9", "s": r"\x09-\x0d\x20", "w": "a-zA-Z0-9_"}
 CONTROL_ESCAPES = {"a": 7, "f": 12, "n": 10, "r": 13, "t": 9, "v": 11}
 
+MAX_LITERALS = 8
+
 QUANTIFIER = re.compile(r"\{(?!\})(\d*)(,?)(\d*)\}")
 FLAG_GROUP = re.compile(r"\(\?([aiLmsux]*)(?:-([imsx]+))?([:)])")
 FLAGS = {"a": re.A, "i": re.I, "m": re.M, "s": re.S, "u": re.U, "x": re.X}
@@ -37,6 +42,7 @@ class Finder(NamedTuple):
     pattern: str
     java: str | None  # None: left to Python's engine
     groups: int
+    literals: tuple[str, ...]  # every text with a match holds one of them; () if none is known
 
     def all_in(self, source: Column) -> Column:
         """All matches as an array: the first group of each, or the whole match without groups.
@@ -48,8 +54,32 @@ class Finder(NamedTuple):
         return F.regexp_extract_all(source, F.lit(self.java), F.lit(1 if self.groups else 0))
 
     def may_be_in(self, source: Column) -> Column:
-        """A cheap test before :meth:`all_in`; NULL sources fail it."""
-        return source.isNotNull() if self.java is None else source.rlike(self.java)
+        """A cheaper test before :meth:`all_in`: substrings first, then the pattern."""
+        tests = [source.isNotNull()]
+        if self.literals:
+            tests.append(_contains_any(source, self.literals))
+        if self.java is not None:
+            tests.append(source.rlike(self.java))
+        return reduce(lambda a, b: a & b, tests)
+
+    def may_be_in_line(self, line: Column) -> Column | None:
+        """The substring test on a raw JSON line, before it is parsed; None if there is none.
+
+        A value's text stands in the line as it is, except for escapes (a backslash passes the
+        line), respelled numbers, and blanks between tokens. So only runs without JSON's own
+        marks count, and only if they hold something a number does not.
+        """
+        runs = []
+        for literal in self.literals:
+            safe = [run for run in re.split(r'[][{}:,"\\]', literal) if re.search(r"[^-+.0-9eE]", run)]
+            if not safe:
+                return None
+            runs.append(max(safe, key=len))
+        return _contains_any(line, (*runs, "\\")) if runs else None
+
+
+def _contains_any(text: Column, literals: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [text.contains(literal) for literal in literals])
 
 
 def finder(pattern: str) -> Finder:
@@ -58,17 +88,39 @@ def finder(pattern: str) -> Finder:
         compiled = re.compile(pattern)
     except re.error as error:
         raise ValueError(f"Invalid regex pattern: {error}") from error
-    keep = "(?(" in pattern or _can_be_empty(pattern)
+    tree = _parser.parse(pattern)
+    keep = "(?(" in pattern or tree.getwidth()[0] == 0
     java = None if keep else _Translation(pattern, compiled).run()
-    return Finder(pattern, java, compiled.groups)
-
-
-def _can_be_empty(pattern: str) -> bool:
-    try:
-        from re import _parser
-    except ImportError:
-        return True
-    return _parser.parse(pattern).getwidth()[0] == 0
+    literals = () if compiled.flags & re.I else _required(tree)
+    return Finder(pattern, java, compiled.groups, literals)
+
+
+def _required(items: Sequence) -> tuple[str, ...]:
+    """Substrings of which every match holds at least one; the most selective such choice."""
+    choices: list[tuple[str, ...]] = []
+    run = ""
+    for op, value in items:
+        name = str(op)
+        if name == "LITERAL":
+            run += chr(value)
+            continue
+        if run:
+            choices.append((run,))
+            run = ""
+        if name == "SUBPATTERN" and not value[1] & re.I:
+            choices.append(_required(value[3]))
+        elif name == "ATOMIC_GROUP":
+            choices.append(_required(value))
+        elif name.endswith("REPEAT") and value[0] > 0:
+            choices.append(_required(value[2]))
+        elif name == "BRANCH":
+            branches = [_required(branch) for branch in value[1]]
+            if all(branches):
+                choices.append(tuple(dict.fromkeys(sum(branches, ()))))
+    if run:
+        choices.append((run,))
+    few = [choice for choice in choices if 0 < len(choice) <= MAX_LITERALS]
+    return max(few, key=lambda choice: min(map(len, choice)), default=())
 
 
 def _find_in_python(pattern: str):

@@ -63,6 +63,9 @@ def raw_matches(
     """
     value = F.col("value")
     specs = _unique([parse_field_spec(spec) for spec in fields])
+    unparsed = finder(pattern).may_be_in_line(value)
+    if unparsed is not None:
+        lines = lines.where(unparsed)
     found, *texts = get_paths(value, [source, *(path for path, _ in specs)])
     columns = [(name, text) for (_, name), text in zip(specs, texts)]
     return _rows(lines, pattern, found, columns, is_json(value), keep)

@@ -14,6 +14,7 @@ from hitlake.functions import (
     split_path,
     typed_text,
 )
+from hitlake.functions import paths
 from hitlake.sources import infer_schema, read_hits
 
 LOOKUPS = [
@@ -76,6 +77,8 @@ def test_field_spec(spec, expected):
         ("[1, 2]", True),
         ('{"a":\t1}', True),
         ('{"a":1e5, "b":[true,false,null]}', True),
+        ('{"a":"end of the line"}', True),
+        ('1,"end of the line"] trailing', False),
         ("not json", False),
         ("", False),
         ("   ", False),
@@ -96,9 +99,11 @@ def test_field_spec(spec, expected):
         ('{"a":1,}', False),
     ],
 )
-def test_is_json(spark, line, good):
+def test_is_json(spark, monkeypatch, line, good):
     df = spark.createDataFrame([(line,)], "value string")
     assert df.select(is_json(F.col("value"))).first()[0] is good
+    monkeypatch.setattr(paths, "END_MARK", "")  # every line holds it
+    assert df.select(is_json(F.col("value"))).first()[0] is good
     if good:
         json.loads(line)
     else:
@@ -113,9 +118,9 @@ def test_last_of_equal_keys_counts(spark):
 
 def test_paths_of_one_line(spark):
     line = '{"a":{"b":{"c":1},"d":"x"},"A":{"b":2},"e":[1, {"f":null}]}'
-    paths = ["a.b.c", "a.b", "a", "A.b", "e", "a.d", "a.b.c", "e.f", "a.b.c.z"]
+    wanted = ["a.b.c", "a.b", "a", "A.b", "e", "a.d", "a.b.c", "e.f", "a.b.c.z"]
     df = spark.createDataFrame([(line,)], "value string")
-    assert list(df.select(*get_paths(F.col("value"), paths)).first()) == [
+    assert list(df.select(*get_paths(F.col("value"), wanted)).first()) == [
         "1",
         '{"c":1}',
         '{"b":{"c":1},"d":"x"}',

@@ -1,5 +1,6 @@
 """Patterns mean on Spark what they mean to Python."""
 
+import json
 import re
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hitlake.functions import finder
 from hitlake.operators import extract_matches
+from hitlake.operators.extract import raw_matches
 
 TEXTS = [
     "abc",
@@ -151,6 +153,65 @@ def test_invalid_pattern_fails_before_reading(spark, pattern):
         extract_matches(df, pattern, F.col("t"))
 
 
+@pytest.mark.parametrize(
+    "pattern, literals",
+    [
+        (r"ID-\d{4}-[A-Z]+", ("ID-",)),
+        (r"user=(\w+)", ("user=",)),
+        (r"ERROR|WARN", ("ERROR", "WARN")),
+        (r"(?:ab)+c*d?", ("ab",)),
+        (r"\w+@\w+", ("@",)),
+        (r"(a|b\w)xyz", ("xyz",)),
+        (r"(?i)error", ()),
+        (r"(?i:error)x", ("x",)),
+        (r"(?:abc)?d|e", ("d", "e")),
+        (r"(?=abc)\w", ()),
+        (r"a|\d", ()),
+        (r"\d+", ()),
+        (r"(?x) a b # c", ("ab",)),
+    ],
+)
+def test_required_literals(pattern, literals):
+    assert finder(pattern).literals == literals
+
+
+def test_literals_never_hide_a_match(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string").coalesce(1)
+    tests = [finder(p).may_be_in(F.col("text")).alias(f"p{n}") for n, p in enumerate(PATTERNS)]
+    for row in df.select("i", *tests).collect():
+        for n, pattern in enumerate(PATTERNS):
+            assert row[f"p{n}"] or not python_matches(pattern, TEXTS[row.i])
+
+
+@pytest.mark.parametrize(
+    "pattern, value",
+    [
+        ("user=x", "user=x"),
+        ("é@", "é@"),
+        ('say "hi"', 'say "hi"'),
+        (r'"x":1', {"x": 1, "y": [1, 2]}),
+        (r"100000\.0", 1e5),
+        (r"e\+22|E22", 1.5e22),
+        (r"true", True),
+        (r"\[1,2\]", [1, 2]),
+        (r"a/b", "a/b"),
+        (r"tab\there", "tab\there"),
+        (r"k:v", "k:v"),
+        (r"😀", "😀"),
+    ],
+)
+@pytest.mark.parametrize("ascii_only", [True, False])
+def test_line_test_never_hides_a_match(spark, pattern, value, ascii_only):
+    """The test on the unparsed line passes whatever spelling the document uses."""
+    lines = [json.dumps({"m": value}, ensure_ascii=ascii_only, indent=i).replace("\n", " ") for i in (None, 2)]
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    test = finder(pattern).may_be_in_line(F.col("value"))
+    found = raw_matches(df, pattern, "m").count()
+    assert found == raw_matches(df, f"(?:{pattern})|(?!)", "m").count()
+    if found:
+        assert test is None or df.where(test).count() == 2
+
+
 def test_engines(spark):
     """Java runs what it can; the rest is Python's."""
     assert finder(r"(\d+)-\w").java is not None
