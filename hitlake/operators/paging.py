@@ -10,6 +10,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.paths import column_at
+from ..functions.schema import TIMESTAMPS
+from ..functions.text import utc
+from ..scratch import remove_scratch
 from .numbering import file_offsets, number_rows, parquet_files
 from .predicates import all_of, field_type, typed_literal
 
@@ -18,7 +21,7 @@ DEFAULT_LIMIT = 100
 DEFAULT_PAGE_SIZE = 1000
 
 # Up to here a page is kept in memory while scanning (offset + limit rows per task).
-MAX_TOP_ROWS = 100_000
+MAX_TOP_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -68,17 +71,35 @@ def page(
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in the order of ``keys``, which must be total.
 
-    A deep page is cut from the numbered table, since a top-k would hold everything before it.
+    For a deep page a top-k would hold everything before it. There the sort keys alone are
+    numbered, and the rows between two of them are read.
     """
     order = order_columns(keys)
     if offset + limit <= MAX_TOP_ROWS:
         return df.orderBy(*order).offset(offset).limit(limit)
-    numbered = number_rows(df, order, "_row_no")
-    return (
-        numbered.where((F.col("_row_no") > offset) & (F.col("_row_no") <= offset + limit))
-        .drop("_row_no")
-        .orderBy(*order)
-    )
+    before, last = _keys_at(df, keys, offset, offset + limit)
+    if offset and before is None:
+        return df.limit(0)
+    rows = df if before is None else df.where(keyset_after(df, keys, before))
+    if last is not None:
+        rows = rows.where(~keyset_after(df, keys, last))
+    return rows.orderBy(*order)
+
+
+def _keys_at(df: DataFrame, keys: Sequence[SortKey], *numbers: int) -> list[list[Any] | None]:
+    """Sort values of the rows with the given numbers, from 1; None where there is no such row."""
+    columns = [
+        utc(column_at(k.field), field_type(df.schema, k.field))
+        if isinstance(field_type(df.schema, k.field), TIMESTAMPS)
+        else column_at(k.field)
+        for k in keys
+    ]
+    narrow = df.select(*(c.alias(f"k{i}") for i, c in enumerate(columns)))
+    order = order_columns([SortKey(f"k{i}", k.descending) for i, k in enumerate(keys)])
+    numbered = number_rows(narrow, order)
+    found = {row[0]: list(row[1:]) for row in numbered.where(F.col("row_no").isin(*numbers)).collect()}
+    remove_scratch(numbered)
+    return [found.get(n) for n in numbers]
 
 
 def page_info(total: DataFrame, offset: int, limit: int = DEFAULT_LIMIT) -> DataFrame:

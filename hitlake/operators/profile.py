@@ -12,6 +12,7 @@ from ..functions.text import iso_millis, span_text, utc
 from .predicates import Filter, TimeRange, field_type, where_all
 
 TOP_VALUES = 10
+MAX_CAPPED = 100_000  # a capped count brings this many bare rows to the driver at most
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -29,15 +30,18 @@ def filtered_count(
 def total_hits(df: DataFrame, cap: int | None = None, track: bool = True) -> DataFrame:
     """Hit count with its relation: ``eq`` is exact, ``gte`` means counting stopped at ``cap``.
 
-    Without tracking the value is 0.
+    Without tracking the value is 0. A capped count runs at once and reads only as many
+    partitions as it takes to find one hit more than the cap.
     """
-    if not track:
-        df, cap = df.limit(0), None
-    if cap is None:
-        return df.agg(F.count(F.lit(1)).alias("value"), F.lit("eq").alias("relation"))
-    seen = df.select(F.lit(1).alias("_")).limit(cap + 1).agg(F.count("_").alias("n"))
-    return seen.select(
-        F.least(F.col("n"), F.lit(cap)).cast("bigint").alias("value"),
+    if track and cap is not None and cap <= MAX_CAPPED:
+        found = len(df.select(F.lit(1)).take(cap + 1))
+        row = (min(found, cap), "gte" if found > cap else "eq")
+        return df.sparkSession.createDataFrame([row], "value bigint, relation string")
+    counted = (df if track else df.limit(0)).agg(F.count(F.lit(1)).alias("n"))
+    if not track or cap is None:
+        return counted.select(F.col("n").alias("value"), F.lit("eq").alias("relation"))
+    return counted.select(
+        F.least(F.col("n"), F.lit(cap).cast("bigint")).alias("value"),
         F.when(F.col("n") > cap, "gte").otherwise("eq").alias("relation"),
     )
 

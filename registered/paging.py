@@ -46,6 +46,12 @@ def page_of_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page(df, [SortKey("event_type"), SortKey("event_id")], present - 50, 100).select(*COLUMNS)
 
 
+def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page so far in that a top-k would hold most of the table."""
+    keys = [SortKey("o_orderstatus", descending=True), SortKey("o_orderkey")]
+    return page(table(spark, sf_dir, "orders"), keys, offset=10_000, limit=500)
+
+
 def page_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_info(row_count(events(spark, sf_dir)), 300, 100)
 
@@ -147,6 +153,10 @@ QUERIES = {
         SPARSE_EVENTS + "SELECT event_id, ts, event_type FROM sparse ORDER BY event_type NULLS LAST, event_id"
         " LIMIT 100 OFFSET (SELECT count(event_type) - 50 FROM sparse)",
     ),
+    "page_deep": (
+        deep_page,
+        "SELECT * FROM orders ORDER BY o_orderstatus DESC, o_orderkey LIMIT 500 OFFSET 10000",
+    ),
     "page_info": (
         page_position,
         """SELECT n AS total, CAST(4 AS BIGINT) AS page, p AS pages, CAST(301 AS BIGINT) AS showing_from,

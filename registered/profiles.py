@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitlake.functions import detect_time_field, span_text, time_field_options
+from hitlake.functions import describe_schema, detect_time_field, leaf_fields, span_text, time_field_options
 from hitlake.operators import (
     Filter,
     date_range,
@@ -74,6 +74,15 @@ def profile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(table(spark, sf_dir, "orders").drop("o_totalprice", "o_orderdate"))
 
 
+def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns as described, with what their values say."""
+    orders = table(spark, sf_dir, "orders").drop("o_totalprice")
+    filled = profile(orders, k=1).select("field", "unique_count", "null_count")
+    described = describe_schema(orders).join(filled, F.col("name") == F.col("field")).drop("field")
+    labels = leaf_fields(orders).select("name", "display_path", "short_type")
+    return described.join(labels, "name")
+
+
 def event_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_range(events(spark, sf_dir), "ts")
 
@@ -206,6 +215,20 @@ QUERIES = {
             ],
         ),
     ),
+    "schema_report": (
+        schema_report,
+        """SELECT column_name AS name, column_type AS type, "null" = 'YES' AS nullable, name AS display_path,
+            CASE column_type WHEN 'BIGINT' THEN 'i64' WHEN 'TIMESTAMP' THEN 'time' ELSE 'str' END AS short_type,
+            unique_count, null_count
+        FROM (DESCRIBE orders) JOIN (
+            SELECT 'o_orderkey' AS name, count(DISTINCT o_orderkey) AS unique_count,
+                count(*) - count(o_orderkey) AS null_count FROM orders
+            UNION ALL SELECT 'o_custkey', count(DISTINCT o_custkey), count(*) - count(o_custkey) FROM orders
+            UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus), count(*) - count(o_orderstatus) FROM orders
+            UNION ALL SELECT 'o_orderdate', count(DISTINCT o_orderdate), count(*) - count(o_orderdate) FROM orders
+            UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority),
+                count(*) - count(o_orderpriority) FROM orders) ON column_name = name""",
+    ),
     "date_range": (event_range, _range_sql()),
     "date_range_detected": (detected_range, _range_sql()),
     "date_range_empty": (empty_range, _range_sql("WHERE user_id < 0")),

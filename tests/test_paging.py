@@ -52,14 +52,20 @@ def test_pages_are_a_top_k(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(page(events, [SortKey("ts"), SortKey("event_id")], 200, 100))
 
 
-def test_deep_page(spark, monkeypatch):
-    df = spark.range(5000).select(F.expr("id * 7919 % 5000").alias("n")).repartition(6)
-    shallow = page(df, [SortKey("n", True)], 4321, 50).collect()
-    monkeypatch.setattr(paging, "MAX_TOP_ROWS", 100)
-    deep = page(df, [SortKey("n", True)], 4321, 50)
-    assert "TakeOrderedAndProject" not in plan(deep)
-    assert deep.collect() == shallow
-    assert [r.n for r in shallow] == list(range(678, 628, -1))
+@pytest.mark.parametrize("kind", ["bigint", "timestamp", "timestamp_ntz", "string"])
+def test_deep_page(spark, monkeypatch, kind):
+    """Deep pages are found by their sort values, NULLs included."""
+    n = F.expr("if(id % 50 = 0, null, id * 7919 % 500)")
+    value = F.timestamp_seconds(n * 86_400).cast(kind) if "time" in kind else n.cast(kind)
+    df = spark.range(5000).select("id", value.alias("n"), F.lit("wide").alias("rest")).repartition(6)
+    for keys in ([SortKey("n", True), SortKey("id")], [SortKey("n"), SortKey("id", True)]):
+        for offset in (4321, 4890, 4960, 5000, 7000):
+            monkeypatch.setattr(paging, "MAX_TOP_ROWS", 10_000)
+            shallow = page(df, keys, offset, 50).collect()
+            monkeypatch.setattr(paging, "MAX_TOP_ROWS", 100)
+            deep = page(df, keys, offset, 50)
+            assert "TakeOrderedAndProject" not in plan(deep)
+            assert deep.collect() == shallow
 
 
 @pytest.mark.parametrize(

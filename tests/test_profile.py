@@ -1,3 +1,5 @@
+from importlib import import_module
+
 import pytest
 from plans import final_plan, plan
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from hitlake.operators import (
 )
 from pyspark.sql import types as T
 
+profile_module = import_module("hitlake.operators.profile")
+
 
 def schema(ddl):
     return T.StructType.fromDDL(ddl)
@@ -102,7 +106,9 @@ def test_default_columns():
     assert default_columns(schema(flat)) == ['"a"', '"b"', '"c"', '"d"', '"e"', '"f"']
 
 
-def test_total_hits(spark):
+@pytest.mark.parametrize("most", [10, 1000])
+def test_total_hits(spark, monkeypatch, most):
+    monkeypatch.setattr(profile_module, "MAX_CAPPED", most)
     df = spark.range(30)
     assert tuple(total_hits(df).first()) == (30, "eq")
     assert tuple(total_hits(df, cap=30).first()) == (30, "eq")
