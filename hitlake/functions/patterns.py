@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from re import _parser  # the syntax tree of a pattern, as Python itself reads it
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
@@ -55,12 +55,13 @@ class Finder(NamedTuple):
 
     def may_be_in(self, source: Column) -> Column:
         """A cheaper test before :meth:`all_in`: substrings first, then the pattern."""
-        tests = [source.isNotNull()]
         if self.literals:
-            tests.append(_contains_any(source, self.literals))
-        if self.java is not None:
-            tests.append(source.rlike(self.java))
-        return reduce(lambda a, b: a & b, tests)
+            return _contains_any(source, self.literals) & self.is_in(source)
+        return self.is_in(source)
+
+    def is_in(self, source: Column) -> Column:
+        """The pattern alone. Nothing is tested twice, as computing the source may be costly."""
+        return source.isNotNull() if self.java is None else source.rlike(self.java)
 
     def may_be_in_line(self, line: Column) -> Column | None:
         """The substring test on a raw JSON line, before it is parsed; None if there is none.
@@ -99,19 +100,14 @@ def _required(items: Sequence) -> tuple[str, ...]:
     """Substrings of which every match holds at least one; the most selective such choice."""
     choices: list[tuple[str, ...]] = []
     run = ""
-    for op, value in items:
-        name = str(op)
+    for name, value in _ungrouped(items):
         if name == "LITERAL":
             run += chr(value)
             continue
         if run:
             choices.append((run,))
             run = ""
-        if name == "SUBPATTERN" and not value[1] & re.I:
-            choices.append(_required(value[3]))
-        elif name == "ATOMIC_GROUP":
-            choices.append(_required(value))
-        elif name.endswith("REPEAT") and value[0] > 0:
+        if name.endswith("REPEAT") and value[0] > 0:
             choices.append(_required(value[2]))
         elif name == "BRANCH":
             branches = [_required(branch) for branch in value[1]]
@@ -123,6 +119,18 @@ def _required(items: Sequence) -> tuple[str, ...]:
     return max(few, key=lambda choice: min(map(len, choice)), default=())
 
 
+def _ungrouped(items: Sequence) -> Iterator[tuple[str, Any]]:
+    """Items in sequence, groups opened; one that ignores case stays closed."""
+    for op, value in items:
+        name = str(op)
+        if name == "SUBPATTERN" and not value[1] & re.I:
+            yield from _ungrouped(value[3])
+        elif name == "ATOMIC_GROUP":
+            yield from _ungrouped(value)
+        else:
+            yield name, value
+
+
 def _find_in_python(pattern: str):
     @F.pandas_udf("array<string>")
     def find(texts: pd.Series) -> pd.Series:

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.paths import get_paths, is_json, parse_field_spec, typed_text
-from ..functions.patterns import finder
+from ..functions.paths import get_path, get_paths, is_json, parse_field_spec, typed_text
+from ..functions.patterns import Finder, finder
 
 DEFAULT_SOURCE = "_source.message"
 POSITION = "_position"
@@ -35,17 +35,12 @@ def _one_row_each(found: DataFrame, name: str) -> DataFrame:
 
 
 def _rows(
-    df: DataFrame,
-    pattern: str,
+    found: DataFrame,
+    find: Finder,
     source: Column,
     fields: Sequence[tuple[str, Column]],
-    valid: Column | None,
     keep: Sequence[str],
 ) -> DataFrame:
-    find = finder(pattern)
-    found = df.where(find.may_be_in(source))
-    if valid is not None:  # after the pattern, so that only lines with matches pay for it
-        found = found.where(valid)
     columns = [F.coalesce(column, F.lit("")).alias(name) for name, column in fields]
     return _one_row_each(found.select(find.all_in(source).alias("match"), *columns, *keep), "match")
 
@@ -63,12 +58,14 @@ def raw_matches(
     """
     value = F.col("value")
     specs = _unique([parse_field_spec(spec) for spec in fields])
-    unparsed = finder(pattern).may_be_in_line(value)
-    if unparsed is not None:
-        lines = lines.where(unparsed)
-    found, *texts = get_paths(value, [source, *(path for path, _ in specs)])
-    columns = [(name, text) for (_, name), text in zip(specs, texts)]
-    return _rows(lines, pattern, found, columns, is_json(value), keep)
+    text, *texts = get_paths(value, [source, *(path for path, _ in specs)])
+    columns = [(name, column) for (_, name), column in zip(specs, texts)]
+    find = finder(pattern)
+    # From cheap to costly: the unparsed line, the pattern, the whole line's validity.
+    unparsed = find.may_be_in_line(value)
+    found = lines if unparsed is None else lines.where(unparsed)
+    found = found.where(find.is_in(get_path(value, source))).where(is_json(value))
+    return _rows(found, find, text, columns, keep)
 
 
 def typed_matches(
@@ -81,7 +78,8 @@ def typed_matches(
     """Match rows of a typed DataFrame."""
     specs = _unique([parse_field_spec(spec) for spec in fields])
     columns = [(name, typed_text(df, path)) for path, name in specs]
-    return _rows(df, pattern, typed_text(df, source), columns, None, keep)
+    find, text = finder(pattern), typed_text(df, source)
+    return _rows(df.where(find.may_be_in(text)), find, text, columns, keep)
 
 
 def _unique(specs: list[tuple[str, str]]) -> list[tuple[str, str]]:

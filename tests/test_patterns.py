@@ -158,6 +158,7 @@ def test_invalid_pattern_fails_before_reading(spark, pattern):
     [
         (r"ID-\d{4}-[A-Z]+", ("ID-",)),
         (r"user=(\w+)", ("user=",)),
+        (r"user=(7(?P<x>7))8*", ("user=77",)),
         (r"ERROR|WARN", ("ERROR", "WARN")),
         (r"(?:ab)+c*d?", ("ab",)),
         (r"\w+@\w+", ("@",)),
