@@ -2,6 +2,7 @@ from .paths import (
     column_at,
     get_path,
     get_paths,
+    get_valid_paths,
     is_json,
     parse_field_spec,
     result_name,
@@ -38,6 +39,7 @@ __all__ = [
     "fmt_epoch_ms",
     "get_path",
     "get_paths",
+    "get_valid_paths",
     "is_json",
     "json_safe",
     "leaf_fields",

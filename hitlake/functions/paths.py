@@ -84,20 +84,9 @@ def get_paths(raw: Column, paths: Sequence[str]) -> list[Column]:
     NULL. Values keep JSON spelling (``true``, ``{"x":1}``); of equal keys the last counts.
     The line must be JSON, see :func:`is_json`.
     """
-    trees: list[dict] = []  # paths that cannot be in one schema (a.b beside a) are parsed apart
-    placed = []
-    for path in paths:
-        steps = path.split(".")
-        for number, tree in enumerate(trees):
-            if _insert(tree, steps):
-                break
-        else:
-            number = len(trees)
-            trees.append({})
-            _insert(trees[-1], steps)
-        placed.append((number, steps))
+    trees, places = _trees(paths)
     parsed = [F.from_json(raw, _struct(tree), STRICT) for tree in trees]
-    return [reduce(lambda c, step: c.getField(step), steps, parsed[n]) for n, steps in placed]
+    return [_field(parsed[number], path) for number, path in places]
 
 
 def get_path(raw: Column, path: str) -> Column:
@@ -105,6 +94,54 @@ def get_path(raw: Column, path: str) -> Column:
     return get_paths(raw, [path])[0]
 
 
+def get_valid_paths(raw: Column, paths: Sequence[str]) -> Column:
+    """:func:`get_paths` as one struct (fields ``0``, ``1``, …), NULL on a line that is no object.
+
+    Values and validity come from the same parse: the line is read as the first of two array
+    items, and the second shows that nothing stood between. Lines that hold the mark of the
+    second item themselves are checked by :func:`is_json`.
+    """
+    trees, places = _trees(paths)
+    mark = T.StructField(END_MARK, T.StringType())
+    fields = T.StructType([*_struct(trees[0]).fields, mark])
+    marked = F.concat(F.lit("["), raw, F.lit(f',{{"{END_MARK}":1}}]'))
+    items = F.from_json(marked, T.ArrayType(fields), STRICT)
+    others = [F.from_json(raw, _struct(tree), STRICT) for tree in trees[1:]]
+
+    def values(pair: Column) -> Column:
+        whole = (F.size(pair) == 2) & (pair.getItem(1).getField(END_MARK) == "1")
+        exact = ~raw.contains(END_MARK) | is_json(raw)
+        parsed = [pair.getItem(0), *others]
+        texts = [_field(parsed[number], path).alias(str(i)) for i, (number, path) in enumerate(places)]
+        return F.when(whole & exact, F.struct(*texts))
+
+    # A lambda names the parsed items, which would be parsed anew at each mention otherwise.
+    return F.transform(F.array(items), values).getItem(0)
+
+
+def _field(parsed: Column, path: str) -> Column:
+    return reduce(lambda c, step: c.getField(step), path.split("."), parsed)
+
+
+def _trees(paths: Sequence[str]) -> tuple[list[dict], list[tuple[int, str]]]:
+    """Schemas that hold the paths, and where each path is.
+
+    One is enough unless paths exclude each other, such as ``a.b`` and ``a``.
+    """
+    trees: list[dict] = []
+    places = []
+    for path in paths:
+        for number, tree in enumerate(trees):
+            if _insert(tree, path.split(".")):
+                break
+        else:
+            number = len(trees)
+            trees.append({})
+            _insert(trees[-1], path.split("."))
+        places.append((number, path))
+    return trees, places
+
+
 def _insert(tree: dict, steps: Sequence[str]) -> bool:
     """Add a path to a tree of steps; False if a leaf and an object would share a name."""
     step, below = steps[0], steps[1:]

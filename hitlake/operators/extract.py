@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.paths import get_path, get_paths, is_json, parse_field_spec, typed_text
+from ..functions.paths import get_valid_paths, parse_field_spec, typed_text
 from ..functions.patterns import Finder, finder
 
 DEFAULT_SOURCE = "_source.message"
@@ -56,16 +56,18 @@ def raw_matches(
 
     ``keep`` names columns to carry along as they are.
     """
-    value = F.col("value")
     specs = _unique([parse_field_spec(spec) for spec in fields])
-    text, *texts = get_paths(value, [source, *(path for path, _ in specs)])
-    columns = [(name, column) for (_, name), column in zip(specs, texts)]
     find = finder(pattern)
-    # From cheap to costly: the unparsed line, the pattern, the whole line's validity.
-    unparsed = find.may_be_in_line(value)
-    found = lines if unparsed is None else lines.where(unparsed)
-    found = found.where(find.is_in(get_path(value, source))).where(is_json(value))
-    return _rows(found, find, text, columns, keep)
+    unparsed = find.may_be_in_line(F.col("value"))
+    if unparsed is not None:
+        lines = lines.where(unparsed)
+    # Generated rows are computed once; as mere columns the values would be parsed again for
+    # the filter on them.
+    values = get_valid_paths(F.col("value"), [source, *(path for path, _ in specs)])
+    parsed = lines.select(*keep, F.inline_outer(F.array(values)))
+    columns = [(name, F.col(f"`{i}`")) for i, (_, name) in enumerate(specs, 1)]
+    text = F.col("`0`")
+    return _rows(parsed.where(find.is_in(text)), find, text, columns, keep)
 
 
 def typed_matches(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hitlake.functions import (
     get_path,
     get_paths,
+    get_valid_paths,
     is_json,
     parse_field_spec,
     result_name,
@@ -41,7 +42,9 @@ LOOKUPS = [
 @pytest.mark.parametrize("doc, path, expected", LOOKUPS)
 def test_raw_lookup(spark, doc, path, expected):
     df = spark.createDataFrame([(json.dumps(doc),)], "value string")
-    assert df.select(get_path(F.col("value"), path)).first()[0] == expected
+    value = F.col("value")
+    valid = get_valid_paths(value, ["none", path]).getField("1")
+    assert tuple(df.select(get_path(value, path), valid).first()) == (expected, expected)
 
 
 @pytest.mark.parametrize("doc, path, expected", LOOKUPS[:7])
@@ -79,6 +82,8 @@ def test_field_spec(spec, expected):
         ('{"a":1e5, "b":[true,false,null]}', True),
         ('{"a":"end of the line"}', True),
         ('1,"end of the line"] trailing', False),
+        ('{"a":1},{"end of the line":1}] trailing', False),
+        ('{"a":1},{"end of the line":1}', False),
         ("not json", False),
         ("", False),
         ("   ", False),
@@ -102,6 +107,9 @@ def test_field_spec(spec, expected):
 def test_is_json(spark, monkeypatch, line, good):
     df = spark.createDataFrame([(line,)], "value string")
     assert df.select(is_json(F.col("value"))).first()[0] is good
+    if "a" in line and "{" in line:
+        valid = df.select(get_valid_paths(F.col("value"), ["a"])).first()[0]
+        assert (valid is not None) is good
     monkeypatch.setattr(paths, "END_MARK", "")  # every line holds it
     assert df.select(is_json(F.col("value"))).first()[0] is good
     if good:
@@ -120,7 +128,8 @@ def test_paths_of_one_line(spark):
     line = '{"a":{"b":{"c":1},"d":"x"},"A":{"b":2},"e":[1, {"f":null}]}'
     wanted = ["a.b.c", "a.b", "a", "A.b", "e", "a.d", "a.b.c", "e.f", "a.b.c.z"]
     df = spark.createDataFrame([(line,)], "value string")
-    assert list(df.select(*get_paths(F.col("value"), wanted)).first()) == [
+    valid = df.select(get_valid_paths(F.col("value"), wanted)).first()[0]
+    assert list(valid) == list(df.select(*get_paths(F.col("value"), wanted)).first()) == [
         "1",
         '{"c":1}',
         '{"b":{"c":1},"d":"x"}',
@@ -133,6 +142,15 @@ def test_paths_of_one_line(spark):
     ]
 
 
+def test_object_where_text_was_expected(spark):
+    """A step into something else leaves the rest of the line readable."""
+    df = spark.createDataFrame([('{"a":"text","b":[1],"c":{"d":{"e":1},"f":"x"}}',)], "value string")
+    value = F.col("value")
+    for path, expected in [("a.x", None), ("b.x", None), ("c.d", '{"e":1}'), ("c.f", "x"), ("c.f.g", None)]:
+        assert df.select(get_valid_paths(value, [path]).getField("0")).first()[0] == expected
+    assert list(df.select(*get_paths(value, ["a.x", "b.x", "c.f"])).first()) == [None, None, "x"]
+
+
 def test_path_names():
     assert split_path('_source."a.b".c') == ["_source", "a.b", "c"]
     assert result_name('_source."@timestamp"') == "_source_@timestamp"
