@@ -2,9 +2,10 @@ from .paths import (
     column_at,
     get_path,
     get_paths,
-    get_valid_paths,
     is_json,
+    object_lines,
     parse_field_spec,
+    parse_objects,
     result_name,
     select_fields,
     source_includes,
@@ -39,11 +40,12 @@ __all__ = [
     "fmt_epoch_ms",
     "get_path",
     "get_paths",
-    "get_valid_paths",
     "is_json",
     "json_safe",
     "leaf_fields",
+    "object_lines",
     "parse_field_spec",
+    "parse_objects",
     "result_name",
     "select_fields",
     "short_type",

@@ -94,29 +94,40 @@ def get_path(raw: Column, path: str) -> Column:
     return get_paths(raw, [path])[0]
 
 
-def get_valid_paths(raw: Column, paths: Sequence[str]) -> Column:
-    """:func:`get_paths` as one struct (fields ``0``, ``1``, …), NULL on a line that is no object.
+def parse_objects(lines: DataFrame, schema: T.StructType, keep: Sequence[str | Column] = ()) -> DataFrame:
+    """Raw lines (column ``value``) parsed as ``object``, and whether they are one JSON object (``good``).
 
-    Values and validity come from the same parse: the line is read as the first of two array
-    items, and the second shows that nothing stood between. Lines that hold the mark of the
-    second item themselves are checked by :func:`is_json`.
+    Both come from the same parse: a line is read as the first of two array items, and the
+    second shows that nothing stood between. Lines that hold the mark of the second item
+    themselves are checked by :func:`is_json`. The items are generated as a row, because as a
+    mere column they would be parsed again wherever they are used.
     """
+    raw, mark = F.col("value"), END_MARK
+    while mark in schema.names:
+        mark += "."
+    item = T.StructType([*schema.fields, T.StructField(mark, T.StringType())])
+    marked = F.concat(F.lit("["), raw, F.lit(f',{{"{mark}":1}}]'))
+    parsed = lines.select(
+        *keep,
+        (~raw.contains(mark) | is_json(raw)).alias("exact"),
+        F.explode_outer(F.array(F.from_json(marked, T.ArrayType(item), STRICT))).alias("items"),
+    )
+    first, second = F.col("items").getItem(0), F.col("items").getItem(1)
+    whole = (F.size("items") == 2) & (second.getField(mark) == "1") & first.isNotNull()
+    good = F.coalesce(whole & F.col("exact"), F.lit(False))
+    return parsed.select("*", first.alias("object"), good.alias("good")).drop("items", "exact")
+
+
+def object_lines(lines: DataFrame, paths: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Raw lines (column ``value``) that are one JSON object, as text columns ``0``, ``1``, … at the paths."""
     trees, places = _trees(paths)
-    mark = T.StructField(END_MARK, T.StringType())
-    fields = T.StructType([*_struct(trees[0]).fields, mark])
-    marked = F.concat(F.lit("["), raw, F.lit(f',{{"{END_MARK}":1}}]'))
-    items = F.from_json(marked, T.ArrayType(fields), STRICT)
-    others = [F.from_json(raw, _struct(tree), STRICT) for tree in trees[1:]]
-
-    def values(pair: Column) -> Column:
-        whole = (F.size(pair) == 2) & (pair.getItem(1).getField(END_MARK) == "1")
-        exact = ~raw.contains(END_MARK) | is_json(raw)
-        parsed = [pair.getItem(0), *others]
-        texts = [_field(parsed[number], path).alias(str(i)) for i, (number, path) in enumerate(places)]
-        return F.when(whole & exact, F.struct(*texts))
-
-    # A lambda names the parsed items, which would be parsed anew at each mention otherwise.
-    return F.transform(F.array(items), values).getItem(0)
+    others = [
+        F.from_json(F.col("value"), _struct(tree), STRICT).alias(f"tree {n}") for n, tree in enumerate(trees[1:], 1)
+    ]
+    parsed = parse_objects(lines, _struct(trees[0]), [*keep, *others])
+    roots = [F.col("object"), *(F.col(f"`tree {n}`") for n in range(1, len(trees)))]
+    texts = [_field(roots[number], path).alias(str(i)) for i, (number, path) in enumerate(places)]
+    return parsed.where("good").select(*keep, *texts)
 
 
 def _field(parsed: Column, path: str) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.paths import get_valid_paths, parse_field_spec, typed_text
+from ..functions.paths import object_lines, parse_field_spec, typed_text
 from ..functions.patterns import Finder, finder
 
 DEFAULT_SOURCE = "_source.message"
@@ -61,10 +61,7 @@ def raw_matches(
     unparsed = find.may_be_in_line(F.col("value"))
     if unparsed is not None:
         lines = lines.where(unparsed)
-    # Generated rows are computed once; as mere columns the values would be parsed again for
-    # the filter on them.
-    values = get_valid_paths(F.col("value"), [source, *(path for path, _ in specs)])
-    parsed = lines.select(*keep, F.inline_outer(F.array(values)))
+    parsed = object_lines(lines, [source, *(path for path, _ in specs)], keep)
     columns = [(name, F.col(f"`{i}`")) for i, (_, name) in enumerate(specs, 1)]
     text = F.col("`0`")
     return _rows(parsed.where(find.is_in(text)), find, text, columns, keep)

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.paths import CORRUPT, STRICT, column_at, is_json, split_path
+from ..functions.paths import CORRUPT, column_at, parse_objects, split_path
 from .lines import read_lines
 
 MAX_OBJECT_BYTES = 33_554_432  # fixed value: largest JSON object that is read
@@ -54,12 +54,13 @@ def read_hits(
             return spark.read.schema(columns).option("mode", "PERMISSIVE").json(list(paths))
     value = F.col("value")
     lines = read_lines(spark, *paths).where(F.trim(value) != "")
-    good = (F.octet_length(value) <= max_object_bytes) & value.rlike(r"^\s*\{") & is_json(value)
-    rows = lines.select(
-        F.from_json(F.when(good, value), schema, STRICT).alias("hit"), F.when(~good, value).alias(CORRUPT)
-    )
     with case_sensitive(spark):
-        return rows.select("hit.*", CORRUPT)
+        parsed = parse_objects(lines, schema, [value])
+        good = F.col("good") & (F.octet_length(value) <= max_object_bytes)
+        columns = [
+            F.when(good, F.col("object").getField(f.name)).alias(f.name) for f in schema.fields
+        ]
+        return parsed.select(*columns, F.when(~good, value).alias(CORRUPT))
 
 
 def store_hits(hits: DataFrame, path: str) -> DataFrame:

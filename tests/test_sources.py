@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from hitlake.functions import fmt_bytes, fmt_count, fmt_epoch_ms, json_safe, span_text
 from hitlake.functions.text import iso_seconds
@@ -78,6 +78,21 @@ def test_schema_skips_inference(spark, write):
     assert read_hits(spark, path, schema=infer_schema(spark, path).add("z", "string")).first().z is None
 
 
+@pytest.mark.parametrize("limit", [None, 1000])
+def test_values_that_do_not_fit_the_schema(spark, write, limit):
+    path = write('{"a":"x","b":2,"c":{"d":1}}', '{"a":1,"b":2,"c":"text"}', '{"b":3,"end of the line":1}')
+    schema = "a int, b int, c struct<d: int>"
+    rows = read_hits(spark, path, schema=T.StructType.fromDDL(schema), max_object_bytes=limit).select("a", "b", "c.d")
+    assert sorted(map(tuple, rows.collect()), key=str) == [(1, 2, None), (None, 2, 1), (None, 3, None)]
+
+
+def test_lines_that_are_no_object(spark, write):
+    path = write('{"a":1}', "null", "[1]", '[{"a":2}]', '"a"', '{"a":1},{"a":2}', '{"a":3},{"end of the line":1}] x')
+    rows = read_hits(spark, path, schema=T.StructType.fromDDL("a int, `end of the line` int"))
+    assert sorted(rows.select("a", "_corrupt_record").collect(), key=str)[0] == (1, None)
+    assert rows.where("_corrupt_record is not null and a is null").count() == 6
+
+
 @pytest.mark.parametrize("split", [64, 1000, 10**8])
 def test_bad_line_numbers(spark, tmp_path, split):
     """Line numbers count through all blocks of a file, however it is split."""
