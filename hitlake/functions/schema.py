@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, types as T
 
 from .paths import type_at
+from .rows import literal_rows
 
 TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 
@@ -88,7 +89,7 @@ def short_type(data_type: T.DataType) -> str:
 def describe_schema(df: DataFrame) -> DataFrame:
     """One row per top-level column: name, type, nullable."""
     rows = [(f.name, type_name(f.dataType), f.nullable) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "name string, type string, nullable boolean")
+    return literal_rows(df.sparkSession, rows, "name string, type string, nullable boolean")
 
 
 def walk_fields(schema: T.StructType, include_structs: bool = False) -> list[Field]:
@@ -125,7 +126,8 @@ def leaf_fields(df: DataFrame, include_structs: bool = False) -> DataFrame:
         (f.path, f.display_path, f.name, type_name(f.data_type), short_type(f.data_type), f.nullable)
         for f in walk_fields(df.schema, include_structs)
     ]
-    return df.sparkSession.createDataFrame(
+    return literal_rows(
+        df.sparkSession,
         rows,
         "path string, display_path string, name string, type string, short_type string, nullable boolean",
     )

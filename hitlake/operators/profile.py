@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.paths import column_at, text_of
+from ..functions.rows import literal_rows
 from ..functions.schema import short_type, walk_fields
 from ..functions.text import iso_millis, span_text, utc
 from .predicates import Filter, TimeRange, field_type, where_all
@@ -36,7 +37,7 @@ def total_hits(df: DataFrame, cap: int | None = None, track: bool = True) -> Dat
     if track and cap is not None and cap <= MAX_CAPPED:
         found = len(df.select(F.lit(1)).take(cap + 1))
         row = (min(found, cap), "gte" if found > cap else "eq")
-        return df.sparkSession.createDataFrame([row], "value bigint, relation string")
+        return literal_rows(df.sparkSession, [row], "value bigint, relation string")
     counted = (df if track else df.limit(0)).agg(F.count(F.lit(1)).alias("n"))
     if not track or cap is None:
         return counted.select(F.col("n").alias("value"), F.lit("eq").alias("relation"))

@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..functions.rows import literal_rows
 from ..functions.schema import describe_schema
 from ..operators.predicates import field_type, query_column
 from ..operators.profile import date_bounds, date_texts
@@ -95,7 +96,7 @@ def aliases(spark: SparkSession, catalog: Catalog, pattern: str | None = None) -
         for alias, members in catalog.aliases.items()
         for member in members
     ]
-    listed = spark.createDataFrame(rows, "alias string, index string, filter string")
+    listed = literal_rows(spark, rows, "alias string, index string, filter string")
     return listed.where(like(F.col("alias"), pattern)).orderBy("alias", "index")
 
 
@@ -138,8 +139,8 @@ def inventory(
     regex = None if pattern is None else re.compile(glob_regex(pattern))
     chosen = [(n, d) for n, d in catalog.datasets.items() if regex is None or regex.fullmatch(n)]
     if not chosen:
-        return spark.createDataFrame(
-            [], "index string, docs bigint, bytes bigint, files bigint, created timestamp"
+        return literal_rows(
+            spark, [], "index string, docs bigint, bytes bigint, files bigint, created timestamp"
         )
     facts = [part(spark, n, d) for n, d in chosen for part in (_file_facts, _doc_facts)]
     totals = (
@@ -197,7 +198,7 @@ def describe_alias(
     per_member = rows.groupBy(INDEX).agg(
         F.count(F.lit(1)).alias("docs"), *date_bounds(rows, time_field)
     )
-    listed = spark.createDataFrame([(m.index,) for m in members], f"{INDEX} string").distinct()
+    listed = literal_rows(spark, sorted({(m.index,) for m in members}), f"{INDEX} string")
     everyone = Window.partitionBy()
     joined = listed.join(per_member, INDEX, "left").select(
         INDEX,
