@@ -94,7 +94,9 @@ def get_path(raw: Column, path: str) -> Column:
     return get_paths(raw, [path])[0]
 
 
-def parse_objects(lines: DataFrame, schema: T.StructType, keep: Sequence[str | Column] = ()) -> DataFrame:
+def parse_objects(
+    lines: DataFrame, schema: T.StructType, keep: Sequence[str | Column] = (), raw: Column | None = None
+) -> DataFrame:
     """Raw lines (column ``value``) parsed as ``object``, and whether they are one JSON object (``good``).
 
     Both come from the same parse: a line is read as the first of two array items, and the
@@ -102,7 +104,7 @@ def parse_objects(lines: DataFrame, schema: T.StructType, keep: Sequence[str | C
     themselves are checked by :func:`is_json`. The items are generated as a row, because as a
     mere column they would be parsed again wherever they are used.
     """
-    raw, mark = F.col("value"), END_MARK
+    raw, mark = F.col("value") if raw is None else raw, END_MARK
     while mark in schema.names:
         mark += "."
     item = T.StructType([*schema.fields, T.StructField(mark, T.StringType())])

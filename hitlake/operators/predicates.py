@@ -22,6 +22,15 @@ PRESETS = {
     "30d": timedelta(days=30),
 }
 
+# The characters that text of a type is made of, in lower case.
+DIGITS = "-0123456789"
+ALPHABETS = [
+    (T.IntegralType, DIGITS),
+    (T.FractionalType, DIGITS + ".+einfitya"),
+    (T.BooleanType, "truefals"),
+    (T.DatetimeType, DIGITS + ":. +"),
+]
+
 Value = str | int | float | bool | datetime
 
 
@@ -129,10 +138,21 @@ def last(field: str, preset: str, now: datetime) -> TimeRange:
     return TimeRange(field, now - PRESETS[preset], now)
 
 
+def can_hold(data_type: T.DataType, text: str) -> bool:
+    """Whether text of this type could contain ``text``: a number never contains a word."""
+    literal = set(text.lower()) - set("%_")
+    return all(literal <= set(chars) for kind, chars in ALPHABETS if isinstance(data_type, kind))
+
+
 def search_all(schema: T.StructType, text: str) -> Column:
-    """Whether any top-level column contains ``text``; nested columns are searched as JSON."""
+    """Whether any top-level column contains ``text``; nested columns are searched as JSON.
+
+    Columns whose type cannot hold the text are not even read.
+    """
     pattern = contains_pattern(text)
-    texts = [text_of(column_at(f'"{f.name}"'), f.dataType) for f in schema.fields]
+    texts = [
+        text_of(column_at(f'"{f.name}"'), f.dataType) for f in schema.fields if can_hold(f.dataType, text)
+    ]
     return any_of([F.coalesce(value, F.lit("")).ilike(pattern) for value in texts])
 
 

@@ -55,8 +55,9 @@ def read_hits(
     value = F.col("value")
     lines = read_lines(spark, *paths).where(F.trim(value) != "")
     with case_sensitive(spark):
-        parsed = parse_objects(lines, schema, [value])
-        good = F.col("good") & (F.octet_length(value) <= max_object_bytes)
+        fits = F.when(F.octet_length(value) <= max_object_bytes, value)
+        parsed = parse_objects(lines, schema, [value], fits)
+        good = F.col("good")
         columns = [
             F.when(good, F.col("object").getField(f.name)).alias(f.name) for f in schema.fields
         ]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from plans import plan
 
+from hitlake.operators.predicates import can_hold
 from hitlake.operators import (
     Filter,
     TimeRange,
@@ -53,6 +54,35 @@ def test_search_treats_null_as_empty(texts):
     assert texts.where(search_all(texts.schema, "a")).count() == 4
 
 
+TYPED = [
+    ("bigint", "values (-9223372036854775808), (0)"),
+    ("double", "values (1.5e300), (double('NaN')), (double('-Infinity')), (-0.1), (1e-7)"),
+    ("float", "values (float(1.5e30)), (float('Infinity')), (float(1e-7))"),
+    ("decimal", "values (cast(1e-20 as decimal(38, 30))), (-12.50)"),
+    ("boolean", "values (true), (false)"),
+    ("timestamp", "values (timestamp'2024-01-01 00:00:00.000001'), (timestamp'+12345-01-01 00:00:00')"),
+    ("timestamp_ntz", "values (timestamp_ntz'-0001-01-01 00:00:00'), (timestamp_ntz'2024-01-01 01:02:03.5')"),
+    ("date", "values (date'2024-01-31'), (date'+12345-01-01')"),
+]
+
+
+@pytest.mark.parametrize("name, rows", TYPED)
+def test_search_skips_no_column_that_could_match(spark, name, rows):
+    """Every piece of a value's own text is something its type can hold."""
+    df = spark.sql(rows).toDF("c")
+    for (text,) in df.select(F.col("c").cast("string")).collect():
+        for piece in {text, text.upper(), text[1:], text[-3:], "%" + text[0] + "_"}:
+            assert can_hold(df.schema["c"].dataType, piece), piece
+
+
+def test_search_reads_only_columns_that_can_match(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = plan(where_all(events, search="click").select("event_type"))
+    assert "ReadSchema: struct<event_type:string,props:string>" in text
+    assert where_all(spark.range(5), search="word").count() == 0
+    assert where_all(spark.range(15), search="1%4").count() == 1
+
+
 def test_text_value_on_a_number(spark):
     df = spark.range(10)
     assert values(df, filter_column(df.schema, Filter("id", "gte", "8"))) == [8, 9]
