@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.paths import CORRUPT, column_at, parse_objects, split_path
 from .lines import read_lines
 
+# Fixed value: text taken for a time. Spark's own reading would take any number for a year.
+ISO_TIME = "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSSSSS][XXX]"
 MAX_OBJECT_BYTES = 33_554_432  # fixed value: largest JSON object that is read
 
 
@@ -30,7 +32,9 @@ def infer_schema(spark: SparkSession, *paths: str, sample: float = 1.0) -> T.Str
 
     Reads all data unless told to ``sample`` a part of the lines: infer once, keep the schema.
     """
-    reader = spark.read.options(inferTimestamp=True, mode="DROPMALFORMED", samplingRatio=sample)
+    reader = spark.read.options(
+        inferTimestamp=True, timestampFormat=ISO_TIME, mode="DROPMALFORMED", samplingRatio=sample
+    )
     with case_sensitive(spark):
         return reader.json(list(paths)).schema
 

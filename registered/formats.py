@@ -44,7 +44,7 @@ def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def safe_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    number = (F.col("o_orderkey") - 100) * 90_071_992_547_409
+    number = (F.col("o_orderkey") % 400 - 200) * 90_071_992_547_409
     return orders.select("o_orderkey", F.to_json(F.struct(json_safe(number).alias("n"))).alias("json"))
 
 
@@ -86,7 +86,7 @@ QUERIES = {
         safe_integers,
         """SELECT o_orderkey, CASE WHEN abs(n) > 9007199254740991 THEN '{"n":"' || CAST(n AS VARCHAR) || '"}'
             ELSE '{"n":' || CAST(n AS VARCHAR) || '}' END AS json
-        FROM (SELECT o_orderkey, (o_orderkey - 100) * 90071992547409 AS n FROM orders)""",
+        FROM (SELECT o_orderkey, (o_orderkey % 400 - 200) * 90071992547409 AS n FROM orders)""",
     ),
     "cell_text": (
         cells,

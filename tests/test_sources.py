@@ -65,6 +65,28 @@ def test_iso_times_are_timestamps(spark, write):
     assert df.first().big == 9007199254740993
 
 
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("2026-01-14T07:34:50Z", "timestamp"),
+        ("2026-01-14T07:34:50.6Z", "timestamp"),
+        ("2026-01-14T07:34:50.697123+02:00", "timestamp"),
+        ("2026-01-14 07:34:50", "timestamp"),
+        ("2026-01-14T07:34:50.123456789", "timestamp"),
+        ("10001", "string"),
+        ("2026", "string"),
+        ("12:30", "string"),
+        ("2026-01", "string"),
+        ("text", "string"),
+    ],
+)
+def test_text_taken_for_a_time(spark, write, text, kind):
+    """Ids made of digits stay text; what is taken for a time is also read as one."""
+    df = read_hits(spark, write(json.dumps({"t": text})))
+    assert df.schema["t"].dataType.simpleString() == kind
+    assert df.where("t is not null").count() == 1
+
+
 def test_keys_that_differ_in_case(spark, write):
     path = write('{"a":1,"A":2}')
     before = spark.conf.get("spark.sql.caseSensitive")
