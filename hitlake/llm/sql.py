@@ -21,7 +21,7 @@ WITH item_words AS (
 ), found AS (
     SELECT uid, start, doc_windows.n AS n, item FROM doc_windows JOIN item_windows USING (n, win)
 ), hit AS (
-    SELECT uid, count(DISTINCT at) AS n_hit FROM (SELECT uid, unnest(range(start, start + n)) AS at FROM found) GROUP BY uid
+    SELECT uid, count(DISTINCT place) AS n_hit FROM (SELECT uid, unnest(range(start, start + n)) AS place FROM found) GROUP BY uid
 ), owners AS (
     SELECT uid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT uid, item FROM found) GROUP BY uid
