@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, simhash, sql
+import corpus_pipeline
+
+from . import decontaminate, language, mixing, simhash, sql, substring
+from .common import held_out
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
 
@@ -19,11 +22,30 @@ def joined_digest(items: F.Column) -> F.Column:
     return F.sha2(F.array_join(items, ","), 256)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs, name="r").select(
+        "doc_id", "r.n_sentences", "r.n_removed", "r.removed_chars", F.col("r.n_removed") > 0, F.col("r.text").alias("text")
+    ).toDF("doc_id", "n_sentences", "n_removed", "removed_chars", "changed", "text")
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = ~held_out(F.col("doc_id"), 4)
+    found = language.identify(docs, labelled=learned, name="found")
+    return found.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "found.lang_pred", "found.score")
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, temperature=0.5, total=1.0, seed=6)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_windows(docs, table(spark, sf_dir, "benchmark"), name="hits")
@@ -39,6 +61,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_substring_dedup": (op2_substring_dedup, None),
     "op3_simhash_dedup": (op3_simhash_dedup, None),
+    "op4_language_id": (op4_language_id, None),
+    "op6_mix_sources": (op6_mix_sources, sql.MIX_SOURCES),
     "op8_decontaminate": (op8_decontaminate, sql.DECONTAMINATE),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

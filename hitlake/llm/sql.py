@@ -31,3 +31,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc_words LEFT JOIN hit USING (uid) LEFT JOIN owners USING (uid)
 """
+
+MIX_SOURCES = """
+WITH sizes AS (
+    SELECT source, CASE WHEN sum(coalesce(length(text), 0)) > 0 THEN sum(coalesce(length(text), 0)) ELSE count(*) END AS size
+    FROM documents GROUP BY source
+), rates AS (
+    SELECT source, sqrt(size) / (SELECT sum(sqrt(size)) FROM sizes) * (SELECT sum(size) FROM sizes) / size AS rate FROM sizes
+), terms AS (
+    SELECT source, rate, unnest(range(CAST(ceil(rate + 12 * sqrt(rate) + 20) AS BIGINT) + 1)) AS k FROM rates
+), cdf AS (
+    SELECT source, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p FROM terms
+), draws AS (
+    SELECT doc_id, source, text, '6:' || coalesce(CAST(doc_id AS VARCHAR), '-') AS key,
+        CAST('0x' || substr(md5('6:' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 13) AS BIGINT) / pow(2, 52) AS u
+    FROM documents
+), counts AS (
+    SELECT *, (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM draws.source AND p <= u) AS n FROM draws
+), copies AS (
+    SELECT *, unnest(range(n)) AS copy FROM counts
+)
+SELECT doc_id, source, text, copy, md5(key || ':' || copy) AS shuffle_key FROM copies
+"""
