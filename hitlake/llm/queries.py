@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
+from hitlake.scratch import scratch_path
 
-from . import decontaminate, language, mixing, simhash, sql, substring
+from . import decontaminate, language, mixing, quality, simhash, sql, substring, warc
 from .common import held_out
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -60,11 +61,31 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    read = warc.read_archive(spark, path)
+    header = F.col("header")
+    return read.select(
+        warc.urn_id(warc.header_field(header, "WARC-Record-ID")).alias("page_id"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        warc.header_field(header, "WARC-Type").alias("record_type"),
+        warc.urn_id(warc.header_field(header, "WARC-Refers-To")).alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_substring_dedup": (op2_substring_dedup, None),
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op4_language_id": (op4_language_id, None),
     "op6_mix_sources": (op6_mix_sources, sql.MIX_SOURCES),
     "op8_decontaminate": (op8_decontaminate, sql.DECONTAMINATE),
+    "op9_quality_rules": (op9_quality_rules, sql.QUALITY_RULES),
+    "op10_warc": (op10_warc, sql.WARC),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

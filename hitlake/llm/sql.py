@@ -53,3 +53,49 @@ WITH sizes AS (
 )
 SELECT doc_id, source, text, copy, md5(key || ':' || copy) AS shuffle_key FROM copies
 """
+
+QUALITY_RULES = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS l
+    FROM documents
+), windows AS (
+    SELECT row, unnest(range(1, len(w) - 1)) AS place, unnest([array_to_string(w[i : i + 2], ' ') FOR i IN range(1, len(w) - 1)]) AS win
+    FROM docs WHERE len(w) >= 3
+), repeated AS (
+    SELECT row, place FROM windows QUALIFY count(*) OVER (PARTITION BY row, win) > 1
+), covered AS (
+    SELECT row, count(DISTINCT word) AS n FROM (SELECT row, unnest(range(place, place + 3)) AS word FROM repeated) GROUP BY row
+), lines AS (
+    SELECT row, source, line, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS form,
+        len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+    FROM (SELECT row, source, unnest(l) AS line FROM docs)
+), frequent AS (
+    SELECT source, form FROM lines GROUP BY source, form HAVING count(DISTINCT row) > 10
+), lost AS (
+    SELECT row, CAST(sum(words) AS BIGINT) AS words
+    FROM lines JOIN frequent ON lines.form = frequent.form AND lines.source IS NOT DISTINCT FROM frequent.source GROUP BY row
+), figures AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+        coalesce(words, 0) AS lost_words
+    FROM docs LEFT JOIN covered USING (row) LEFT JOIN lost USING (row)
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures
+)
+SELECT *, NOT base_failed AND 100 * lost_words <= 50 * n_words AS kept FROM judged
+"""
+
+WARC = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages
+), owned AS (
+    SELECT *, CASE WHEN bytes >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS owner FROM payloads
+)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+    CASE WHEN owner IS NULL OR page_id IS NOT DISTINCT FROM owner THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN owner IS NOT NULL AND page_id IS DISTINCT FROM owner THEN owner END AS refers_to
+FROM owned
+"""
