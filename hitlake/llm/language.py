@@ -140,6 +140,6 @@ def identify(
     return docs.withColumn(name, per_text(predict, "struct<lang_pred:string,score:double>", kind)(column(text)))
 
 
-def keep_known(docs: DataFrame, found: str, least: float = 0.2) -> DataFrame:
+def keep_known(docs: DataFrame, found: str, least: float = 0.1) -> DataFrame:
     """``docs`` whose language is known with a score of at least ``least``."""
     return docs.where((F.col(found)["lang_pred"] != UNKNOWN) & (F.col(found)["score"] >= least)).drop(found)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 from hitlake.scratch import scratch_path
 
-from . import decontaminate, language, mixing, quality, simhash, sql, substring, warc
+from . import decontaminate, language, lattice, mixing, quality, simhash, sql, substring, toxicity, warc
 from .common import held_out
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -42,11 +42,31 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "found.lang_pred", "found.score")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 4)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~out)
+    scored = toxicity.add_scores(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, temperature=0.5, total=1.0, seed=6)
 
 
+#: An existing vocabulary of pieces with scores, read where it lies.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 7)
+    model = lattice.learn(docs, ~out, vocabulary=vocabulary)
+    scored = lattice.score(docs, model)
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_windows(docs, table(spark, sf_dir, "benchmark"), name="hits")
@@ -83,7 +103,9 @@ QUERIES: dict[str, Query] = {
     "op2_substring_dedup": (op2_substring_dedup, None),
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op4_language_id": (op4_language_id, None),
+    "op5_toxicity": (op5_toxicity, None),
     "op6_mix_sources": (op6_mix_sources, sql.MIX_SOURCES),
+    "op7_lm_score": (op7_lm_score, None),
     "op8_decontaminate": (op8_decontaminate, sql.DECONTAMINATE),
     "op9_quality_rules": (op9_quality_rules, sql.QUALITY_RULES),
     "op10_warc": (op10_warc, sql.WARC),
