@@ -17,7 +17,7 @@ the ids of the others in their class (null where there is none).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ HALF = 32
 DISTANCE = 3
 SEED = 42
 #: Comparisons made at once, and the bucket size beyond which lookups enumerate instead of comparing.
-PAIRS_AT_ONCE = 2_000_000
+PAIRS_AT_ONCE = 500_000
 ENUMERATE_ABOVE = 200_000
 
 
@@ -118,6 +118,23 @@ def _near_by_comparison(fps, rows, partners, first) -> Iterator[tuple[np.ndarray
         yield a[near], b[near]
 
 
+def _forests(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Spanning forests of a stream of pairs, contracted whenever a million edges have gathered."""
+    held, count = [], 0
+    for a, b in pairs:
+        held.append((a, b))
+        count += len(a)
+        if count > 2 * PAIRS_AT_ONCE:
+            edges = forest(*map(np.concatenate, zip(*held)))
+            if len(edges[0]) > PAIRS_AT_ONCE:
+                yield edges
+                held, count = [], 0
+            else:
+                held, count = [edges], len(edges[0])
+    if count:
+        yield forest(*map(np.concatenate, zip(*held)))
+
+
 def link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges between fingerprints of one bucket; rows come sorted by bucket, members before lookers."""
     open_bucket, members = None, np.zeros(0, np.uint64)
@@ -139,14 +156,12 @@ def link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partners = np.where(probe, size[group], row - starts[group])
         partners[:carried] = 0
         large = size[group] > ENUMERATE_ABOVE
-        found = list(_near_by_comparison(fps, np.flatnonzero((partners > 0) & ~large), partners, starts[group]))
+        pairs = [_near_by_comparison(fps, np.flatnonzero((partners > 0) & ~large), partners, starts[group])]
         for g in np.unique(group[large & (partners > 0)]):
             inside = (group == g) & (partners > 0)
             exact = fps[starts[g] : starts[g] + size[g]]
-            found += _near_by_enumeration(exact, fps[inside], int(bucket[starts[g]]))
-        a, b = (np.concatenate(side) for side in zip(*found)) if found else (fps[:0], fps[:0])
-        if len(a):
-            child, root = forest(a, b)
+            pairs.append(_near_by_enumeration(exact, fps[inside], int(bucket[starts[g]])))
+        for child, root in _forests(chain.from_iterable(pairs)):
             yield pa.record_batch([pa.array(child.view(np.int64)), pa.array(root.view(np.int64))], ["a", "b"])
         open_bucket, last = bucket[-1], starts[-1]
         members = fps[last : last + size[-1]].copy()
