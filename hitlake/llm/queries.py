@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
+from hitlake.operators import number_rows
 from hitlake.scratch import scratch_path
 
-from . import decontaminate, language, lattice, mixing, quality, simhash, sql, substring, toxicity, warc
+from . import chat, decontaminate, language, lattice, mixing, quality, simhash, sql, substring, toxicity, warc
 from .common import held_out
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -23,6 +24,20 @@ def joined_digest(items: F.Column) -> F.Column:
     return F.sha2(F.array_join(items, ","), 256)
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation is a reply tree of one branch: each turn answers the one before."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], said.schema)
+    rows = said.unionByName(extra)
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
+    numbered = number_rows(rows, order, name="node")
+    messages = chat.link_turns(numbered, "node", "conv_id")
+    paths = chat.best_paths(messages, tree="conv_id", node="node", parent="parent")
+    parts = chat.format_paths(paths, messages, node="node", role="role", text="text")
+    return chat.read_back(parts).drop("rank").withColumnRenamed("tree", "conv_id")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs, name="r").select(
@@ -100,6 +115,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_chat_format": (op1_chat_format, sql.CHAT_FORMAT),
     "op2_substring_dedup": (op2_substring_dedup, None),
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op4_language_id": (op4_language_id, None),

@@ -99,3 +99,21 @@ SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
     CASE WHEN owner IS NOT NULL AND page_id IS DISTINCT FROM owner THEN owner END AS refers_to
 FROM owned
 """
+
+# The length of the formatted text depends on the template; each control string found costs one backslash.
+CHAT_FORMAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *, len(regexp_extract_all(role || chr(10) || text, '<\\*(?:\|(?:turn|text|end|im_start|im_end|endoftext)\|>|/?s>|</?SYS>>)|\[\\*/?INST\]')) AS n_escapes
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length(role) + length(text) + n_escapes + 23) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
