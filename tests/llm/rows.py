@@ -1,0 +1,47 @@
+"""Small tables with every awkward case, and plain versions of the operators to compare with."""
+
+from __future__ import annotations
+
+import random
+
+WORDS = "the of and ing er tion ea st re ha ou nd th on ble ly an in or es at he en ed".split()
+
+
+def prose(seed: int, sentences: int = 8) -> str:
+    draw = random.Random(seed)
+    out = []
+    for _ in range(sentences):
+        out.append(" ".join("".join(draw.choices(WORDS, k=draw.randint(1, 3))) for _ in range(draw.randint(3, 14))).capitalize() + ".")
+    return " ".join(out)
+
+
+#: (doc_id, text, lang, source): nulls everywhere, empty, blank, huge, equal and nearly equal texts, repeated rows.
+AWKWARD = [
+    (1, prose(1), "en", "a"),
+    (2, prose(1), "en", "a"),
+    (3, prose(1) + " one more.", "en", None),
+    (4, None, "en", "a"),
+    (5, "", None, "b"),
+    (6, " \n\t ", "fr", "b"),
+    (7, "x" * 30_000, None, "b"),
+    (8, prose(2, 3000), "en", "c"),
+    (9, "Ünïcödé ﬁn 日本語 🎉", "fr", "c"),
+    (None, prose(3), "en", "a"),
+    (10, prose(4), None, None),
+    (10, prose(4), None, None),
+    (11, "12 34 !!", "en", "d"),
+]
+SHAPE = "doc_id bigint, text string, lang string, source string"
+
+
+def documents(spark, rows=AWKWARD):
+    return spark.createDataFrame(rows, SHAPE)
+
+
+def clashing(df):
+    """``df`` with columns named like what operators might use inside."""
+    from pyspark.sql import functions as F
+
+    for name in ("id", "key", "row", "h", "copy_", "places", "tag", "fp", "hits", "Language", "contamination", "repeats", "a.b"):
+        df = df.withColumn(name, F.lit(f"own {name}"))
+    return df

@@ -1,0 +1,58 @@
+from rows import AWKWARD, clashing, documents, prose
+
+from hitlake.llm import substring as U
+
+
+def plain(rows):
+    """Sentences to remove by (id, text): spans that stand in a smaller id, or earlier in the text."""
+    first = {}
+    for doc_id, text, *_ in rows:
+        for _, _, digest in U.runs(U.sentences(text)) if text else ():
+            first[digest] = min(first.get(digest, U.LAST), U.LAST if doc_id is None else doc_id)
+    out = {}
+    for doc_id, text, *_ in rows:
+        gone, seen = set(), set()
+        for start, length, digest in U.runs(U.sentences(text)) if text else ():
+            if first[digest] < (U.LAST if doc_id is None else doc_id) or digest in seen:
+                gone.update(range(start, start + length))
+            seen.add(digest)
+        out[doc_id, text] = len(gone)
+    return out
+
+
+def test_sentences_cover_the_text():
+    for _, text, *_ in AWKWARD:
+        units = U.sentences(text or "")
+        assert sum(n for _, n, _ in units) == len((text or "").split())
+        assert all(n <= U.MAX_WORDS for _, n, _ in units)
+        assert [s for s, *_ in units] == sorted({s for s, *_ in units})
+
+
+def test_against_plain_version(spark):
+    passage = prose(77, 6)
+    rows = AWKWARD + [(20 + i, f"{prose(100 + i)}\n{passage}\n{prose(200 + i)}", "en", "a") for i in range(5)]
+    rows += [(30, "\n".join([passage] * 3), "en", "a")]
+    got = U.remove_repeats(clashing(documents(spark, rows)), name="r").collect()
+    assert {(r.doc_id, r.text): r.r.n_removed for r in got} == plain(rows) and len(got) == len(rows)
+    texts = {r.doc_id: r.r.text for r in got}
+    assert texts[20] == rows[len(AWKWARD)][1]
+    for i in range(1, 5):
+        assert passage not in texts[20 + i] and prose(100 + i) in texts[20 + i] and prose(200 + i) in texts[20 + i]
+    assert texts[4] is None and texts[8] == AWKWARD[7][1] and not texts[30].strip()
+
+
+def test_long_passages_inside_other_sentences(spark):
+    """Over fifty words with other words glued to both ends, without a period inside."""
+    words = prose(5, 30).replace(".", "").split()
+    passage = " ".join(w + ("," if i % 7 == 6 else "") for i, w in enumerate(words[:55]))
+    rows = [(i, f"{prose(300 + i, 2)} and then {passage} so {prose(400 + i, 2)}", "en", "a") for i in range(3)]
+    texts = {r.doc_id: r.r.text for r in U.remove_repeats(documents(spark, rows), name="r").collect()}
+    assert texts[0] == rows[0][1]
+    assert all(len(texts[i].split()) < len(rows[i][1].split()) - 30 for i in (1, 2))
+
+
+def test_deduplicate(spark):
+    kept = U.deduplicate(clashing(documents(spark)))
+    assert kept.columns == clashing(documents(spark)).columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 8, 9, 10, 10, 11]
+    assert U.deduplicate(documents(spark, [])).count() == 0
