@@ -74,9 +74,11 @@ def find_in(words: list[bytes], vocabulary: dict, owners: dict, hashes: dict) ->
         if known[-1] < length:
             continue
         starts = np.flatnonzero(known[length:] - known[:-length] == length)
-        for block in np.array_split(starts, len(starts) // 100_000 + 1):
-            found = np.isin(_hashes(ids[block[:, None] + np.arange(length)]), wanted)
-            for start in block[found]:
+        for first in range(0, len(starts), 100_000):
+            block = starts[first : first + 100_000]
+            hashes_here = _hashes(ids[block[:, None] + np.arange(length)])
+            place = np.minimum(np.searchsorted(wanted, hashes_here), len(wanted) - 1)
+            for start in block[wanted[place] == hashes_here]:
                 owning = owners.get(ids[start : start + length].tobytes())
                 if owning:
                     hit[start : start + length] = True
@@ -165,7 +167,7 @@ def _find_by_join(docs: DataFrame, items: DataFrame, text: str, n: int, name: st
             yield [len(words_of(value)) for value in texts]
 
     # Equal texts have equal windows, so each text is looked up once.
-    key, size = new_name(docs, "key"), new_name(docs, "size")
+    key, size, pair = (new_name(docs, n) for n in ("key", "size", "hits"))
     keyed = docs.withColumn(key, F.sha2(column(text), 256))
     texts = keyed.select(F.col(key).alias("key"), column(text).alias("text")).where(F.col("key").isNotNull())
     found = texts.dropDuplicates(["key"]).mapInArrow(doc_windows, "key string, start int, length int, hash binary")
@@ -191,14 +193,13 @@ def _find_by_join(docs: DataFrame, items: DataFrame, text: str, n: int, name: st
         ).otherwise(F.concat(done, F.array(r))),
     )
     hits = hits.select(F.col("key").alias(key), merged.alias("spans"), "items")
-    pair = F.struct("spans", "items").alias("hits")
-    joined = keyed.join(hits.select(key, pair), key, "left").withColumn(size, per_text(mark, "bigint", pa.int64())(column(text)))
-    n_hit = F.aggregate("hits.spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    joined = keyed.join(hits.select(key, F.struct("spans", "items").alias(pair)), key, "left").withColumn(size, per_text(mark, "bigint", pa.int64())(column(text)))
+    n_hit = F.aggregate(f"{pair}.spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
     result = F.struct(
         F.col(size).alias("n_words"),
         F.coalesce(n_hit, F.lit(0).cast("bigint")).alias("n_hit"),
-        F.coalesce("hits.spans", F.array()).alias("spans"),
-        F.coalesce("hits.items", F.array()).alias("items"),
+        F.coalesce(f"{pair}.spans", F.array()).alias("spans"),
+        F.coalesce(f"{pair}.items", F.array()).alias("items"),
     )
     return joined.select(*[column(c) for c in docs.columns], result.cast(HITS).alias(name))
 
