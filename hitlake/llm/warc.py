@@ -85,12 +85,12 @@ def record_headers(
 def write_archive(pages: DataFrame, path: str, *, page_id: str = "page_id", html: str = "html", **options) -> None:
     """Write the two tables of an archive under ``path``."""
     record_headers(pages, page_id=page_id, html=html, **options).write.parquet(f"{path}/headers")
+    # Each payload comes from the smallest id that has it: payloads move once, by id and digest, however many share one.
     rows = _payloads(pages, page_id, html)
-    # Each payload comes from the smallest id that has it; only rows of such ids are compared by content.
-    owners = rows.groupBy("digest").agg(F.min("page_id").alias("page_id"))
-    named = rows.join(owners.where("page_id IS NOT NULL"), ["page_id", "digest"], "left_semi")
-    nameless = rows.where("page_id IS NULL").join(owners.where("page_id IS NULL").select("digest"), "digest", "left_semi")
-    stored = named.unionByName(nameless).select("digest", "payload").dropDuplicates(["digest"])
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("owner")
+    owners = rows.groupBy("digest").agg(F.min("page_id").alias("page_id")).select("digest", key)
+    owned = rows.select("digest", key, "payload").join(owners, ["digest", "owner"], "left_semi")
+    stored = owned.dropDuplicates(["digest", "owner"]).drop("owner")
     stored.write.parquet(f"{path}/payloads")
 
 
