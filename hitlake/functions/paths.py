@@ -57,9 +57,17 @@ def type_at(schema: T.StructType, path: str) -> T.DataType | None:
 
 
 def text_of(column: Column, data_type: T.DataType) -> Column:
-    """A value as text: JSON for nested values, the cast for the rest."""
+    """A value as text: JSON for nested values, the cast for the rest; equal values have equal texts.
+
+    Times are shown in UTC, so two of them never share a text; zero has no sign.
+    """
     if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
         return F.to_json(column, {"ignoreNullFields": "false"})
+    if isinstance(data_type, T.TimestampType):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_add("MICROSECOND", F.unix_micros(column), epoch).cast("string")
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return (column + F.lit(0.0).cast(data_type)).cast("string")
     return column.cast("string")
 
 

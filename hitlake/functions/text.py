@@ -58,14 +58,20 @@ def fmt_epoch_ms(text: Column, style: Callable[[Column], Column] = list_time) ->
 
 def fmt_count(text: Column) -> Column:
     """An integer with thousands separators."""
-    number = text.cast("string").try_cast("bigint")
+    number = F.coalesce(text.cast("string").try_cast("bigint").cast("decimal(38,0)"), _integer(text.cast("string")))
     return _blank_as_dash(text.cast("string"), F.format_number(number, 0))
 
 
+def _integer(text: Column) -> Column:
+    """An integer of up to 38 digits."""
+    return F.when(F.trim(text).rlike(r"^[+-]?\d{1,38}$"), F.trim(text).try_cast("decimal(38,0)"))
+
+
 def fmt_bytes(size: Column) -> Column:
     """A size in B, KB, MB or GB, base 1024."""
     return (
-        F.when(size < 1024, F.concat(size.cast("string"), F.lit(" B")))
+        F.when(size.isNull(), F.lit(None))
+        .when(size < 1024, F.concat(size.cast("string"), F.lit(" B")))
         .when(size < 1024**2, F.format_string("%.1f KB", size / F.lit(1024.0)))
         .when(size < 1024**3, F.format_string("%.1f MB", size / F.lit(1024.0**2)))
         .otherwise(F.format_string("%.2f GB", size / F.lit(1024.0**3)))

@@ -1,5 +1,5 @@
 from .extract import dedupe, extract, extract_matches, report_order
-from .numbering import number_parquet, number_rows
+from .numbering import number_ordered, number_parquet, number_rows
 from .paging import (
     SortKey,
     export_order,
@@ -32,6 +32,7 @@ from .predicates import (
 )
 from .profile import (
     date_range,
+    date_ranges,
     field_counts,
     filtered_count,
     numeric_stats,
@@ -50,6 +51,7 @@ __all__ = [
     "between_half_open",
     "bool_",
     "date_range",
+    "date_ranges",
     "dedupe",
     "export_order",
     "extract",
@@ -64,6 +66,7 @@ __all__ = [
     "match_all",
     "number_pages",
     "number_parquet",
+    "number_ordered",
     "number_rows",
     "numeric_stats",
     "page",

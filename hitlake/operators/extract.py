@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.paths import object_lines, parse_field_spec, typed_text
@@ -88,6 +89,16 @@ def _unique(specs: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return specs
 
 
+def _positioned(df: DataFrame) -> DataFrame:
+    """``df`` with each row's place: file, block and place inside for a scan, else the place alone."""
+    local = F.monotonically_increasing_id().alias("row")
+    file, block = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    try:
+        return df.withColumn(POSITION, F.struct(file, block, local))
+    except AnalysisException:  # no scan, so no files
+        return df.withColumn(POSITION, F.struct(local))
+
+
 def dedupe(rows: DataFrame) -> DataFrame:
     """Each row once, at the position it was first seen."""
     if POSITION not in rows.columns:
@@ -114,13 +125,13 @@ def extract(
     source: str = DEFAULT_SOURCE,
     fields: Sequence[str] = (),
     unique: bool = True,
+    raw: bool = False,
 ) -> DataFrame:
     """The report: ``match`` and one text column per ``path`` or ``path:name`` field.
 
-    ``df`` is a scan: raw lines from :func:`hitlake.sources.read_lines`, or typed documents.
+    ``df`` is a scan: typed documents, or with ``raw`` the lines from :func:`hitlake.sources.read_lines`.
     """
-    raw = df.columns == ["value"]
-    positioned = df.withColumn(POSITION, F.monotonically_increasing_id())
+    positioned = _positioned(df)
     matches = raw_matches if raw else typed_matches
     rows = matches(positioned, pattern, source, fields, keep=[POSITION])
     # Either way the matches are shuffled before they are sorted: a sort samples its input, and

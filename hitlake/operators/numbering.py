@@ -54,12 +54,12 @@ def number_parquet(spark: SparkSession, *paths: str, name: str = "row_id") -> Da
     table = spark.read.parquet(*paths)
     columns = table.columns
     rows = table.select(
-        "*",
+        F.struct(*map(_quoted, columns)).alias("_row"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_index"),
     )
     numbered = _with_offsets(rows, parquet_files(table), len(table.inputFiles()))
-    return numbered.select((F.col("_offset") + F.col("_index")).alias(name), *map(_quoted, columns))
+    return numbered.select((F.col("_offset") + F.col("_index")).alias(name), "_row.*")
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_no") -> DataFrame:
@@ -68,15 +68,21 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_no") ->
     The sorted rows are written once; the range partitions follow all sort columns, so
     rows that share the first ones still spread over tasks.
     """
-    ranked = df.orderBy(*order).withColumn("_part", F.spark_partition_id())
+    return number_ordered(df.orderBy(*order), name)
+
+
+def number_ordered(df: DataFrame, name: str = "row_no") -> DataFrame:
+    """Rows of ``df`` numbered from 1 in the order that it has, such as that of a sort.
+
+    A row is one struct until it is numbered, so its columns may have any names.
+    """
+    ranked = df.select(F.struct(*map(_quoted, df.columns)).alias("_row"), F.spark_partition_id().alias("_part"))
     stored = materialize(ranked, "sorted")
-    rows = stored.select("*", F.col("_part").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    rows = stored.select("_row", F.col("_part").alias("_file"), F.col("_metadata.row_index").alias("_index"))
     files = stored.groupBy(F.col("_part").alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
     files = files.withColumn("_order", F.col("_file"))
     numbered = _with_offsets(rows, files, len(stored.inputFiles()))
-    return numbered.select(
-        (F.col("_offset") + F.col("_index") + 1).alias(name), *map(_quoted, df.columns)
-    )
+    return numbered.select((F.col("_offset") + F.col("_index") + 1).alias(name), "_row.*")
 
 
 def _quoted(name: str) -> Column:

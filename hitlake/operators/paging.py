@@ -7,12 +7,9 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.paths import column_at
-from ..functions.schema import TIMESTAMPS
-from ..functions.text import utc
-from ..scratch import remove_scratch
 from .numbering import file_offsets, number_rows, parquet_files
 from .predicates import all_of, field_type, typed_literal
 
@@ -20,9 +17,6 @@ DEFAULT_TIME = "@timestamp"
 DEFAULT_LIMIT = 100
 DEFAULT_PAGE_SIZE = 1000
 
-# Up to here a page is kept in memory while scanning (offset + limit rows per task).
-MAX_TOP_ROWS = 10_000
-
 
 @dataclass(frozen=True)
 class SortKey:
@@ -69,37 +63,31 @@ def sort_by(df: DataFrame, field: str, direction: str = "desc", *, unique: str)
 def page(
     df: DataFrame, keys: Sequence[SortKey], offset: int = 0, limit: int = DEFAULT_LIMIT
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in the order of ``keys``, which must be total.
+    """Rows ``offset`` to ``offset + limit`` in the order of ``keys``.
 
-    For a deep page a top-k would hold everything before it. There the sort keys alone are
-    numbered, and the rows between two of them are read.
+    Rows that the keys leave equal are ordered by all columns that have an order, so pages
+    neither repeat nor lose rows. Every task keeps ``offset + limit`` rows at most: to walk far
+    into a large result take :func:`keyset_page`, to jump there :func:`number_pages`.
     """
-    order = order_columns(keys)
-    if offset + limit <= MAX_TOP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    before, last = _keys_at(df, keys, offset, offset + limit)
-    if offset and before is None:
-        return df.limit(0)
-    rows = df if before is None else df.where(keyset_after(df, keys, before))
-    if last is not None:
-        rows = rows.where(~keyset_after(df, keys, last))
-    return rows.orderBy(*order)
-
-
-def _keys_at(df: DataFrame, keys: Sequence[SortKey], *numbers: int) -> list[list[Any] | None]:
-    """Sort values of the rows with the given numbers, from 1; None where there is no such row."""
-    columns = [
-        utc(column_at(k.field), field_type(df.schema, k.field))
-        if isinstance(field_type(df.schema, k.field), TIMESTAMPS)
-        else column_at(k.field)
-        for k in keys
+    return df.orderBy(*order_columns(keys), *_settling(df, keys)).offset(offset).limit(limit)
+
+
+def _settling(df: DataFrame, keys: Sequence[SortKey]) -> list[Column]:
+    """The columns that no key names, as far as values of their types can be compared."""
+    named = {key.field for key in keys}
+    return [
+        F.col("`" + f.name.replace("`", "``") + "`").asc_nulls_last()
+        for f in df.schema.fields
+        if f.name not in named and _has_order(f.dataType)
     ]
-    narrow = df.select(*(c.alias(f"k{i}") for i, c in enumerate(columns)))
-    order = order_columns([SortKey(f"k{i}", k.descending) for i, k in enumerate(keys)])
-    numbered = number_rows(narrow, order)
-    found = {row[0]: list(row[1:]) for row in numbered.where(F.col("row_no").isin(*numbers)).collect()}
-    remove_scratch(numbered)
-    return [found.get(n) for n in numbers]
+
+
+def _has_order(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _has_order(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return all(_has_order(f.dataType) for f in data_type.fields)
+    return not isinstance(data_type, (T.MapType, T.VariantType, T.CalendarIntervalType))
 
 
 def page_info(total: DataFrame, offset: int, limit: int = DEFAULT_LIMIT) -> DataFrame:

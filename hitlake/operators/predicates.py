@@ -73,11 +73,25 @@ def typed_literal(value: Value, data_type: T.DataType) -> Column:
         if isinstance(data_type, T.TimestampType):
             return F.lit(text + "Z").cast("timestamp")
         return F.lit(text).cast("timestamp_ntz")
+    if isinstance(value, str) and isinstance(data_type, T.IntegralType):
+        return _number(value, data_type)
     if isinstance(value, str):
         return F.lit(value).cast(data_type)
     return F.lit(value)
 
 
+def _number(text: str, data_type: T.DataType) -> Column:
+    """A number in any spelling, to be compared exactly: with the column's type where it is whole."""
+    number = Decimal(text.strip())
+    if number == number.to_integral_value():
+        whole = int(number)
+        bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(data_type), 64)
+        kind = data_type if -(1 << bits - 1) <= whole < 1 << bits - 1 else T.DecimalType(38, 0)
+        return F.lit(str(whole)).cast(kind)
+    scale = min(18, -number.as_tuple().exponent)
+    return F.lit(format(number, "f")).cast(T.DecimalType(38, scale))
+
+
 def contains_pattern(text: str) -> str:
     """Substring pattern: ``%`` and ``_`` are wildcards, a backslash is itself."""
     return "%" + text.replace("\\", "\\\\") + "%"

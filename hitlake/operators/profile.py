@@ -6,14 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ..functions.paths import column_at, text_of
-from ..functions.rows import literal_rows
+from ..functions.paths import column_at, split_path, text_of
 from ..functions.schema import short_type, walk_fields
 from ..functions.text import iso_millis, span_text, utc
 from .predicates import Filter, TimeRange, field_type, where_all
 
 TOP_VALUES = 10
-MAX_CAPPED = 100_000  # a capped count brings this many bare rows to the driver at most
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -31,13 +29,9 @@ def filtered_count(
 def total_hits(df: DataFrame, cap: int | None = None, track: bool = True) -> DataFrame:
     """Hit count with its relation: ``eq`` is exact, ``gte`` means counting stopped at ``cap``.
 
-    Without tracking the value is 0. A capped count runs at once and reads only as many
-    partitions as it takes to find one hit more than the cap.
+    Without tracking the value is 0. Whatever the cap, the plan is one lazy count with partial
+    sums: no hit leaves its task.
     """
-    if track and cap is not None and cap <= MAX_CAPPED:
-        found = len(df.select(F.lit(1)).take(cap + 1))
-        row = (min(found, cap), "gte" if found > cap else "eq")
-        return literal_rows(df.sparkSession, [row], "value bigint, relation string")
     counted = (df if track else df.limit(0)).agg(F.count(F.lit(1)).alias("n"))
     if not track or cap is None:
         return counted.select(F.col("n").alias("value"), F.lit("eq").alias("relation"))
@@ -102,6 +96,22 @@ def date_range(df: DataFrame, field: str = "@timestamp") -> DataFrame:
     return df.agg(*date_bounds(df, field)).select(*date_texts(data_type))
 
 
+def date_ranges(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """``date_range`` of several time fields, one row each, from one scan."""
+    bounds = [F.struct(*date_bounds(df, f)).alias(f"b{i}") for i, f in enumerate(fields)]
+    types = [field_type(df.schema, f) for f in fields]
+    rows = [
+        F.struct(
+            F.lit(".".join(split_path(f))).alias("field"),
+            utc(F.col(f"b{i}.oldest"), t).alias("oldest"),
+            utc(F.col(f"b{i}.newest"), t).alias("newest"),
+        )
+        for i, (f, t) in enumerate(zip(fields, types))
+    ]
+    each = df.agg(*bounds).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return each.select(*date_texts(T.TimestampNTZType()), "field")
+
+
 def profile(df: DataFrame, fields: Sequence[str] | None = None, k: int = TOP_VALUES) -> DataFrame:
     """Statistics of every leaf field in one pass: distinct values, NULLs and the top values.
 

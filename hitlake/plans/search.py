@@ -17,12 +17,13 @@ from ..sources.hits import as_hits
 from ..sources.sinks import json_text, write_json_array, write_jsonl
 
 BODY_KEYS = {"query", "sort", "size", "_source", "track_total_hits"}
-DEFAULT_SIZE = 10  # fixed value: hits of a search that names no size
 SHARD_ORDER = "_shard_doc"  # how a body names the storage order, here the unique field
 
 
 @dataclass(frozen=True)
 class SearchResult:
+    """Hits and their count, both lazy."""
+
     hits: DataFrame
     total: DataFrame
 
@@ -64,7 +65,7 @@ def _hits(df: DataFrame, body: Mapping[str, Any], keys: list[SortKey], unique: s
 
 
 def search(df: DataFrame, body: Mapping[str, Any], unique: str) -> SearchResult:
-    """The first hits of a query in order, and how many there are in all.
+    """The first ``size`` hits of a query in order, all of them without a size, and how many there are in all.
 
     ``unique`` names the field that tells documents apart and settles ties.
     """
@@ -74,7 +75,10 @@ def search(df: DataFrame, body: Mapping[str, Any], unique: str) -> SearchResult:
         keys = export_order(unique, sort_keys(body, unique))
     else:
         keys = [SortKey(unique)]
-    limited = top_page(matching, keys, 0, body.get("size", DEFAULT_SIZE))
+    if "size" in body:
+        limited = top_page(matching, keys, 0, body["size"])
+    else:
+        limited = matching.orderBy(*order_columns(keys))
     tracked = body.get("track_total_hits", True)
     cap = None if isinstance(tracked, bool) else tracked
     total = total_hits(matching, cap, track=tracked is not False)

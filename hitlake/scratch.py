@@ -7,26 +7,28 @@ lost executor costs a task retry and never a different answer.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned scratch paths", default=None)
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared scratch folder; a local temp folder only on an unconfigured local master."""
+    """The shared scratch folder; without one, a folder in the warehouse, which executors share too."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hitlake-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the scratch folder that nothing has used yet."""
-    return f"{scratch_root(spark)}/hitlake-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/hitlake-{label}-{uuid.uuid4().hex}"
+    if (owned := _owned.get()) is not None:
+        owned.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -39,11 +41,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are deleted at the end; use their results before."""
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def remove_scratch(df: DataFrame) -> None:
     """Delete the scratch tables a DataFrame reads, when it is no longer needed."""
-    spark = df.sparkSession
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
         if folder.rpartition("/")[2].startswith("hitlake-"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(configuration).delete(path, True)
+            delete_path(df.sparkSession, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -188,9 +188,10 @@ def dataset_schema(spark: SparkSession, catalog: Catalog, name: str) -> DataFram
 def describe_alias(
     spark: SparkSession, catalog: Catalog, name: str, time_field: str = "@timestamp"
 ) -> DataFrame:
-    """One row per member with its documents and times, and the range over all members.
+    """One row per member with its documents, times, bytes, files and creation, and the range over all members.
 
-    One aggregation over the union; the overall range is then taken from its few rows.
+    Documents and times are those that pass the member's filter; bytes, files and creation are the
+    whole dataset's. One aggregation over the union; the overall range is taken from its few rows.
     """
     members = catalog.members(name)
     rows = read_alias(spark, catalog, name)
@@ -198,18 +199,24 @@ def describe_alias(
     per_member = rows.groupBy(INDEX).agg(
         F.count(F.lit(1)).alias("docs"), *date_bounds(rows, time_field)
     )
-    listed = literal_rows(spark, sorted({(m.index,) for m in members}), f"{INDEX} string")
+    names = sorted({m.index for m in members})
+    listed = literal_rows(spark, [(n,) for n in names], f"{INDEX} string")
+    facts = reduce(DataFrame.unionByName, [_file_facts(spark, n, catalog.datasets[n]) for n in names])
+    facts = facts.groupBy(F.col("index").alias(INDEX)).agg(
+        F.sum("bytes").alias("bytes"), F.sum("files").alias("files"), F.min("created").alias("created")
+    )
     everyone = Window.partitionBy()
-    joined = listed.join(per_member, INDEX, "left").select(
+    joined = listed.join(per_member, INDEX, "left").join(facts, INDEX, "left").select(
         INDEX,
         F.coalesce("docs", F.lit(0)).alias("docs"),
+        F.struct("bytes", "files", "created").alias("facts"),
         "oldest",
         "newest",
         F.min("oldest").over(everyone).alias("all_oldest"),
         F.max("newest").over(everyone).alias("all_newest"),
     )
     own = joined.select(
-        INDEX, "docs", *date_texts(data_type), "all_oldest", "all_newest"
+        INDEX, "docs", "facts", *date_texts(data_type), "all_oldest", "all_newest"
     )
     overall = own.withColumnsRenamed(
         {"oldest": "member_oldest", "newest": "member_newest", "span": "member_span"}
@@ -217,6 +224,7 @@ def describe_alias(
     return overall.select(
         F.col(INDEX).alias("index"),
         "docs",
+        "facts.*",
         "member_oldest",
         "member_newest",
         "member_span",

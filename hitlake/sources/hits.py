@@ -2,70 +2,95 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.paths import CORRUPT, column_at, parse_objects, split_path
+from ..functions.paths import CORRUPT, column_at, is_json, split_path
 from .lines import read_lines
 
 # Fixed value: text taken for a time. Spark's own reading would take any number for a year.
 ISO_TIME = "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSSSSS][XXX]"
-MAX_OBJECT_BYTES = 33_554_432  # fixed value: largest JSON object that is read
-
-
-@contextmanager
-def case_sensitive(spark: SparkSession) -> Iterator[None]:
-    """Keys that differ only in case are different fields."""
-    key = "spark.sql.caseSensitive"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, previous)
 
 
 def infer_schema(spark: SparkSession, *paths: str, sample: float = 1.0) -> T.StructType:
-    """Schema of NDJSON files, ISO times as timestamps.
+    """Schema of NDJSON files, ISO times as timestamps. Keys that differ only in case are different fields.
 
     Reads all data unless told to ``sample`` a part of the lines: infer once, keep the schema.
     """
-    reader = spark.read.options(
+    own = spark.newSession()  # its settings are nobody else's
+    own.conf.set("spark.sql.caseSensitive", "true")
+    reader = own.read.options(
         inferTimestamp=True, timestampFormat=ISO_TIME, mode="DROPMALFORMED", samplingRatio=sample
     )
-    with case_sensitive(spark):
-        return reader.json(list(paths)).schema
+    return reader.json(list(paths)).schema
+
+
+def distinct_names(data_type: T.DataType) -> T.DataType:
+    """The type with fields that differ only in case told apart: the second ``a`` is ``a_2``."""
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(distinct_names(data_type.elementType), data_type.containsNull)
+    if not isinstance(data_type, T.StructType):
+        return data_type
+    taken, fields = {name.lower() for name in data_type.names}, []
+    seen: set[str] = set()
+    for f in data_type.fields:
+        name, n = f.name, 1
+        while name.lower() in seen or (n > 1 and name.lower() in taken):
+            n += 1
+            name = f"{f.name}_{n}"
+        seen.add(name.lower())
+        fields.append(T.StructField(name, distinct_names(f.dataType), f.nullable))
+    return T.StructType(fields)
+
+
+def pruned(schema: T.StructType, paths: Sequence[str]) -> T.StructType:
+    """The part of a schema that holds the given paths."""
+    return _pruned(schema, [split_path(path) for path in paths])
+
+
+def _pruned(schema: T.StructType, steps: Sequence[Sequence[str]]) -> T.StructType:
+    fields = []
+    for f in schema.fields:
+        below = [rest for first, *rest in steps if first == f.name]
+        if below:
+            nested = isinstance(f.dataType, T.StructType) and all(below)
+            fields.append(T.StructField(f.name, _pruned(f.dataType, below) if nested else f.dataType, f.nullable))
+    return T.StructType(fields)
 
 
 def read_hits(
     spark: SparkSession,
     *paths: str,
     schema: T.StructType | None = None,
-    max_object_bytes: int | None = MAX_OBJECT_BYTES,
+    columns: Sequence[str] | None = None,
+    max_object_bytes: int | None = None,
 ) -> DataFrame:
     """Typed documents of NDJSON files, one row per non-blank line.
 
-    A line that is no JSON object, or a larger one than allowed, is a row of NULLs whose text
-    is kept in ``_corrupt_record``. Without a size limit the built-in reader does the work,
-    which parses only the columns a query asks for and is lenient about text behind an object.
+    A line that is no JSON object, or a larger one than allowed, is a row of NULLs whose text is
+    kept in ``_corrupt_record``; so is the text of an object with a value that its column's type
+    can't hold, beside the values that fit. ``columns`` names the paths to parse, all by default.
+    Fields that differ only in case get names of their own (see :func:`distinct_names`).
     """
     schema = schema or infer_schema(spark, *paths)
-    if max_object_bytes is None:
-        columns = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        with case_sensitive(spark):
-            return spark.read.schema(columns).option("mode", "PERMISSIVE").json(list(paths))
+    schema = schema if columns is None else pruned(schema, columns)
     value = F.col("value")
     lines = read_lines(spark, *paths).where(F.trim(value) != "")
-    with case_sensitive(spark):
-        fits = F.when(F.octet_length(value) <= max_object_bytes, value)
-        parsed = parse_objects(lines, schema, [value], fits)
-        good = F.col("good")
-        columns = [
-            F.when(good, F.col("object").getField(f.name)).alias(f.name) for f in schema.fields
-        ]
-        return parsed.select(*columns, F.when(~good, value).alias(CORRUPT))
+    fits = value if max_object_bytes is None else F.when(F.octet_length(value) <= max_object_bytes, value)
+    corrupt = CORRUPT
+    while corrupt in schema.names:
+        corrupt += "_"
+    item = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    whole = F.coalesce(F.ltrim(fits).startswith("{") & is_json(fits), F.lit(False))
+    # The object is generated as a row: as a mere column it would be parsed wherever it is used.
+    parsed = F.from_json(fits, item, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    named = parsed.cast(distinct_names(item))
+    rows = lines.select("value", whole.alias("good"), F.explode_outer(F.array(named)).alias("object"))
+    names = [f.name for f in distinct_names(item).fields]
+    fields = [F.when(F.col("good"), F.col("object").getField(n)).alias(n) for n in names[:-1]]
+    text = F.when(F.col("good"), F.col("object").getField(names[-1])).otherwise(value)
+    return rows.select(*fields, text.alias(CORRUPT))
 
 
 def store_hits(hits: DataFrame, path: str) -> DataFrame:

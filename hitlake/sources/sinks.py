@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.text import json_safe
 from ..operators.paging import JSON_OPTIONS, SortKey, order_columns
-
-MAX_ARRAY_ROWS = 10_000
+from ..scratch import delete_path, materialize, owned_scratch
 
 
 def json_text(df: DataFrame, safe_integers: bool = False) -> Column:
@@ -37,42 +36,48 @@ def _safe(column: Column, data_type: T.DataType) -> Column:
     return column
 
 
-def write_jsonl(df: DataFrame, path: str, safe_integers: bool = False) -> None:
-    """One JSON object per line; raw lines (a lone ``value`` text column) pass unchanged."""
-    raw = df.schema.names == ["value"] and isinstance(df.schema["value"].dataType, T.StringType)
+def write_jsonl(df: DataFrame, path: str, safe_integers: bool = False, raw: bool = False) -> None:
+    """One JSON object per line; ``raw`` lines (their text column ``value``) pass unchanged."""
     (df if raw else df.select(json_text(df, safe_integers).alias("value"))).write.text(path)
 
 
-def as_json_array(df: DataFrame, keys: Sequence[SortKey], max_rows: int = MAX_ARRAY_ROWS) -> DataFrame:
-    """A small result as a single indented JSON array (column ``value``).
+def as_json_array(df: DataFrame, keys: Sequence[SortKey], max_rows: int | None = None) -> DataFrame:
+    """A result as a single indented JSON array (column ``value``).
 
-    The array is one value, so more than ``max_rows`` rows are an error: write those with
-    :func:`write_json_array`.
+    The array is one value of one row, made in one task. More than ``max_rows`` rows, if given,
+    are an error; :func:`write_json_array` writes any number from many tasks.
     """
-    first = df.orderBy(*order_columns(keys)).limit(max_rows + 1)
+    first = df.orderBy(*order_columns(keys))
+    if max_rows is not None:
+        first = first.limit(max_rows + 1)
     rank = F.monotonically_increasing_id()
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
     by_rank = lambda a, b: F.signum(a["rank"] - b["rank"]).cast("int")
     rows = F.array_sort(F.collect_list(F.struct("rank", "row")), by_rank)
     text = F.to_json(F.transform(rows, lambda r: r["row"]), {**JSON_OPTIONS, "pretty": "true"})
+    array = first.select(rank.alias("rank"), row.alias("row")).agg(text.alias("value"), F.count(F.lit(1)).alias("n"))
+    if max_rows is None:
+        return array.select("value")
     too_many = F.raise_error(F.lit(f"more than {max_rows} rows: use write_json_array"))
-    return (
-        first.select(rank.alias("rank"), row.alias("row"))
-        .agg(text.alias("value"), F.count(F.lit(1)).alias("n"))
-        .select(F.when(F.col("n") > max_rows, too_many).otherwise(F.col("value")).alias("value"))
-    )
+    return array.select(F.when(F.col("n") > max_rows, too_many).otherwise(F.col("value")).alias("value"))
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
-    """A sorted result of any size as part files that together are one JSON array."""
+    """A sorted result of any size as part files that together are one JSON array.
+
+    The brackets are lines of their own. Which row comes first, without a comma, shows once the
+    rows are written: they are computed once, to the scratch folder, and copied from there.
+    """
     spark = df.sparkSession
-    if df.isEmpty():
-        spark.range(0, 1, 1, 1).select(F.lit("[]").alias("value")).write.text(path)
-        return
-    opening = F.when(F.monotonically_increasing_id() == 0, "[").otherwise(",")
-    rows = df.select(F.concat(opening, json_text(df)).alias("value"))
-    closing = spark.range(0, 1, 1, 1).select(F.lit("]").alias("value"))
-    rows.union(closing).write.text(path)
+    with owned_scratch(spark):
+        lines = df.select(json_text(df).alias("value"), F.spark_partition_id().alias("part"))
+        stored = materialize(lines, "array-rows")
+        first = stored.agg(F.min("part")).first()[0]
+        leads = (F.col("part") == first) & (F.col("_metadata.row_index") == 0)
+        rows = stored.select(F.concat(F.when(leads, "").otherwise(","), F.col("value")).alias("value"), "part")
+        rows = rows.withColumn("at", F.col("_metadata.row_index")).orderBy("part", "at").select("value")
+        mark = lambda text: spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
+        mark("[").union(rows).union(mark("]")).write.text(path)
 
 
 def write_csv(df: DataFrame, path: str, crlf: bool = False) -> None:
@@ -111,8 +116,13 @@ def _csv_line(columns: Sequence[Column]) -> Column:
 
 
 def write_report(report: DataFrame, path: str, crlf: bool = False) -> bool:
-    """Write an extraction report as CSV; an empty one leaves no file. Returns whether it wrote."""
-    if report.isEmpty():
-        return False
+    """Write an extraction report as CSV; an empty one leaves no file. Returns whether it wrote.
+
+    The report runs once: whether it had rows is read off what was written.
+    """
+    spark = report.sparkSession
     write_csv(report, path, crlf)
-    return True
+    if spark.read.text(path).limit(2).count() > 1:  # more than the header
+        return True
+    delete_path(spark, path)
+    return False

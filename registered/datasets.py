@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from hitlake.operators import SortKey, number_pages
+from hitlake.plans import export
+from hitlake.scratch import scratch_path
 from hitlake.sources import (
     Catalog,
     Dataset,
@@ -13,6 +16,7 @@ from hitlake.sources import (
     describe_dataset,
     inventory,
     read_alias,
+    read_hits,
 )
 
 from .tables import hit_lines
@@ -67,7 +71,24 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alias_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe_alias(spark, activity(sf_dir), "activity", "ts")
+    report = describe_alias(spark, activity(sf_dir), "activity", "ts")
+    return report.withColumn("has_facts", (F.col("bytes") > 0) & F.col("created").isNotNull()).drop("bytes", "created")
+
+
+def alias_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages over an alias, whose rows name their dataset in ``_index``."""
+    rows = read_alias(spark, activity(sf_dir), "activity").select("_index", "event_id", "ts")
+    return number_pages(rows, [SortKey("ts"), SortKey("event_id"), SortKey("_index")], 300)
+
+
+def export_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An alias exported as JSON lines and read back."""
+    path = scratch_path(spark, "export-alias")
+    rows = read_alias(spark, activity(sf_dir), "activity")
+    rows = rows.withColumn("id", F.concat_ws("/", "_index", "event_id")).select("id", "_index", "event_type", "ts")
+    export(rows, {"query": {"match_all": {}}}, "id", time_field="ts").write(path)
+    schema = T.StructType.fromDDL("_id string, _source struct<_index: string, event_type: string>")
+    return read_hits(spark, path, schema=schema).select("_id", "_source.*")
 
 
 def dataset_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +112,9 @@ def json_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 _COUNTS = " UNION ALL ".join(f"SELECT '{name}' AS index, count(*) AS docs FROM {name}" for name in TABLES)
 _ISO = "'%Y-%m-%dT%H:%M:%S.%gZ'"
 
+_ACTIVITY = """(SELECT 'events' AS _index, * FROM events
+    UNION ALL SELECT 'clicks', * FROM events WHERE event_type = 'click')"""
+
 QUERIES = {
     "alias_union": (
         alias_union,
@@ -119,6 +143,7 @@ QUERIES = {
         SELECT index, count(*) AS docs, strftime(min(ts), {_ISO}) AS member_oldest,
             strftime(max(ts), {_ISO}) AS member_newest,
             CAST(date_diff('microsecond', min(ts), max(ts)) // 86400000000 AS VARCHAR) || ' days' AS member_span,
+            CAST(1 AS BIGINT) AS files, TRUE AS has_facts,
             CAST(2 AS BIGINT) AS members,
             (SELECT strftime(min(ts), {_ISO}) FROM members) AS oldest,
             (SELECT strftime(max(ts), {_ISO}) FROM members) AS newest,
@@ -134,6 +159,15 @@ QUERIES = {
             CAST(1 AS BIGINT) AS files
         FROM events""",
     ),
+    "alias_pages": (
+        alias_pages,
+        f"""SELECT row_no, (row_no - 1) // 300 + 1 AS page, _index, event_id, ts FROM (
+            SELECT *, row_number() OVER (ORDER BY ts, event_id, _index) AS row_no FROM {_ACTIVITY})""",
+    ),
+    "export_alias": (
+        export_alias,
+        f"SELECT _index || '/' || event_id AS _id, _index, event_type FROM {_ACTIVITY}",
+    ),
     "inventory": (table_inventory, f"SELECT index, docs, CAST(1 AS BIGINT) AS files FROM ({_COUNTS})"),
     "inventory_like": (
         matching_inventory,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitlake.operators import dedupe, extract, extract_matches
+from hitlake.operators import dedupe, extract, extract_matches, number_ordered
 from hitlake.scratch import scratch_path
 from hitlake.sources import read_lines
 from hitlake.streaming import extract_stream, start_extract, stream_lines
@@ -47,12 +47,23 @@ def matches_and_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_lines(spark, hit_lines(spark, sf_dir))
-    return extract(lines, USER, fields=HIT_FIELDS)
+    return extract(lines, USER, fields=HIT_FIELDS, raw=True)
 
 
 def extract_damaged_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_lines(spark, hit_lines(spark, sf_dir, damaged=True))
-    return extract(lines, USER, fields=HIT_FIELDS, unique=False)
+    return extract(lines, USER, fields=HIT_FIELDS, unique=False, raw=True)
+
+
+def extract_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every row in a report."""
+    return number_ordered(extract_emails(spark, sf_dir))
+
+
+def extract_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pattern that can match nothing, so that Python's own engine finds its matches."""
+    found = extract_matches(table(spark, sf_dir, "documents"), r"(?:idiot|clown)?", F.col("text"))
+    return found.where("match <> ''").groupBy("doc_id", "match").agg(F.count(F.lit(1)).alias("n"))
 
 
 def extract_stream_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +85,18 @@ QUERIES = {
         extract_emails,
         f"SELECT DISTINCT unnest(regexp_extract_all(text, '{EMAIL}')) AS match, lang, source FROM documents",
     ),
+    "extract_order": (
+        extract_order,
+        f"""SELECT row_number() OVER (ORDER BY lang DESC, match DESC, first) AS row_no, match, lang, source FROM (
+            SELECT match, lang, source, min(doc_id) AS first FROM (
+                SELECT unnest(regexp_extract_all(text, '{EMAIL}')) AS match, lang, source, doc_id FROM documents)
+            GROUP BY match, lang, source)""",
+    ),
+    "extract_optional": (
+        extract_optional,
+        "SELECT doc_id, match, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'idiot|clown')) AS match"
+        " FROM documents) GROUP BY doc_id, match",
+    ),
     "extract_emails_all": (
         extract_emails_all,
         f"SELECT unnest(regexp_extract_all(text, '{EMAIL}')) AS match, CAST(doc_id AS VARCHAR) AS doc_id"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hitlake.functions import get_path, is_json, select_fields, source_includes, typed_text
 from hitlake.operators import SortKey, extract, top_values
@@ -66,6 +66,23 @@ def damaged_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misfit_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read with a type that only some values fit: the others keep their line."""
+    schema = T.StructType.fromDDL("_id string, _source struct<k: tinyint, message: string>")
+    hits = read_hits(spark, hit_lines(spark, sf_dir), schema=schema)
+    return hits.select("_id", "_source.k", F.col("_corrupt_record").isNotNull().alias("kept"))
+
+
+def case_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that differ only in case, stored and read back."""
+    path = scratch_path(spark, "case-keys")
+    line = F.format_string('{"id":%d,"User":%d,"user":"%s"}', "event_id", "user_id", "event_type")
+    events(spark, sf_dir).select(line.alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("id bigint, User bigint").add("user", "string")
+    hits = read_hits(spark, path, schema=schema).drop("_corrupt_record")
+    return store_hits(hits, scratch_path(spark, "case-keys-stored")).toDF("id", "number", "name")
+
+
 def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bad lines; each line says which one of its file it is."""
     bad = bad_lines(spark, hit_lines(spark, sf_dir, damaged=True))
@@ -90,8 +107,8 @@ def raw_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines pass through unchanged."""
     first = hit_lines(spark, sf_dir)
     second = scratch_path(spark, "raw")
-    write_jsonl(read_lines(spark, first), second)
-    return read_hits(spark, second, schema=infer_schema(spark, first), max_object_bytes=None).select(*FLAT)
+    write_jsonl(read_lines(spark, first), second, raw=True)
+    return read_hits(spark, second, schema=infer_schema(spark, first)).select(*FLAT)
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +141,11 @@ _META = """SELECT DISTINCT unnest(regexp_extract_all(html, '<meta [^>]+>')) AS m
     CAST(page_id AS VARCHAR) AS page_id FROM pages"""
 
 QUERIES = {
+    "read_hits_misfit": (
+        misfit_hits,
+        f"SELECT _id, CASE WHEN k BETWEEN -128 AND 127 THEN CAST(k AS TINYINT) END AS k, k NOT BETWEEN -128 AND 127 AS kept FROM ({_ROWS})",
+    ),
+    "read_hits_case_keys": (case_hits, "SELECT event_id AS id, user_id AS number, event_type AS name FROM events"),
     "path_lookup": (
         path_lookup,
         "SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS below,"

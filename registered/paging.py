@@ -8,6 +8,7 @@ from hitlake.operators import (
     SortKey,
     keyset_after,
     keyset_page,
+    number_ordered,
     number_pages,
     number_parquet,
     page,
@@ -19,9 +20,9 @@ from hitlake.operators import (
     sort_by,
     total_hits,
 )
-from hitlake.plans import export
+from hitlake.plans import export, search
 from hitlake.scratch import scratch_path
-from hitlake.sources import infer_schema, read_hits
+from hitlake.sources import infer_schema, read_hits, write_json_array
 
 from .tables import SPARSE_EVENTS, event_documents, events, sparse_events, table
 
@@ -40,10 +41,10 @@ def page_3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_of_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last page of the ascending order, where the NULLs are."""
+    """The page that starts with the last row before the NULLs."""
     df = sparse_events(spark, sf_dir)
-    present = df.where(F.col("event_type").isNotNull()).count()
-    return page(df, [SortKey("event_type"), SortKey("event_id")], present - 50, 100).select(*COLUMNS)
+    keys = [SortKey("event_type"), SortKey("event_id")]
+    return keyset_page(df, keys, ("view", None), 100).select(*COLUMNS)
 
 
 def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +53,48 @@ def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page(table(spark, sf_dir, "orders"), keys, offset=10_000, limit=500)
 
 
+def deep_page_of_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page far into one value of a key that is not total; the other columns settle the order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return page(orders, [SortKey("o_orderstatus")], offset=10_000, limit=500)
+
+
+def sort_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every row in a sort."""
+    df = sparse_events(spark, sf_dir).select(*COLUMNS)
+    return number_ordered(sort_by(df, "event_type", "desc", unique="event_id"))
+
+
+def export_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every hit in an export."""
+    job = export(event_documents(spark, sf_dir), EXPORT_BODY, "event_id")
+    return number_ordered(job.hits().select("_id"))
+
+
+def count_capped_high(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return total_hits(table(spark, sf_dir, "lineitem"), cap=150_000)
+
+
+def count_untracked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return total_hits(events(spark, sf_dir), track=False)
+
+
+def search_no_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search that names no size gives all its hits."""
+    body = {"query": {"term": {"host.name": "node5"}}, "sort": [{"@timestamp": "desc"}]}
+    return search(event_documents(spark, sf_dir), body, "event_id").hits.select("_id", "_source.message")
+
+
+def array_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON array from partitions of which many are empty, parsed as a whole."""
+    path = scratch_path(spark, "array-filtered")
+    rows = events(spark, sf_dir).select("event_id", "user_id").repartition(12, "event_id").where("event_id % 97 = 3")
+    write_json_array(rows, path)
+    whole = spark.read.text(path, wholetext=True).orderBy(F.col("_metadata.file_path"))
+    text = whole.agg(F.array_join(F.array_sort(F.collect_list(F.struct("_metadata.file_path", "value"))).value, "")).toDF("value")
+    return text.select(F.explode(F.from_json("value", "array<struct<event_id: bigint, user_id: bigint>>")).alias("r")).select("r.*")
+
+
 def page_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_info(row_count(events(spark, sf_dir)), 300, 100)
 
@@ -123,8 +166,8 @@ def export_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export-array")
     job = export(event_documents(spark, sf_dir), EXPORT_BODY, "event_id", "2024-01-03", "2024-01-20")
     job.write(path, "json")
-    lines = spark.read.text(path).where(F.col("value") != "]")
-    hit = F.from_json(F.substr("value", F.lit(2)), "_id string, _source struct<message: string, k: bigint>")
+    lines = spark.read.text(path).where(~F.col("value").isin("[", "]"))
+    hit = F.from_json(F.regexp_replace("value", "^,", ""), "_id string, _source struct<message: string, k: bigint>")
     return lines.select(hit.alias("hit")).select("hit._id", "hit._source.*")
 
 
@@ -150,13 +193,44 @@ QUERIES = {
     ),
     "page_of_nulls": (
         page_of_nulls,
-        SPARSE_EVENTS + "SELECT event_id, ts, event_type FROM sparse ORDER BY event_type NULLS LAST, event_id"
-        " LIMIT 100 OFFSET (SELECT count(event_type) - 50 FROM sparse)",
+        SPARSE_EVENTS + "SELECT event_id, ts, event_type FROM sparse WHERE event_type > 'view' OR event_type IS NULL"
+        " ORDER BY event_type NULLS LAST, event_id LIMIT 100",
     ),
     "page_deep": (
         deep_page,
         "SELECT * FROM orders ORDER BY o_orderstatus DESC, o_orderkey LIMIT 500 OFFSET 10000",
     ),
+    "page_deep_ties": (
+        deep_page_of_ties,
+        "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderstatus, o_orderkey LIMIT 500 OFFSET 10000",
+    ),
+    "sort_order": (
+        sort_order,
+        SPARSE_EVENTS + "SELECT row_number() OVER (ORDER BY event_type DESC NULLS LAST, event_id) AS row_no,"
+        " event_id, ts, event_type FROM sparse",
+    ),
+    "export_order": (
+        export_ordered,
+        "SELECT row_number() OVER (ORDER BY ts, event_id) AS row_no, CAST(event_id AS VARCHAR) AS _id"
+        " FROM events WHERE user_id % 7 = 5",
+    ),
+    "total_hits_capped_high": (
+        count_capped_high,
+        "SELECT CAST(least(count(*), 150000) AS BIGINT) AS value,"
+        " CASE WHEN count(*) > 150000 THEN 'gte' ELSE 'eq' END AS relation FROM lineitem",
+    ),
+    "total_hits_untracked": (
+        count_untracked,
+        "SELECT count(*) AS value, 'eq' AS relation FROM events WHERE FALSE",
+    ),
+    "search_no_size": (
+        search_no_size,
+        f"SELECT CAST(event_id AS VARCHAR) AS _id, {_MESSAGE} FROM events WHERE user_id % 7 = 5",
+    ),
+    "json_array_filtered": (
+        array_filtered,
+        "SELECT event_id, user_id FROM events WHERE event_id % 97 = 3",
+    ),
     "page_info": (
         page_position,
         """SELECT n AS total, CAST(4 AS BIGINT) AS page, p AS pages, CAST(301 AS BIGINT) AS showing_from,

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hitlake.functions import describe_schema, detect_time_field, leaf_fields, span_text, time_field_options
 from hitlake.operators import (
     Filter,
     date_range,
+    date_ranges,
     field_counts,
     filtered_count,
     numeric_stats,
@@ -60,23 +59,21 @@ def text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = sparse_events(spark, sf_dir)
-    return profile(df, ["event_id", "user_id", "event_type", "props"])
+    return profile(sparse_events(spark, sf_dir))
 
 
 def profile_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All leaves of nested documents."""
-    hits = event_hits(spark, sf_dir).select("_source")
-    return profile(hits, ["_source.message", "_source.host.name", "_source.k"])
+    return profile(event_hits(spark, sf_dir).drop("sort"))
 
 
 def profile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(table(spark, sf_dir, "orders").drop("o_totalprice", "o_orderdate"))
+    return profile(table(spark, sf_dir, "orders"))
 
 
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns as described, with what their values say."""
-    orders = table(spark, sf_dir, "orders").drop("o_totalprice")
+    orders = table(spark, sf_dir, "orders")
     filled = profile(orders, k=1).select("field", "unique_count", "null_count")
     described = describe_schema(orders).join(filled, F.col("name") == F.col("field")).drop("field")
     labels = leaf_fields(orders).select("name", "display_path", "short_type")
@@ -99,11 +96,7 @@ def empty_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def offered_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The range of each time field a user can choose."""
     hits = event_hits(spark, sf_dir).withColumn("received", F.col("_source.`@timestamp`") + F.expr("interval 1 hour"))
-    ranges = [
-        date_range(hits, path).withColumn("field", F.lit(path.replace('"', "")))
-        for path in time_field_options(hits.schema)
-    ]
-    return reduce(DataFrame.union, ranges)
+    return date_ranges(hits, time_field_options(hits.schema))
 
 
 def daily_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +179,8 @@ QUERIES = {
             "sparse",
             [
                 ("event_id", "i64", "event_id"),
+                ("ts", "time", "ts"),
+                ("value", "f64", "value"),
                 ("user_id", "i64", "user_id"),
                 ("event_type", "str", "event_type"),
                 ("props", "str", "props"),
@@ -197,6 +192,9 @@ QUERIES = {
         _profile_sql(
             "events",
             [
+                ("_id", "str", "CAST(event_id AS VARCHAR)"),
+                ("_source.event_id", "i64", "event_id"),
+                ("_source.@timestamp", "time", "ts"),
                 ("_source.message", "str", f"({_MESSAGE})"),
                 ("_source.host.name", "str", f"({_HOST})"),
                 ("_source.k", "i64", "CAST(json_extract_string(props, '$.k') AS BIGINT)"),
@@ -211,6 +209,8 @@ QUERIES = {
                 ("o_orderkey", "i64", "o_orderkey"),
                 ("o_custkey", "i64", "o_custkey"),
                 ("o_orderstatus", "str", "o_orderstatus"),
+                ("o_totalprice", "f64", "o_totalprice"),
+                ("o_orderdate", "time", "o_orderdate"),
                 ("o_orderpriority", "str", "o_orderpriority"),
             ],
         ),
@@ -218,13 +218,14 @@ QUERIES = {
     "schema_report": (
         schema_report,
         """SELECT column_name AS name, column_type AS type, "null" = 'YES' AS nullable, name AS display_path,
-            CASE column_type WHEN 'BIGINT' THEN 'i64' WHEN 'TIMESTAMP' THEN 'time' ELSE 'str' END AS short_type,
+            CASE column_type WHEN 'BIGINT' THEN 'i64' WHEN 'TIMESTAMP' THEN 'time' WHEN 'DOUBLE' THEN 'f64' ELSE 'str' END AS short_type,
             unique_count, null_count
         FROM (DESCRIBE orders) JOIN (
             SELECT 'o_orderkey' AS name, count(DISTINCT o_orderkey) AS unique_count,
                 count(*) - count(o_orderkey) AS null_count FROM orders
             UNION ALL SELECT 'o_custkey', count(DISTINCT o_custkey), count(*) - count(o_custkey) FROM orders
             UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus), count(*) - count(o_orderstatus) FROM orders
+            UNION ALL SELECT 'o_totalprice', count(DISTINCT o_totalprice), count(*) - count(o_totalprice) FROM orders
             UNION ALL SELECT 'o_orderdate', count(DISTINCT o_orderdate), count(*) - count(o_orderdate) FROM orders
             UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority),
                 count(*) - count(o_orderpriority) FROM orders) ON column_name = name""",

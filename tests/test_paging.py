@@ -1,3 +1,4 @@
+import os
 import random
 from pathlib import Path
 from urllib.parse import urlparse
@@ -23,8 +24,9 @@ from hitlake.operators import (
     row_detail,
     sort_by,
 )
-from hitlake.operators import numbering, paging
-from hitlake.scratch import materialize, remove_scratch
+from hitlake.operators import numbering
+from hitlake.operators.paging import order_columns
+from hitlake.scratch import materialize, owned_scratch, remove_scratch
 
 
 def test_nulls_are_last_both_ways(spark):
@@ -52,20 +54,26 @@ def test_pages_are_a_top_k(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(page(events, [SortKey("ts"), SortKey("event_id")], 200, 100))
 
 
-@pytest.mark.parametrize("kind", ["bigint", "timestamp", "timestamp_ntz", "string"])
-def test_deep_page(spark, monkeypatch, kind):
-    """Deep pages are found by their sort values, NULLs included."""
-    n = F.expr("if(id % 50 = 0, null, id * 7919 % 500)")
-    value = F.timestamp_seconds(n * 86_400).cast(kind) if "time" in kind else n.cast(kind)
-    df = spark.range(5000).select("id", value.alias("n"), F.lit("wide").alias("rest")).repartition(6)
-    for keys in ([SortKey("n", True), SortKey("id")], [SortKey("n"), SortKey("id", True)]):
-        for offset in (4321, 4890, 4960, 5000, 7000):
-            monkeypatch.setattr(paging, "MAX_TOP_ROWS", 10_000)
-            shallow = page(df, keys, offset, 50).collect()
-            monkeypatch.setattr(paging, "MAX_TOP_ROWS", 100)
-            deep = page(df, keys, offset, 50)
-            assert "TakeOrderedAndProject" not in plan(deep)
-            assert deep.collect() == shallow
+@pytest.mark.parametrize("offset", [0, 10, 4321, 4990, 7000])
+def test_pages_of_keys_that_are_not_total(spark, offset):
+    """Rows with equal keys are neither lost nor repeated, however deep the page."""
+    df = spark.range(5000).select((F.col("id") * 7919 % 3).alias("k"), F.lit(None).cast("string").alias("n"), "id").repartition(6)
+    rows = [tuple(r) for start in range(offset, offset + 40, 20) for r in page(df, [SortKey("k")], start, 20).collect()]
+    assert rows == sorted((i * 7919 % 3, None, i) for i in range(5000))[offset : offset + 40]
+
+
+def test_numbering_leaves_names_alone(spark):
+    df = spark.range(20).select("id", *[F.lit(i).alias(n) for i, n in enumerate(("_index", "_file", "_part", "_row", "_offset", "_block"))])
+    rows = number_pages(df, [SortKey("id", True)], 6).collect()
+    assert sorted((r.row_no, r.page, r.id, r._index, r._block) for r in rows) == [(i + 1, i // 6 + 1, 19 - i, 0, 5) for i in range(20)]
+
+
+def test_scratch_tables_have_an_owner(spark):
+    with owned_scratch(spark):
+        numbered = number_pages(spark.range(9).toDF("id"), [SortKey("id")], 2)
+        folder = numbered.inputFiles()[0].rpartition("/")[0].removeprefix("file:")
+        assert numbered.count() == 9 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
 
 
 @pytest.mark.parametrize(
@@ -101,7 +109,7 @@ def test_keyset_pages_are_the_sorted_table(spark, rows, down):
     data = [(i, a, b) for i, (a, b) in enumerate(rows)]
     df = spark.createDataFrame(data, "id int, a int, b string").coalesce(1)
     keys = [SortKey("a", down[0]), SortKey("b", down[1]), SortKey("id", down[2])]
-    expected = [tuple(r) for r in df.orderBy(*paging.order_columns(keys)).collect()]
+    expected = [tuple(r) for r in df.orderBy(*order_columns(keys)).collect()]
     seen, after = [], None
     while True:
         hits = keyset_page(df, keys, after, size=4).collect()

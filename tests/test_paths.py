@@ -19,13 +19,13 @@ from hitlake.functions import paths
 from hitlake.sources import infer_schema, read_hits
 
 LOOKUPS = [
-    ({"foo": "bar"}, "foo", "bar"),
-    ({"_source": {"host": {"name": "server1"}}}, "_source.host.name", "server1"),
-    ({"foo": "bar"}, "missing", None),
-    ({"_source": {"host": {}}}, "_source.host.name", None),
-    ({"foo": "bar"}, "foo.baz", None),
-    ({"foo": None}, "foo", None),
-    ({"count": 42}, "count", "42"),
+    ({"city": "Oslo", "zip": "0150"}, "zip", "0150"),
+    ({"trip": {"from": {"city": "Oslo"}}}, "trip.from.city", "Oslo"),
+    ({"trip": {"from": {"city": "Oslo"}}}, "trip.to", None),
+    ({"trip": {"from": {}}}, "trip.from.city", None),
+    ({"city": "Oslo"}, "city.name", None),
+    ({"city": None}, "city", None),
+    ({"seats": -7}, "seats", "-7"),
     ({"n": 1.0}, "n", "1.0"),
     ({"n": 1e5}, "n", "100000.0"),
     ({"n": 12345678901234567890123}, "n", "12345678901234567890123"),

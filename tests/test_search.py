@@ -11,9 +11,9 @@ from hitlake.sources import as_hits
 
 @pytest.fixture
 def documents(spark):
-    rows = [(i, f"test document {i}", ("a" if i % 2 else "b",)) for i in range(5)]
+    rows = [(i, f"note no. {i}", ("a" if i % 2 else "b",)) for i in range(5)]
     df = spark.createDataFrame(rows, "id int, message string, host struct<name: string>")
-    moment = F.timestamp_seconds(F.col("id") + 1768824000)  # 2026-01-19T12:00:00Z
+    moment = F.timestamp_seconds(F.col("id") + 1750003200)  # 2025-06-15T16:00:00Z
     return df.withColumn("@timestamp", moment).repartition(3)
 
 
@@ -27,7 +27,7 @@ def test_search(documents):
     result = search(documents, body, "id")
     hits = result.hits.collect()
     assert [h._id for h in hits] == ["4", "2"]
-    assert hits[0]._source.asDict() == {"message": "test document 4"}
+    assert hits[0]._source.asDict() == {"message": "note no. 4"}
     assert hits[0].sort["id"] == 4
     assert tuple(result.total.first()) == (3, "eq")
     untracked = search(documents, {**body, "track_total_hits": False}, "id").total
@@ -55,12 +55,12 @@ def lines(path):
 def test_export_writes_every_hit_in_order(documents, tmp_path):
     export(documents, {"query": {"match_all": {}}, "size": 2}, "id").write(str(tmp_path / "out"))
     hits = lines(tmp_path / "out")
-    assert [h["_source"]["message"] for h in hits] == [f"test document {i}" for i in range(5)]
-    assert hits[0]["sort"] == {"@timestamp": "2026-01-19T12:00:00.000000Z", "id": 0}
+    assert [h["_source"]["message"] for h in hits] == [f"note no. {i}" for i in range(5)]
+    assert hits[0]["sort"] == {"@timestamp": "2025-06-15T16:00:00.000000Z", "id": 0}
 
 
 def test_export_of_a_time_range(documents):
-    job = export(documents, {}, "id", "2026-01-19T12:00:01Z", "2026-01-19T12:00:03Z")
+    job = export(documents, {}, "id", "2025-06-15T16:00:01Z", "2025-06-15T16:00:03Z")
     assert [h._id for h in job.hits().collect()] == ["1", "2"]
     assert [json.loads(r.value)["_id"] for r in job.lines().collect()] == ["1", "2"]
 
@@ -84,7 +84,7 @@ def test_view(documents):
     hits = as_hits(documents, "id")
     view = View(hits, "_id", filters=[Filter("_source.host.name", "eq", "b")], sort=SortKey("_id", True), limit=2)
     assert view.rows().columns == ["_source_@timestamp", "_source_message"]
-    assert [r._source_message for r in view.rows().collect()] == ["test document 4", "test document 2"]
+    assert [r._source_message for r in view.rows().collect()] == ["note no. 4", "note no. 2"]
     assert view.count().first().total == 3
     assert view.info().first().pages == 2
     assert View(hits, "_id", columns=["_id"]).rows().count() == 5

@@ -17,6 +17,7 @@ from hitlake.sources import (
     infer_schema,
     read_hits,
     read_lines,
+    store_hits,
     write_csv,
     write_json_array,
     write_jsonl,
@@ -167,7 +168,7 @@ def test_write_jsonl_keeps_microseconds(spark, tmp_path):
 
 def test_raw_lines_pass_unchanged(spark, write, tmp_path):
     lines = ['{ "b" : 1e5 }', "not json", '{"é": "\\u00e9"}']
-    write_jsonl(read_lines(spark, write(*lines)), str(tmp_path / "out"))
+    write_jsonl(read_lines(spark, write(*lines)), str(tmp_path / "out"), raw=True)
     assert sorted(parts(tmp_path / "out").decode().splitlines()) == sorted(lines)
 
 
@@ -237,7 +238,7 @@ def test_csv_reads_back(spark, tmp_path):
 
 
 def test_empty_report_leaves_no_file(spark, write, tmp_path):
-    report = extract(read_lines(spark, write('{"m":"x"}')), r"NOMATCH\d+", "m")
+    report = extract(read_lines(spark, write('{"m":"x"}')), r"NOMATCH\d+", "m", raw=True)
     assert write_report(report, str(tmp_path / "out")) is False
     assert not (tmp_path / "out").exists()
 
@@ -314,3 +315,51 @@ def test_span(spark, start, end, span):
     df = spark.createDataFrame([(start, end)], "a string, b string")
     a, b = F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz")
     assert df.select(span_text(a, b)).first()[0] == span
+
+
+def test_a_value_that_does_not_fit_keeps_its_text(spark, write):
+    lines = ['{"k":"x","a":1}', '{"k":2,"a":3}', '{"k":4,"a":5} tail', '{"k":{"deep":1},"a":6}', "[1]"]
+    for limit in (None, 1000):
+        found = read_hits(spark, write(*lines), schema=T.StructType.fromDDL("k bigint, a bigint"), max_object_bytes=limit)
+        rows = sorted(map(tuple, found.collect()), key=str)
+        assert rows == sorted([(None, 1, lines[0]), (2, 3, None), (None, None, lines[2]), (None, 6, lines[3]), (None, None, lines[4])], key=str)
+
+
+def test_keys_that_differ_in_case(spark, write, tmp_path):
+    before = spark.conf.get("spark.sql.caseSensitive")
+    hits = read_hits(spark, write('{"a":1,"A":2,"o":{"Key":3,"key":4}}')).drop("_corrupt_record")
+    assert sorted(hits.columns) in (["A", "a_2", "o"], ["A_2", "a", "o"]) and spark.conf.get("spark.sql.caseSensitive") == before
+    row = store_hits(hits, str(tmp_path / "stored")).first().asDict(True)
+    assert sorted([row.get("a", row.get("a_2")), row.get("A", row.get("A_2"))]) == [1, 2] and sorted(row["o"].values()) == [3, 4]
+
+
+def test_only_asked_columns_are_parsed(spark, write):
+    path = write('{"a":1,"b":{"c":2,"d":"x"},"e":5}')
+    hits = read_hits(spark, path, schema=T.StructType.fromDDL("a int, b struct<c: int, d: string>, e int"), columns=["b.c", "e"])
+    assert hits.columns == ["b", "e", "_corrupt_record"] and hits.first()[:2] == ((2,), 5)
+    assert hits.schema["b"].dataType.names == ["c"]
+
+
+def test_json_array_with_empty_first_partitions(spark, tmp_path):
+    df = spark.range(0, 10, 1, 4).where("id > 5")
+    write_json_array(df, str(tmp_path / "out"))
+    assert [r["id"] for r in json.loads(parts(tmp_path / "out"))] == [6, 7, 8, 9]
+    write_jsonl(spark.createDataFrame([("plain text",)], "value string"), str(tmp_path / "lines"))
+    assert json.loads(parts(tmp_path / "lines")) == {"value": "plain text"}
+
+
+def test_report_runs_once(spark, write, tmp_path):
+    counter = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    report = spark.range(100, numPartitions=3).mapInArrow(seen, "id long")
+    assert write_report(report, str(tmp_path / "out")) and counter.value == 100
+
+
+def test_sizes_and_counts(spark):
+    assert spark.range(1).select(fmt_bytes(F.lit(None).cast("bigint"))).first()[0] is None
+    assert spark.range(1).select(fmt_count(F.lit("12345678901234567890123"))).first()[0] == "12,345,678,901,234,567,890,123"
