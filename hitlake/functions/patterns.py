@@ -90,12 +90,37 @@ def finder(pattern: str) -> Finder:
     except re.error as error:
         raise ValueError(f"Invalid regex pattern: {error}") from error
     tree = _parser.parse(pattern)
-    keep = "(?(" in pattern or tree.getwidth()[0] == 0
+    keep = "(?(" in pattern or (tree.getwidth()[0] == 0 and not _takes_most(tree))
     java = None if keep else _Translation(pattern, compiled).run()
     literals = () if compiled.flags & re.I else _required(tree)
     return Finder(pattern, java, compiled.groups, literals)
 
 
+def _takes_most(items: Any) -> bool:
+    """Whether an empty match is only found where nothing longer is.
+
+    Then both engines step over empty matches alike. Lazy repeats, alternatives that may be
+    empty before another one, and repeats of something that may be empty rule it out.
+    """
+    for op, value in items:
+        name = str(op)
+        if name in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+            if value[2].getwidth()[0] == 0 or not _takes_most(value[2]):
+                return False
+        elif name == "SUBPATTERN":
+            if not _takes_most(value[3]):
+                return False
+        elif name == "ATOMIC_GROUP":
+            if not _takes_most(value):
+                return False
+        elif name == "BRANCH":
+            if any(branch.getwidth()[0] == 0 for branch in value[1][:-1]) or not all(map(_takes_most, value[1])):
+                return False
+        elif name in ("MIN_REPEAT", "ASSERT", "ASSERT_NOT", "GROUPREF", "GROUPREF_EXISTS"):
+            return False
+    return True
+
+
 def _required(items: Sequence) -> tuple[str, ...]:
     """Substrings of which every match holds at least one; the most selective such choice."""
     choices: list[tuple[str, ...]] = []

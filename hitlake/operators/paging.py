@@ -169,13 +169,15 @@ def size(df: DataFrame, keys: Sequence[SortKey], n: int) -> DataFrame:
     return page(df, keys, 0, n)
 
 
-def row_by_id(spark: SparkSession, path: str, row_id: int) -> DataFrame:
+def row_by_id(spark: SparkSession, path: str, row_id: int, files: DataFrame | None = None) -> DataFrame:
     """One row of a Parquet table by its position (see :func:`number_parquet`).
 
-    The counts in the file footers tell which file holds the row; only that one is read.
+    The rows per file tell which file holds the row; only that one is read. They are counted
+    anew each time unless given as ``files``, which for many lookups in one snapshot is
+    :func:`parquet_files` of the table, written down once.
     """
     table = spark.read.parquet(path)
-    holder = file_offsets(parquet_files(table)).where(
+    holder = file_offsets(parquet_files(table) if files is None else files).where(
         (F.col("_offset") <= row_id) & (F.col("_offset") + F.col("_rows") > row_id)
     )
     found = holder.first()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 from typing import Any
 
@@ -82,7 +83,12 @@ def typed_literal(value: Value, data_type: T.DataType) -> Column:
 
 def _number(text: str, data_type: T.DataType) -> Column:
     """A number in any spelling, to be compared exactly: with the column's type where it is whole."""
-    number = Decimal(text.strip())
+    try:
+        number = Decimal(text.strip())
+    except InvalidOperation:
+        number = Decimal("NaN")
+    if not number.is_finite():
+        return F.lit(text).cast(data_type)  # an error that names the text
     if number == number.to_integral_value():
         whole = int(number)
         bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(data_type), 64)

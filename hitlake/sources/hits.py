@@ -7,23 +7,48 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.paths import CORRUPT, column_at, is_json, split_path
+from ..functions.schema import walk_fields
 from .lines import read_lines
 
 # Fixed value: text taken for a time. Spark's own reading would take any number for a year.
+ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 ISO_TIME = "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSSSSS][XXX]"
 
 
 def infer_schema(spark: SparkSession, *paths: str, sample: float = 1.0) -> T.StructType:
-    """Schema of NDJSON files, ISO times as timestamps. Keys that differ only in case are different fields.
+    """Schema of NDJSON files, ISO times as timestamps, texts that are all ISO days as dates.
 
-    Reads all data unless told to ``sample`` a part of the lines: infer once, keep the schema.
+    Keys that differ only in case are different fields. Reads all data twice, for the fields and
+    for the days, unless told to ``sample`` a part of the lines: infer once, keep the schema.
     """
     own = spark.newSession()  # its settings are nobody else's
     own.conf.set("spark.sql.caseSensitive", "true")
     reader = own.read.options(
         inferTimestamp=True, timestampFormat=ISO_TIME, mode="DROPMALFORMED", samplingRatio=sample
     )
-    return reader.json(list(paths)).schema
+    found = reader.json(list(paths)).schema
+    texts = [f.path for f in walk_fields(found) if isinstance(f.data_type, T.StringType)]
+    if not texts:
+        return found
+    values = [column_at(path) for path in texts]
+    all_days = [F.bool_and(v.rlike(ISO_DAY) & v.try_cast("date").isNotNull()) for v in values]
+    rows = own.read.schema(found).option("mode", "DROPMALFORMED").json(list(paths))
+    if sample < 1:
+        rows = rows.sample(sample, seed=0)
+    days = rows.agg(*(d.alias(f"d{i}") for i, d in enumerate(all_days))).first()
+    return _as_dates(found, [split_path(path) for path, day in zip(texts, days) if day])
+
+
+def _as_dates(schema: T.StructType, steps: Sequence[Sequence[str]]) -> T.StructType:
+    fields = []
+    for f in schema.fields:
+        below = [rest for first, *rest in steps if first == f.name]
+        if [] in below:
+            f = T.StructField(f.name, T.DateType(), f.nullable)
+        elif below:
+            f = T.StructField(f.name, _as_dates(f.dataType, below), f.nullable)
+        fields.append(f)
+    return T.StructType(fields)
 
 
 def distinct_names(data_type: T.DataType) -> T.DataType:

@@ -61,11 +61,17 @@ def extract_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A pattern that can match nothing, so that Python's own engine finds its matches."""
+    """A greedy pattern that can match nothing."""
     found = extract_matches(table(spark, sf_dir, "documents"), r"(?:idiot|clown)?", F.col("text"))
     return found.where("match <> ''").groupBy("doc_id", "match").agg(F.count(F.lit(1)).alias("n"))
 
 
+def extract_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lazy pattern that can match nothing, so that Python's own engine finds its matches."""
+    found = extract_matches(table(spark, sf_dir, "documents"), r"(?:idiot|clown)??(?:moron)?", F.col("text"))
+    return found.where("match <> ''").groupBy("doc_id", "match").agg(F.count(F.lit(1)).alias("n"))
+
+
 def extract_stream_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = stream_lines(spark, hit_lines(spark, sf_dir))
     rows = extract_stream(lines, USER, fields=HIT_FIELDS).rows
@@ -97,6 +103,11 @@ QUERIES = {
         "SELECT doc_id, match, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'idiot|clown')) AS match"
         " FROM documents) GROUP BY doc_id, match",
     ),
+    "extract_lazy": (
+        extract_lazy,
+        "SELECT doc_id, match, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'idiot|clown|moron')) AS match"
+        " FROM documents) GROUP BY doc_id, match",
+    ),
     "extract_emails_all": (
         extract_emails_all,
         f"SELECT unnest(regexp_extract_all(text, '{EMAIL}')) AS match, CAST(doc_id AS VARCHAR) AS doc_id"

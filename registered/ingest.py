@@ -73,6 +73,15 @@ def misfit_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("_id", "_source.k", F.col("_corrupt_record").isNotNull().alias("kept"))
 
 
+def date_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days are inferred as dates and compare as such."""
+    path = scratch_path(spark, "date-hits")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    write_jsonl(rows, path)
+    hits = read_hits(spark, path)
+    return hits.where(F.col("day") >= F.lit("1995-01-01").cast(hits.schema["day"].dataType)).select("o_orderkey", "day")
+
+
 def case_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that differ only in case, stored and read back."""
     path = scratch_path(spark, "case-keys")
@@ -145,6 +154,10 @@ QUERIES = {
         misfit_hits,
         f"SELECT _id, CASE WHEN k BETWEEN -128 AND 127 THEN CAST(k AS TINYINT) END AS k, k NOT BETWEEN -128 AND 127 AS kept FROM ({_ROWS})",
     ),
+    "read_hits_dates": (
+        date_hits,
+        "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1995-01-01'",
+    ),
     "read_hits_case_keys": (case_hits, "SELECT event_id AS id, user_id AS number, event_type AS name FROM events"),
     "path_lookup": (
         path_lookup,

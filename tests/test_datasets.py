@@ -79,5 +79,6 @@ def test_describe_alias(spark, catalog):
     assert {(r.oldest, r.newest, r.span, r.members) for r in rows} == {
         ("2024-01-10T12:00:00.000Z", "2024-01-11T12:00:00.000Z", "1 day", 2)
     }
+    assert all(r.bytes > 0 and r.files > 0 and r.created is not None for r in rows)
     partly = {r["index"]: (r.docs, r.member_span) for r in describe_alias(spark, catalog, "some").collect()}
     assert partly == {"logs-0": (0, "-"), "logs-1": (1, "0 minutes"), "empty": (0, "-")}

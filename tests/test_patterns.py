@@ -216,7 +216,8 @@ def test_line_test_never_hides_a_match(spark, pattern, value, ascii_only):
 def test_engines(spark):
     """Java runs what it can; the rest is Python's."""
     assert finder(r"(\d+)-\w").java is not None
-    assert finder(r"x*").java is None
+    assert all(finder(p).java is not None for p in (r"x*", r"(?:a|b)?\d*", r"(a|b|)", r"x?y*"))
+    assert all(finder(p).java is None for p in (r"x*?", r"a*|b", r"(?:a*)*", r"(?=a)|b", r"a??b?"))
     df = spark.createDataFrame([("ab c ac",), (None,)], "text string")
     conditional = r"(a)?(?(1)b|c)"
     found = df.select(finder(conditional).all_in(F.col("text"))).collect()

@@ -162,3 +162,12 @@ def test_scan_sees_the_filters(spark, sf_dir):
         assert part in pushed
     read = next(line for line in text.splitlines() if "ReadSchema" in line)
     assert "value" not in read and "props" not in read
+
+
+@pytest.mark.parametrize(
+    "operator, value, found",
+    [("gt", "5.5", [6, 7]), ("gte", "6.0", [6, 7]), ("lt", "6.25", [5, 6]), ("eq", "5.5", []), ("eq", " 6e0 ", [6]), ("neq", "5.5", [5, 6, 7]), ("lt", "9" * 25, [5, 6, 7])],
+)
+def test_numbers_in_any_spelling(spark, operator, value, found):
+    df = spark.createDataFrame([(5,), (6,), (7,)], "n int")
+    assert values(df, filter_column(df.schema, Filter("n", operator, value))) == found

@@ -15,6 +15,7 @@ from hitlake.functions import (
     walk_fields,
 )
 from hitlake.operators import (
+    date_ranges,
     date_range,
     field_counts,
     numeric_stats,
@@ -164,3 +165,29 @@ def test_cell_text(spark):
     df = spark.createDataFrame([(None, (1,)), (5, None)], "n int, s struct<a: int>")
     cells = [cell_text(F.col(f.name), f.dataType) for f in df.schema.fields]
     assert [tuple(r) for r in df.select(*cells).collect()] == [("-", '{"a":1}'), ("5", "-")]
+
+
+def test_values_are_counted_not_texts(spark):
+    """Two instants with one wall-clock time are two values, zero and minus zero are one."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(1730610000, 0.0), (1730613600, -0.0), (None, 1.5)], "s bigint, z double")
+        df = df.select(F.timestamp_seconds("s").alias("at"), "z")
+        rows = profile(df).collect()
+        counts = {(r.field, r.unique_count, r.null_count) for r in rows}
+        assert counts == {("at", 2, 1), ("z", 2, 0)}
+        assert {(r.field, r.value, r["count"]) for r in rows} == {
+            ("at", "2024-11-03 05:00:00", 1), ("at", "2024-11-03 06:00:00", 1), ("z", "0.0", 2), ("z", "1.5", 1)
+        }
+        assert sorted(r.value for r in top_values(df, "at").collect()) == ["2024-11-03 05:00:00", "2024-11-03 06:00:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_member_facts_and_ranges_in_one_scan(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' as a, timestamp'2024-01-03 00:00:00Z' as b")
+    ranges = date_ranges(df, ["a", "b"])
+    assert [tuple(r) for r in ranges.collect()] == [
+        ("2024-01-01T00:00:00.000Z", "2024-01-01T00:00:00.000Z", "0 minutes", "a"),
+        ("2024-01-03T00:00:00.000Z", "2024-01-03T00:00:00.000Z", "0 minutes", "b"),
+    ]

@@ -4,8 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+import registered
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: run for name, (run, _) in registered.all_queries().items()}
+SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,3 +26,7 @@ def test_query(spark, sf_dir, tables, name):
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["match", "lang", "source"]
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.queries())
