@@ -112,20 +112,47 @@ def _file_facts(spark: SparkSession, name: str, dataset: Dataset) -> DataFrame:
     )
 
 
-def _doc_facts(spark: SparkSession, name: str, dataset: Dataset) -> DataFrame:
-    """One row with the document count. Parquet counts come from file footers alone: with no
-    column asked for, not even the schema is looked up."""
-    if dataset.format == "json":
-        rows = read_lines(spark, dataset.path).where(F.trim("value") != "")
-    else:
-        rows = spark.read.schema(T.StructType([])).parquet(dataset.path)
-    return rows.agg(F.count(F.lit(1)).alias("docs")).select(
-        F.lit(name).alias("index"),
-        "docs",
-        F.lit(0).cast("bigint").alias("bytes"),
-        F.lit(0).cast("bigint").alias("files"),
-        F.lit(None).cast("timestamp").alias("created"),
+def _outermost(paths: Sequence[str]) -> list[str]:
+    """Paths without those inside another one, so that no file is listed twice."""
+    distinct = sorted({path.rstrip("/") for path in paths})
+    return [p for p in distinct if not any(p.startswith(q + "/") for q in distinct)]
+
+
+def _roots(spark: SparkSession, chosen: Sequence[tuple[str, Dataset]]) -> DataFrame:
+    """(index, root): the datasets with their places as file paths spell them."""
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for name, dataset in chosen:
+        path = spark._jvm.org.apache.hadoop.fs.Path(dataset.path)
+        place = path.getFileSystem(configuration).makeQualified(path).toUri().toString()
+        rows.append((name, re.sub(r"^(\w+):/+", r"\1:/", place)))
+    return literal_rows(spark, rows, "index string, root string")
+
+
+def _under_roots(files: DataFrame, roots: DataFrame) -> DataFrame:
+    """Files (``file``) with every dataset they belong to: that of the file or of a folder around it."""
+    steps = F.split("file", "/")
+    around = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))
+    return files.select("*", F.explode(around).alias("root")).join(roots, "root").drop("root")
+
+
+def _catalog_facts(spark: SparkSession, chosen: Sequence[tuple[str, Dataset]]) -> DataFrame:
+    """Facts per file and dataset: one listing of all files, and one count of rows for each format."""
+    file = F.regexp_replace("_metadata.file_path", r"^(\w+):/+", "$1:/").alias("file")
+    listed = spark.read.format("binaryFile").load(_outermost([d.path for _, d in chosen])).select(
+        file, F.col("length").alias("bytes"), F.col("modificationTime").alias("created"), F.lit(1).cast("bigint").alias("files")
     )
+    counts = []
+    for format in sorted({d.format for _, d in chosen}):
+        paths = _outermost([d.path for _, d in chosen if d.format == format])
+        if format == "json":
+            rows = read_lines(spark, *paths).where(F.trim("value") != "")
+        else:  # with no column asked for, Parquet counts come from the footers
+            rows = spark.read.schema(T.StructType([])).parquet(*paths)
+        own = _roots(spark, [(n, d) for n, d in chosen if d.format == format])
+        counts.append(_under_roots(rows.groupBy(file).agg(F.count(F.lit(1)).alias("docs")), own))
+    facts = [_under_roots(listed, _roots(spark, chosen)), *counts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts)
 
 
 def inventory(
@@ -142,12 +169,11 @@ def inventory(
         return literal_rows(
             spark, [], "index string, docs bigint, bytes bigint, files bigint, created timestamp"
         )
-    facts = [part(spark, n, d) for n, d in chosen for part in (_file_facts, _doc_facts)]
     totals = (
-        reduce(DataFrame.unionByName, facts)
+        _catalog_facts(spark, chosen)
         .groupBy("index")
         .agg(
-            F.sum("docs").alias("docs"),
+            F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"),
             F.sum("bytes").alias("bytes"),
             F.sum("files").alias("files"),
             F.min("created").alias("created"),
