@@ -35,6 +35,8 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 PREFIXES = (3, 4, 5, 6)
 CACHED_WORDS = 300_000
 PAIRS = 2_000
+#: Sentences of four to this many words serve for counterfactuals.
+SENTENCE_WORDS = 60
 
 # Terms that name groups of people, by kind; terms of one kind are swapped for each other.
 IDENTITY_TERMS = (
@@ -162,14 +164,17 @@ def train(
     def extract(batches):
         known = shared.value
         for texts in batches:
-            yield [
-                {
-                    "rows": [known[f] for w in sorted(words_of(value)) for f in features_of(w) if f in known],
-                    "sentence": next((s for s in SENTENCE.split(value.decode() if value else "") if len(s.split()) > 3), "")[:1000],
-                    "named": [s[:1000] for s in SENTENCE.split(value.decode() if value else "") if any(w in terms for w in WORD.findall(s.lower()))][:5],
-                }
-                for value in texts
-            ]
+            out = []
+            for value in texts:
+                short = [s for s in SENTENCE.split(value.decode() if value else "") if 3 < len(s.split()) <= SENTENCE_WORDS]
+                out.append(
+                    {
+                        "rows": [known[f] for w in sorted(words_of(value)) for f in features_of(w) if f in known],
+                        "sentence": next(iter(short), ""),
+                        "named": [s for s in short if any(w in terms for w in WORD.findall(s.lower()))],
+                    }
+                )
+            yield out
 
     terms = {t for kind in kinds for t in kind}
     kind = pa.struct([("rows", pa.list_(pa.int32())), ("sentence", pa.string()), ("named", pa.list_(pa.string()))])
