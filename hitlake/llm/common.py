@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 
@@ -41,3 +41,24 @@ def per_text(function: Callable[[Iterator[list]], Iterator[list]], returns: str,
 def held_out(doc_id: Column, parts: int, part: int = 2) -> Column:
     """Whether the CRC-32 of the id as text leaves ``part`` when divided by ``parts``; false for no id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def sample_by_hash(rows: DataFrame, most: Callable[[object], int]) -> DataFrame:
+    """(id, key, rank): of every ``key`` the ``most(key)`` rows whose ids hash lowest.
+
+    ``rows`` has id and key, with few distinct keys, which are counted first (one job). Only
+    hashes below a bound that some more than the wanted rows pass are ranked, so a key of any
+    size sends a bounded number of rows to the task that ranks it. A key may lack a few of the
+    wanted rows where the hashes are unlucky.
+    """
+    counts = {r["key"]: r["count"] for r in rows.groupBy("key").count().collect()}
+    if not counts:
+        return rows.limit(0).withColumn("rank", F.lit(0))
+    wanted = {key: most(key) for key in counts}
+    bounds = {key: min(1.0, (1.5 * wanted[key] + 50) / n) for key, n in counts.items()}
+    per_key = lambda table: F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[F.col("key")]
+    drawn = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
+    low = rows.withColumn("drawn", drawn).where(F.col("drawn") <= per_key(bounds))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("drawn", "id"))
+    ranked = low.withColumn("rank", rank).where(F.col("rank") <= max(wanted.values()))
+    return ranked.where(F.col("rank") <= per_key(wanted)).drop("drawn")

@@ -22,9 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import column, per_text
+from .common import column, per_text, sample_by_hash
 
 ORDERS = 4
 BITS = 17
@@ -76,11 +76,8 @@ def training_texts(
 ) -> list[tuple[np.ndarray, str, bool]]:
     """At most ``training`` (n-grams, language, whether a landmark), in a fixed order."""
     rows = docs.where(labelled & column(lang).isNotNull() & column(doc_id).isNotNull() & column(text).isNotNull())
-    ids = rows.select(column(doc_id).alias("id"), column(lang).alias("lang")).withColumn("h", F.xxhash64("id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= per_language)
-    chosen = chosen.orderBy("rank", "lang").limit(training).collect()
-    places = {(r.id, r.lang): r.rank for r in chosen}
+    ids = sample_by_hash(rows.select(column(doc_id).alias("id"), column(lang).alias("key")), lambda _: per_language)
+    places = {(r.id, r.key): r.rank for r in ids.orderBy("rank", "key").limit(training).collect()}
     if not places:
         return []
 
@@ -111,7 +108,7 @@ def identify(
 ) -> DataFrame:
     """``docs`` with a struct ``name``: lang_pred and score (0 to 1). Learns from the rows where ``labelled`` holds.
 
-    Runs two jobs: one finds the sample's ids, one brings its n-grams to the driver.
+    Runs three jobs: two find the sample's ids, one brings its n-grams to the driver.
     """
     sample = training_texts(
         docs, labelled, doc_id=doc_id, text=text, lang=lang, per_language=per_language, landmarks=landmarks, training=training

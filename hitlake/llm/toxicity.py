@@ -26,9 +26,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import column, per_text
+from .common import column, per_text, sample_by_hash
 
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
@@ -129,10 +129,9 @@ def sample_ids(docs: DataFrame, labels: DataFrame, labelled: Column, doc_id: str
     marked = labels.select(column(doc_id).alias("id"), column(label).alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     marked = marked.groupBy("id").agg((F.max("label") > 0).cast("int").alias("label"))
     allowed = docs.where(labelled & column(doc_id).isNotNull()).select(column(doc_id).alias("id")).distinct()
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    ranked = marked.join(allowed, "id", "left_semi").withColumn("rank", rank)
-    kept = ranked.where(F.col("rank") <= F.when(F.col("label") == 1, toxic).otherwise(neutral))
-    return {r.id: r.label for r in kept.collect()}
+    known = marked.join(allowed, "id", "left_semi").select("id", F.col("label").alias("key"))
+    kept = sample_by_hash(known, lambda toxic_label: toxic if toxic_label else neutral)
+    return {r.id: r.key for r in kept.collect()}
 
 
 def train(
