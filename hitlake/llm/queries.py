@@ -41,8 +41,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs, name="r").select(
-        "doc_id", "r.n_sentences", "r.n_removed", "r.removed_chars", F.col("r.n_removed") > 0, F.col("r.text").alias("text")
-    ).toDF("doc_id", "n_sentences", "n_removed", "removed_chars", "changed", "text")
+        "doc_id", "r.n_removed", "r.removed_chars", (F.col("r.n_removed") > 0).alias("changed"), F.col("r.text").alias("text")
+    )
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ From every sentence the shortest run of at least ``MIN_SENTENCES`` sentences and
 ``MIN_WORDS`` words is hashed (96 bits of XXH3 over the lower-cased words). Hashes meet in a
 shuffle; a run that stands in a document with a smaller id, or earlier in its own, is a
 repeat, and all its sentences are removed. So of any passage of some fifty words one copy
-stays. Counting combines before the shuffle; a run that very many documents share is a skewed
+stays. The runs that stand in several places are written to the scratch folder. Counting combines before the shuffle; a run that very many documents share is a skewed
 join key with one row on the other side, which adaptive execution splits.
 
 Defined cases: null texts stay null; texts too short for a run stay as they are; rows with
@@ -15,13 +15,15 @@ one id are one document (none of them repeats another); rows without an id come
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from hitlake.scratch import materialize
+
 from .common import column, new_name
 
 MIN_SENTENCES = 3
@@ -31,94 +33,115 @@ LAST = (1 << 63) - 1
 #: In a place: the run stood earlier in the same document. Runs have at most MIN_WORDS sentences, so seven bits hold the length.
 AGAIN = 128
 
-BOUNDARY = re.compile(r"(?<=[.!?。！？])\s+|\s*\n\s*")
-WORD = re.compile(r"\S+")
-RESULT = "struct<text:string,n_sentences:bigint,n_removed:bigint,removed_chars:bigint>"
-
-
-def sentences(text: str) -> list[tuple[int, int, str]]:
-    """(start, words, normal form); a sentence ends where the next one starts."""
-    out, start, first = [], 0, 0
-    ends = [m.end() for m in BOUNDARY.finditer(text)]
-    ends.append(len(text))
-    for end in ends:
-        words = text[start:end].split()
-        if len(words) <= MAX_WORDS:
-            if words:
-                out.append((start, len(words), " ".join(words).lower()))
+ENDS = frozenset(".!?。！？")
+PAUSES = frozenset(",;:")
+RESULT = "struct<text:string,n_removed:bigint,removed_chars:bigint>"
+
+
+def sentences(text: str) -> list[list[str]]:
+    """The words of every sentence, long ones in pieces; together all words of the text."""
+    out: list[list[str]] = []
+    for line in text.split("\n"):
+        words, start = line.split(), 0
+        for end, word in enumerate(words, 1):
+            if word[-1] in ENDS:
+                _add(out, words[start:end])
                 start = end
-        else:
-            piece: list[str] = []
-            for m in WORD.finditer(text, start, end):
-                first = first if piece else m.start()
-                piece.append(m[0])
-                if len(piece) == MAX_WORDS or m[0][-1] in ",;:":
-                    out.append((first, len(piece), " ".join(piece).lower()))
-                    piece = []
-            if piece:
-                out.append((first, len(piece), " ".join(piece).lower()))
-            start = end
+        _add(out, words[start:])
     return out
 
 
-def runs(units: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, bytes]]:
-    """(first sentence, sentences, digest) of the shortest long enough run from each sentence."""
-    stop, words = 0, 0
-    forms = [form for _, _, form in units]
-    for start in range(len(units)):
-        while stop < len(units) and (stop - start < MIN_SENTENCES or words < MIN_WORDS):
-            words += units[stop][1]
+def _add(out: list[list[str]], words: list[str]) -> None:
+    if len(words) <= MAX_WORDS:
+        if words:
+            out.append(words)
+        return
+    start = 0
+    for end, word in enumerate(words, 1):
+        if end - start == MAX_WORDS or word[-1] in PAUSES:
+            out.append(words[start:end])
+            start = end
+    if start < len(words):
+        out.append(words[start:])
+
+
+def starts_of(text: str, units: list[list[str]]) -> list[int]:
+    """Where each sentence starts: the first at 0, so that they cover the text; the text's end is last."""
+    out, at = [], 0
+    for unit in units:
+        at = text.find(unit[0], at)
+        out.append(at)
+        for word in unit:
+            at = text.find(word, at) + len(word)
+    return [0, *out[1:], len(text)] if out else [len(text)]
+
+
+def runs(text: str) -> tuple[list[bytes], list[int]]:
+    """Digest and number of sentences of the shortest long enough run from each sentence, as far as there are such."""
+    units = sentences(text.lower())
+    forms, sizes = [" ".join(unit).encode() for unit in units], list(map(len, units))
+    digests, lengths = [], []
+    stop, words, last = 0, 0, len(units)
+    for start in range(last):
+        while stop < last and (stop - start < MIN_SENTENCES or words < MIN_WORDS):
+            words += sizes[stop]
             stop += 1
         if stop - start < MIN_SENTENCES or words < MIN_WORDS:
-            return
-        yield start, stop - start, xxhash.xxh3_128_digest("\0".join(forms[start:stop]).encode())
-        words -= units[start][1]
+            break
+        digests.append(xxhash.xxh3_128_digest(b"\0".join(forms[start:stop])))
+        lengths.append(stop - start)
+        words -= sizes[start]
+    return digests, lengths
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (hash, check, id, place); place packs the text's digest, the run's first sentence and its length."""
+    """Rows (h, c, id, place): 96 bits of hash, the document, and where the run stands in it.
+
+    ``place`` packs the text's tag, the run's first sentence, whether it is a repeat within the
+    text, and its length.
+    """
     for batch in batches:
-        ids, tags = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-        texts, at = batch.column(1), 0
-        while at < len(ids):
-            h, c, owner, place = [], [], [], []
-            while at < len(ids) and len(h) < 200_000:
-                text = texts[at].as_py()
-                before, own = len(h), set()
-                for start, length, digest in runs(sentences(text)) if text else ():
-                    h.append(int.from_bytes(digest[:8], "little", signed=True))
-                    c.append(int.from_bytes(digest[8:12], "little", signed=True))
-                    place.append(tags[at] + (start << 8) + (AGAIN if digest in own else 0) + length)
-                    own.add(digest)
-                owner += [ids[at]] * (len(h) - before)
-                at += 1
-            yield pa.record_batch(
-                [pa.array(h, pa.int64()), pa.array(c, pa.int32()), pa.array(owner, pa.int64()), pa.array(place, pa.int64())],
-                ["h", "c", "id", "place"],
-            )
+        ids, texts, tags = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_numpy()
+        digests, places, counts, first = [], [], [], 0
+        for at in range(len(ids)):
+            text = texts[at].as_py()
+            found, lengths = runs(text) if text else ([], [])
+            digests += found
+            counts.append(len(found))
+            place = (np.arange(len(found), dtype=np.int64) << 8) + np.array(lengths, np.int64) + tags[at]
+            if len(set(found)) < len(found):
+                own: set[bytes] = set()
+                place += [AGAIN if d in own or own.add(d) else 0 for d in found]
+            places.append(place)
+            if len(digests) > 200_000 or at == len(ids) - 1:
+                bits = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+                yield pa.record_batch(
+                    [
+                        pa.array(bits[:, 0].astype(np.int64)),
+                        pa.array(bits[:, 1].astype(np.uint32).view(np.int32)),
+                        pa.array(np.repeat(ids[first : at + 1], counts)),
+                        pa.array(np.concatenate(places)),
+                    ],
+                    ["h", "c", "id", "place"],
+                )
+                digests, places, counts, first = [], [], [], at + 1
 
 
 def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for texts, places in batches:
         out = []
         for text, found in zip(texts.to_pylist(), places.to_pylist()):
-            if text is None:
-                out.append({"text": None, "n_sentences": 0, "n_removed": 0, "removed_chars": 0})
+            if not found:
+                out.append({"text": text, "n_removed": 0, "removed_chars": 0})
                 continue
-            units = sentences(text)
-            gone = set()
-            for place in found or ():
+            gone: set[int] = set()
+            for place in found:
                 start = (place >> 8) & 0xFFFFFFFF
                 gone.update(range(start, start + (place & 127)))
-            starts = [u[0] for u in units] + [len(text)]
-            if starts:
-                starts[0] = 0
-            kept = [text[starts[i] : starts[i + 1]] for i in range(len(units)) if i not in gone] if gone else [text]
-            rest = "".join(kept)
-            out.append(
-                {"text": rest, "n_sentences": len(units), "n_removed": len(gone), "removed_chars": len(text) - len(rest)}
-            )
-        yield pa.array(out, pa.struct([("text", pa.string()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("removed_chars", pa.int64())]))
+            starts = starts_of(text, sentences(text))
+            rest = "".join(text[starts[i] : starts[i + 1]] for i in range(len(starts) - 1) if i not in gone)
+            out.append({"text": rest, "n_removed": len(gone), "removed_chars": len(text) - len(rest)})
+        yield pa.array(out, pa.struct([("text", pa.string()), ("n_removed", pa.int64()), ("removed_chars", pa.int64())]))
 
 
 _without.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
@@ -131,7 +154,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     source = docs.select(owner.alias("id"), column(text).alias("text"), tag.alias("tag"))
     rows = source.mapInArrow(_run_rows, "h bigint, c int, id bigint, place bigint")
     repeated = rows.groupBy("h", "c").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = repeated.where("n > 1").drop("n")
+    # Written out, so that both sides of the join are shuffled for it alone and a hot run can be split.
+    repeated = materialize(repeated.where("n > 1").drop("n"), "repeated-runs")
     again = rows.join(repeated, ["h", "c"]).where(f"id > first OR (place & {AGAIN}) != 0")
     found = again.groupBy("id", F.expr("place >> 40").alias("tag")).agg(F.collect_set("place").alias("places"))
     row, key, tagged, places = (new_name(docs, n) for n in ("row", "id", "tag", "places"))

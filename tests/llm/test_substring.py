@@ -4,15 +4,15 @@ from hitlake.llm import substring as U
 
 
 def plain(rows):
-    """Sentences to remove by (id, text): spans that stand in a smaller id, or earlier in the text."""
+    """Sentences to remove by (id, text): runs that stand in a smaller id, or earlier in the text."""
     first = {}
     for doc_id, text, *_ in rows:
-        for _, _, digest in U.runs(U.sentences(text)) if text else ():
+        for digest in U.runs(text)[0] if text else ():
             first[digest] = min(first.get(digest, U.LAST), U.LAST if doc_id is None else doc_id)
     out = {}
     for doc_id, text, *_ in rows:
         gone, seen = set(), set()
-        for start, length, digest in U.runs(U.sentences(text)) if text else ():
+        for start, (digest, length) in enumerate(zip(*U.runs(text))) if text else ():
             if first[digest] < (U.LAST if doc_id is None else doc_id) or digest in seen:
                 gone.update(range(start, start + length))
             seen.add(digest)
@@ -21,11 +21,13 @@ def plain(rows):
 
 
 def test_sentences_cover_the_text():
-    for _, text, *_ in AWKWARD:
-        units = U.sentences(text or "")
-        assert sum(n for _, n, _ in units) == len((text or "").split())
-        assert all(n <= U.MAX_WORDS for _, n, _ in units)
-        assert [s for s, *_ in units] == sorted({s for s, *_ in units})
+    for _, text, *_ in [*AWKWARD, (0, "  One, two. Three four!\n\n" + "five " * 30 + " six: seven; eight,  nine. ")]:
+        text = text or ""
+        units = U.sentences(text)
+        assert [w for u in units for w in u] == text.split() and all(0 < len(u) <= U.MAX_WORDS for u in units)
+        starts = U.starts_of(text, units)
+        pieces = [text[a:b] for a, b in zip(starts, starts[1:])]
+        assert "".join(pieces) == (text if units else "") and [p.split() for p in pieces] == units
 
 
 def test_against_plain_version(spark):
