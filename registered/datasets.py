@@ -12,6 +12,7 @@ from hitlake.sources import (
     Dataset,
     Member,
     aliases,
+    dataset_schema,
     describe_alias,
     describe_dataset,
     inventory,
@@ -95,6 +96,10 @@ def dataset_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_dataset(spark, catalog(sf_dir), "events", "ts").drop("bytes", "created")
 
 
+def columns_of_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset_schema(spark, catalog(sf_dir), "customer")
+
+
 def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory(spark, catalog(sf_dir)).select("index", "docs", "files")
 
@@ -168,6 +173,10 @@ QUERIES = {
         export_alias,
         f"SELECT _index || '/' || event_id AS _id, _index, event_type FROM {_ACTIVITY}",
     ),
+    "dataset_schema": (
+        columns_of_dataset,
+        "SELECT column_name AS name, column_type AS type, \"null\" = 'YES' AS nullable FROM (DESCRIBE customer)",
+    ),
     "inventory": (table_inventory, f"SELECT index, docs, CAST(1 AS BIGINT) AS files FROM ({_COUNTS})"),
     "inventory_like": (
         matching_inventory,

@@ -72,6 +72,18 @@ def extract_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("match <> ''").groupBy("doc_id", "match").agg(F.count(F.lit(1)).alias("n"))
 
 
+def extract_stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream remembers rows by the documents' own time; undated ones would come apart."""
+    lines = stream_lines(spark, hit_lines(spark, sf_dir))
+    found = extract_stream(lines, USER, fields=HIT_FIELDS, remember="90 days", event_time="_source.@timestamp")
+    results = []
+    for name, rows in (("dated", found.rows), ("undated", found.undated)):
+        output = scratch_path(spark, f"stream-{name}")
+        start_extract(rows, output, scratch_path(spark, "stream-state")).awaitTermination()
+        results.append(spark.read.schema(rows.schema).parquet(output))
+    return results[0].unionByName(results[1])
+
+
 def extract_stream_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = stream_lines(spark, hit_lines(spark, sf_dir))
     rows = extract_stream(lines, USER, fields=HIT_FIELDS).rows
@@ -137,5 +149,6 @@ QUERIES = {
         extract_damaged_hits,
         _HITS_SQL.format(distinct="", where="WHERE event_type NOT IN ('error', 'purchase')"),
     ),
+    "extract_stream_event_time": (extract_stream_event_time, _HITS_SQL.format(distinct="DISTINCT", where="")),
     "extract_stream": (extract_stream_hits, _HITS_SQL.format(distinct="DISTINCT", where="")),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hitlake.operators import (
     Filter,
@@ -68,6 +68,21 @@ def last_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.where(between_closed(df.schema, recent)).select(*COLUMNS)
 
 
+def _recent(span: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = events(spark, sf_dir)
+        return df.where(between_closed(df.schema, last("ts", span, datetime(2024, 1, 20)))).select(*COLUMNS)
+
+    return query
+
+
+def term_in_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A term is sought in an array's members."""
+    df = events(spark, sf_dir)
+    df = df.withColumn("tags", F.array("event_type", F.concat(F.lit("u"), F.col("user_id") % 5)))
+    return df.where(term(df.schema, "tags", "u3")).select(*COLUMNS)
+
+
 def search_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "customer")
     return df.where(search_all(df.schema, "r#%12_4"))
@@ -185,6 +200,18 @@ QUERIES = {
         "SELECT event_id, event_type, user_id FROM events"
         " WHERE ts >= TIMESTAMP '2024-01-30' - INTERVAL 7 DAY AND ts <= TIMESTAMP '2024-01-30'",
     ),
+    **{
+        f"last_{span}": (
+            _recent(span),
+            "SELECT event_id, event_type, user_id FROM events"
+            f" WHERE ts >= TIMESTAMP '2024-01-20' - INTERVAL {interval} AND ts <= TIMESTAMP '2024-01-20'",
+        )
+        for span, interval in (("15m", "15 MINUTE"), ("1h", "1 HOUR"), ("24h", "24 HOUR"), ("30d", "30 DAY"))
+    },
+    "query_term_array": (
+        term_in_array,
+        "SELECT event_id, event_type, user_id FROM events WHERE user_id % 5 = 3",
+    ),
     "search_all": (
         search_customers,
         """SELECT * FROM customer WHERE COALESCE(CAST(c_custkey AS VARCHAR), '') ILIKE '%r#%12_4%'
