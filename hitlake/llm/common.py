@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 
+#: Texts that are Python objects at one time in a task.
+TEXTS_AT_ONCE = 1_000
+
+
 def column(name: str) -> Column:
     """A column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -23,16 +27,29 @@ def new_name(df: DataFrame, wish: str) -> str:
 
 
 def per_text(function: Callable[[Iterator[list]], Iterator[list]], returns: str, arrow_type: pa.DataType):
-    """An Arrow UDF over one string column; ``function`` gets and gives lists of one batch each.
+    """An Arrow UDF over one string column; ``function`` gets lists of texts and gives as long a list for each.
 
     Texts arrive as UTF-8 bytes, null as None. Marked as not deterministic so that the
     optimizer never evaluates it twice for one row.
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        texts = (batch.cast(pa.binary()).to_pylist() for batch in batches)
-        for values in function(texts):
-            yield pa.array(values, type=arrow_type)
+        left: list[int] = []  # slices of the batch at hand that are still to come
+
+        def slices() -> Iterator[list]:
+            for batch in batches:
+                starts = range(0, max(1, len(batch)), TEXTS_AT_ONCE)
+                left.append(len(starts))
+                for start in starts:
+                    yield batch.slice(start, TEXTS_AT_ONCE).cast(pa.binary()).to_pylist()
+
+        parts: list[pa.Array] = []
+        for values in function(slices()):
+            parts.append(pa.array(values, type=arrow_type))
+            if len(parts) == left[0]:
+                left.clear()
+                yield pa.concat_arrays(parts)
+                parts = []
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(run, returnType=returns).asNondeterministic()
