@@ -1,12 +1,13 @@
 """Substring deduplication over sliding runs of sentences.
 
 A text is cut into sentences; a sentence of more than ``MAX_WORDS`` words is cut at its
-commas and then by length, so that a long passage holds several pieces wherever it stands.
+commas, and what is still longer after words whose hash is the lowest among their neighbours.
+So a passage is cut alike wherever it stands, but for at most ``MAX_WORDS`` words at either end.
 From every sentence the shortest run of at least ``MIN_SENTENCES`` sentences and
 ``MIN_WORDS`` words is hashed (96 bits of XXH3 over the lower-cased words). Hashes meet in a
 shuffle; a run that stands in a document with a smaller id, or earlier in its own, is a
-repeat, and all its sentences are removed. So of any passage of some fifty words one copy
-stays. The runs that stand in several places are written to the scratch folder. Counting combines before the shuffle; a run that very many documents share is a skewed
+repeat, and all its sentences are removed. So any passage of fifty words with the same line
+breaks shares a run with its copies, and one copy of the run stays. The runs that stand in several places are written to the scratch folder. Counting combines before the shuffle; a run that very many documents share is a skewed
 join key with one row on the other side, which adaptive execution splits.
 
 Defined cases: null texts stay null; texts too short for a run stay as they are; rows with
@@ -16,6 +17,7 @@ one id are one document (none of them repeats another); rows without an id come
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ from .common import column, new_name
 MIN_SENTENCES = 3
 MIN_WORDS = 20
 MAX_WORDS = 10
+#: Neighbouring words among which one of a long sentence ends a piece; at most MAX_WORDS.
+SPAN = 8
 LAST = (1 << 63) - 1
 #: In a place: the run stood earlier in the same document. Runs have at most MIN_WORDS sentences, so seven bits hold the length.
 AGAIN = 128
@@ -58,9 +62,31 @@ def _add(out: list[list[str]], words: list[str]) -> None:
         return
     start = 0
     for end, word in enumerate(words, 1):
-        if end - start == MAX_WORDS or word[-1] in PAUSES:
-            out.append(words[start:end])
+        if word[-1] in PAUSES or end == len(words):
+            _cut(out, words[start:end])
             start = end
+
+
+def _cut(out: list[list[str]], words: list[str]) -> None:
+    """Cut a long part after the word of lowest hash (the last such) in each ``SPAN`` neighbouring words.
+
+    Whether a word is one depends on fewer than ``SPAN`` words to either side, not on where the part starts.
+    """
+    if len(words) <= MAX_WORDS:
+        out.append(words)
+        return
+    hashes = [crc32(word.lower().encode()) for word in words]
+    start, lowest = 0, -1
+    for end in range(SPAN, len(words) + 1):
+        if lowest < end - SPAN:
+            span = hashes[end - SPAN : end]
+            lowest = end - 1 - span[::-1].index(min(span))
+        elif hashes[end - 1] <= hashes[lowest]:
+            lowest = end - 1
+        else:
+            continue
+        out.append(words[start : lowest + 1])
+        start = lowest + 1
     if start < len(words):
         out.append(words[start:])
 

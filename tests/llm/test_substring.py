@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from rows import AWKWARD, clashing, documents, prose
 
 from hitlake.llm import substring as U
@@ -53,6 +56,41 @@ def test_long_passages_inside_other_sentences(spark):
     assert all(len(texts[i].split()) < len(rows[i][1].split()) - 30 for i in (1, 2))
 
 
+def bare(draw, count):
+    """Words without marks, of a vocabulary small enough for repeats."""
+    return ["".join(draw.choices("aeinrst", k=draw.randint(1, 4))) for _ in range(count)]
+
+
+@pytest.mark.parametrize("marks", [[""], ["", "", "", "", ","], ["", "", "", "", "", "", ",", "."], ["", ",", "."]])
+def test_fifty_words_at_any_offset_share_a_run(marks):
+    draw = random.Random(len(marks))
+    for trial in range(300):
+        passage, sides = bare(draw, 50), [bare(draw, draw.randint(0, 40)) for _ in range(4)]
+        a, b, c, d = [[w + draw.choice(marks) for w in part] for part in sides]
+        passage = [w + draw.choice(marks) for w in passage]
+        one, other = " ".join(a + passage + b), " ".join(c + passage + d).title()
+        assert set(U.runs(one)[0]) & set(U.runs(other)[0]), trial
+
+
+def test_one_word_again_and_again():
+    units = U.sentences("five " * 60)
+    assert sum(map(len, units)) == 60 and max(map(len, units)) <= U.MAX_WORDS
+    assert max(U.runs("five " * 60)[1]) < U.AGAIN
+
+
+def test_passage_without_marks_is_removed(spark):
+    draw = random.Random(51)
+    passage = " ".join(bare(draw, 51))
+    own = lambda i: " ".join(f"{i}x{draw.random()}" for _ in range(draw.randint(1, 60)))
+    sides = [(own(i), own(i)) for i in range(40)]
+    rows = [(i, f"{before} {passage} {after}", "en", "a") for i, (before, after) in enumerate(sides)]
+    texts = {r.doc_id: r.r.text for r in U.remove_repeats(documents(spark, rows), name="r").collect()}
+    assert texts[0] == rows[0][1]
+    for i, (before, after) in enumerate(sides[1:], 1):
+        assert texts[i].startswith(before) and texts[i].endswith(after)
+        assert len(texts[i].split()) - len(f"{before} {after}".split()) <= 51 // 2
+
+
 def test_deduplicate(spark):
     kept = U.deduplicate(clashing(documents(spark)))
     assert kept.columns == clashing(documents(spark)).columns
