@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,15 +13,20 @@ from ..functions.paths import get_path
 from ..operators.extract import DEFAULT_SOURCE, raw_matches
 
 SEEN_AT = "seen_at"
+PART = "part"
 SALTS = 16
 
 
 @dataclass(frozen=True)
 class Extraction:
-    """Streaming match rows. ``undated`` holds rows whose event time is missing or unreadable."""
+    """Streaming match rows. ``undated`` holds rows whose event time is missing or unreadable.
+
+    ``dated`` holds all others with their time ``seen_at``, from which ``run_extract`` takes late ones.
+    """
 
     rows: DataFrame
     undated: DataFrame | None
+    dated: DataFrame | None = None
 
 
 def extract_stream(
@@ -36,17 +42,19 @@ def extract_stream(
     A row is remembered for ``remember``, so state stays bounded; a batch report remembers
     the whole input. Time is when the row arrives, so no row is late. With ``event_time``
     (a path) it is the document's own: rows older than the stream's progress by more than
-    ``remember`` are then late, which a stream drops, and undated rows go to ``undated``.
+    ``remember`` are then late and not in ``rows``, and undated rows go to ``undated``;
+    ``run_extract`` writes all three, so that every match is in one of them.
     """
     if event_time is None:
         timed = lines.withColumn(SEEN_AT, F.current_timestamp())
     else:
         moment = F.try_to_timestamp(get_path(F.col("value"), event_time))
         timed = lines.withColumn(SEEN_AT, moment)
-    undated = None
+    undated = dated = None
     if event_time is not None:
         undated = raw_matches(timed.where(F.col(SEEN_AT).isNull()), pattern, source, fields)
         timed = timed.where(F.col(SEEN_AT).isNotNull())
+        dated = raw_matches(timed, pattern, source, fields, keep=(SEEN_AT,))
     # Equal rows are first dropped among those one task reads: a stream has no map-side
     # step, and a row that makes up much of the input would otherwise meet in one task.
     salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
@@ -58,7 +66,7 @@ def extract_stream(
         .dropDuplicatesWithinWatermark(keys)
         .select(*(F.col(f"`{k}`") for k in keys))
     )
-    return Extraction(rows, undated)
+    return Extraction(rows, undated, dated)
 
 
 def start_extract(rows: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
@@ -73,6 +81,47 @@ def start_extract(rows: DataFrame, output: str, checkpoint: str) -> StreamingQue
     )
 
 
+def run_extract(extraction: Extraction, output: str, checkpoint: str) -> None:
+    """Process all files there are as one batch, appending to the Parquet folders row, late and undated of ``output``.
+
+    ``output`` is one Parquet table with the column ``part``. Late rows are those that Spark drops
+    in this batch, repeats among them included. They are older than the watermark of the batch
+    before, which the checkpoint's log of offsets holds; as that is fixed before a batch starts,
+    every call is one batch. A batch that an earlier call left unfinished is finished first.
+    """
+    spark = extraction.rows.sparkSession
+    if extraction.dated is None:
+        raise ValueError("late rows exist only with event_time")
+    while True:
+        begun, done = _last_batch(spark, f"{checkpoint}/offsets"), _last_batch(spark, f"{checkpoint}/commits")
+        bound = _watermark(spark, checkpoint, done)
+        late = extraction.dated.where(F.col(SEEN_AT) <= F.timestamp_millis(F.lit(bound))).drop(SEEN_AT)
+        parts = (("row", extraction.rows), ("late", late), ("undated", extraction.undated))
+        first, *others = (rows.withColumn(PART, F.lit(part)) for part, rows in parts)
+        for other in others:
+            first = first.unionByName(other)
+        writer = first.writeStream.format("parquet").option("path", output).option("checkpointLocation", checkpoint)
+        writer.partitionBy(PART).outputMode("append").trigger(once=True).start().awaitTermination()
+        if begun == done:
+            return
+
+
+def _last_batch(spark: SparkSession, log: str) -> int:
+    """The highest number of the files in a log of a checkpoint; -1 without one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(log)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
+    return max((int(name) for name in names if name.isdigit()), default=-1)
+
+
+def _watermark(spark: SparkSession, checkpoint: str, batch: int) -> int:
+    """The watermark of a batch in milliseconds: the second line of its offsets."""
+    if batch < 0:
+        return 0
+    text = spark.read.text(f"{checkpoint}/offsets/{batch}", wholetext=True).head()[0]
+    return json.loads(text.split("\n")[1])["batchWatermarkMs"]
+
+
 def stream_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines of the files in a folder, as a stream."""
     return spark.readStream.text(path)

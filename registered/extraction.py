@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hitlake.operators import dedupe, extract, extract_matches, number_ordered
 from hitlake.scratch import scratch_path
 from hitlake.sources import read_lines
-from hitlake.streaming import extract_stream, start_extract, stream_lines
+from hitlake.streaming import extract_stream, run_extract, start_extract, stream_lines
 
 from .tables import hit_lines, table
 
@@ -72,16 +72,28 @@ def extract_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("match <> ''").groupBy("doc_id", "match").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, late rows and undated rows of hits that arrive in three batches, the oldest last; errors have no time."""
+    lines = spark.read.text(hit_lines(spark, sf_dir))
+    value = F.col("value")
+    time = F.get_json_object(value, "$._source['@timestamp']")
+    undated = F.replace(value, F.lit('"@timestamp"'), F.lit('"time"'))
+    failed = F.get_json_object(value, "$._source.message").startswith("error")
+    arriving = lines.select(F.when(failed, undated).otherwise(value).alias("value"), time.alias("time"))
+    folder, output, state = (scratch_path(spark, f"stream-{name}") for name in ("lines", "parts", "state"))
+    recent, oldest = F.col("time") >= "2024-01-20", F.col("time") < "2024-01-10"
+    for batch in (recent, ~recent & ~oldest, F.coalesce(oldest, F.lit(True))):
+        arriving.where(batch).select("value").write.mode("append").text(folder)
+        found = extract_stream(
+            stream_lines(spark, folder), USER, fields=HIT_FIELDS, remember="7 days", event_time="_source.@timestamp"
+        )
+        run_extract(found, output, state)
+    return spark.read.parquet(output)
+
+
 def extract_stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream remembers rows by the documents' own time; undated ones would come apart."""
-    lines = stream_lines(spark, hit_lines(spark, sf_dir))
-    found = extract_stream(lines, USER, fields=HIT_FIELDS, remember="90 days", event_time="_source.@timestamp")
-    results = []
-    for name, rows in (("dated", found.rows), ("undated", found.undated)):
-        output = scratch_path(spark, f"stream-{name}")
-        start_extract(rows, output, scratch_path(spark, "stream-state")).awaitTermination()
-        results.append(spark.read.schema(rows.schema).parquet(output))
-    return results[0].unionByName(results[1])
+    """The stream remembers rows by the documents' own time; late and undated ones come apart and are repeats in part."""
+    return stream_parts(spark, sf_dir).drop("part").distinct()
 
 
 def extract_stream_hits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import json
 
 from hitlake.operators import report_order
-from hitlake.streaming import extract_stream, start_extract, stream_lines
+from hitlake.streaming import extract_stream, run_extract, start_extract, stream_lines
 
 
 def put(folder, name, *docs):
@@ -39,3 +39,46 @@ def test_event_time(spark, tmp_path):
     assert run(spark, tmp_path, event_time="t") == [("1", "x")]
     undated = sorted(r[0] for r in spark.read.parquet(str(tmp_path / "undated")).collect())
     assert undated == ["5", "6"]
+
+
+def test_late_rows_come_apart(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    at = lambda n, day, time="00:00:00": {"m": f"id={n}", "h": "x", "t": f"2024-01-{day:02}T{time}Z"}
+    batches = [
+        [at(1, 20), at(2, 1), {"m": "id=3", "h": "x"}],
+        [at(1, 20), at(4, 18)],
+        [at(5, 19), at(6, 19, "00:00:01"), at(7, 2), at(7, 2), at(1, 20), at(8, 25)],
+        [at(9, 18), at(10, 23), {"m": "id=11", "h": "x", "t": "?"}],
+        [at(12, 23), at(13, 24), at(14, 24, "12:00:00")],
+        [],
+        [at(15, 23)],
+    ]
+    out = str(tmp_path / "out")
+    for number, docs in enumerate(batches):
+        put(tmp_path / "in", f"f{number}", *docs)
+        extraction = extract_stream(stream_lines(spark, str(tmp_path / "in")), r"id=(\d+)", "m", ["h"], event_time="t")
+        run_extract(extraction, out, str(tmp_path / "state"))
+    found = sorted((int(r.match), r.part) for r in spark.read.parquet(out).collect())
+    late = {5, 7, 9, 12, 13, 15}
+    parts = {n: "late" if n in late else "undated" if n in (3, 11) else "row" for n in range(1, 16)}
+    assert found == sorted([*parts.items(), (7, "late")])
+
+
+def test_an_unfinished_batch_is_finished_first(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    out, state = str(tmp_path / "out"), tmp_path / "state"
+    for number, day in enumerate((20, 20, 21, 1, 2)):
+        put(tmp_path / "in", f"f{number}", {"m": f"id={number}", "h": "x", "t": f"2024-01-{day:02}T00:00:00Z"})
+        extraction = extract_stream(stream_lines(spark, str(tmp_path / "in")), r"id=(\d+)", "m", ["h"], event_time="t")
+        if number == 4:
+            for name in ("3", ".3.crc"):
+                (state / "commits" / name).unlink()
+        run_extract(extraction, out, str(state))
+    found = sorted((int(r.match), r.part) for r in spark.read.parquet(out).collect())
+    assert found == [(0, "row"), (1, "row"), (2, "row"), (3, "late"), (4, "late")]
+
+
+def test_query_has_late_and_undated_rows(spark, sf_dir):
+    from registered.extraction import stream_parts
+
+    assert {r.part for r in stream_parts(spark, sf_dir).select("part").distinct().collect()} == {"row", "late", "undated"}
