@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from hitlake.operators import number_rows
 from hitlake.scratch import scratch_path
 
-from . import chat, decontaminate, language, lattice, mixing, quality, simhash, sql, substring, toxicity, warc
+from . import bpe, chat, decontaminate, language, lattice, mixing, quality, simhash, sql, substring, toxicity, warc
 from .common import held_out
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -114,6 +115,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    found = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.token_report(table(spark, sf_dir, "documents"), bpe.load(found))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": (op1_chat_format, sql.CHAT_FORMAT),
     "op2_substring_dedup": (op2_substring_dedup, None),
@@ -125,5 +131,6 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": (op8_decontaminate, sql.DECONTAMINATE),
     "op9_quality_rules": (op9_quality_rules, sql.QUALITY_RULES),
     "op10_warc": (op10_warc, sql.WARC),
+    "op13_bpe": (op13_bpe, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
