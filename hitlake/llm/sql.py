@@ -117,3 +117,65 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(length(role) + length(text) + n_escapes + 23) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+# CRC-32 of the distinct strings s of the table ``keys`` as crcs(s, crc). It is linear: every byte, by its distance from
+# the end, contributes a value of its own, and the string's length another one.
+CRC32 = """
+byte_values AS (SELECT unnest(range(256)) AS b),
+crc_table AS (
+    SELECT b, list_reduce([b] || range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t FROM byte_values
+),
+crc_bytes AS (
+    SELECT s, n, unnest(range(n)) AS place, unnest([CAST('0x' || h[2 * i + 1 : 2 * i + 2] AS INTEGER) FOR i IN range(n)]) AS b
+    FROM (SELECT s, hex(encode(s)) AS h, octet_length(encode(s)) AS n FROM (SELECT DISTINCT s FROM keys))
+),
+crc_places(distance, b, t) AS (
+    SELECT CAST(0 AS BIGINT), b, t FROM crc_table
+    UNION ALL
+    SELECT distance + 1, p.b, xor(p.t >> 8, c.t) FROM crc_places AS p JOIN crc_table AS c ON c.b = p.t & 255
+    WHERE distance < (SELECT max(n) FROM crc_bytes)
+),
+crc_lengths(n, state) AS (
+    SELECT CAST(0 AS BIGINT), CAST(4294967295 AS BIGINT)
+    UNION ALL
+    SELECT n + 1, xor(state >> 8, t) FROM crc_lengths JOIN crc_table ON b = state & 255 WHERE n < (SELECT max(n) FROM crc_bytes)
+),
+crcs AS (
+    SELECT s, xor(bit_xor(p.t), any_value(xor(l.state, 4294967295))) AS crc
+    FROM crc_bytes AS y JOIN crc_places AS p ON p.distance = y.n - 1 - y.place AND p.b = y.b JOIN crc_lengths AS l ON l.n = y.n
+    GROUP BY s
+)"""
+
+VARIANTS = rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, unnest(regexp_extract_all({LOWER.format("text")}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), keys AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS s, run, count(*) AS times FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), {CRC32}, spelled AS (
+    SELECT CASE WHEN crc % 199 = 0 THEN run[1 : crc % length(run)] || run[crc % length(run) + 2 :] ELSE run END AS word, times
+    FROM keys JOIN crcs USING (s)
+), vocabulary AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), places AS (
+    SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary
+), changed AS (
+    SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS rest FROM places
+), near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM changed AS a JOIN changed AS b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM changed AS a JOIN vocabulary AS b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM changed AS a JOIN vocabulary AS b ON a.rest = b.word
+), nearest AS (
+    SELECT word, count(*) AS n_near, min((-other_n, other)) AS best FROM near GROUP BY word
+), formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 5 * n THEN best[2] END AS form,
+        CASE WHEN -best[1] >= 5 * n THEN -best[1] END AS form_n
+    FROM vocabulary LEFT JOIN nearest USING (word)
+), chains(word, root) AS (
+    SELECT word, word FROM formed
+    UNION ALL
+    SELECT c.word, f.form FROM chains AS c JOIN formed AS f ON c.root = f.word WHERE f.form IS NOT NULL
+), ends AS (
+    SELECT c.word, c.root FROM chains AS c JOIN formed AS f ON c.root = f.word WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
