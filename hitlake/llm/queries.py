@@ -11,7 +11,7 @@ import corpus_pipeline
 from hitlake.operators import number_rows
 from hitlake.scratch import scratch_path
 
-from . import bpe, chat, decontaminate, language, lattice, mixing, quality, simhash, sql, substring, toxicity, variants, warc
+from . import bpe, chat, decontaminate, language, lattice, mixing, quality, repair, simhash, sql, substring, toxicity, variants, warc
 from .common import held_out
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -115,6 +115,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    report = repair.repair_report(conversations.select(F.col("conv_id").alias("conv")), repair.damage(conversations))
+    return report.withColumnRenamed("conv", "conv_id")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(variants.count_words(table(spark, sf_dir, "documents"), one_in=199))
 
@@ -135,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": (op8_decontaminate, sql.DECONTAMINATE),
     "op9_quality_rules": (op9_quality_rules, sql.QUALITY_RULES),
     "op10_warc": (op10_warc, sql.WARC),
+    "op11_repair": (op11_repair, sql.REPAIR),
     "op12_spelling_variants": (op12_spelling_variants, sql.VARIANTS),
     "op13_bpe": (op13_bpe, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),

@@ -179,3 +179,71 @@ WITH RECURSIVE runs AS (
 )
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
 """
+
+REPAIR = rf"""
+WITH RECURSIVE given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s
+    FROM conversations
+), keys AS (SELECT DISTINCT s FROM given), {CRC32}, damaged AS (
+    SELECT conv_id, turn, CASE WHEN crc % 20 = 4 THEN 'user' ELSE role END AS role,
+        CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE WHEN crc % 20 = 3 THEN [0, 1] ELSE [0] END) AS time
+    FROM given JOIN crcs USING (s) WHERE crc % 20 <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), shown AS (
+    SELECT *, left(role, 1) AS initial, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS time_said FROM placed
+), rows AS (
+    SELECT conv_id, i, turn, role, text, initial, lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS following,
+        CASE WHEN last = '' THEN 'blank' WHEN time_said > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault
+    FROM shown
+), facts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY conv_id
+), said(initial, before, behind) AS (
+    VALUES ('s', '0', 's'), ('u', '0', 'u'), ('u', 's', 'u'), ('u', 'a', 'u'), ('a', 'u', 'a')
+), inserted(before, behind, cost, letters) AS (
+    VALUES ('0', '0', 0, ''), ('s', 's', 0, ''), ('u', 'u', 0, ''), ('a', 'a', 0, ''), ('0', 'u', 3, 'I'), ('s', 'u', 3, 'I'), ('a', 'u', 3, 'I'),
+        ('u', 'a', 3, 'I'), ('0', 'a', 6, 'II'), ('s', 'a', 6, 'II')
+), edits AS (
+    SELECT conv_id, i, before, behind, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cost, 'K' AS letter
+    FROM rows JOIN said USING (initial) WHERE fault IN ('sound', 'truncated')
+    UNION ALL
+    SELECT conv_id, i, before, behind, CASE WHEN fault = 'truncated' THEN 6 ELSE 3 END, 'R'
+    FROM rows, said WHERE fault IN ('sound', 'truncated') AND said.initial <> 's'
+    UNION ALL
+    SELECT conv_id, i, state, state, 4, 'D' FROM rows, (VALUES ('0'), ('s'), ('u'), ('a')) AS states(state)
+), ways(conv_id, i, state, label) AS (
+    SELECT conv_id, CAST(0 AS BIGINT), behind, (CAST(cost AS BIGINT), letters) FROM facts, inserted WHERE before = '0'
+    UNION ALL
+    SELECT w.conv_id, w.i + 1, s.behind, min((w.label[1] + e.cost + s.cost, w.label[2] || e.letter || s.letters))
+    FROM ways AS w JOIN edits AS e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i + 1 AND e.before = w.state
+        JOIN inserted AS s ON s.before = e.behind
+    GROUP BY w.conv_id, w.i, s.behind
+), verdicts AS (
+    SELECT w.conv_id, min(w.label)[1] AS cost, min(w.label)[2] AS audit
+    FROM ways AS w JOIN facts AS f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.n WHERE w.state IN ('0', 'a') GROUP BY w.conv_id
+), letters AS (
+    SELECT conv_id, unnest(range(1, length(audit) + 1)) AS j, unnest(string_split(audit, '')) AS letter FROM verdicts WHERE audit <> ''
+), read AS (
+    SELECT *, count(*) FILTER (letter <> 'I') OVER upto AS i, count(*) FILTER (letter <> 'D') OVER upto AS place
+    FROM letters WINDOW upto AS (PARTITION BY conv_id ORDER BY j)
+), turns AS (
+    SELECT read.conv_id, place, letter, rows.role, coalesce(rows.text, '') AS text,
+        bool_or(place = 1 AND letter = 'K' AND rows.initial = 's') OVER (PARTITION BY read.conv_id) AS led
+    FROM read LEFT JOIN rows ON rows.conv_id IS NOT DISTINCT FROM read.conv_id AND rows.i = read.i AND letter <> 'I'
+    WHERE letter <> 'D'
+), repaired AS (
+    SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - CASE WHEN led THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+        || ':' || text, chr(10) ORDER BY place) AS whole
+    FROM turns GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c LEFT JOIN facts AS f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN verdicts AS v ON v.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired AS r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

@@ -1,0 +1,176 @@
+"""Repairs against all edit sequences of small conversations, and against a plain pass over rows of a large one."""
+
+import hashlib
+import random
+import re
+import zlib
+from itertools import product
+
+import pytest
+
+from hitlake.llm import repair
+
+SHAPE = "conv_id bigint, turn bigint, role string, text string"
+PLAIN = re.compile("(s?(ua)+)?")
+
+
+def every_repair(codes, most_inserts):
+    """The least (cost, audit) over every sequence of edits, by the definition."""
+    best = None
+
+    def extend(at, cost, audit, said, inserts):
+        nonlocal best
+        if at == len(codes) and PLAIN.fullmatch(said):
+            best = min(best or (cost, audit), (cost, audit))
+        if inserts:
+            for role in "ua":
+                extend(at, cost + 3, audit + "I", said + role, inserts - 1)
+        if at < len(codes):
+            initial, fault = codes[at]
+            extend(at + 1, cost + 4, audit + "D", said, inserts)
+            if fault in "03":
+                extra = 3 if fault == "3" else 0
+                extend(at + 1, cost + extra, audit + "K", said + initial, inserts)
+                for role in "ua":
+                    extend(at + 1, cost + 3 + extra, audit + "R", said + role, inserts)
+
+    extend(0, 0, "", "", most_inserts)
+    return best
+
+
+@pytest.mark.parametrize("rows", range(4))
+def test_all_small_conversations(rows):
+    kinds = [initial + fault for initial in "sua-" for fault in "0123"]
+    draw = random.Random(rows)
+    cases = list(product(kinds, repeat=rows))
+    for codes in cases if len(cases) < 300 else draw.sample(cases, 250):
+        assert repair.solve("".join(codes)) == every_repair(codes, 3)
+
+
+def forward_pass(codes):
+    """The same by one pass over the rows, keeping the least label of each state."""
+    after = {("", "s"): "s", **{(state, "u"): "u" for state in ("", "s", "a")}, ("u", "a"): "a"}
+
+    def inserted(labels):
+        for _ in range(2):
+            for state, (cost, audit) in list(labels.items()):
+                for role in "ua":
+                    if (state, role) in after:
+                        label = (cost + 3, audit + "I")
+                        labels[after[state, role]] = min(labels.get(after[state, role], label), label)
+        return labels
+
+    labels = inserted({"": (0, "")})
+    for initial, fault in codes:
+        following = {}
+        for state, (cost, audit) in labels.items():
+            ways = [(state, cost + 4, "D")]
+            if fault in "03":
+                extra = 3 if fault == "3" else 0
+                ways += [(after[state, initial], cost + extra, "K")] if (state, initial) in after else []
+                ways += [(after[state, role], cost + 3 + extra, "R") for role in "ua" if (state, role) in after]
+            for behind, price, letter in ways:
+                label = (price, audit + letter)
+                following[behind] = min(following.get(behind, label), label)
+        labels = inserted(following)
+    return min(labels[state] for state in ("", "a") if state in labels)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_long_conversations_and_blocks(seed):
+    draw = random.Random(seed)
+    codes = [draw.choice("ssuuuaaa-") + draw.choice("000000123") for _ in range(draw.randint(5, 60))]
+    whole = repair.solve("".join(codes))
+    assert whole == forward_pass(codes)
+    cuts = sorted(draw.choices(range(len(codes) + 1), k=draw.randint(0, 6)))
+    parts = [codes[a:b] for a, b in zip([0, *cuts], [*cuts, len(codes)])]
+    joined = repair.joined_all(repair.table("".join(part)) for part in parts)
+    assert min(joined[0, end] for end in repair.ENDS if (0, end) in joined) == whole
+
+
+def plain_report(rows):
+    """The contract, row by row."""
+    out = {}
+    for conv in {row[0] for row in rows}:
+        kept = []
+        for _, turn, role, text in [row for row in rows if row[0] == conv]:
+            role, text = " " if role is None else role, " " if text is None else text
+            key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+            h = zlib.crc32(key.encode()) % 20
+            if h == 0:
+                continue
+            text = "" if h == 1 else re.sub("[.!?]", "", text) if h == 2 else text
+            kept += [(turn, "user" if h == 4 else role, text)] * (2 if h == 3 else 1)
+        kept.sort(key=lambda row: (row[0] is not None, row[0] or 0, row[1], row[2]))
+        codes, seen = [], set()
+        for _, role, text in kept:
+            shown = text.rstrip(" \t\n\x0b\x0c\r")
+            fault = "1" if not shown else "2" if (role, text) in seen else "3" if shown[-1] not in ".!?" else "0"
+            seen.add((role, text))
+            codes.append((role[:1] if role[:1] in ("s", "u", "a") and role else "-") + fault)
+        turns = [turn for turn, *_ in kept if turn is not None]
+        cost, audit = forward_pass(codes) if len(codes) > 4 else every_repair(codes, 5)
+        said, at, state = [], 0, ""
+        for letter in audit:
+            role, text = ("assistant" if state == "u" else "user", "")
+            if letter != "I":
+                _, own, text = kept[at]
+                role = own if letter == "K" else role
+                at += 1
+            if letter != "D":
+                said.append(f"{role}:{text}")
+                state = role[0]
+        initials = [code[0] for code in codes]
+        out[conv] = (
+            max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+            *(sum(code[1] == fault for code in codes) for fault in "123"),
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+            cost,
+            audit,
+            hashlib.sha256("\n".join(said).encode()).hexdigest(),
+        )
+    return out
+
+
+def report(spark, rows):
+    from pyspark.sql import functions as F
+
+    table = spark.createDataFrame(rows, SHAPE)
+    for name in ("conv", "row", "place", "edit", "code", "of", "drawn", "a.b"):
+        table = table.withColumn(name, F.lit("own"))
+    found = repair.repair_report(table.select(F.col("conv_id").alias("conv")), repair.damage(table))
+    assert found.columns == ["conv", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    return {row[0]: tuple(row)[1:] for row in found.collect()}
+
+
+def drawn_rows(seed):
+    draw = random.Random(seed)
+    roles = ["user", "assistant", "system", "tool", "", None, "user", "assistant", "User", "usher"]
+    texts = ["Yes.", "No", "What?", "", " \t", None, "\u00a0", "Long text. \n", "x" * 20_000 + "!", "Equal.", "Equal."]
+    rows = []
+    for conv in [None, *range(150)]:
+        rows += [(conv, draw.choice([None, *range(6)]) if conv and conv % 5 == 0 else turn, draw.choice(roles), draw.choice(texts)) for turn in range(draw.randint(1, 7))]
+    return rows
+
+
+def test_report_equals_plain(spark):
+    rows = drawn_rows(2)
+    rows += rows[:40]  # repeated rows
+    assert report(spark, rows) == plain_report(rows)
+
+
+def test_conversations_over_many_blocks(spark, monkeypatch):
+    rows = drawn_rows(3)
+    draw = random.Random(4)
+    rows += [(1000, turn, draw.choice(["user", "assistant", "tool"]), draw.choice(["So.", "So", "Why?", f"{turn}."])) for turn in range(900)]
+    monkeypatch.setattr(repair, "BLOCK", 16)
+    assert report(spark, rows) == plain_report(rows)
+
+
+def test_empty(spark):
+    assert report(spark, []) == {}
+
+
+def test_dropped_conversation(spark):
+    lost = next(conv for conv in range(1000) if zlib.crc32(f"{conv}:0".encode()) % 20 == 0)
+    assert report(spark, [(lost, 0, "user", "Hi.")]) == {lost: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
