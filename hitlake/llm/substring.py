@@ -5,17 +5,24 @@ commas, and what is still longer after words whose hash is the lowest among thei
 So a passage is cut alike wherever it stands, but for at most ``MAX_WORDS`` words at either end.
 From every sentence the shortest run of at least ``MIN_SENTENCES`` sentences and
 ``MIN_WORDS`` words is hashed (96 bits of XXH3 over the lower-cased words). Hashes meet in a
-shuffle; a run that stands in a document with a smaller id, or earlier in its own, is a
+shuffle; a run that stands in a document before, or earlier in its own, is a
 repeat, and all its sentences are removed. So any passage of fifty words with the same line
 breaks shares a run with its copies, and one copy of the run stays. The runs that stand in several places are written to the scratch folder. Counting combines before the shuffle; a run that very many documents share is a skewed
 join key with one row on the other side, which adaptive execution splits.
 
+A row is known by its id and 88 bits of hash of its text, so rows of one id never take each
+other's places. Characters of scripts without blanks (Chinese, Japanese) are words of their
+own, each, and their marks end sentences.
+
 Defined cases: null texts stay null; texts too short for a run stay as they are; rows with
-one id are one document (none of them repeats another); rows without an id come last.
+one id are one document (none of them repeats another); rows without an id come last, each
+a document of its own: of equal texts all but one lose what they share, among different ones
+that of the smaller hash stands before.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -33,10 +40,15 @@ MIN_WORDS = 20
 MAX_WORDS = 10
 #: Neighbouring words among which one of a long sentence ends a piece; at most MAX_WORDS.
 SPAN = 8
-LAST = (1 << 63) - 1
 #: In a place: the run stood earlier in the same document. Runs have at most MIN_WORDS sentences, so seven bits hold the length.
 AGAIN = 128
 
+#: Characters that are words each: from CJK radicals to Hangul's end, and the planes of further ideographs.
+CHARACTER = re.compile("[\u2e80-\ud7ff\U00020000-\U0003ffff]")
+WORD = re.compile(rf"{CHARACTER.pattern}|[^\s{CHARACTER.pattern[1:-1]}]+")
+#: Bits of a place that belong to the text's second hash.
+SECOND = 24
+
 ENDS = frozenset(".!?。！？")
 PAUSES = frozenset(",;:")
 RESULT = "struct<text:string,n_removed:bigint,removed_chars:bigint>"
@@ -45,8 +57,9 @@ RESULT = "struct<text:string,n_removed:bigint,removed_chars:bigint>"
 def sentences(text: str) -> list[list[str]]:
     """The words of every sentence, long ones in pieces; together all words of the text."""
     out: list[list[str]] = []
+    split = WORD.findall if not text.isascii() and CHARACTER.search(text) else str.split
     for line in text.split("\n"):
-        words, start = line.split(), 0
+        words, start = split(line), 0
         for end, word in enumerate(words, 1):
             if word[-1] in ENDS:
                 _add(out, words[start:end])
@@ -121,20 +134,21 @@ def runs(text: str) -> tuple[list[bytes], list[int]]:
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, c, id, place): 96 bits of hash, the document, and where the run stands in it.
+    """Rows (h, c, id, tag, place): 96 bits of hash, the document, its text's first hash, and where the run stands in it.
 
-    ``place`` packs the text's tag, the run's first sentence, whether it is a repeat within the
-    text, and its length.
+    ``place`` packs the text's second hash, the run's first sentence, whether it is a repeat within
+    the text, and its length.
     """
     for batch in batches:
-        ids, texts, tags = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_numpy()
+        owners, texts, tags, seconds = *batch.columns[:3], batch.column(3).to_numpy()
+        ids = range(len(owners))
         digests, places, counts, first = [], [], [], 0
         for at in range(len(ids)):
             text = texts[at].as_py()
             found, lengths = runs(text) if text else ([], [])
             digests += found
             counts.append(len(found))
-            place = (np.arange(len(found), dtype=np.int64) << 8) + np.array(lengths, np.int64) + tags[at]
+            place = (np.arange(len(found), dtype=np.int64) << 8) + np.array(lengths, np.int64) + seconds[at]
             if len(set(found)) < len(found):
                 own: set[bytes] = set()
                 place += [AGAIN if d in own or own.add(d) else 0 for d in found]
@@ -145,53 +159,66 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [
                         pa.array(bits[:, 0].astype(np.int64)),
                         pa.array(bits[:, 1].astype(np.uint32).view(np.int32)),
-                        pa.array(np.repeat(ids[first : at + 1], counts)),
+                        *[c.take(pa.array(np.repeat(np.arange(first, at + 1), counts))) for c in (owners, tags)],
                         pa.array(np.concatenate(places)),
                     ],
-                    ["h", "c", "id", "place"],
+                    ["h", "c", "id", "tag", "place"],
                 )
                 digests, places, counts, first = [], [], [], at + 1
 
 
-def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for texts, places in batches:
+def _without(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Texts without the sentences of the given runs; with a third column true, of all their runs."""
+    for texts, places, copies in batches:
         out = []
-        for text, found in zip(texts.to_pylist(), places.to_pylist()):
-            if not found:
+        for text, found, copy in zip(texts.to_pylist(), places.to_pylist(), copies.to_pylist()):
+            spans = [((place >> 8) & 0xFFFFFFFF, place & 127) for place in found or ()]
+            if copy and text:
+                spans = list(enumerate(runs(text)[1]))
+            if not spans:
                 out.append({"text": text, "n_removed": 0, "removed_chars": 0})
                 continue
-            gone: set[int] = set()
-            for place in found:
-                start = (place >> 8) & 0xFFFFFFFF
-                gone.update(range(start, start + (place & 127)))
+            gone = {at for start, length in spans for at in range(start, start + length)}
             starts = starts_of(text, sentences(text))
             rest = "".join(text[starts[i] : starts[i + 1]] for i in range(len(starts) - 1) if i not in gone)
             out.append({"text": rest, "n_removed": len(gone), "removed_chars": len(text) - len(rest)})
         yield pa.array(out, pa.struct([("text", pa.string()), ("n_removed", pa.int64()), ("removed_chars", pa.int64())]))
 
 
-_without.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+_without.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array, pa.Array]], "return": Iterator[pa.Array]}
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", name: str = "repeats") -> DataFrame:
-    """``docs`` with a struct ``name``: the text without repeated sentences, and what was removed from it."""
-    owner = F.coalesce(column(doc_id).cast("bigint"), F.lit(LAST))
-    tag = F.shiftleft(F.xxhash64(column(text)), 40)
-    source = docs.select(owner.alias("id"), column(text).alias("text"), tag.alias("tag"))
-    rows = source.mapInArrow(_run_rows, "h bigint, c int, id bigint, place bigint")
-    repeated = rows.groupBy("h", "c").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    """``docs`` with a struct ``name``: the text without repeated sentences, and what was removed from it.
+
+    Writes the repeated runs, and the rows without an id, to the scratch folder.
+    """
+    tag = F.xxhash64(column(text))
+    second = F.shiftleft(F.xxhash64(F.lit("second"), column(text)), 64 - SECOND)
+    owner = column(doc_id).cast("bigint")
+    rows = docs.select(owner, column(text), tag, second).mapInArrow(_run_rows, "h bigint, c int, id bigint, tag bigint, place bigint")
+    least = [F.min("id").alias("first"), F.min(F.when(F.col("id").isNull(), F.col("tag"))).alias("first_tag"), F.count(F.lit(1)).alias("n")]
+    repeated = rows.groupBy("h", "c").agg(*least)
     # Written out, so that both sides of the join are shuffled for it alone and a hot run can be split.
     repeated = materialize(repeated.where("n > 1").drop("n"), "repeated-runs")
-    again = rows.join(repeated, ["h", "c"]).where(f"id > first OR (place & {AGAIN}) != 0")
-    found = again.groupBy("id", F.expr("place >> 40").alias("tag")).agg(F.collect_set("place").alias("places"))
-    row, key, tagged, places = (new_name(docs, n) for n in ("row", "id", "tag", "places"))
+    later = f"CASE WHEN id IS NULL THEN first IS NOT NULL OR tag > first_tag ELSE id > first END OR (place & {AGAIN}) != 0"
+    again = rows.join(repeated, ["h", "c"]).where(later)
+    found = again.groupBy("id", "tag", F.expr(f"place >> {64 - SECOND}").alias("second")).agg(F.collect_set("place").alias("places"))
+    row, key, tagged, more, places, copy = (new_name(docs, n) for n in ("row", "id", "tag", "second", "places", "copy"))
     wrapped = docs.select(
-        F.struct(*[column(c) for c in docs.columns]).alias(row), owner.alias(key), F.shiftright(tag, 40).alias(tagged)
+        F.struct(*[column(c) for c in docs.columns]).alias(row), owner.alias(key), tag.alias(tagged), F.shiftright(second, 64 - SECOND).alias(more)
     )
-    found = found.select(F.col("id").alias(key), F.col("tag").alias(tagged), F.col("places").alias(places))
-    joined = wrapped.join(found, [key, tagged], "left")
-    result = F.arrow_udf(_without, returnType=RESULT).asNondeterministic()(F.col(row)[text], F.col(places))
-    return joined.select(f"{row}.*", result.alias(name))
+    found = found.select(F.col("id").alias(f"{key}_"), F.col("tag").alias(f"{tagged}_"), F.col("second").alias(f"{more}_"), F.col("places").alias(places))
+    same = (F.col(tagged) == F.col(f"{tagged}_")) & (F.col(more) == F.col(f"{more}_"))
+    known = wrapped.where(F.col(key).isNotNull()).join(found.where(F.col(f"{key}_").isNotNull()), same & (F.col(key) == F.col(f"{key}_")), "left")
+    # Rows without an id get a number that stays, since they are written, and equal texts but the least are copies.
+    orphans = materialize(wrapped.where(F.col(key).isNull()).withColumn(copy, F.monotonically_increasing_id()), "rows-without-id")
+    stays = orphans.groupBy(F.col(tagged).alias("of"), F.col(more).alias("of_second")).agg(F.min(copy).alias("stays"))
+    unknown = orphans.join(stays, (F.col(tagged) == F.col("of")) & (F.col(more) == F.col("of_second")))
+    unknown = unknown.join(found.where(F.col(f"{key}_").isNull()), same, "left")
+    parts = known.select(row, places, F.lit(False).alias(copy)).union(unknown.select(row, places, F.col(copy) > F.col("stays")))
+    result = F.arrow_udf(_without, returnType=RESULT).asNondeterministic()(F.col(row)[text], F.col(places), F.col(copy))
+    return parts.select(f"{row}.*", result.alias(name))
 
 
 def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,44 +1,97 @@
 import random
+import re
+import zlib
 
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 from rows import AWKWARD, clashing, documents, prose
 
 from hitlake.llm import substring as U
 
 
+def cut(words):
+    """Pieces that end after the word of lowest hash (the last such) of every eight neighbours."""
+    h = [zlib.crc32(word.lower().encode()) for word in words]
+    ends = {max(i for i in range(at, at + 8) if h[i] == min(h[at : at + 8])) + 1 for at in range(len(words) - 7)}
+    bounds = sorted({0, *ends, len(words)})
+    return [words[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def plain_sentences(text):
+    out = []
+    for line in text.split("\n"):
+        words = re.findall("[\u2e80-\ud7ff\U00020000-\U0003ffff]|[^\\s\u2e80-\ud7ff\U00020000-\U0003ffff]+", line)
+        for is_end, parts in ((set(".!?\u3002\uff01\uff1f"), None),):
+            sentence = []
+            for word in [*words, None]:
+                if word is not None:
+                    sentence.append(word)
+                if word is None or word[-1] in is_end:
+                    if len(sentence) <= 10:
+                        out += [sentence] if sentence else []
+                    else:
+                        part = []
+                        for inner in [*sentence, None]:
+                            if inner is not None:
+                                part.append(inner)
+                            if part and (inner is None or inner[-1] in ",;:"):
+                                out += [part] if len(part) <= 10 else cut(part)
+                                part = []
+                    sentence = []
+    return out
+
+
+def plain_runs(text):
+    """(words, first sentence, sentences) of the shortest run of three sentences and twenty words from each sentence."""
+    units = plain_sentences((text or "").lower())
+    for start in range(len(units)):
+        for stop in range(start + 3, len(units) + 1):
+            if sum(map(len, units[start:stop])) >= 20:
+                yield tuple(map(tuple, units[start:stop])), start, stop - start
+                break
+
+
 def plain(rows):
-    """Sentences to remove by (id, text): runs that stand in a smaller id, or earlier in the text."""
-    first = {}
+    """Sentences to remove of each row: those in runs that stand in a row before, or earlier in the text."""
+    signed = lambda text: xxhash.xxh64_intdigest((text or "").encode(), 42) - (1 << 64) * (xxhash.xxh64_intdigest((text or "").encode(), 42) >> 63)
+    owner = lambda doc_id, text: (1, signed(text)) if doc_id is None else (0, doc_id)
+    first, out, orphans = {}, [], set()
     for doc_id, text, *_ in rows:
-        for digest in U.runs(text)[0] if text else ():
-            first[digest] = min(first.get(digest, U.LAST), U.LAST if doc_id is None else doc_id)
-    out = {}
+        for words, *_ in plain_runs(text):
+            first[words] = min(first.get(words, (2, 0)), owner(doc_id, text))
     for doc_id, text, *_ in rows:
-        gone, seen = set(), set()
-        for start, (digest, length) in enumerate(zip(*U.runs(text))) if text else ():
-            if first[digest] < (U.LAST if doc_id is None else doc_id) or digest in seen:
+        gone, seen, copy = set(), set(), doc_id is None and text in orphans
+        for words, start, length in plain_runs(text):
+            if copy or first[words] < owner(doc_id, text) or words in seen:
                 gone.update(range(start, start + length))
-            seen.add(digest)
-        out[doc_id, text] = len(gone)
-    return out
+            seen.add(words)
+        if doc_id is None:
+            orphans.add(text)
+        out.append((str(doc_id), str(text), len(gone)))
+    return sorted(out)
 
 
 def test_sentences_cover_the_text():
     for _, text, *_ in [*AWKWARD, (0, "  One, two. Three four!\n\n" + "five " * 30 + " six: seven; eight,  nine. ")]:
         text = text or ""
         units = U.sentences(text)
-        assert [w for u in units for w in u] == text.split() and all(0 < len(u) <= U.MAX_WORDS for u in units)
+        assert [w for u in units for w in u] == U.WORD.findall(text) and all(0 < len(u) <= U.MAX_WORDS for u in units)
         starts = U.starts_of(text, units)
         pieces = [text[a:b] for a, b in zip(starts, starts[1:])]
-        assert "".join(pieces) == (text if units else "") and [p.split() for p in pieces] == units
+        assert "".join(pieces) == (text if units else "") and [U.WORD.findall(p) for p in pieces] == units
 
 
 def test_against_plain_version(spark):
     passage = prose(77, 6)
     rows = AWKWARD + [(20 + i, f"{prose(100 + i)}\n{passage}\n{prose(200 + i)}", "en", "a") for i in range(5)]
     rows += [(30, "\n".join([passage] * 3), "en", "a")]
+    rows += [(None, f"{prose(40 + i)} {passage} {prose(50 + i)}", None, None) for i in (0, 1, 1, 1, 2)] + [(None, None, None, None)] * 2
+    han = "\u6211\u4eec\u4eca\u5929\u53bb\u5317\u4eac\u3002\u4f60\u4eec\u660e\u5929\u518d\u6765\uff01\u597d\u4e0d\u597d\uff1f\u4ed6\u8bf4\u4ed6\u6ca1\u6709\u4e66\u548c\u7b14\u7eb8\u3002"
+    rows += [(60, han, None, "a"), (61, "\u4e0d" * 12 + han * 2 + "abc\u3002", None, "a"), (None, han, None, None)]
+    rows += [(70, f"another of that id {passage}", None, "b"), (70, prose(4) + passage, None, "b")]
     got = U.remove_repeats(clashing(documents(spark, rows)), name="r").collect()
-    assert {(r.doc_id, r.text): r.r.n_removed for r in got} == plain(rows) and len(got) == len(rows)
+    assert sorted((str(r.doc_id), str(r.text), r.r.n_removed) for r in got) == plain(rows)
     texts = {r.doc_id: r.r.text for r in got}
     assert texts[20] == rows[len(AWKWARD)][1]
     for i in range(1, 5):
@@ -96,3 +149,24 @@ def test_deduplicate(spark):
     assert kept.columns == clashing(documents(spark)).columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 8, 9, 10, 10, 11]
     assert U.deduplicate(documents(spark, [])).count() == 0
+
+
+def test_many_rows_without_id_lose_only_repeats(spark):
+    """Passages repeated among rows without an id go, once per copy; a hundred thousand other texts stay whole."""
+    word = lambda i: F.substring(F.md5(F.concat_ws("-", F.col("id"), F.lit(i)).cast("binary")), 1, 7)
+    own = F.concat_ws(" ", *[F.concat(word(i), F.lit("." if i % 6 == 5 else "")) for i in range(30)])
+    passage = prose(9, 8)
+    text = F.when(F.col("id") % 1000 == 0, F.concat(own, F.lit(f"\n{passage}\n"), own)).otherwise(own)
+    docs = spark.range(100_000).select(F.lit(None).cast("bigint").alias("doc_id"), text.alias("text"), F.col("id").alias("n"))
+    changed = U.remove_repeats(docs, name="r").where("r.n_removed > 0").collect()
+    assert len(changed) == 100  # their own words stand twice in each, the passage in one of them first
+    kept = [row for row in changed if passage in row.r.text]
+    assert len(kept) == 1 and all(row.n % 1000 == 0 for row in changed)
+    own_part = lambda row: row.text.split("\n")[0]
+    assert all(row.r.text.startswith(own_part(row)) and len(row.r.text.split()) <= 30 + U.MAX_WORDS for row in changed if row not in kept)
+    assert U.deduplicate(docs).count() == 100_000
+
+
+def test_equal_texts_without_id_keep_one(spark):
+    docs = documents(spark, [(None, prose(3), "en", "a")] * 40 + [(None, "short", "en", "a")] * 3)
+    assert sorted(row.text for row in U.deduplicate(docs).collect()) == sorted([prose(3)] + ["short"] * 3)
