@@ -59,10 +59,11 @@ def type_at(schema: T.StructType, path: str) -> T.DataType | None:
 def text_of(column: Column, data_type: T.DataType) -> Column:
     """A value as text: JSON for nested values, the cast for the rest; equal values have equal texts.
 
-    Times are shown in UTC, so two of them never share a text; zero has no sign.
+    Times are shown in UTC with their microseconds, so two of them never share a text, inside
+    nested values too; zero has no sign.
     """
     if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-        return F.to_json(column, {"ignoreNullFields": "false"})
+        return F.to_json(_unsigned_zeros(column, data_type), NESTED_JSON)
     if isinstance(data_type, T.TimestampType):
         epoch = F.lit("1970-01-01").cast("timestamp_ntz")
         return F.timestamp_add("MICROSECOND", F.unix_micros(column), epoch).cast("string")
@@ -71,6 +72,38 @@ def text_of(column: Column, data_type: T.DataType) -> Column:
     return column.cast("string")
 
 
+#: Times inside nested values: whole and independent of the session; the writer's own default cuts them to milliseconds.
+NESTED_JSON = {
+    "ignoreNullFields": "false",
+    "timeZone": "UTC",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def _holds_floats(data_type: T.DataType) -> bool:
+    below = {
+        T.StructType: lambda t: [f.dataType for f in t.fields],
+        T.ArrayType: lambda t: [t.elementType],
+        T.MapType: lambda t: [t.keyType, t.valueType],
+    }.get(type(data_type), lambda t: [])(data_type)
+    return isinstance(data_type, (T.DoubleType, T.FloatType)) or any(map(_holds_floats, below))
+
+
+def _unsigned_zeros(column: Column, data_type: T.DataType) -> Column:
+    """A value whose floats, at any depth, have no negative zero."""
+    if not _holds_floats(data_type):
+        return column
+    if isinstance(data_type, T.StructType):
+        fields = [_unsigned_zeros(column.getField(f.name), f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(column, lambda item: _unsigned_zeros(item, data_type.elementType))
+    if isinstance(data_type, T.MapType):
+        return F.transform_values(column, lambda _, value: _unsigned_zeros(value, data_type.valueType))
+    return column + F.lit(0.0).cast(data_type)
+
+
 def typed_text(df: DataFrame, path: str) -> Column:
     """Text at ``path`` of a typed DataFrame; NULL for a path the schema lacks."""
     data_type = type_at(df.schema, path)

@@ -10,6 +10,7 @@ from .paging import (
     page,
     page_info,
     page_offset,
+    page_select,
     row_by_id,
     row_detail,
     size,
@@ -72,6 +73,7 @@ __all__ = [
     "page",
     "page_info",
     "page_offset",
+    "page_select",
     "profile",
     "query_column",
     "range_",

@@ -11,6 +11,7 @@ from ..functions.paths import object_lines, parse_field_spec, typed_text
 from ..functions.patterns import Finder, finder
 
 DEFAULT_SOURCE = "_source.message"
+#: The place of a row, as long as no field has that name.
 POSITION = "_position"
 
 
@@ -89,34 +90,34 @@ def _unique(specs: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return specs
 
 
-def _positioned(df: DataFrame) -> DataFrame:
-    """``df`` with each row's place: file, block and place inside for a scan, else the place alone."""
+def _positioned(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with each row's place ``name``: file, block and place inside for a scan, else the place alone."""
     local = F.monotonically_increasing_id().alias("row")
     file, block = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     try:
-        return df.withColumn(POSITION, F.struct(file, block, local))
+        return df.withColumn(name, F.struct(file, block, local))
     except AnalysisException:  # no scan, so no files
-        return df.withColumn(POSITION, F.struct(local))
+        return df.withColumn(name, F.struct(local))
 
 
-def dedupe(rows: DataFrame) -> DataFrame:
-    """Each row once, at the position it was first seen."""
-    if POSITION not in rows.columns:
+def dedupe(rows: DataFrame, position: str | None = None) -> DataFrame:
+    """Each row once, at the first of its places if the column ``position`` has them."""
+    if position is None:
         return rows.dropDuplicates()
-    keys = [c for c in rows.columns if c != POSITION]
-    return rows.groupBy(*(F.col(f"`{c}`") for c in keys)).agg(F.min(POSITION).alias(POSITION))
+    keys = [c for c in rows.columns if c != position]
+    return rows.groupBy(*(F.col(f"`{c}`") for c in keys)).agg(F.min(position).alias(position))
 
 
-def report_order(rows: DataFrame) -> DataFrame:
+def report_order(rows: DataFrame, position: str | None = None) -> DataFrame:
     """Descending by first field and match (by match alone without fields), ties as first seen.
 
-    The position makes the order total, so equal rows spread over the sort's partitions. Rows
-    without one (a stream's output) are ordered by their other fields instead.
+    The column ``position`` makes the order total, so equal rows spread over the sort's partitions,
+    and is dropped. Rows without one (a stream's output) are ordered by their other fields instead.
     """
-    columns = [c for c in rows.columns if c != POSITION]
+    columns = [c for c in rows.columns if c != position]
     keys = [F.col(f"`{c}`").desc() for c in [*columns[1:2], columns[0]]]
-    ties = [POSITION] if POSITION in rows.columns else [f"`{c}`" for c in columns[2:]]
-    return rows.orderBy(*keys, *map(F.asc, ties)).drop(POSITION)
+    ties = [F.col(position).asc()] if position else [F.col(f"`{c}`").asc() for c in columns[2:]]
+    return rows.orderBy(*keys, *ties).select(*(F.col(f"`{c}`") for c in columns))
 
 
 def extract(
@@ -131,9 +132,12 @@ def extract(
 
     ``df`` is a scan: typed documents, or with ``raw`` the lines from :func:`hitlake.sources.read_lines`.
     """
-    positioned = _positioned(df)
+    position = POSITION
+    taken = {name.lower() for name in [*df.columns, *(parse_field_spec(spec)[1] for spec in fields)]}
+    while position in taken:
+        position = f"_{position}"
     matches = raw_matches if raw else typed_matches
-    rows = matches(positioned, pattern, source, fields, keep=[POSITION])
+    rows = matches(_positioned(df, position), pattern, source, fields, keep=[position])
     # Either way the matches are shuffled before they are sorted: a sort samples its input, and
     # must not search the documents a second time for that.
-    return report_order(dedupe(rows) if unique else rows.repartition(POSITION))
+    return report_order(dedupe(rows, position) if unique else rows.repartition(position), position)

@@ -31,10 +31,9 @@ def file_offsets(files: DataFrame) -> DataFrame:
     return files.select("_file", "_rows", rows_before.alias("_offset"))
 
 
-def _with_offsets(rows: DataFrame, files: DataFrame, n_files: int) -> DataFrame:
-    """Add ``_offset`` to ``rows`` (``_file``, ``_index``) from ``files``."""
-    offsets = file_offsets(files)
-    if n_files <= BROADCAST_FILES:
+def with_offsets(rows: DataFrame, offsets: DataFrame, broadcast: bool) -> DataFrame:
+    """Add ``_offset`` to ``rows`` (``_file``, ``_index``) from ``offsets`` (``_file``, ``_rows``, ``_offset``)."""
+    if broadcast:
         return rows.join(F.broadcast(offsets.drop("_rows")), "_file")
     # More files: a shuffle join, on blocks of rows so that one large file fills many tasks.
     last_block = F.floor((F.col("_rows") - 1) / ROWS_PER_BLOCK)
@@ -45,6 +44,11 @@ def _with_offsets(rows: DataFrame, files: DataFrame, n_files: int) -> DataFrame:
     return blocked.join(blocks.hint("shuffle_hash"), ["_file", "_block"]).drop("_block")
 
 
+def _with_offsets(rows: DataFrame, files: DataFrame, n_files: int) -> DataFrame:
+    """The same from the ``files`` that :func:`parquet_files` counted."""
+    return with_offsets(rows, file_offsets(files), n_files <= BROADCAST_FILES)
+
+
 def number_parquet(spark: SparkSession, *paths: str, name: str = "row_id") -> DataFrame:
     """A Parquet table with each row's position, from 0, in file-path order.
 

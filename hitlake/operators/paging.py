@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from typing import Any
 
@@ -61,15 +62,88 @@ def sort_by(df: DataFrame, field: str, direction: str = "desc", *, unique: str)
 
 
 def page(
-    df: DataFrame, keys: Sequence[SortKey], offset: int = 0, limit: int = DEFAULT_LIMIT
+    df: DataFrame, keys: Sequence[SortKey], offset: int = 0, limit: int = DEFAULT_LIMIT, unique: str | None = None
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in the order of ``keys``.
 
-    Rows that the keys leave equal are ordered by all columns that have an order, so pages
-    neither repeat nor lose rows. Every task keeps ``offset + limit`` rows at most: to walk far
-    into a large result take :func:`keyset_page`, to jump there :func:`number_pages`.
+    Ties are settled by the field ``unique``. Without one, rows that the keys leave equal are
+    ordered by all columns that have an order, so pages neither repeat nor lose rows; all of them
+    are then read. Every task keeps ``offset + limit`` rows at most: to walk far into a large
+    result take :func:`keyset_page`, to jump there :func:`page_select`.
     """
-    return df.orderBy(*order_columns(keys), *_settling(df, keys)).offset(offset).limit(limit)
+    settling = _settling(df, keys) if unique is None else []
+    keys = keys if unique is None else with_tiebreak(keys, unique)
+    return df.orderBy(*order_columns(keys), *settling).offset(offset).limit(limit)
+
+
+#: Ranges that a round of :func:`page_select` counts, rows sampled for the bounds of each, and rows it is content to sort.
+RANGES, SAMPLED_PER_RANGE, SORTED_ROWS = 32, 32, 100_000
+
+
+def page_select(
+    df: DataFrame, keys: Sequence[SortKey], offset: int = 0, limit: int = DEFAULT_LIMIT, *, unique: str, sorted_rows: int = SORTED_ROWS
+) -> DataFrame:
+    """The rows of :func:`page` for an offset of any depth, found by selection instead of a sort.
+
+    Rounds of jobs narrow the part of the order that holds the page: a sample of its rows (some
+    ``RANGES * SAMPLED_PER_RANGE``, their keys alone) gives bounds, the rows between them are counted
+    with partial sums, and the ranges that hold the page are kept, until they hold ``sorted_rows``
+    or no bound splits them any more. Only those are sorted; no row before them leaves its task.
+    A round reads the key columns, and of files ordered by the first key only those in the part.
+    """
+    keys = with_tiebreak(keys, unique)
+    low: list[Any] | None = None
+    high: list[Any] | None = None
+    skipped, inside = 0, df.count()
+    while inside > sorted_rows and limit > 0 and offset < skipped + inside:
+        part = _between_keys(df, keys, low, high).select(*(_key_column(df, key).alias(f"k{at}") for at, key in enumerate(keys)))
+        own_keys = [SortKey(f"k{at}", key.descending) for at, key in enumerate(keys)]
+        wanted = RANGES * SAMPLED_PER_RANGE
+        sample = part.sample(min(1.0, 1.2 * wanted / inside), seed=inside % 1_000_003).orderBy(*order_columns(own_keys)).limit(2 * wanted).collect()
+        bounds = sample[SAMPLED_PER_RANGE // 2 :: SAMPLED_PER_RANGE]
+        if not bounds:
+            break
+        behind = part.agg(*(F.count_if(keyset_after(part, own_keys, list(bound))) for bound in bounds)).first()
+        upto = [skipped + inside - n for n in behind]  # rows of the table up to each bound, itself included
+        before = max((at for at, n in enumerate(upto) if n <= offset), default=None)
+        after = min((at for at, n in enumerate(upto) if n >= offset + limit), default=None)
+        if before is None and after is None:
+            break
+        end = skipped + inside if after is None else upto[after]
+        if before is not None:
+            low, skipped = _key_values(df, keys, bounds[before]), upto[before]
+        high = high if after is None else _key_values(df, keys, bounds[after])
+        inside = end - skipped
+    found = _between_keys(df, keys, low, high)
+    return found.orderBy(*order_columns(keys)).offset(offset - skipped).limit(limit)
+
+
+def _key_column(df: DataFrame, key: SortKey) -> Column:
+    """A key to be collected: times as numbers, which no time zone changes."""
+    c = column_at(key.field)
+    return F.unix_micros(c) if isinstance(field_type(df.schema, key.field), T.TimestampType) else c
+
+
+def _key_values(df: DataFrame, keys: Sequence[SortKey], row: Sequence[Any]) -> list[Any]:
+    """Collected keys as values of their columns."""
+    times = [isinstance(field_type(df.schema, key.field), T.TimestampType) for key in keys]
+    start = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return [start + timedelta(microseconds=v) if is_time and v is not None else v for v, is_time in zip(row, times)]
+
+
+def _between_keys(df: DataFrame, keys: Sequence[SortKey], low: Sequence[Any] | None, high: Sequence[Any] | None) -> DataFrame:
+    """Rows after ``low`` and not after ``high``, each the key values of a row or None."""
+    part = df if low is None else df.where(keyset_after(df, keys, low))
+    return part if high is None else part.where(~F.coalesce(keyset_after(df, keys, high), F.lit(False)) & _upto_first(df, keys, high))
+
+
+def _upto_first(df: DataFrame, keys: Sequence[SortKey], high: Sequence[Any]) -> Column:
+    """What follows for the first key from not being after ``high``, spelled out for the scan."""
+    first, value = column_at(keys[0].field), high[0]
+    if value is None:
+        return F.lit(True)
+    literal = typed_literal(value, field_type(df.schema, keys[0].field))
+    return first >= literal if keys[0].descending else first <= literal
 
 
 def _settling(df: DataFrame, keys: Sequence[SortKey]) -> list[Column]:
@@ -158,10 +232,26 @@ def keyset_page(
     return rest.orderBy(*order_columns(keys)).limit(size)
 
 
-def number_pages(df: DataFrame, keys: Sequence[SortKey], size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """Every row with its number and page, both from 1, in the order of ``keys``."""
-    numbered = number_rows(df, order_columns(keys))
-    return numbered.withColumn("page", (F.floor((F.col("row_no") - 1) / size) + 1).cast("bigint"))
+def number_pages(
+    df: DataFrame, keys: Sequence[SortKey], size: int = DEFAULT_PAGE_SIZE, number: str | None = None, page: str | None = None
+) -> DataFrame:
+    """Every row with its number and page, both from 1, in the order of ``keys``.
+
+    The columns are called ``row_no`` and ``page``, with underscores before where ``df`` has such columns,
+    or as given; a given name that ``df`` has is an error.
+    """
+    taken = {name.lower() for name in df.columns}
+    names = []
+    for given, usual in ((number, "row_no"), (page, "page")):
+        name = given or usual
+        while given is None and name in taken:
+            name = f"_{name}"
+        if name.lower() in taken:
+            raise ValueError(f"column exists: {name}")
+        taken.add(name.lower())
+        names.append(name)
+    numbered = number_rows(df, order_columns(keys), names[0])
+    return numbered.withColumn(names[1], (F.floor((F.col(names[0]) - 1) / size) + 1).cast("bigint"))
 
 
 def size(df: DataFrame, keys: Sequence[SortKey], n: int) -> DataFrame:

@@ -76,7 +76,7 @@ def search(df: DataFrame, body: Mapping[str, Any], unique: str) -> SearchResult:
     else:
         keys = [SortKey(unique)]
     if "size" in body:
-        limited = top_page(matching, keys, 0, body["size"])
+        limited = top_page(matching, keys, 0, body["size"], unique)
     else:
         limited = matching.orderBy(*order_columns(keys))
     tracked = body.get("track_total_hits", True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.paths import select_fields
 from ..functions.schema import default_columns
-from ..operators.paging import DEFAULT_LIMIT, SortKey, page, page_info, with_tiebreak
+from ..operators.paging import DEFAULT_LIMIT, SORTED_ROWS, SortKey, page, page_info, page_select
 from ..operators.predicates import Filter, TimeRange, where_all
 from ..operators.profile import row_count
 
@@ -38,9 +38,12 @@ class View:
         return row_count(self.filtered())
 
     def rows(self) -> DataFrame:
-        """The page shown, reduced to the visible columns."""
-        keys = with_tiebreak([] if self.sort is None else [self.sort], self.unique)
-        shown = page(self.filtered(), keys, self.offset, self.limit)
+        """The page shown, reduced to the visible columns; one far in is found by selection (jobs run when called)."""
+        keys = [] if self.sort is None else [self.sort]
+        if self.offset > SORTED_ROWS:
+            shown = page_select(self.filtered(), keys, self.offset, self.limit, unique=self.unique)
+        else:
+            shown = page(self.filtered(), keys, self.offset, self.limit, self.unique)
         columns = default_columns(self.table.schema) if self.columns is None else self.columns
         return select_fields(shown, columns)
 

@@ -13,12 +13,14 @@ from .datasets import (
 )
 from .hits import as_hits, infer_schema, read_hits, store_hits
 from .lines import bad_lines, read_lines
+from .snapshots import Snapshot, footer_bounds, open_snapshot, take_snapshot
 from .sinks import as_json_array, json_text, write_csv, write_json_array, write_jsonl, write_report
 
 __all__ = [
     "Catalog",
     "Dataset",
     "Member",
+    "Snapshot",
     "aliases",
     "as_hits",
     "as_json_array",
@@ -26,15 +28,18 @@ __all__ = [
     "dataset_schema",
     "describe_alias",
     "describe_dataset",
+    "footer_bounds",
     "infer_schema",
     "inventory",
     "json_text",
     "like",
+    "open_snapshot",
     "read_alias",
     "read_dataset",
     "read_hits",
     "read_lines",
     "store_hits",
+    "take_snapshot",
     "write_csv",
     "write_json_array",
     "write_jsonl",

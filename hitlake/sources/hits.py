@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.paths import CORRUPT, column_at, is_json, split_path
+from ..functions.paths import CORRUPT, column_at, is_json, split_path, type_at
 from ..functions.schema import walk_fields
+from ..functions.text import utc
+from ..scratch import materialize, owned_scratch
 from .lines import read_lines
 
 # Fixed value: text taken for a time. Spark's own reading would take any number for a year.
@@ -118,10 +120,30 @@ def read_hits(
     return rows.select(*fields, text.alias(CORRUPT))
 
 
-def store_hits(hits: DataFrame, path: str) -> DataFrame:
-    """Convert to Parquet once, so that later queries prune columns and skip row groups."""
-    hits.write.parquet(path)
-    return hits.sparkSession.read.parquet(path)
+def store_hits(hits: DataFrame, path: str, cluster_by: str | None = None) -> DataFrame:
+    """Convert to Parquet once, so that later queries prune columns and skip row groups.
+
+    With ``cluster_by``, a time field, rows are ordered by it: a folder for each day (in UTC) and in
+    it files with ranges of their own, so that a range of time opens few of them (see
+    :mod:`hitlake.sources.snapshots`). Rows are parsed once, to the scratch folder, because
+    ranges are found by a sample; equal times are split by a hash of the row, so a time that very
+    many rows share fills many files.
+    """
+    spark = hits.sparkSession
+    if cluster_by is None:
+        hits.write.parquet(path)
+        return spark.read.parquet(path)
+    day = "day"
+    while day.lower() in (name.lower() for name in hits.columns):
+        day = f"_{day}"
+    with owned_scratch(spark):
+        parsed = materialize(hits, "hits-to-cluster")
+        time = column_at(cluster_by)
+        spread = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        keyed = parsed.select("*", utc(time, type_at(parsed.schema, cluster_by)).cast("date").alias(day), spread.alias(f"{day} spread"))
+        placed = keyed.repartitionByRange(day, time, f"{day} spread").sortWithinPartitions(day, time).drop(f"{day} spread")
+        placed.write.partitionBy(day).parquet(path)
+    return spark.read.parquet(path).drop(day)
 
 
 def as_hits(df: DataFrame, id_field: str, sort_fields: Sequence[str] = ()) -> DataFrame:

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import datasets, extraction, filters, formats, ingest, paging, profiles
+from . import datasets, extraction, filters, formats, ingest, paging, profiles, snapshots
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
 
 
 def all_queries() -> dict[str, Query]:
     merged: dict[str, Query] = {}
-    for module in (extraction, filters, paging, profiles, ingest, datasets, formats):
+    for module in (extraction, filters, paging, profiles, ingest, datasets, formats, snapshots):
         merged.update(module.QUERIES)
     return merged

@@ -13,6 +13,7 @@ from hitlake.operators import (
     number_parquet,
     page,
     page_info,
+    page_select,
     row_by_id,
     row_count,
     row_detail,
@@ -24,7 +25,7 @@ from hitlake.plans import export, search
 from hitlake.scratch import scratch_path
 from hitlake.sources import infer_schema, read_hits, write_json_array
 
-from .tables import SPARSE_EVENTS, event_documents, events, sparse_events, table
+from .tables import SPARSE_EVENTS, event_documents, events, lines_in_order, sparse_events, table
 
 BY_TYPE = [SortKey("event_type", descending=True), SortKey("event_id")]
 BY_TIME = [SortKey("ts"), SortKey("event_id")]
@@ -37,7 +38,7 @@ def sort_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page(sparse_events(spark, sf_dir), BY_TYPE, offset=200, limit=100).select(*COLUMNS)
+    return page(sparse_events(spark, sf_dir), BY_TYPE, offset=200, limit=100, unique="event_id").select(*COLUMNS)
 
 
 def page_of_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +54,14 @@ def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page(table(spark, sf_dir, "orders"), keys, offset=10_000, limit=500)
 
 
+def selected_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last page but some thousand rows, found without a sort of the table."""
+    items = table(spark, sf_dir, "lineitem").withColumn("item", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    keys = [SortKey("l_shipdate", descending=True), SortKey("l_quantity")]
+    offset = items.count() * 5 // 6
+    return page_select(items, keys, offset, 400, unique="item", sorted_rows=5_000).select("l_shipdate", "l_quantity", "item")
+
+
 def deep_page_of_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page far into one value of a key that is not total; the other columns settle the order."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
@@ -85,14 +94,26 @@ def search_no_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(event_documents(spark, sf_dir), body, "event_id").hits.select("_id", "_source.message")
 
 
-def array_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A JSON array from partitions of which many are empty, parsed as a whole."""
-    path = scratch_path(spark, "array-filtered")
-    rows = events(spark, sf_dir).select("event_id", "user_id").repartition(12, "event_id").where("event_id % 97 = 3")
-    write_json_array(rows, path)
-    whole = spark.read.text(path, wholetext=True).orderBy(F.col("_metadata.file_path"))
-    text = whole.agg(F.array_join(F.array_sort(F.collect_list(F.struct("_metadata.file_path", "value"))).value, "")).toDF("value")
-    return text.select(F.explode(F.from_json("value", "array<struct<event_id: bigint, user_id: bigint>>")).alias("r")).select("r.*")
+def whole_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event in one JSON array whose part files are partly empty: its lines in order, each checked where it lies.
+
+    Lines are a bracket, a first object, objects behind a comma, a bracket; ``ok`` tells that a line is
+    what its place asks for.
+    """
+    path = scratch_path(spark, "array-whole")
+    rows = events(spark, sf_dir).select("event_id", "user_id")
+    few = F.col("event_id") % 3  # a range per value, of more ranges: the others stay empty
+    write_json_array(rows.repartitionByRange(9, few).sortWithinPartitions(few, "event_id"), path)
+    lines = lines_in_order(spark.read.text(path))
+    last = rows.count() + 1
+    row = F.from_json(F.regexp_replace("value", "^,", ""), "event_id bigint, user_id bigint", {"mode": "FAILFAST"})
+    shape = (
+        F.when(F.col("line") == 0, F.col("value") == "[")
+        .when(F.col("line") == last, F.col("value") == "]")
+        .otherwise(F.col("value").startswith(F.when(F.col("line") == 1, "{").otherwise(",{")) & F.col("value").endswith("}"))
+    )
+    inside = F.col("line").between(1, last - 1)
+    return lines.select("line", shape.alias("ok"), F.when(inside, row).alias("r")).select("line", "ok", "r.*")
 
 
 def page_position(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +221,11 @@ QUERIES = {
         deep_page,
         "SELECT * FROM orders ORDER BY o_orderstatus DESC, o_orderkey LIMIT 500 OFFSET 10000",
     ),
+    "page_select": (
+        selected_page,
+        "SELECT l_shipdate, l_quantity, l_orderkey * 10 + l_linenumber AS item FROM lineitem ORDER BY l_shipdate DESC NULLS LAST,"
+        " l_quantity NULLS LAST, item LIMIT 400 OFFSET (SELECT count(*) * 5 // 6 FROM lineitem)",
+    ),
     "page_deep_ties": (
         deep_page_of_ties,
         "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderstatus, o_orderkey LIMIT 500 OFFSET 10000",
@@ -228,8 +254,10 @@ QUERIES = {
         f"SELECT CAST(event_id AS VARCHAR) AS _id, {_MESSAGE} FROM events WHERE user_id % 7 = 5",
     ),
     "json_array_filtered": (
-        array_filtered,
-        "SELECT event_id, user_id FROM events WHERE event_id % 97 = 3",
+        whole_array,
+        """WITH rows AS (SELECT row_number() OVER (ORDER BY event_id % 3, event_id) AS line, event_id, user_id FROM events)
+        SELECT line, TRUE AS ok, event_id, user_id FROM rows
+        UNION ALL SELECT unnest([0, (SELECT count(*) + 1 FROM events)]), TRUE, NULL, NULL""",
     ),
     "page_info": (
         page_position,

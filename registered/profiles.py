@@ -127,7 +127,7 @@ _SPAN = """CASE WHEN s IS NULL THEN '-'
     WHEN s // 60 = 1 THEN '1 minute' ELSE CAST(s // 60 AS VARCHAR) || ' minutes' END AS span"""
 
 
-def _range_sql(where: str = "", shift: str = "INTERVAL 0 HOUR", extra: str = "") -> str:
+def range_sql(where: str = "", shift: str = "INTERVAL 0 HOUR", extra: str = "") -> str:
     return f"""SELECT strftime(a, '%Y-%m-%dT%H:%M:%S.%gZ') AS oldest, strftime(b, '%Y-%m-%dT%H:%M:%S.%gZ') AS newest,
         {_SPAN} {extra} FROM (SELECT a, b, date_diff('microsecond', a, b) // 1000000 AS s
         FROM (SELECT min(ts) + {shift} AS a, max(ts) + {shift} AS b FROM events {where}))"""
@@ -230,14 +230,14 @@ QUERIES = {
             UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority),
                 count(*) - count(o_orderpriority) FROM orders) ON column_name = name""",
     ),
-    "date_range": (event_range, _range_sql()),
-    "date_range_detected": (detected_range, _range_sql()),
-    "date_range_empty": (empty_range, _range_sql("WHERE user_id < 0")),
+    "date_range": (event_range, range_sql()),
+    "date_range_detected": (detected_range, range_sql()),
+    "date_range_empty": (empty_range, range_sql("WHERE user_id < 0")),
     "date_ranges_offered": (
         offered_ranges,
-        _range_sql(extra=", '_source.@timestamp' AS field")
+        range_sql(extra=", '_source.@timestamp' AS field")
         + " UNION ALL "
-        + _range_sql(shift="INTERVAL 1 HOUR", extra=", 'received' AS field"),
+        + range_sql(shift="INTERVAL 1 HOUR", extra=", 'received' AS field"),
     ),
     "date_span": (
         daily_spans,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hitlake.operators import number_rows
 from hitlake.scratch import scratch_path
 from hitlake.sources import as_hits, json_text
 
@@ -62,3 +63,10 @@ def hit_lines(spark: SparkSession, sf_dir: str, damaged: bool = False) -> str:
     path = scratch_path(spark, "hit-lines")
     rows.select(text.alias("value")).write.text(path)
     return path
+
+
+def lines_in_order(lines: DataFrame) -> DataFrame:
+    """``line`` and ``value``: the lines of a folder of part files, numbered from 0 in the order of the files' names."""
+    place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")]
+    numbered = number_rows(lines.select("value", *place), [F.col("file"), F.col("block"), F.col("at")], "line")
+    return numbered.select((F.col("line") - 1).alias("line"), "value")
