@@ -1,47 +1,36 @@
-"""Regular expressions in Python's dialect, run by Spark's own (Java) engine.
+"""Regular expressions in Python's dialect, run by Python's own engine in Arrow batches.
 
-Users write patterns as they would for ``re``. Python itself checks the pattern before any
-row is read; then each construct whose meaning differs is written out explicitly. This runs
-once per query, on the driver.
-
-Two kinds of pattern keep Python's engine, in Arrow batches: conditional groups, which Java
-lacks, and patterns that can match nothing, after which the two engines go on differently.
+Before that a substring test on the JVM passes over texts, and unparsed lines, that can't hold a
+match: literal text at the top level of a pattern stands in every match.
 """
 
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from re import _parser  # the syntax tree of a pattern, as Python itself reads it
-from typing import Any, NamedTuple
-
-import pandas as pd
-from pyspark.sql import Column, functions as F
+from typing import NamedTuple
 
-# What \d, \s and \w stand for in Unicode and in ASCII mode.
-UNICODE_SETS = {
-    "d": r"\p{Nd}",
-    "s": r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}",
-    "w": r"\p{L}\p{N}_",
-}
-ASCII_SETS = {"d": "0-9", "s": r"\x09-\x0d\x20", "w": "a-zA-Z0-9_"}
-CONTROL_ESCAPES = {"a": 7, "f": 12, "n": 10, "r": 13, "t": 9, "v": 11}
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql.functions import arrow_udf
 
-MAX_LITERALS = 8
-
-QUANTIFIER = re.compile(r"\{(?!\})(\d*)(,?)(\d*)\}")
-FLAG_GROUP = re.compile(r"\(\?([aiLmsux]*)(?:-([imsx]+))?([:)])")
-FLAGS = {"a": re.A, "i": re.I, "m": re.M, "s": re.S, "u": re.U, "x": re.X}
+#: What a pattern is made of, as far as literal text is concerned: escapes of one character, classes, repeats.
+TOKEN = re.compile(
+    r"""\\(?:x..|u.{4}|U.{8}|N\{[^}]*\}|[0-9]{1,3}|[A-Za-z])  # not literal: what it stands for depends
+    | \\(?P<escaped>.)
+    | \[\^?\]?(?:\\.|[^\]\\])*\]
+    | (?P<repeat>[*?+]|\{(?=\d|,\d)\d*(?:,\d*)?\})[?+]?
+    | (?P<open>\() | (?P<close>\)) | (?P<or>\|) | [.^$]
+    | (?P<plain>.)""",
+    re.VERBOSE | re.DOTALL,
+)
 
 
 class Finder(NamedTuple):
     """How to find a pattern in a text column."""
 
     pattern: str
-    java: str | None  # None: left to Python's engine
-    groups: int
     literals: tuple[str, ...]  # every text with a match holds one of them; () if none is known
 
     def all_in(self, source: Column) -> Column:
@@ -49,19 +38,11 @@ class Finder(NamedTuple):
 
         A group that took no part gives an empty string.
         """
-        if self.java is None:
-            return _find_in_python(self.pattern)(source)
-        return F.regexp_extract_all(source, F.lit(self.java), F.lit(1 if self.groups else 0))
+        return _find_all(self.pattern)(source)
 
     def may_be_in(self, source: Column) -> Column:
-        """A cheaper test before :meth:`all_in`: substrings first, then the pattern."""
-        if self.literals:
-            return _contains_any(source, self.literals) & self.is_in(source)
-        return self.is_in(source)
-
-    def is_in(self, source: Column) -> Column:
-        """The pattern alone. Nothing is tested twice, as computing the source may be costly."""
-        return source.isNotNull() if self.java is None else source.rlike(self.java)
+        """A cheaper test before :meth:`all_in`."""
+        return _contains_any(source, self.literals) if self.literals else source.isNotNull()
 
     def may_be_in_line(self, line: Column) -> Column | None:
         """The substring test on a raw JSON line, before it is parsed; None if there is none.
@@ -89,249 +70,46 @@ def finder(pattern: str) -> Finder:
         compiled = re.compile(pattern)
     except re.error as error:
         raise ValueError(f"Invalid regex pattern: {error}") from error
-    tree = _parser.parse(pattern)
-    keep = "(?(" in pattern or (tree.getwidth()[0] == 0 and not _takes_most(tree))
-    java = None if keep else _Translation(pattern, compiled).run()
-    literals = () if compiled.flags & re.I else _required(tree)
-    return Finder(pattern, java, compiled.groups, literals)
-
-
-def _takes_most(items: Any) -> bool:
-    """Whether an empty match is only found where nothing longer is.
-
-    Then both engines step over empty matches alike. Lazy repeats, alternatives that may be
-    empty before another one, and repeats of something that may be empty rule it out.
-    """
-    for op, value in items:
-        name = str(op)
-        if name in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
-            if value[2].getwidth()[0] == 0 or not _takes_most(value[2]):
-                return False
-        elif name == "SUBPATTERN":
-            if not _takes_most(value[3]):
-                return False
-        elif name == "ATOMIC_GROUP":
-            if not _takes_most(value):
-                return False
-        elif name == "BRANCH":
-            if any(branch.getwidth()[0] == 0 for branch in value[1][:-1]) or not all(map(_takes_most, value[1])):
-                return False
-        elif name in ("MIN_REPEAT", "ASSERT", "ASSERT_NOT", "GROUPREF", "GROUPREF_EXISTS"):
-            return False
-    return True
-
-
-def _required(items: Sequence) -> tuple[str, ...]:
-    """Substrings of which every match holds at least one; the most selective such choice."""
-    choices: list[tuple[str, ...]] = []
-    run = ""
-    for name, value in _ungrouped(items):
-        if name == "LITERAL":
-            run += chr(value)
+    return Finder(pattern, () if compiled.flags & (re.I | re.X) else required_literals(pattern))
+
+
+def required_literals(pattern: str) -> tuple[str, ...]:
+    """Of each alternative the longest literal text outside groups; () unless all have some."""
+    branches: list[list[str]] = [[""]]
+    depth = 0
+    for token in TOKEN.finditer(pattern):
+        runs, kind = branches[-1], token.lastgroup
+        if kind in ("open", "close"):
+            depth += 1 if kind == "open" else -1
+            runs.append("")
+        elif depth:
             continue
-        if run:
-            choices.append((run,))
-            run = ""
-        if name.endswith("REPEAT") and value[0] > 0:
-            choices.append(_required(value[2]))
-        elif name == "BRANCH":
-            branches = [_required(branch) for branch in value[1]]
-            if all(branches):
-                choices.append(tuple(dict.fromkeys(sum(branches, ()))))
-    if run:
-        choices.append((run,))
-    few = [choice for choice in choices if 0 < len(choice) <= MAX_LITERALS]
-    return max(few, key=lambda choice: min(map(len, choice)), default=())
-
-
-def _ungrouped(items: Sequence) -> Iterator[tuple[str, Any]]:
-    """Items in sequence, groups opened; one that ignores case stays closed."""
-    for op, value in items:
-        name = str(op)
-        if name == "SUBPATTERN" and not value[1] & re.I:
-            yield from _ungrouped(value[3])
-        elif name == "ATOMIC_GROUP":
-            yield from _ungrouped(value)
+        elif kind == "or":
+            branches.append([""])
+        elif kind == "repeat":
+            if re.match(r"[*?]|\{0*,", token["repeat"]) or re.fullmatch(r"\{0+\}", token["repeat"]):
+                runs[-1] = runs[-1][:-1]  # what may be missing
+            runs.append("")
+        elif kind in ("plain", "escaped"):
+            runs[-1] += token[kind]
         else:
-            yield name, value
-
-
-def _find_in_python(pattern: str):
-    @F.pandas_udf("array<string>")
-    def find(texts: pd.Series) -> pd.Series:
-        compiled = re.compile(pattern)
+            runs.append("")
+    longest = [max(runs, key=len) for runs in branches]
+    return tuple(longest) if all(longest) else ()
 
-        def reported(text: str) -> list[str]:
-            return [m if isinstance(m, str) else m[0] for m in compiled.findall(text)]
 
-        return texts.map(reported, na_action="ignore")
+def _find_all(pattern: str):
+    """An Arrow UDF from texts to arrays of matches."""
 
-    return find
-
-
-def _literal(code: int) -> str:
-    char = chr(code)
-    return char if char.isalnum() and char.isascii() else f"\\x{{{code:x}}}"
-
-
-class _Translation:
-    def __init__(self, pattern: str, compiled: re.Pattern[str]):
-        self.pattern, self.at = pattern, 0
-        self.names = compiled.groupindex
-        self.flags = compiled.flags
-        self.outer: list[int] = []
-
-    def run(self) -> str:
-        out = []
-        if self.flags & re.I:
-            out.append("(?i)" if self.flags & re.A else "(?iu)")
-        while self.at < len(self.pattern):
-            out.append(self.item())
-        return "".join(out)
-
-    def take(self, count: int = 1) -> str:
-        taken = self.pattern[self.at : self.at + count]
-        self.at += count
-        return taken
-
-    def item(self) -> str:
-        quantifier = QUANTIFIER.match(self.pattern, self.at)
-        char = self.take()
-        if char == "\\":
-            return self.escape()
-        if char == "[":
-            return self.char_class()
-        if char == "(":
-            return self.group()
-        if char == ")":
-            self.flags = self.outer.pop()
-            return ")"
-        if char == ".":
-            return "(?s:.)" if self.flags & re.S else r"[^\n]"
-        if char == "^":
-            return r"(?<![^\n])" if self.flags & re.M else r"\A"
-        if char == "$":
-            return r"(?![^\n])" if self.flags & re.M else r"(?=\n?\z)"
-        if quantifier:
-            self.at = quantifier.end()
-            low, comma, high = quantifier.groups()
-            return f"{{{low or 0}{comma}{high}}}"
-        if char in "*+?|":
-            return char
-        if self.flags & re.X:
-            if char.isspace():
-                return ""
-            if char == "#":
-                end = self.pattern.find("\n", self.at)
-                self.at = len(self.pattern) if end < 0 else end
-                return ""
-        return _literal(ord(char))
-
-    def group(self) -> str:
-        rest = self.pattern[self.at :]
-        if rest.startswith("?#"):
-            self.at = self.pattern.index(")", self.at) + 1
-            return ""
-        if rest.startswith("?P="):
-            end = self.pattern.index(")", self.at)
-            number = self.names[self.pattern[self.at + 3 : end]]
-            self.at = end + 1
-            return f"(?:\\{number})"
-        self.outer.append(self.flags)
-        if rest.startswith("?P<"):
-            self.at = self.pattern.index(">", self.at) + 1
-            return "("
-        for opening in ("?:", "?=", "?!", "?>", "?<=", "?<!"):
-            if rest.startswith(opening):
-                return "(" + self.take(len(opening))
-        flagged = FLAG_GROUP.match(self.pattern, self.at - 1)
-        if not flagged:
-            return "("
-        self.at = flagged.end()
-        on, off, end = flagged.groups()
-        if end == ")":  # flags of the whole pattern, already known from the compiled one
-            self.outer.pop()
-            return ""
-        if "a" in on:
-            self.flags &= ~re.U
-        if "u" in on:
-            self.flags &= ~re.A
-        for letter in on:
-            self.flags |= FLAGS[letter]
-        for letter in off or "":
-            self.flags &= ~FLAGS[letter]
-        if self.flags & re.I:
-            return "(?i-u:" if self.flags & re.A else "(?iu:"
-        return "(?-iu:"
-
-    def sets(self) -> dict[str, str]:
-        return ASCII_SETS if self.flags & re.A else UNICODE_SETS
-
-    def escape(self) -> str:
-        char = self.pattern[self.at]
-        word = f"[{self.sets()['w']}]"
-        fixed = {
-            "A": r"\A",
-            "Z": r"\z",
-            "b": f"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))",
-            "B": rf"(?:(?!\A\z)(?:(?<={word})(?={word})|(?<!{word})(?!{word})))",
-        }
-        if char in fixed:
-            self.at += 1
-            return fixed[char]
-        if char in "dsw":
-            return f"[{self.sets()[self.take()]}]"
-        if char in "DSW":
-            return f"[^{self.sets()[self.take().lower()]}]"
-        reference = re.compile(r"(?![0-3][0-7]{2})[1-9]\d?").match(self.pattern, self.at)
-        if reference:
-            self.at = reference.end()
-            return f"(?:\\{reference[0]})"
-        return _literal(self.code())
-
-    def code(self) -> int:
-        """Code point of the escape whose backslash has been read."""
-        char = self.take()
-        if char in CONTROL_ESCAPES:
-            return CONTROL_ESCAPES[char]
-        if char in "xuU":
-            return int(self.take({"x": 2, "u": 4, "U": 8}[char]), 16)
-        if char == "N":
-            end = self.pattern.index("}", self.at)
-            name, self.at = self.pattern[self.at + 1 : end], end + 1
-            return ord(unicodedata.lookup(name))
-        if char.isdigit():
-            digits = re.compile(r"[0-7]{1,3}").match(self.pattern, self.at - 1)[0]
-            self.at += len(digits) - 1
-            return int(digits, 8)
-        return ord(char)
-
-    def char_class(self) -> str:
-        out = ["["]
-        if self.pattern[self.at] == "^":
-            out.append(self.take())
-        first = True
-        while first or self.pattern[self.at] != "]":
-            first = False
-            char = self.take()
-            if char == "\\" and self.pattern[self.at] in "dsw":
-                out.append(self.sets()[self.take()])
-                continue
-            if char == "\\" and self.pattern[self.at] in "DSW":
-                out.append(f"[^{self.sets()[self.take().lower()]}]")
-                continue
-            out.append(_literal(self.member(char)))
-            if self.pattern[self.at] == "-" and self.pattern[self.at + 1] != "]":
-                self.at += 1
-                out.append("-" + _literal(self.member(self.take())))
-        self.at += 1
-        out.append("]")
-        return "".join(out)
-
-    def member(self, char: str) -> int:
-        if char != "\\":
-            return ord(char)
-        if self.pattern[self.at] == "b":
-            self.at += 1
-            return 8
-        return self.code()
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        compiled = re.compile(pattern)
+        several = compiled.groups > 1
+        for texts in batches:
+            found = []
+            for text in texts.to_pylist():
+                matches = None if text is None else compiled.findall(text)
+                found.append([groups[0] for groups in matches] if several and matches else matches)
+            yield pa.array(found, pa.list_(pa.string()))
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return arrow_udf(run, returnType="array<string>").asNondeterministic()

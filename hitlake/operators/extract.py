@@ -66,7 +66,7 @@ def raw_matches(
     parsed = object_lines(lines, [source, *(path for path, _ in specs)], keep)
     columns = [(name, F.col(f"`{i}`")) for i, (_, name) in enumerate(specs, 1)]
     text = F.col("`0`")
-    return _rows(parsed.where(find.is_in(text)), find, text, columns, keep)
+    return _rows(parsed.where(find.may_be_in(text)), find, text, columns, keep)
 
 
 def typed_matches(

@@ -72,8 +72,8 @@ def extract_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("match <> ''").groupBy("doc_id", "match").agg(F.count(F.lit(1)).alias("n"))
 
 
-def stream_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows, late rows and undated rows of hits that arrive in three batches, the oldest last; errors have no time."""
+def _arriving_parts(spark: SparkSession, sf_dir: str, remember: str) -> DataFrame:
+    """Hits that arrive in three batches, the oldest last; errors have no time."""
     lines = spark.read.text(hit_lines(spark, sf_dir))
     value = F.col("value")
     time = F.get_json_object(value, "$._source['@timestamp']")
@@ -85,15 +85,20 @@ def stream_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch in (recent, ~recent & ~oldest, F.coalesce(oldest, F.lit(True))):
         arriving.where(batch).select("value").write.mode("append").text(folder)
         found = extract_stream(
-            stream_lines(spark, folder), USER, fields=HIT_FIELDS, remember="7 days", event_time="_source.@timestamp"
+            stream_lines(spark, folder), USER, fields=HIT_FIELDS, remember=remember, event_time="_source.@timestamp"
         )
         run_extract(found, output, state)
     return spark.read.parquet(output)
 
 
+def stream_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, late rows and undated rows, each as such."""
+    return _arriving_parts(spark, sf_dir, "12 days").drop("batch")
+
+
 def extract_stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream remembers rows by the documents' own time; late and undated ones come apart and are repeats in part."""
-    return stream_parts(spark, sf_dir).drop("part").distinct()
+    return _arriving_parts(spark, sf_dir, "7 days").drop("part", "batch").distinct()
 
 
 def extract_stream_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,5 +167,21 @@ QUERIES = {
         _HITS_SQL.format(distinct="", where="WHERE event_type NOT IN ('error', 'purchase')"),
     ),
     "extract_stream_event_time": (extract_stream_event_time, _HITS_SQL.format(distinct="DISTINCT", where="")),
+    "stream_parts": (
+        stream_parts,
+        """WITH hits AS (
+            SELECT CAST(user_id AS VARCHAR) AS match, 'node' || CAST(user_id % 7 AS VARCHAR) AS host, '' AS missing,
+                json_extract_string(props, '$.k') AS k, CASE WHEN event_type <> 'error' THEN ts END AS seen,
+                CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 0 WHEN ts >= TIMESTAMP '2024-01-10' THEN 1 ELSE 2 END AS batch
+            FROM events
+        ), bounds AS (
+            SELECT b AS batch, (SELECT max(seen) FROM hits WHERE hits.batch < b - 1) - INTERVAL 12 DAY AS bound FROM range(3) AS t(b)
+        ), judged AS (
+            SELECT *, CASE WHEN seen IS NULL THEN 'undated' WHEN seen <= bound THEN 'late' ELSE 'row' END AS part
+            FROM hits JOIN bounds USING (batch)
+        )
+        SELECT match, host, missing, k, part FROM judged WHERE part <> 'row'
+        UNION ALL SELECT DISTINCT match, host, missing, k, part FROM judged WHERE part = 'row'""",
+    ),
     "extract_stream": (extract_stream_hits, _HITS_SQL.format(distinct="DISTINCT", where="")),
 }

@@ -1,4 +1,5 @@
 import json
+import os
 
 from hitlake.operators import report_order
 from hitlake.streaming import extract_stream, run_extract, start_extract, stream_lines
@@ -72,7 +73,7 @@ def test_an_unfinished_batch_is_finished_first(spark, tmp_path):
         extraction = extract_stream(stream_lines(spark, str(tmp_path / "in")), r"id=(\d+)", "m", ["h"], event_time="t")
         if number == 4:
             for name in ("3", ".3.crc"):
-                (state / "commits" / name).unlink()
+                (state / "stream" / "commits" / name).unlink()
         run_extract(extraction, out, str(state))
     found = sorted((int(r.match), r.part) for r in spark.read.parquet(out).collect())
     assert found == [(0, "row"), (1, "row"), (2, "row"), (3, "late"), (4, "late")]
@@ -82,3 +83,34 @@ def test_query_has_late_and_undated_rows(spark, sf_dir):
     from registered.extraction import stream_parts
 
     assert {r.part for r in stream_parts(spark, sf_dir).select("part").distinct().collect()} == {"row", "late", "undated"}
+
+
+def test_several_batches_a_run_and_clashing_names(spark, tmp_path):
+    """A file a batch, oldest first; fields may be called what the stream uses inside."""
+    (tmp_path / "in").mkdir()
+    days = [20, 1, 25, 19, 24]
+    for number, day in enumerate(days):
+        doc = {"m": f"id={number} id={number}", "part": "p", "batch": "b", "seen_at": "s", "salt": "x", "t": f"2024-01-{day:02}T00:00:00Z"}
+        put(tmp_path / "in", f"f{number}", doc, {"m": "id=9", "part": "p", "t": None}, {"m": "id=0", "t": "2024-01-25T00:00:00Z"})
+        os.utime(tmp_path / "in" / f"f{number}", (1_700_000_000 + number, 1_700_000_000 + number))
+    lines = stream_lines(spark, str(tmp_path / "in"), files_per_batch=1)
+    extraction = extract_stream(lines, r"id=(\d+)", "m", ["part", "batch", "seen_at", "salt", "t:a.b"], event_time="t")
+    run_extract(extraction, str(tmp_path / "out"), str(tmp_path / "state"))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert set(found.columns) == {"match", "part", "batch", "seen_at", "salt", "a.b", "_batch", "_part"}
+    got = sorted((r.match, r.part, r._part, r._batch) for r in found.collect())
+    expected = [("9", "p", "undated", n) for n in range(5)] + [("0", "", "row", 0)]
+    for number, day in enumerate(days):  # the first batch reaches the 25th by its last line
+        late = number > 1 and day <= 24  # the watermark counts from the batch after the next
+        expected += [(str(number), "p", "late" if late else "row", number)] * (2 if late else 1)
+    assert got == sorted(expected)
+
+
+def test_arrival_time_has_no_late_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for number in range(3):
+        put(tmp_path / "in", f"f{number}", {"m": "id=1", "h": "x"}, {"m": f"id={number}", "h": "x"})
+        run_extract(extract_stream(stream_lines(spark, str(tmp_path / "in")), r"id=(\d+)", "m", ["h"]), str(tmp_path / "out"), str(tmp_path / "state"))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.match, r.part) for r in rows) == [("0", "row"), ("1", "row"), ("2", "row")]
+    assert sorted(p.name for p in (tmp_path / "state" / "state").iterdir()) == ["1", "2"]
