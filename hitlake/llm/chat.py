@@ -15,24 +15,31 @@ Rounds are written to the scratch folder. Joins are on message ids, which are un
 trees of any size, depth or breadth spread over tasks (a message with very many answers is a
 skewed key with one row on the other side, which adaptive execution splits).
 
+A round writes only the paths that were still open, or the messages that it adds; what earlier
+rounds finished is read where it lies.
+
 Defined cases: null texts and roles are empty; a message whose parent does not exist is a root;
-messages on a reply cycle, and below one, are in no tree and in no conversation; message ids
-are unique over all trees (repeated ids are the caller's error: rows would multiply).
+messages on a reply cycle, and below one, are in no tree and in no conversation; of messages
+with one id (over all trees) the first counts, by tree, parent, score, role and text, nulls
+first (:func:`first_of_each`); messages without an id count as none.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import AtomicType
 
+from hitlake.operators import number_rows
 from hitlake.scratch import materialize
 
-from .common import column
+from .common import column, new_name
 
 TURNS_PER_PART = 64
 
@@ -65,6 +72,15 @@ class Template:
         return re.sub(self.pattern(r"\\(\\*)"), r"\1\2", text)
 
 
+def first_of_each(messages: DataFrame, node: str, order: Sequence[str]) -> DataFrame:
+    """One row of each message id, the first in the order of the given columns, then of all others that have an order."""
+    rest = [f.name for f in messages.schema.fields if f.name not in order and isinstance(f.dataType, AtomicType)]
+    ranked = Window.partitionBy(column(node)).orderBy(*[column(c).asc_nulls_first() for c in [*order, *rest]])
+    rank = new_name(messages, "rank")
+    # Tasks drop all but their own first row of an id before the shuffle, so a hot id is no hot task.
+    return messages.where(column(node).isNotNull()).withColumn(rank, F.row_number().over(ranked)).where(F.col(rank) == 1).drop(rank)
+
+
 def link_turns(messages: DataFrame, number: str, tree: str) -> DataFrame:
     """``parent`` for a linear conversation: the message numbered before, where it is of the same tree."""
     first = messages.groupBy(column(tree).alias("of_tree")).agg(F.min(number).alias("first"))
@@ -82,49 +98,70 @@ def jump_tables(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     known = nodes.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
     start = nodes.join(known, "parent", "left")
     start = start.select("node", F.when(F.col("known"), F.col("parent")).alias("up"), F.lit(1).cast("bigint").alias("depth"), F.col("score").alias("path_score"))
-    state = materialize(start, "reply-pointers")
-    jumps, before = [], None
+    latest = materialize(start, "reply-pointers")
+    jumps, finished, before = [], [], None
     while True:
-        finished = state.where("up IS NULL")
-        open_paths = state.where("up IS NOT NULL")
+        finished.append(latest.where("up IS NULL"))
+        open_paths = latest.where("up IS NOT NULL")
         left = open_paths.count()
         if left == 0 or left == before:
-            return jumps, finished.drop("up")
+            return jumps, reduce(DataFrame.union, finished).drop("up")
         before = left
         jumps.append(open_paths.select("node", F.col("up").alias("ancestor")))
-        above = state.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("path_score").alias("score2"))
+        everyone = reduce(DataFrame.union, [open_paths, *finished])
+        above = everyone.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"), F.col("path_score").alias("score2"))
         longer = open_paths.join(above, "up").select(
             "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"), (F.col("path_score") + F.col("score2")).alias("path_score")
         )
-        state = materialize(finished.union(longer), "reply-pointers")
+        latest = materialize(longer, "reply-pointers")
+
+
+def ranked_leaves(leaves: DataFrame, keep: int | None) -> DataFrame:
+    """``leaves`` (tree, node, path_score) with their ``rank`` in the tree, the ``keep`` best of each."""
+    if keep is not None:
+        rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("path_score"), "node"))
+        return leaves.withColumn("rank", rank).where(F.col("rank") <= keep)
+    # All of them: numbered over all trees, so that no tree has to be ranked in one task.
+    numbered = number_rows(leaves, [F.col("tree").asc_nulls_first(), F.desc("path_score"), F.col("node")], "place")
+    first = numbered.groupBy(F.col("tree").alias("of")).agg(F.min("place").alias("first"))
+    placed = numbered.join(first, F.col("tree").eqNullSafe(F.col("of")))
+    return placed.withColumn("rank", (F.col("place") - F.col("first") + 1).cast("int")).drop("place", "of", "first")
 
 
 def best_paths(
-    messages: DataFrame, *, tree: str, node: str, parent: str, score: str | None = None, keep: int | None = 1
+    messages: DataFrame, *, tree: str, node: str, parent: str, score: str | None = None, keep: int | None = 1, unique: bool = False
 ) -> DataFrame:
-    """(tree, rank, leaf, path_score, node, turn) for every message of the ``keep`` best paths of each tree (None: all)."""
+    """(tree, rank, leaf, path_score, node, turn) for every message of the ``keep`` best paths of each tree (None: all).
+
+    ``unique`` tells that no message id stands twice.
+    """
+    messages = messages if unique else first_of_each(messages, node, [c for c in (tree, parent, score) if c])
     value = column(score).cast("double") if score else F.lit(0.0)
     nodes = messages.select(column(tree).alias("tree"), column(node).alias("node"), column(parent).alias("parent"), F.coalesce(value, F.lit(0.0)).alias("score"))
     jumps, paths = jump_tables(nodes.drop("tree"))
     answered = nodes.select(F.col("parent").alias("node")).where("node IS NOT NULL").distinct()
     leaves = nodes.select("tree", "node").join(answered, "node", "left_anti").join(paths, "node")
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("path_score"), "node"))
-    chosen = leaves.withColumn("rank", rank)
-    chosen = chosen if keep is None else chosen.where(F.col("rank") <= keep)
+    chosen = ranked_leaves(leaves, keep)
     listed = chosen.select("tree", "rank", F.col("node").alias("leaf"), "path_score", "depth", "node", F.lit(0).cast("bigint").alias("up"))
-    listed = materialize(listed, "reply-paths")
+    parts = [materialize(listed, "reply-paths")]
     for power in reversed(range(len(jumps))):
         step = jumps[power].withColumnRenamed("node", "below")
+        listed = reduce(DataFrame.union, parts)
         above = listed.join(step, listed["node"] == step["below"]).select("tree", "rank", "leaf", "path_score", "depth", F.col("ancestor").alias("node"), (F.col("up") + (1 << power)).alias("up"))
-        listed = materialize(listed.union(above), "reply-paths")
-    return listed.select("tree", "rank", "leaf", "path_score", "node", (F.col("depth") - F.col("up") - 1).alias("turn"))
+        parts.append(materialize(above, "reply-paths"))
+    return reduce(DataFrame.union, parts).select("tree", "rank", "leaf", "path_score", "node", (F.col("depth") - F.col("up") - 1).alias("turn"))
 
 
-def format_paths(paths: DataFrame, messages: DataFrame, *, node: str, role: str, text: str, template: Template = Template()) -> DataFrame:
+def format_paths(
+    paths: DataFrame, messages: DataFrame, *, node: str, role: str, text: str, template: Template = Template(), unique: bool = False,
+    order: Sequence[str] = (),
+) -> DataFrame:
     """Parts of conversations: tree, rank, part, turns, ``formatted`` and ``loss_spans``.
 
-    Spans (start, length in characters) cover the text of learned turns in ``formatted``.
+    Spans (start, length in characters) cover the text of learned turns in ``formatted``. Unless message
+    ids are ``unique`` the first row of each counts; ``order`` is that of :func:`best_paths`: tree, parent, score.
     """
+    messages = messages if unique else first_of_each(messages, node, order)
     said = messages.select(column(node).alias("node"), column(role).alias("role"), column(text).alias("text"))
     turn = paths.join(said, "node")
     head = F.concat(F.lit(template.open), template.escape(F.col("role")), F.lit(template.body))

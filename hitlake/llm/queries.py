@@ -34,8 +34,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
     numbered = number_rows(rows, order, name="node")
     messages = chat.link_turns(numbered, "node", "conv_id")
-    paths = chat.best_paths(messages, tree="conv_id", node="node", parent="parent")
-    parts = chat.format_paths(paths, messages, node="node", role="role", text="text")
+    paths = chat.best_paths(messages, tree="conv_id", node="node", parent="parent", unique=True)
+    parts = chat.format_paths(paths, messages, node="node", role="role", text="text", unique=True)
     return chat.read_back(parts).drop("rank").withColumnRenamed("tree", "conv_id")
 
 

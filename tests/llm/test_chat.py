@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -58,3 +59,60 @@ def test_escapes_are_reversible(spark, texts):
 def test_empty(spark, rows):
     assert formatted(spark, rows).count() == 0
     assert C.read_back(formatted(spark, rows)).count() == 0
+
+
+def plain_paths(rows, keep):
+    """(tree, rank, turn, node, text) of the best paths, walked from the leaves up."""
+    low = lambda value: (value is not None, value if value is not None else 0)
+    first = {}
+    for row in sorted(rows, key=lambda r: (low(r[0]), low(r[2]), low(r[5]), (r[3] is not None, r[3] or ""), (r[4] is not None, r[4] or ""))):
+        if row[1] is not None:
+            first.setdefault(row[1], row)
+    answered = {row[2] for row in first.values()}
+    found = {}
+    for node, row in first.items():
+        if node in answered:
+            continue
+        path, at = [], node
+        while at in first and at not in path:
+            path.append(at)
+            at = first[at][2]
+        if at not in path:
+            score = sum(first[n][5] or 0.0 for n in path)
+            found.setdefault(row[0], []).append((-score, node, path[::-1]))
+    return sorted(
+        (str(tree), rank, turn, node, first[node][4] or "")
+        for tree, paths in found.items()
+        for rank, (_, _, path) in enumerate(sorted(paths)[:keep], 1)
+        for turn, node in enumerate(path)
+    )
+
+
+@pytest.mark.parametrize("keep", [1, 2, None])
+def test_forest_with_scores_branches_and_repeated_ids(spark, keep):
+    draw = random.Random(keep)
+    rows = []
+    for node in range(400):
+        tree = draw.choice([None, *range(12)])
+        same = [r[1] for r in rows if r[0] == tree]
+        parent = draw.choice(same[-6:]) if same and draw.random() < 0.9 else draw.choice([None, -5])
+        rows.append((tree, node, parent, "user", f"text {node}", draw.choice([None, 0.5, 1.0, -2.0, 3.25])))
+    for copy in draw.sample(rows, 60):  # equal rows, and others of an id
+        rows += [copy] * draw.randint(0, 2)
+        rows.append((copy[0], copy[1], draw.choice([copy[2], None, 7]), copy[3], f"other {copy[1]}", 0.25))
+    rows += [(3, 1000, 1001, "user", "x", 9.0), (3, 1001, 1000, "user", "y", 9.0), (3, 1002, 1001, "user", "z", 9.0), (3, None, 1, "user", "no id", 9.0)]
+    df = messages(spark, rows)
+    paths = C.best_paths(df, tree="tree", node="node", parent="parent", score="score", keep=keep)
+    parts = C.format_paths(paths, df, node="node", role="role", text="text", order=["tree", "parent", "score"])
+    said = {(str(r.tree), r["rank"]): [t for _, t in C.parse(r.formatted, C.Template())] for r in parts.collect()}
+    expected = plain_paths(rows, keep)
+    assert sorted((str(r.tree), r["rank"], r.turn, r.node) for r in paths.collect()) == [row[:4] for row in expected]
+    assert said == {key: [row[4] for row in expected if row[:2] == key] for key in {row[:2] for row in expected}}
+
+
+def test_repeated_chain_does_not_multiply(spark):
+    rows = [(1, i, i - 1 if i else None, "user", f"t{i}", 0.0) for i in range(64)] * 3
+    df = messages(spark, rows)
+    assert C.best_paths(df, tree="tree", node="node", parent="parent", score="score").count() == 64
+    (part,) = formatted(spark, rows).collect()
+    assert part.turns == 64
