@@ -22,7 +22,8 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import AtomicType
 
 from hitlake.scratch import materialize
 
@@ -182,23 +183,38 @@ def near_duplicates(
     """
     prints = docs.select(column(doc_id).alias("id"), fingerprint_column(column(text), words_in_shingle).alias("fp"))
     prints = materialize(prints, "fingerprints")
+    by_print = class_of_prints(prints).select("fp", "component_id")
+    return prints.join(by_print, "fp").select(F.col("id").alias(doc_id), "fp", "component_id")
+
+
+def class_of_prints(prints: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of the distinct fingerprints of (id, fp): their class, and its smallest id or null."""
     distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
     roots = connected_components(link_fingerprints(distinct.select("fp")), "simhash")
     classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     classes = classes.withColumn("root", F.coalesce("root", "fp"))
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = classes.join(smallest, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(F.col("id").alias(doc_id), "fp", "component_id")
+    return classes.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words_in_shingle: int = 3) -> DataFrame:
-    """``docs`` with one document of each class: that with the smallest id, one of it where rows repeat.
+    """``docs`` with one document of each class: that with the smallest id, one row of it where rows repeat.
 
-    Rows without an id stay (they can't be told apart).
+    Where rows of that id differ in text, the one that stays is of the class it stands for: the first by
+    text. Classes in which no row has an id keep one row, the first by text; rows without an id in other
+    classes go, as the class keeps its smallest id.
     """
-    classes = near_duplicates(docs, doc_id=doc_id, text=text, words_in_shingle=words_in_shingle)
-    keep = classes.where(F.col(doc_id) == F.col("component_id")).select(column(doc_id).alias("id")).distinct()
-    row, key = new_name(docs, "row"), new_name(docs, "id")
-    wrapped = docs.select(column(doc_id).alias(key), F.struct(*[column(c) for c in docs.columns]).alias(row))
-    kept = wrapped.join(keep.withColumnRenamed("id", key), key, "left_semi").dropDuplicates([key])
-    return kept.select(f"{row}.*").unionByName(docs.where(column(doc_id).isNull()))
+    row, n = new_name(docs, "row"), new_name(docs, "n")
+    facts = {
+        "id": column(doc_id), "fp": fingerprint_column(column(text), words_in_shingle), "said": F.sha2(column(text), 256),
+        "rest": F.xxhash64(*[column(f.name) for f in docs.schema.fields if isinstance(f.dataType, AtomicType)]),
+    }
+    # Written with a number for each row, by which rows are told apart from here on.
+    stored = docs.select(F.struct(*[column(c) for c in docs.columns]).alias(row), F.struct(*[c.alias(name) for name, c in facts.items()]).alias("facts"))
+    stored = materialize(stored.withColumn(n, F.monotonically_increasing_id()), "fingerprinted")
+    light = stored.select(n, "facts.*")
+    placed = light.join(class_of_prints(light), "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
+    # Tasks drop all but their own first row of a class before the shuffle, so a large class is no hot task.
+    first = Window.partitionBy("root").orderBy(F.col("said").asc_nulls_first(), "rest", n)
+    stays = placed.withColumn("place", F.row_number().over(first)).where("place = 1").select(n)
+    return stored.join(stays, n, "left_semi").select(f"{row}.*")

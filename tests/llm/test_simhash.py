@@ -106,6 +106,18 @@ def test_classes(spark):
     assert sorted(i for i in ids if i) == sorted({v for v in least.values() if v}) and ids.count(None) == 1
 
 
+def test_one_row_of_a_class_stays(spark):
+    """Rows of one id in different classes, exact copies without an id, and copies of which some have an id."""
+    a, b, c = prose(1, 12), prose(2, 12), prose(3, 12)
+    rows = [(5, a, "en", "x"), (5, b, "en", "x"), (5, b, "fr", "x"), (6, a, "en", "x"), (None, a, "en", "x"), (7, b, None, None)]
+    rows += [(None, c, "en", "x")] * 30 + [(None, c, "fr", None)]
+    docs = clashing(documents(spark, rows)).repartition(4)
+    kept = S.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("5", a), ("5", b), ("None", c)])
+    assert S.deduplicate(documents(spark, [])).count() == 0
+
+
 def test_long_chain(spark):
     edges = spark.range(1, 400).selectExpr("id AS a", "id - 1 AS b")
     assert {r.root for r in connected_components(edges).collect()} == {0}
@@ -114,4 +126,4 @@ def test_long_chain(spark):
 def test_empty(spark):
     assert S.near_duplicates(documents(spark, [])).count() == 0
     assert S.deduplicate(documents(spark, [])).count() == 0
-    assert prose(1)
+    
\ No newline at end of file
