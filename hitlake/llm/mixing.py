@@ -11,8 +11,9 @@ back by Spark (broadcast only when its statistics prove them small, else a shuff
 adaptive execution splits at a hot source).
 
 Defined cases: a null source is a source of its own; a null text has size zero; a source of
-size zero is repeated as if every document had one unit; rows with equal ids and rows without
-one get the same number of copies each; copies are numbered from 0.
+size zero is repeated as if every document had one unit; rows with equal ids get the same number of
+copies each; a row without an id is drawn by a digest of its text and source and by its place in the
+table (Spark's partition and row in it), each such row on its own; copies are numbered from 0.
 """
 
 from __future__ import annotations
@@ -93,9 +94,11 @@ def mix(
         F.col("source").alias("named"), poisson_table(F.col("rate")).alias("cdf")
     )
     row, key, where = (new_name(docs, n) for n in ("row", "doc_key", "doc_source"))
+    said = F.md5(F.concat_ws(":", F.coalesce(column(source).cast("string"), F.lit("")), F.coalesce(column(text), F.lit(""))).cast("binary"))
+    orphan = F.concat_ws(":", F.lit("-"), said, F.monotonically_increasing_id())
     wrapped = docs.select(
         F.struct(*[column(c) for c in docs.columns]).alias(row),
-        F.concat_ws(":", F.lit(str(seed)), F.coalesce(column(doc_id).cast("string"), F.lit("-"))).alias(key),
+        F.concat_ws(":", F.lit(str(seed)), F.when(column(doc_id).isNull(), orphan).otherwise(column(doc_id).cast("string"))).alias(key),
         column(source).alias(where),
     )
     joined = wrapped.join(table, F.col(where).eqNullSafe(F.col("named")))
