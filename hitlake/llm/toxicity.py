@@ -5,13 +5,18 @@ prefixes. Logistic regression on a bounded sample of labelled texts gets two pen
 on the weights, and ``counterfactual`` times the mean squared change of the score when identity
 terms in labelled sentences are swapped for others of their group. Sentences that name a group
 are used as they are; so that a corpus in which few do is covered too, neutral labelled
-sentences get a term in place of their first word. The score of a text then hardly depends
-on which group it names, and a term that the sample happens to show in toxic texts does not
-make a neutral mention toxic.
+sentences that name none get a term in place of their first word, by their hash. The score of a
+text then hardly depends on which group it names, and a term that the sample happens to show in
+toxic texts does not make a neutral mention toxic.
+
+What a swap changes follows from the two terms and from whether the other one stands in the
+sentence already, so swaps are counted by these three: every sentence of the sample counts, of
+any length, and no sentence leaves its task.
 
 Bounds (parameters): ``toxic`` and ``neutral`` labelled texts, those with the smallest hashes
-of their ids, and ``features`` with the strongest association; every word of every text is
-scored. Feature counts combine in tasks and by shuffle; only the selected ones come to the driver.
+of their ids; ``features`` with the strongest association; ``kinds``, the terms, by language.
+Every word of every text is scored. Feature counts and swaps combine in tasks and by shuffle; only
+the selected features, the counts of swaps (some hundreds) and the sample's feature numbers come to the driver.
 
 Defined cases: null and empty texts, and texts without a known word, get the intercept's
 score; without labels of both kinds the score is the share of toxic labels (0 without any);
@@ -22,7 +27,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -34,21 +40,52 @@ WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 PREFIXES = (3, 4, 5, 6)
 CACHED_WORDS = 300_000
-PAIRS = 2_000
-#: Sentences of four to this many words serve for counterfactuals.
-SENTENCE_WORDS = 60
-
-# Terms that name groups of people, by kind; terms of one kind are swapped for each other.
-IDENTITY_TERMS = (
-    ("women", "men", "girls", "boys"),
-    ("gay", "lesbian", "bisexual", "straight", "transgender", "queer"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "atheists"),
-    ("black", "white", "asian", "latino", "indigenous"),
-    ("africans", "americans", "arabs", "chinese", "europeans", "indians", "mexicans", "russians"),
-    ("immigrants", "refugees", "natives", "foreigners"),
-    ("disabled", "deaf", "blind", "autistic"),
-    ("elderly", "young"),
-)
+
+# Terms that name groups of people, by language and kind; terms of one kind are swapped for each other.
+IDENTITY_TERMS = {
+    "en": (
+        ("women", "men", "girls", "boys"),
+        ("gay", "lesbian", "bisexual", "straight", "transgender", "queer"),
+        ("muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "atheists"),
+        ("black", "white", "asian", "latino", "indigenous"),
+        ("africans", "americans", "arabs", "chinese", "europeans", "indians", "mexicans", "russians"),
+        ("immigrants", "refugees", "natives", "foreigners"),
+        ("disabled", "deaf", "blind", "autistic"),
+        ("elderly", "young"),
+    ),
+    "fr": (
+        ("femmes", "hommes", "filles", "garçons"),
+        ("gays", "lesbiennes", "bisexuels", "hétérosexuels", "transgenres"),
+        ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+        ("noirs", "blancs", "asiatiques"),
+        ("africains", "américains", "arabes", "chinois", "européens", "indiens", "russes"),
+        ("immigrés", "réfugiés", "étrangers"),
+        ("handicapés", "sourds", "aveugles", "autistes"),
+        ("vieux", "jeunes"),
+    ),
+    "de": (
+        ("frauen", "männer", "mädchen", "jungen"),
+        ("schwule", "lesben", "bisexuelle", "heterosexuelle", "transsexuelle"),
+        ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+        ("schwarze", "weiße", "asiaten"),
+        ("afrikaner", "amerikaner", "araber", "chinesen", "europäer", "inder", "russen"),
+        ("einwanderer", "flüchtlinge", "einheimische", "ausländer"),
+        ("behinderte", "gehörlose", "blinde", "autisten"),
+        ("alte", "junge"),
+    ),
+    "es": (
+        ("mujeres", "hombres", "niñas", "niños"),
+        ("gais", "lesbianas", "bisexuales", "heterosexuales", "transexuales"),
+        ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+        ("negros", "blancos", "asiáticos"),
+        ("africanos", "americanos", "árabes", "chinos", "europeos", "indios", "mexicanos", "rusos"),
+        ("inmigrantes", "refugiados", "extranjeros"),
+        ("discapacitados", "sordos", "ciegos", "autistas"),
+        ("ancianos", "jóvenes"),
+    ),
+}
+#: A swap: the term that stands, the term that takes its place, and whether that one stands in the sentence already.
+Swap = tuple[str, str, bool]
 
 
 def words_of(text: bytes | None) -> set[str]:
@@ -60,36 +97,45 @@ def features_of(word: str) -> list[str]:
     return [word, *[f"{word[:n]}*" for n in PREFIXES if len(word) >= n]]
 
 
-def counterfactual_pairs(sentences: list[str], kinds=IDENTITY_TERMS, limit: int = PAIRS) -> list[tuple[Counter, Counter]]:
-    """Features of sentences before and after an identity term is swapped for each other one of its kind."""
-    partners = {term: [t for t in kind if t != term] for kind in kinds for term in kind}
-    terms = sorted(partners)
-    pairs: list[tuple[Counter, Counter]] = []
-    for turn, sentence in enumerate(sentences):
-        words = WORD.findall(sentence.lower())
-        if not words:
-            continue
-        found = [w for w in words if w in partners]
-        if not found:
-            found, words = [terms[turn % len(terms)]], [terms[turn % len(terms)], *words[1:]]
-        for term in dict.fromkeys(found):
-            for other in partners[term]:
-                swapped = [other if w == term else w for w in words]
-                pairs.append(tuple(Counter(f for w in set(side) for f in features_of(w)) for side in (words, swapped)))
-        if len(pairs) >= limit:
-            break
-    return pairs
+def partners_of(kinds: Mapping[str, Sequence[Sequence[str]]]) -> dict[str, list[str]]:
+    """Each term with the others of its kinds."""
+    out: dict[str, set[str]] = {}
+    for language in kinds.values():
+        for kind in language:
+            for term in kind:
+                out.setdefault(term, set()).update(t for t in kind if t != term)
+    return {term: sorted(others) for term, others in sorted(out.items())}
+
+
+def swaps_in(sentence: str, partners: dict[str, list[str]], neutral: bool) -> list[Swap]:
+    """The swaps of a sentence's terms, each by each other one of its kind; a neutral sentence without terms gets one."""
+    words = set(WORD.findall(sentence.lower()))
+    named = [term for term in words if term in partners]
+    if not named and words and neutral and partners:
+        terms = list(partners)
+        named = [terms[crc32(sentence.encode()) % len(terms)]]
+    return [(term, other, other in words) for term in named for other in partners[term]]
+
+
+def change_of(swap: Swap) -> Counter:
+    """What a swap takes from the features of a sentence's distinct words, and adds (below zero)."""
+    term, other, present = swap
+    change = Counter(features_of(term))
+    if not present:
+        change.subtract(features_of(other))
+    return change
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[np.ndarray, np.ndarray]], n_features: int,
-        ridge: float, counterfactual: float, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and intercept. ``rows``: feature numbers of each text; ``changes``: numbers and amounts of each swap."""
+        ridge: float, counterfactual: float, steps: int = 400, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and intercept. ``rows``: feature numbers of each text; ``changes``: numbers and amounts of each swap, made so many ``times``."""
     ends = np.cumsum([len(r) for r in rows])
     flat = np.concatenate(rows) if len(rows) else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(rows)), np.diff(np.concatenate([[0], ends])))
     change_flat = np.concatenate([i for i, _ in changes] or [np.zeros(0, np.int64)]).astype(np.int64)
     change_size = np.concatenate([a for _, a in changes] or [np.zeros(0)])
     change_owner = np.repeat(np.arange(len(changes)), [len(i) for i, _ in changes])
+    times = np.ones(len(changes)) if times is None else np.asarray(times, float)
     weight = np.zeros(n_features)
     intercept = np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))
     # Adam on the whole sample: the loss is convex and smooth.
@@ -100,7 +146,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[np.ndarr
         gradient = np.bincount(flat, error[owner], n_features) + ridge * weight
         if len(changes):
             change = np.bincount(change_owner, weight[change_flat] * change_size, len(changes))
-            pull = 2 * counterfactual * change / len(changes)
+            pull = 2 * counterfactual * change * times / times.sum()
             gradient = gradient + np.bincount(change_flat, pull[change_owner] * change_size, n_features)
         whole = np.append(gradient, error.sum())
         m, v = 0.9 * m + 0.1 * whole, 0.999 * v + 0.001 * whole**2
@@ -154,42 +200,41 @@ def train(
     surprise = F.abs(F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
     chosen = [r.feature for r in counts.orderBy(surprise.desc(), "feature").limit(features).collect()]
     number = {f: i for i, f in enumerate(chosen)}
-    for kind in kinds:
-        for term in kind:
-            for f in features_of(term):
-                number.setdefault(f, len(number))
-    shared = spark.sparkContext.broadcast(number)
-
-    def extract(batches):
-        known = shared.value
+    partners = partners_of(kinds)
+    for term in partners:
+        for f in features_of(term):
+            number.setdefault(f, len(number))
+    shared = spark.sparkContext.broadcast((number, partners, {i for i, y in ids.items() if not y}))
+
+    def extract(batches: Iterator[list]) -> Iterator[list]:
+        known = shared.value[0]
         for texts in batches:
-            out = []
-            for value in texts:
-                short = [s for s in SENTENCE.split(value.decode() if value else "") if 3 < len(s.split()) <= SENTENCE_WORDS]
-                out.append(
-                    {
-                        "rows": [known[f] for w in sorted(words_of(value)) for f in features_of(w) if f in known],
-                        "sentence": next(iter(short), ""),
-                        "named": [s for s in short if any(w in terms for w in WORD.findall(s.lower()))],
-                    }
-                )
-            yield out
-
-    terms = {t for kind in kinds for t in kind}
-    kind = pa.struct([("rows", pa.list_(pa.int32())), ("sentence", pa.string()), ("named", pa.list_(pa.string()))])
-    shape = "struct<rows:array<int>,sentence:string,named:array<string>>"
-    found = sample.select("id", per_text(extract, shape, kind)(F.col("text")).alias("x")).collect()
-    found = sorted(found, key=lambda r: (r.id, r.x.rows))
-    rows = [np.array(r.x.rows, np.int64) for r in found]
+            yield [[known[f] for w in sorted(words_of(value)) for f in features_of(w) if f in known] for value in texts]
+
+    def swaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, others, calm = shared.value
+        counts: Counter[Swap] = Counter()
+        for batch in batches:
+            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                for sentence in SENTENCE.split(raw.decode("utf-8", "replace")) if raw else ():
+                    counts.update(swaps_in(sentence, others, key in calm))
+        cells = [*zip(*counts), list(counts.values())] if counts else [[], [], [], []]
+        kinds_of = [pa.string(), pa.string(), pa.bool_(), pa.int64()]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(cells, kinds_of)], ["term", "other", "present", "n"])
+
+    shape = per_text(extract, "array<int>", pa.list_(pa.int32()))
+    found = sample.select("id", shape(F.col("text")).alias("rows")).collect()
+    found = sorted(found, key=lambda r: (r.id, r.rows))
+    rows = [np.array(r.rows, np.int64) for r in found]
     y = np.array([ids[r.id] for r in found], float)
-    sentences = [s for r in found for s in r.x.named] + [r.x.sentence for r in found if r.x.sentence]
+    counted = sample.mapInArrow(swaps, "term string, other string, present boolean, n bigint")
+    counted = counted.groupBy("term", "other", "present").agg(F.sum("n").alias("n")).orderBy("term", "other", "present").collect()
     changes = []
-    for before, after in counterfactual_pairs(sentences, kinds):
-        difference = Counter(before)
-        difference.subtract(after)
-        moved = [(number[f], n) for f, n in difference.items() if n and f in number]
+    for r in counted:  # as many as there are swaps of the given terms
+        moved = [(number[f], n) for f, n in change_of((r.term, r.other, r.present)).items() if n]
         changes.append((np.array([i for i, _ in moved], np.int64), np.array([n for _, n in moved], float)))
-    weight, intercept = fit(rows, y, changes, len(number), ridge, counterfactual)
+    times = np.array([r.n for r in counted], float)
+    weight, intercept = fit(rows, y, changes, len(number), ridge, counterfactual, times=times)
     return {f: float(weight[i]) for f, i in number.items() if abs(weight[i]) > 1e-4}, intercept
 
 

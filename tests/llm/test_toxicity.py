@@ -1,3 +1,7 @@
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -25,10 +29,63 @@ def test_neutral_mentions_are_no_false_positives(spark):
     assert fair[2] > 0.5 and weights["grotty"] > 0
 
 
-def test_swaps():
-    pairs = T.counterfactual_pairs(["Women sing. ", "nothing named here"], (("women", "men"),))
-    assert [set(a) ^ set(b) for a, b in pairs][0] == set(T.features_of("women")) ^ set(T.features_of("men"))
-    assert len(pairs) == 2 and "nothing" not in pairs[1][0]
+KINDS = {"en": (("women", "men", "girls"), ("old", "young")), "fr": (("vieux", "jeunes"), ("men", "femmes"))}
+
+
+def swapped_features(sentence, partners):
+    """Features of a sentence's distinct words before and after each swap, made on the words themselves."""
+    words = T.WORD.findall(sentence.lower())
+    for term in sorted({w for w in words if w in partners}):
+        for other in partners[term]:
+            after = [other if w == term else w for w in words]
+            yield [Counter(f for w in set(side) for f in T.features_of(w)) for side in (words, after)]
+
+
+@pytest.mark.parametrize("sentence", ["Women sing, young women!", "old men and women", "nothing named", "Men, femmes; men", "", "vieux"])
+def test_swaps_change_what_swapped_words_change(sentence):
+    partners = T.partners_of(KINDS)
+    got = [T.change_of(swap) for swap in sorted(T.swaps_in(sentence, partners, False))]
+    expected = []
+    for before, after in swapped_features(sentence, partners):
+        before.subtract(after)
+        expected.append(before)
+    assert [{f: n for f, n in c.items() if n} for c in got] == [{f: n for f, n in c.items() if n} for c in expected]
+
+
+def test_neutral_sentences_get_a_term():
+    partners = T.partners_of(KINDS)
+    assert T.partners_of(KINDS)["men"] == ["femmes", "girls", "women"]
+    terms = {term for i in range(200) for term, _, _ in T.swaps_in(f"sentence {i} here", partners, True)}
+    assert terms == set(partners)
+    assert T.swaps_in("12 !", partners, True) == [] and T.swaps_in("plain words", partners, False) == []
+
+
+def test_every_sentence_counts(spark):
+    """A term that only long sentences of the last documents name is drawn to its partners, too."""
+    long = lambda i: " ".join(f"{w}" for w in prose(i, 40).replace(".", "").split()[:90])
+    rows = [(i, f"{long(i)} the sikhs are grotty.", "en", "a") for i in range(400, 460)]
+    rows += [(i, " ".join(f"Women {w}." for w in prose(i, 6).replace(".", "").split()), "en", "a") for i in range(300)]
+    labels = spark.createDataFrame([(r[0], int(r[0] >= 400)) for r in rows], "doc_id bigint, toxic int")
+    new = documents(spark, [(1, "the sikhs here", "en", "a"), (2, "the hindus here", "en", "a")])
+    gaps = []
+    for strength in (0.0, 3_000.0):
+        model = T.train(documents(spark, rows), labels, F.lit(True), counterfactual=strength)
+        score = {r.doc_id: r.score for r in T.add_scores(new, model).collect()}
+        gaps.append(abs(score[1] - score[2]))
+    assert gaps[1] < gaps[0] / 3
+
+
+def test_scores_equal_plain_ones(spark):
+    """Distinct lower-cased words, each with its prefixes of three to six letters."""
+    draw = np.random.default_rng(1)
+    names = {f for _, text, *_ in AWKWARD for w in re.findall(r"[^\W\d_]+", (text or "").lower()) for f in (w, w[:3] + "*", w[:4] + "*", w[:6] + "*")}
+    weights = {f: float(draw.normal()) for f in sorted(names)}
+    got = {(r.doc_id, r.text): r.score for r in T.add_scores(documents(spark), (weights, -0.5)).collect()}
+    for doc_id, text, *_ in AWKWARD:
+        total = -0.5
+        for word in set(re.findall(r"[^\W\d_]+", (text or "").lower())):
+            total += weights.get(word, 0.0) + sum(weights.get(word[:n] + "*", 0.0) for n in (3, 4, 5, 6) if len(word) >= n)
+        assert got[doc_id, text] == pytest.approx(1 / (1 + math.exp(-min(max(total, -30), 30))), abs=1e-9)
 
 
 def test_gradient_reaches_the_minimum():
