@@ -7,14 +7,15 @@ that merge depends on what follows it in the same way. The longest such chain, f
 pass over the list, is the ``lookahead``, in bytes. So the transducer holds a window of a few
 lookaheads, encodes it, emits the tokens that end more than a lookahead before its end, and
 goes on from there: it needs constant memory, and time in proportion to the text, also within
-a word of any length. Words up to the window are encoded at once and remembered, at most
-twice ``REMEMBERED`` of them at a time.
+a word of any length. Short words, met for the first time among the texts at hand, are encoded
+in step with each other, a merge at a time, as rows of one array per length; they are
+remembered, at most twice ``REMEMBERED`` at a time.
 
 The decoder turns token ids into bytes and bytes into text as they come; a character may
 span tokens, and bytes that are no UTF-8 become U+FFFD, one for each longest valid beginning.
 
 The vocabulary is read on the driver and broadcast (a bounded file, some 50,000 entries; its
-size is checked against ``MOST_MERGES``). There is no shuffle: rows stay where they are.
+size is checked against ``MOST_MERGES``); what a worker remembers serves all its tasks. There is no shuffle: rows stay where they are.
 
 Defined cases: null texts are empty and have no tokens; added tokens that stand in a text are
 encoded as such; text that is no UTF-8 is read with U+FFFD; unknown and null ids decode to
@@ -25,7 +26,9 @@ from __future__ import annotations
 
 import codecs
 import json
+import re
 from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -38,9 +41,11 @@ from pyspark.sql.functions import arrow_udf
 
 from .common import column, new_name, per_text
 
-REMEMBERED = 200_000
-#: Longer words are encoded each time they are met.
-LONGEST_REMEMBERED = 64
+REMEMBERED = 100_000
+#: Bytes of the longest words that are encoded together and remembered; longer ones pass the transducer each time they are met.
+SHORT = 48
+#: Words encoded in step at a time.
+IN_STEP = 20_000
 MOST_MERGES = 1_000_000
 #: A merge is one number: its rank, then in ``MADE`` the token that it makes; two tokens that don't merge have the largest.
 MADE = (1 << 30) - 1
@@ -68,6 +73,29 @@ LETTER, NUMBER = _without("L", NO_LETTERS), _without("N", NO_NUMBERS)
 WORDS = rf"(?V1)'(?:[stmd]|re|ve|ll)| ?{LETTER}+| ?{NUMBER}+| ?[^\s{LETTER}{NUMBER}]+|\s+(?!\S)|\s+"
 
 
+#: Characters from here on are rare, and slow for classes that list what they hold.
+BEYOND = 0x10000
+
+
+def _listed(name: str) -> str:
+    """A class as the list of its ranges below ``BEYOND``."""
+    members = regex.compile(f"(?V1){name}")
+    ranges: list[list[int]] = []
+    for code in range(BEYOND):
+        if not 0xD800 <= code < 0xE000 and members.match(chr(code)):
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return "".join(f"\\u{first:04x}-\\u{last:04x}" for first, last in ranges)
+
+
+def listed_words() -> str:
+    """``WORDS`` for texts without characters from ``BEYOND`` on, for the standard library, which is some five times as fast."""
+    letter, number, blank = (_listed(name) for name in (LETTER, NUMBER, r"\s"))
+    return rf" ?[{letter}]+|'(?:[stmd]|re|ve|ll)| ?[{number}]+| ?[^{blank}{letter}{number}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
+
+
 def byte_characters() -> dict[str, int]:
     """The printable character that stands for each byte in a vocabulary file."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -113,7 +141,10 @@ class Vocabulary:
     merges: list[tuple[bytes, bytes]]
     ids: dict[bytes, int]
     added: dict[str, int]
-    words: str = WORDS
+
+    @cached_property
+    def words(self) -> str:
+        return listed_words()
 
     @cached_property
     def lookahead(self) -> int:
@@ -124,6 +155,17 @@ class Vocabulary:
         """Rank and made token, in one number, of each two neighbouring tokens that merge."""
         return {(self.ids[p], self.ids[q]): rank * (MADE + 1) + self.ids[p + q] for rank, (p, q) in enumerate(self.merges)}
 
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """``ranks`` as arrays: pairs, packed and sorted, and the merge of each."""
+        packed = sorted(((a << 32) + b, merge) for (a, b), merge in self.ranks.items())
+        return np.array([pair for pair, _ in packed], np.int64), np.array([merge for _, merge in packed], np.int64)
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        """One for all tasks of a worker, with the words that it remembers."""
+        return Encoder(self)
+
     @cached_property
     def bytes_of(self) -> dict[int, bytes]:
         return {i: b for b, i in self.ids.items()} | {i: text.encode() for text, i in self.added.items()}
@@ -196,43 +238,106 @@ class Transducer:
         return rest
 
 
-class Encoder(dict):
-    """Token ids of texts, as packed 32-bit integers. As a dictionary it remembers words, those met since it was last full."""
+class InStep:
+    """Many short words at once: a row of tokens each, and in every step each row's merge of lowest rank, leftmost first."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
+        self.pairs, self.merges = vocabulary.pairs
+        self.byte_ids = np.array([vocabulary.ids[bytes([byte])] for byte in range(256)], np.int64)
+
+    def merges_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self.pairs):
+            return np.full(left.shape, NEVER)
+        wanted = (left << 32) + right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.merges[at], NEVER)
+
+    def encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """(word, its packed token ids); words have one length."""
+        tokens = self.byte_ids[np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)]
+        merges = self.merges_of(tokens[:, :-1], tokens[:, 1:])
+        rows = np.arange(len(words))
+        while len(rows):
+            if merges.shape[1]:
+                best = merges.min(axis=1)
+                done = best == NEVER
+            else:
+                done = np.ones(len(rows), bool)
+            if done.any():
+                packed = tokens[done].astype("<i4")
+                yield from zip((words[row] for row in rows[done]), map(np.ndarray.tobytes, packed))
+                rows, tokens, merges = rows[~done], tokens[~done], merges[~done]
+                if not len(rows):
+                    return
+                best = best[~done]
+            at = merges.argmin(axis=1)
+            every, width = np.arange(len(rows)), tokens.shape[1] - 1
+            tokens[every, at] = best & MADE
+            behind = np.arange(width)
+            tokens = np.take_along_axis(tokens, behind + (behind > at[:, None]), axis=1)  # without the second of the two
+            behind = behind[:-1]
+            merges = np.take_along_axis(merges, behind + (behind >= at[:, None]), axis=1)
+            left = np.flatnonzero(at > 0)
+            merges[left, at[left] - 1] = self.merges_of(tokens[left, at[left] - 1], tokens[left, at[left]])
+            right = np.flatnonzero(at < width - 1)
+            merges[right, at[right]] = self.merges_of(tokens[right, at[right]], tokens[right, at[right] + 1])
+
+
+class Encoder:
+    """Token ids of texts, as arrays of 32-bit integers. Remembers the words met since it was last full."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.transducer = Transducer(vocabulary)
-        self.words = regex.compile(vocabulary.words)
+        self.transducer, self.in_step = Transducer(vocabulary), InStep(vocabulary)
+        self.words, self.all_words = re.compile(vocabulary.words), regex.compile(WORDS)
+        self.beyond = re.compile(f"[\\U{BEYOND:08x}-\\U0010ffff]")
         self.added = vocabulary.added
         longest_first = sorted(vocabulary.added, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            raw = word.encode()
-            if len(raw) <= self.transducer.window:
-                tokens = self.transducer.merged(raw)
+    def split(self, text: str) -> list[str]:
+        return (self.all_words if self.beyond.search(text) else self.words).findall(text)
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of all the words; long ones among them are not remembered."""
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known, older, found, new = self.known, self.older, {}, defaultdict(list)
+        for word in words - known.keys():
+            if (ids := older.get(word)) is not None:
+                known[word] = ids
+            elif len(raw := word.encode()) <= SHORT:
+                new[len(raw)].append(raw)
             else:
-                tokens = [*self.transducer.feed(raw), *self.transducer.finish()]
-            ids = np.array(tokens, "<i4").tobytes()
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
+                found[word] = np.array([*self.transducer.feed(raw), *self.transducer.finish()], "<i4").tobytes()
+        for same_length in new.values():
+            for start in range(0, len(same_length), IN_STEP):
+                known.update((raw.decode(), ids) for raw, ids in self.in_step.encode(same_length[start : start + IN_STEP]))
+        return found
+
+    def parts(self, text: str) -> list[list[str]]:
+        """The words between added tokens; each of those is a list with None before it."""
+        if not self.marks or not any(mark in text for mark in self.added):
+            return [self.split(text)]
+        pieces = self.marks.split(text)  # keeps what it splits at, at odd places
+        return [[None, piece] if at % 2 else self.split(piece) for at, piece in enumerate(pieces)]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        split = [self.parts(text) for text in texts]
+        marked = lambda part: len(part) == 2 and part[0] is None
+        long = self.learn({word for parts in split for part in parts if not marked(part) for word in part})
+        known = self.known.__getitem__
+        if long:
+            known = lambda word, short=self.known: long.get(word) or short[word]
+        out = []
+        for parts in split:
+            packed = [np.array([self.added[part[1]]], "<i4").tobytes() if marked(part) else b"".join(map(known, part)) for part in parts]
+            out.append(np.frombuffer(b"".join(packed), "<i4"))
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        parts = self.marks.split(text) if self.marks and any(mark in text for mark in self.added) else [text]
-        packed = []
-        for at, part in enumerate(parts):
-            if at % 2:  # the split keeps what it split at
-                packed.append(np.array([self.added[part]], "<i4").tobytes())
-            else:
-                packed.extend(map(self.__getitem__, self.words.findall(part)))
-        return np.frombuffer(b"".join(packed), "<i4")
+        return self.encode_all([text])[0]
 
 
 class Decoder:
@@ -253,7 +358,7 @@ class Decoder:
 
 def _shared(spark: SparkSession, vocabulary: Vocabulary):
     """The vocabulary in every executor; what follows from it is worked out once, here."""
-    vocabulary.lookahead, vocabulary.ranks, vocabulary.bytes_of  # noqa: B018
+    vocabulary.lookahead, vocabulary.pairs, vocabulary.bytes_of, vocabulary.words  # noqa: B018
     return spark.sparkContext.broadcast(vocabulary)
 
 
@@ -262,9 +367,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", name:
     shared = _shared(docs.sparkSession, vocabulary)
 
     def run(batches: Iterator[list]) -> Iterator[list]:
-        encoder = Encoder(shared.value)
+        encoder = shared.value.encoder
         for texts in batches:
-            yield [encoder.encode(raw.decode("utf-8", "replace") if raw else "") for raw in texts]
+            yield encoder.encode_all([raw.decode("utf-8", "replace") if raw else "" for raw in texts])
 
     ids = per_text(run, "array<int>", pa.list_(pa.int32()))(column(text))
     return docs.withColumn(name, ids)
