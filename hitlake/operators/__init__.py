@@ -41,8 +41,10 @@ from .profile import (
     row_count,
     top_values,
     total_hits,
+    value_counts,
     value_histogram,
 )
+from .sketches import merge_sketches, sketch_fields
 
 __all__ = [
     "Filter",
@@ -65,6 +67,7 @@ __all__ = [
     "keyset_page",
     "last",
     "match_all",
+    "merge_sketches",
     "number_pages",
     "number_parquet",
     "number_ordered",
@@ -83,10 +86,12 @@ __all__ = [
     "row_detail",
     "search_all",
     "size",
+    "sketch_fields",
     "sort_by",
     "term",
     "top_values",
     "total_hits",
+    "value_counts",
     "value_histogram",
     "where_all",
 ]

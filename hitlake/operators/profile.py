@@ -27,10 +27,11 @@ def filtered_count(
 
 
 def total_hits(df: DataFrame, cap: int | None = None, track: bool = True) -> DataFrame:
-    """Hit count with its relation: ``eq`` is exact, ``gte`` means counting stopped at ``cap``.
+    """Hit count with its relation: ``eq`` is exact, ``gte`` means more than ``cap``.
 
-    Without tracking the value is 0. Whatever the cap, the plan is one lazy count with partial
-    sums: no hit leaves its task.
+    Without tracking the value is 0. Whatever the cap, the plan is one lazy count of all rows with partial
+    sums: no hit leaves its task. A count that stops reading at the cap is
+    :meth:`hitlake.sources.Snapshot.total_hits`.
     """
     counted = (df if track else df.limit(0)).agg(F.count(F.lit(1)).alias("n"))
     if not track or cap is None:
@@ -112,6 +113,24 @@ def date_ranges(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return each.select(*date_texts(T.TimestampNTZType()), "field")
 
 
+def _leaves(df: DataFrame, fields: Sequence[str] | None) -> list:
+    return [f for f in walk_fields(df.schema) if fields is None or f.display_path in fields]
+
+
+def _value_counts(df: DataFrame, leaves: Sequence) -> DataFrame:
+    """(field, value, count) of the leaves, fields by path: the scan is unpivoted and counted once, combined before the shuffle."""
+    texts = df.select(*(text_of(column_at(f.path), f.data_type).alias(f.path) for f in leaves))
+    values = texts.unpivot([], [F.col(f"`{f.path}`") for f in leaves], "field", "value")
+    return values.groupBy("field", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def value_counts(df: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """How often every leaf field has every value: field, value (text, or NULL) and count."""
+    leaves = _leaves(df, fields)
+    names = F.create_map(*(F.lit(x) for f in leaves for x in (f.path, f.display_path)))
+    return _value_counts(df, leaves).withColumn("field", names[F.col("field")])
+
+
 def profile(df: DataFrame, fields: Sequence[str] | None = None, k: int = TOP_VALUES) -> DataFrame:
     """Statistics of every leaf field in one pass: distinct values, NULLs and the top values.
 
@@ -119,11 +138,8 @@ def profile(df: DataFrame, fields: Sequence[str] | None = None, k: int = TOP_VAL
     The scan is unpivoted and counted once per (field, value); map-side counts keep frequent
     values out of the shuffle. The totals and the top values both read those counts.
     """
-    leaves = [f for f in walk_fields(df.schema) if fields is None or f.display_path in fields]
-    texts = df.select(*(text_of(column_at(f.path), f.data_type).alias(f.path) for f in leaves))
-    values = texts.unpivot([], [F.col(f"`{f.path}`") for f in leaves], "field", "value")
-    counts = values.groupBy("field", "value").agg(F.count(F.lit(1)).alias("count"))
-
+    leaves = _leaves(df, fields)
+    counts = _value_counts(df, leaves)
     totals = counts.groupBy("field").agg(
         F.count("value").alias("unique_count"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).alias("null_count"),

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.paths import CORRUPT, column_at, is_json, split_path, type_at
+from ..functions.paths import CORRUPT, column_at, parse_objects, split_path, type_at
 from ..functions.schema import walk_fields
 from ..functions.text import utc
 from ..scratch import materialize, owned_scratch
@@ -17,11 +18,16 @@ ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 ISO_TIME = "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSSSSS][XXX]"
 
 
+#: Rows that show which text fields can be days at all.
+FIRST_ROWS = 1_000
+
+
 def infer_schema(spark: SparkSession, *paths: str, sample: float = 1.0) -> T.StructType:
     """Schema of NDJSON files, ISO times as timestamps, texts that are all ISO days as dates.
 
-    Keys that differ only in case are different fields. Reads all data twice, for the fields and
-    for the days, unless told to ``sample`` a part of the lines: infer once, keep the schema.
+    Keys that differ only in case are different fields. One pass over the data, or over a ``sample`` of the
+    lines; a second one, of those fields alone, only if some text fields hold nothing but days in
+    the first rows. Infer once, keep the schema.
     """
     own = spark.newSession()  # its settings are nobody else's
     own.conf.set("spark.sql.caseSensitive", "true")
@@ -32,13 +38,19 @@ def infer_schema(spark: SparkSession, *paths: str, sample: float = 1.0) -> T.Str
     texts = [f.path for f in walk_fields(found) if isinstance(f.data_type, T.StringType)]
     if not texts:
         return found
-    values = [column_at(path) for path in texts]
-    all_days = [F.bool_and(v.rlike(ISO_DAY) & v.try_cast("date").isNotNull()) for v in values]
     rows = own.read.schema(found).option("mode", "DROPMALFORMED").json(list(paths))
-    if sample < 1:
-        rows = rows.sample(sample, seed=0)
+    texts = _all_days(rows.limit(FIRST_ROWS), texts, unknown=True)
+    if texts:
+        texts = _all_days(rows if sample == 1 else rows.sample(sample, seed=0), texts, unknown=False)
+    return _as_dates(found, [split_path(path) for path in texts])
+
+
+def _all_days(rows: DataFrame, paths: Sequence[str], unknown: bool) -> list[str]:
+    """The fields whose values are all ISO days; those without values if they are to count."""
+    values = [column_at(path) for path in paths]
+    all_days = [F.bool_and(v.rlike(ISO_DAY) & v.try_cast("date").isNotNull()) for v in values]
     days = rows.agg(*(d.alias(f"d{i}") for i, d in enumerate(all_days))).first()
-    return _as_dates(found, [split_path(path) for path, day in zip(texts, days) if day])
+    return [path for path, day in zip(paths, days) if day or (day is None and unknown)]
 
 
 def _as_dates(schema: T.StructType, steps: Sequence[Sequence[str]]) -> T.StructType:
@@ -86,19 +98,34 @@ def _pruned(schema: T.StructType, steps: Sequence[Sequence[str]]) -> T.StructTyp
     return T.StructType(fields)
 
 
+def _has_null(column: Column, data_type: T.DataType) -> Column:
+    """Whether a value, or anything inside it, is NULL."""
+    inner = F.lit(False)
+    if isinstance(data_type, T.StructType):
+        inner = reduce(lambda a, b: a | b, [_has_null(column.getField(f.name), f.dataType) for f in data_type.fields], inner)
+    elif isinstance(data_type, T.ArrayType):
+        inner = F.exists(column, lambda item: _has_null(item, data_type.elementType))
+    elif isinstance(data_type, T.MapType):
+        inner = F.exists(F.map_values(column), lambda item: _has_null(item, data_type.valueType))
+    return column.isNull() | inner
+
+
 def read_hits(
     spark: SparkSession,
     *paths: str,
     schema: T.StructType | None = None,
     columns: Sequence[str] | None = None,
     max_object_bytes: int | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Typed documents of NDJSON files, one row per non-blank line.
 
     A line that is no JSON object, or a larger one than allowed, is a row of NULLs whose text is
     kept in ``_corrupt_record``; so is the text of an object with a value that its column's type
-    can't hold, beside the values that fit. ``columns`` names the paths to parse, all by default.
-    Fields that differ only in case get names of their own (see :func:`distinct_names`).
+    can't hold, beside the values that fit. ``columns`` names the paths to parse, all by default;
+    ``file_column`` one to add with the path of a row's file. Fields that differ only in case get
+    names of their own (see :func:`distinct_names`). A line is parsed once; one in which a
+    field is missing or null a second time, to see whether its value did not fit.
     """
     schema = schema or infer_schema(spark, *paths)
     schema = schema if columns is None else pruned(schema, columns)
@@ -108,16 +135,17 @@ def read_hits(
     corrupt = CORRUPT
     while corrupt in schema.names:
         corrupt += "_"
+    file = [] if file_column is None else [F.col("_metadata.file_path").alias("file")]
+    parsed = parse_objects(lines, schema, [*file, "value"], fits)
+    told_apart = distinct_names(parsed.schema["object"].dataType)
+    rows = parsed.select(*(["file"] if file else []), "value", "good", F.col("object").cast(told_apart).alias("object"))
     item = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    whole = F.coalesce(F.ltrim(fits).startswith("{") & is_json(fits), F.lit(False))
-    # The object is generated as a row: as a mere column it would be parsed wherever it is used.
-    parsed = F.from_json(fits, item, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
-    named = parsed.cast(distinct_names(item))
-    rows = lines.select("value", whole.alias("good"), F.explode_outer(F.array(named)).alias("object"))
-    names = [f.name for f in distinct_names(item).fields]
-    fields = [F.when(F.col("good"), F.col("object").getField(n)).alias(n) for n in names[:-1]]
-    text = F.when(F.col("good"), F.col("object").getField(names[-1])).otherwise(value)
-    return rows.select(*fields, text.alias(CORRUPT))
+    checked = F.from_json(fits, item, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).getField(corrupt)
+    kept = told_apart.fields[: len(schema.fields)]
+    fields = [F.when(F.col("good"), F.col("object").getField(f.name)).alias(f.name) for f in kept]
+    some_null = reduce(lambda a, b: a | b, [_has_null(F.col("object").getField(f.name), f.dataType) for f in kept], F.lit(False))
+    text = F.when(~F.col("good"), value).when(some_null, checked)
+    return rows.select(*fields, text.alias(CORRUPT), *([F.col("file").alias(file_column)] if file_column else []))
 
 
 def store_hits(hits: DataFrame, path: str, cluster_by: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.text import json_safe
 from ..operators.paging import JSON_OPTIONS, SortKey, order_columns
-from ..scratch import delete_path, materialize, owned_scratch
+from ..scratch import delete_path
 
 
 def json_text(df: DataFrame, safe_integers: bool = False) -> Column:
@@ -63,21 +63,29 @@ def as_json_array(df: DataFrame, keys: Sequence[SortKey], max_rows: int | None =
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
-    """A sorted result of any size as part files that together are one JSON array.
+    """A sorted result of any size as part files that together, in the order of their names, are one JSON array.
 
-    The brackets are lines of their own. Which row comes first, without a comma, shows once the
-    rows are written: they are computed once, to the scratch folder, and copied from there.
+    Rows are computed and written once, each partition's first one without a comma before it. Which
+    partitions have rows shows afterwards: brackets, and a comma between two parts, are lines of
+    files of their own, whose names sort where they belong.
     """
     spark = df.sparkSession
-    with owned_scratch(spark):
-        lines = df.select(json_text(df).alias("value"), F.spark_partition_id().alias("part"))
-        stored = materialize(lines, "array-rows")
-        first = stored.agg(F.min("part")).first()[0]
-        leads = (F.col("part") == first) & (F.col("_metadata.row_index") == 0)
-        rows = stored.select(F.concat(F.when(leads, "").otherwise(","), F.col("value")).alias("value"), "part")
-        rows = rows.withColumn("at", F.col("_metadata.row_index")).orderBy("part", "at").select("value")
-        mark = lambda text: spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
-        mark("[").union(rows).union(mark("]")).write.text(path)
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    df.select(F.concat(F.when(first, "").otherwise(","), json_text(df)).alias("value")).write.text(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def put(name: str, text: str) -> None:
+        out = files.create(spark._jvm.org.apache.hadoop.fs.Path(folder, name))
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    listed = [(status.getPath().getName(), status.getLen()) for status in files.listStatus(folder)]
+    filled = sorted(name for name, size in listed if name.startswith("part-") and size)
+    put("part-!", "[\n")
+    for name in filled[:-1]:
+        put(f"{name}~", ",\n")
+    put("part-~", "]\n")
 
 
 def write_csv(df: DataFrame, path: str, crlf: bool = False) -> None:

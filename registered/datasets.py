@@ -58,6 +58,18 @@ def alias_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("_index", "c_custkey", "c_name", "s_suppkey", "s_name")
 
 
+def alias_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An alias of sixty datasets in folders of their own, some narrowed by one of three filters, and one that names another's folder."""
+    path = scratch_path(spark, "many")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.withColumn("shard", F.col("event_id") % 60).write.partitionBy("shard").parquet(path)
+    shards = {f"shard-{n:02}": Dataset(f"{path}/shard={n}") for n in range(60)}
+    filters = [None, {"term": {"event_type": "click"}}, {"range": {"event_id": {"gte": 500, "lt": 5000}}}, {"term": {"event_type": "view"}}]
+    many = [Member(name, filters[n % 4]) for n, name in enumerate(shards)]
+    given = Catalog({**shards, "again": shards["shard-07"]}, {"many": [*many, Member("again")]})
+    return read_alias(spark, given, "many").select("_index", "event_id", "ts", "event_type")
+
+
 def pattern_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_alias(spark, catalog(sf_dir), "*ion")
     return rows.select("_index", "n_nationkey", "n_regionkey", "r_name")
@@ -127,6 +139,13 @@ QUERIES = {
         " FROM customer WHERE c_mktsegment = 'BUILDING'"
         " UNION ALL SELECT 'supplier', NULL, NULL, s_suppkey, s_name FROM supplier",
     ),
+    "alias_many": (
+        alias_many,
+        """SELECT printf('shard-%02d', event_id % 60) AS _index, event_id, ts, event_type FROM events
+        WHERE CASE event_id % 60 % 4 WHEN 0 THEN TRUE WHEN 1 THEN event_type = 'click' WHEN 2 THEN event_id >= 500 AND event_id < 5000
+            ELSE event_type = 'view' END
+        UNION ALL SELECT 'again', event_id, ts, event_type FROM events WHERE event_id % 60 = 7""",
+    ),
     "pattern_union": (
         pattern_union,
         "SELECT 'nation' AS _index, n_nationkey, n_regionkey, NULL::VARCHAR AS r_name FROM nation"

@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hitlake.operators import Filter, TimeRange, filter_column
+from hitlake.functions import describe_schema
+from hitlake.operators import Filter, TimeRange, filter_column, merge_sketches, profile, sketch_fields, value_counts
+from hitlake.operators.sketches import ERROR
 from hitlake.plans import export
 from hitlake.scratch import scratch_path
-from hitlake.sources import Snapshot, footer_bounds, open_snapshot, store_hits, take_snapshot
+from hitlake.sources import (
+    Snapshot,
+    files_with,
+    footer_bounds,
+    index_substrings,
+    open_snapshot,
+    read_documents,
+    search_indexed,
+    store_documents,
+    store_hits,
+    take_snapshot,
+    variant_fields,
+    variant_schema,
+)
 
 from .profiles import range_sql
-from .tables import event_documents, events, lines_in_order, table
+from .tables import event_documents, events, hit_lines, lines_in_order, table
 
 BODY = {"query": {"term": {"host.name": "node5"}}}
 
@@ -81,6 +96,52 @@ def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.number().join(found, "row_id", "left")
 
 
+def search_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a rare word, by the substring index, and whether it spared files."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    rare = F.when(F.col("doc_id") % 100 == 7, F.concat("text", F.lit(" Quxzyplonk"))).otherwise(F.col("text"))
+    path = scratch_path(spark, "by-id")
+    documents.withColumn("text", rare).repartitionByRange(16, F.col("doc_id") % 100).write.parquet(path)
+    snapshot = take_snapshot(spark, path, scratch_path(spark, "snapshots"), "documents")
+    index_substrings(snapshot)
+    spared = len(files_with(snapshot, "quxzyPLON%")) < len(snapshot.files)
+    return search_indexed(snapshot, "quxzyPLON%").select("doc_id", "lang", F.lit(spared).alias("spared"))
+
+
+def variant_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths into hits stored as VARIANT; damaged lines are kept as they are."""
+    stored = store_documents(read_documents(spark, hit_lines(spark, sf_dir, damaged=True)), scratch_path(spark, "variants"))
+    paths = {"id": "_id", "host": "_source.host.name", "object": "_source.host", "k": "_source.k", "missing": "_source.k.x"}
+    texts = [text.alias(name) for name, text in zip(paths, variant_fields(F.col("document"), list(paths.values())))]
+    return stored.select(*texts, F.col("_corrupt_record").isNotNull().alias("corrupt"))
+
+
+def schema_of_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema of hits in one pass over their variants."""
+    schema = variant_schema(read_documents(spark, hit_lines(spark, sf_dir)))
+    return describe_schema(spark.createDataFrame([], schema))
+
+
+def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile merged from sketches of each day, held against the exact one.
+
+    ``near``: distinct values within the stated error; ``recall``: the rows of the ten values found are at
+    least nine tenths of those of the ten most frequent.
+    """
+    df = events(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    sketch_fields(df, [F.to_date("ts").alias("day")]).write.parquet(path)
+    merged = merge_sketches(spark.read.parquet(path))
+    counts = value_counts(df)
+    exact = profile(df)
+    found = merged.select("field", F.explode("top.value").alias("value")).join(counts, ["field", "value"])
+    held = found.groupBy("field").agg(F.sum("count").alias("held"))
+    best = exact.groupBy("field", F.col("unique_count").alias("exact_count")).agg(F.sum("count").alias("best"))
+    joined = merged.join(held, "field").join(best, "field")
+    near = F.abs(F.col("unique_count") - F.col("exact_count")) <= ERROR * F.col("exact_count") + 1
+    return joined.select("field", "type", "rows", "null_count", near.alias("near"), (F.col("held") >= 0.9 * F.col("best")).alias("recall"))
+
+
 QUERIES = {
     "snapshot_export": (
         snapshot_export,
@@ -105,6 +166,28 @@ QUERIES = {
         """SELECT least(count(*), 100) AS value, CASE WHEN count(*) > 100 THEN 'gte' ELSE 'eq' END AS relation, TRUE AS files_left
         FROM lineitem WHERE l_returnflag = 'R'""",
     ),
+    "search_indexed": (
+        search_by_index,
+        "SELECT doc_id, lang, TRUE AS spared FROM documents WHERE doc_id % 100 = 7",
+    ),
+    "variant_lookup": (
+        variant_lookup,
+        """SELECT CASE WHEN good THEN CAST(event_id AS VARCHAR) END AS id, CASE WHEN good THEN 'node' || user_id % 7 END AS host,
+            CASE WHEN good THEN '{"name":"node' || user_id % 7 || '"}' END AS object,
+            CASE WHEN good THEN json_extract_string(props, '$.k') END AS k, CAST(NULL AS VARCHAR) AS missing, NOT good AS corrupt
+        FROM (SELECT *, event_type NOT IN ('error', 'purchase') AS good FROM events)""",
+    ),
+    "variant_schema": (
+        schema_of_variants,
+        """SELECT * FROM (VALUES ('_id', 'VARCHAR', TRUE), ('place', 'BIGINT', TRUE), ('_source',
+            'STRUCT("@timestamp" VARCHAR, event_id BIGINT, host STRUCT(name VARCHAR), k BIGINT, message VARCHAR)', TRUE)) AS v(name, type, nullable)""",
+    ),
+    "profile_sketch": (
+        profile_sketch,
+        """SELECT unnest(['event_id', 'ts', 'user_id', 'event_type', 'value', 'props']) AS field,
+            unnest(['i64', 'time', 'i64', 'str', 'f64', 'str']) AS type, n AS rows, CAST(0 AS BIGINT) AS null_count, TRUE AS near, TRUE AS recall
+        FROM (SELECT count(*) AS n FROM events)""",
+    ),
     "snapshot_rows": (
         snapshot_rows,
         """SELECT row_id, o_orderkey, o_totalprice, CASE WHEN row_id = 777 THEN o_orderkey END AS found

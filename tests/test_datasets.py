@@ -1,5 +1,6 @@
 import pytest
-from pyspark.sql import functions as F
+from plans import plan
+from pyspark.sql import functions as F, types as T
 
 from hitlake.sources import (
     Catalog,
@@ -82,3 +83,40 @@ def test_describe_alias(spark, catalog):
     assert all(r.bytes > 0 and r.files > 0 and r.created is not None for r in rows)
     partly = {r["index"]: (r.docs, r.member_span) for r in describe_alias(spark, catalog, "some").collect()}
     assert partly == {"logs-0": (0, "-"), "logs-1": (1, "0 minutes"), "empty": (0, "-")}
+
+
+def test_one_scan_for_any_number_of_members(spark, tmp_path):
+    """The plan of an alias does not grow with its members, and its rows are those of the union."""
+    from hitlake.sources.datasets import _union
+
+    lines = []
+    for size in (4, 40):
+        root = tmp_path / f"of {size}"
+        spark.range(400).select("id", (F.col("id") % size).alias("n"), F.lit("x").alias("text")).write.partitionBy("n").parquet(str(root))
+        datasets = {f"d{n}": Dataset(f"{root}/n={n}") for n in range(size)}
+        (root / "more").mkdir()
+        for n in range(3):
+            (root / "more" / f"{n}.jsonl").write_text("".join(f'{{"id": {n * 1000 + i}, "own": {n}}}\n' for i in range(5)))
+            datasets[f"j{n}"] = Dataset(f"{root}/more/{n}.jsonl", "json", T.StructType.fromDDL("id bigint, own int"))
+        members = [Member(name, {"term": {"id": 7}} if n % 2 else None) for n, name in enumerate(datasets)]
+        catalog = Catalog(datasets, {"all": members})
+        rows = read_alias(spark, catalog, "all")
+        expected = _union(spark, catalog, members)
+        assert sorted(map(tuple, rows.select("_index", "id", "text", "own").collect()), key=str) == sorted(map(tuple, expected.select("_index", "id", "text", "own").collect()), key=str)
+        lines.append(len(plan(rows).split("\n")))
+    assert lines[0] == lines[1]
+
+
+def test_members_that_overlap_or_differ(spark, tmp_path):
+    """A folder inside another one, one folder under two names, one name with two filters, types that can't be merged."""
+    base = str(tmp_path / "base")
+    spark.range(10).write.parquet(base)
+    spark.range(10, 15).write.parquet(f"{base}/inner")
+    spark.createDataFrame([("text",)], "id string").write.parquet(str(tmp_path / "other"))
+    datasets = {"base": Dataset(base), "inner": Dataset(f"{base}/inner"), "same": Dataset(base + "/"), "other": Dataset(str(tmp_path / "other"))}
+    groups = {"nested": [Member("inner"), Member("same")], "twice": [Member("inner", {"term": {"id": 11}}), Member("inner", {"term": {"id": 12}})]}
+    catalog = Catalog(datasets, groups)
+    twice = read_alias(spark, catalog, "twice").collect()
+    assert sorted(r.id for r in twice) == [11, 12]
+    nested = read_alias(spark, catalog, "nested").groupBy("_index").count().collect()
+    assert dict(map(tuple, nested))["inner"] == 5
