@@ -1,10 +1,13 @@
 """Benchmark decontamination: word windows of the test items, looked up in every document.
 
-Items give windows of ``n`` consecutive words (a shorter item is one window). When the
-items' text fits ``broadcast_bytes`` the windows go to every task as a hash set: a
-document's words become numbers of the items' vocabulary, windows made of known words
-alone are hashed, and a hash that is in the set is verified word by word. A larger
-benchmark is joined by shuffle on 128-bit window hashes; both ways give the same rows.
+Items give windows of ``n`` consecutive words (a shorter item is one window). Where they are
+small enough the windows go to every task as a hash set made of arrays: the hashes of the
+windows of each length, sorted, with the places of their words in the items' text. A document's
+windows whose words are all known are hashed, and a hash that is in the set is verified on the
+words. ``broadcast_bytes`` bounds the memory that the set takes, which follows from the number of
+words (``BYTES_PER_WORD``), counted first. A larger benchmark is joined by shuffle on 128-bit
+window hashes; a Bloom filter of fixed size goes to the tasks, and only the windows that pass it
+are shuffled. Both ways give the same rows.
 
 Defined cases: a null text has no words, an item without words has no window and is never
 found, items with one id count as one item, repeated documents are judged each on its own.
@@ -14,7 +17,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,48 +54,88 @@ def windows_of(words: list[bytes], n: int) -> Iterator[tuple[bytes, ...]]:
             yield tuple(words[start : start + length])
 
 
-def window_set(items: list[tuple[str, bytes | None]], n: int) -> tuple[dict, dict, dict]:
-    """A bounded set of items as word numbers, windows (as numbers) with their items, and window hashes by length."""
-    vocabulary: dict[bytes, int] = {}
-    owners: dict[bytes, set[str]] = {}
-    hashes: dict[int, set[int]] = {}
-    for item, text in items:
-        for window in windows_of(words_of(text), n):
-            ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in window], np.int32)
-            owners.setdefault(ids.tobytes(), set()).add(item)
-            hashes.setdefault(len(ids), set()).add(int(_hashes(ids[None, :])[0]))
-    return vocabulary, owners, {length: np.array(sorted(found), np.uint64) for length, found in hashes.items()}
-
-
-def find_in(words: list[bytes], vocabulary: dict, owners: dict, hashes: dict) -> tuple[np.ndarray, set[str]]:
-    """Which words lie in an occurrence of a window, and the items of those windows."""
-    hit, items = np.zeros(len(words), bool), set()
-    ids = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words))
-    known = np.concatenate([[0], np.cumsum(ids >= 0)])
-    for length, wanted in hashes.items():
-        if known[-1] < length:
-            continue
-        starts = np.flatnonzero(known[length:] - known[:-length] == length)
-        for first in range(0, len(starts), 100_000):
-            block = starts[first : first + 100_000]
-            hashes_here = _hashes(ids[block[:, None] + np.arange(length)])
-            place = np.minimum(np.searchsorted(wanted, hashes_here), len(wanted) - 1)
-            for start in block[wanted[place] == hashes_here]:
-                owning = owners.get(ids[start : start + length].tobytes())
-                if owning:
-                    hit[start : start + length] = True
-                    items |= owning
-    return hit, items
-
-
-def _hashes(windows: np.ndarray) -> np.ndarray:
-    """One number for each row of word numbers."""
-    total = np.zeros(len(windows), np.uint64)
-    for position in range(windows.shape[1]):
-        total = (total + windows[:, position].astype(np.uint64) + np.uint64(1)) * FACTOR
+#: What a word of the items takes in a set at most: a window (hash, place, item), the word's ends, its mark, its text.
+BYTES_PER_WORD = 64
+#: Bits of the Bloom filter, and the bits a bitmap row holds.
+BLOOM_BITS, BITMAP_BITS = 1 << 27, 1 << 15
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def window_hashes(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """One number for the ``length`` words from each start on."""
+    total = np.zeros(len(starts), np.uint64)
+    for position in range(length):
+        total = (total ^ hashes[starts + position]) * FACTOR
+        total ^= total >> np.uint64(29)
     return total
 
 
+class WindowSet:
+    """The windows of a bounded number of items, as arrays."""
+
+    def __init__(self, items: list[tuple[str, bytes]], n: int):
+        words: list[bytes] = []
+        starts: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[np.ndarray]] = {}
+        self.items = [item for item, _ in items]
+        for at, (_, text) in enumerate(items):
+            own = words_of(text)
+            if own:
+                length = min(n, len(own))
+                here = np.arange(len(words), len(words) + len(own) - length + 1)
+                starts.setdefault(length, []).append(here)
+                owners.setdefault(length, []).append(np.full(len(here), at, np.int32))
+                words += own
+        self.text = b" ".join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.ends = np.cumsum(sizes + 1) - 1
+        self.begins = self.ends - sizes
+        hashes = word_hashes(words)
+        bits = max(10, (8 * len(words)).bit_length())
+        self.mask = np.uint64((1 << bits) - 1)
+        self.marks = np.zeros((1 << bits) // 8, np.uint8)  # a bit for words that stand in items
+        np.bitwise_or.at(self.marks, ((hashes & self.mask) >> np.uint64(3)).astype(np.int64), np.uint8(1) << (hashes & np.uint64(7)).astype(np.uint8))
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for length, parts in starts.items():
+            place, owner = np.concatenate(parts), np.concatenate(owners[length])
+            found = window_hashes(hashes, place, length)
+            order = np.argsort(found, kind="stable")
+            self.windows[length] = found[order], place[order], owner[order]
+
+    def nbytes(self) -> int:
+        arrays = [self.ends, self.begins, self.marks, *(a for window in self.windows.values() for a in window)]
+        return len(self.text) + sum(a.nbytes for a in arrays)
+
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes & self.mask
+        return (self.marks[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+
+    def find_in(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
+        """Which words lie in an occurrence of a window, and the items of those windows."""
+        hit, items = np.zeros(len(words), bool), set()
+        hashes = word_hashes(words)
+        count = np.concatenate([[0], np.cumsum(self.known(hashes))])
+        for length, (wanted, places, owners) in self.windows.items():
+            if count[-1] < length:
+                continue
+            starts = np.flatnonzero(count[length:] - count[:-length] == length)
+            here = window_hashes(hashes, starts, length)
+            first = np.searchsorted(wanted, here)
+            met = wanted[np.minimum(first, len(wanted) - 1)] == here
+            for start, at, h in zip(starts[met], first[met], here[met]):
+                said = b" ".join(words[start : start + length])
+                while at < len(wanted) and wanted[at] == h:
+                    place = places[at]
+                    if self.text[self.begins[place] : self.ends[place + length - 1]] == said:
+                        hit[start : start + length] = True
+                        items.add(self.items[owners[at]])
+                    at += 1
+        return hit, items
+
+
 def _spans(hit: np.ndarray) -> list[dict]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
     return [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
@@ -107,7 +149,7 @@ def find_windows(
     item_id: str = "item_id",
     item_text: str = "text",
     n: int = 13,
-    broadcast_bytes: int = 32 << 20,
+    broadcast_bytes: int = 64 << 20,
     name: str = "contamination",
 ) -> DataFrame:
     """``docs`` with a struct ``name``: n_words, n_hit, spans of hit words (end excluded) and sorted items.
@@ -115,11 +157,13 @@ def find_windows(
     Runs one small job that measures the benchmark.
     """
     items = benchmark.select(column(item_id).cast("string").alias("item"), column(item_text).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item") + 64)).first()[0] or 0
+    # A word has a byte and a byte behind it at least; an item its name and what Python adds to it.
+    words = F.regexp_count(F.col("text"), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+    size = items.agg(F.sum(F.coalesce(words, F.lit(0)) * BYTES_PER_WORD + F.coalesce(F.octet_length("text") + F.octet_length("item"), F.lit(0)) + 100)).first()[0] or 0
     if size > broadcast_bytes:
         return _find_by_join(docs, items, text, n, name)
-    rows = items.collect()  # at most broadcast_bytes
-    windows = window_set([(r.item, r.text.encode()) for r in rows if r.text is not None and r.item is not None], n)
+    rows = items.where("item IS NOT NULL AND text IS NOT NULL").collect()  # at most broadcast_bytes
+    windows = WindowSet([(r.item, r.text.encode()) for r in rows], n)
     shared = docs.sparkSession.sparkContext.broadcast(windows)
 
     def scan(batches):
@@ -128,7 +172,7 @@ def find_windows(
             out = []
             for value in texts:
                 words = words_of(value)
-                hit, found = find_in(words, *known)
+                hit, found = known.find_in(words)
                 out.append(
                     {"n_words": len(words), "n_hit": int(hit.sum()), "spans": _spans(hit), "items": sorted(found)}
                 )
@@ -137,30 +181,81 @@ def find_windows(
     return docs.withColumn(name, per_text(scan, HITS, HITS_ARROW)(column(text)))
 
 
+#: Rows passed on at a time.
+ROWS_AT_ONCE = 50_000
+
+
+def bloom_filter(items: DataFrame, n: int, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A bitmap of ``bits`` (a power of two) with two places of every window of the items; its size depends on nothing else."""
+
+    def places(batches):
+        for batch in batches:
+            found = []
+            for value in batch.column(0).cast(pa.binary()).to_pylist():
+                words = words_of(value)
+                length = min(n, len(words))
+                if words:
+                    found.append(window_hashes(word_hashes(words), np.arange(len(words) - length + 1), length))
+            hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
+            # Places from 1, as the bitmap functions count them.
+            both = np.concatenate(bloom_places(hashes, bits)).astype(np.int64) + 1
+            yield pa.record_batch([pa.array(both)], ["place"])
+
+    rows = items.where("item IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(places, "place bigint")
+    maps = rows.groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    filled = np.zeros(bits // 8, np.uint8)
+    for row in maps.collect():  # at most bits / BITMAP_BITS of them
+        at = (row.part - 1) * BITMAP_BITS // 8
+        part = np.frombuffer(row.bits, np.uint8)[: bits // 8 - at]
+        filled[at : at + len(part)] = part
+    return filled
+
+
+def bloom_places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64(bits - 1)
+    return hashes & mask, (hashes >> np.uint64(32)) * np.uint64(0x85EBCA6B) & mask
+
+
+def passes(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether windows with these hashes may be in the filter."""
+    found = np.ones(len(hashes), bool)
+    for place in bloom_places(hashes, 8 * len(filled)):
+        found &= (filled[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return found
+
+
 def _find_by_join(docs: DataFrame, items: DataFrame, text: str, n: int, name: str) -> DataFrame:
     """The same for a benchmark of any size: windows of both sides meet by hash."""
     lengths = [r.length for r in _item_windows(items, n).select("length").distinct().collect()]  # 1 to n
+    shared = docs.sparkSession.sparkContext.broadcast(bloom_filter(items, n))
 
     def doc_windows(batches):
+        bits = shared.value
+        keys, starts, sizes, digests = [], [], [], []
+
+        def ready():
+            batch = pa.record_batch(
+                [pa.array(keys, pa.string()), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary())],
+                ["key", "start", "length", "hash"],
+            )
+            for cells in (keys, starts, sizes, digests):
+                cells.clear()
+            return batch
+
         for batch in batches:
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 words = words_of(value)
-                joined = b" ".join(words)
-                ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64) - 1
-                starts = np.concatenate([[0], ends + 1])
+                hashes = word_hashes(words)
                 for length in lengths:
-                    found = [
-                        xxhash.xxh3_128_digest(joined[a:b]) for a, b in zip(starts[:-1], ends[length - 1 :])
-                    ]
-                    yield pa.record_batch(
-                        [
-                            pa.array([key] * len(found), pa.string()),
-                            pa.array(range(len(found)), pa.int32()),
-                            pa.array([length] * len(found), pa.int32()),
-                            pa.array(found, pa.binary()),
-                        ],
-                        ["key", "start", "length", "hash"],
-                    )
+                    every = np.arange(len(words) - length + 1)
+                    for start in every[passes(bits, window_hashes(hashes, every, length))] if len(every) else ():
+                        keys.append(key)
+                        starts.append(start)
+                        sizes.append(length)
+                        digests.append(xxhash.xxh3_128_digest(b" ".join(words[start : start + length])))
+                        if len(keys) >= ROWS_AT_ONCE:
+                            yield ready()
+        yield ready()
 
     def mark(batches):
         for texts in batches:

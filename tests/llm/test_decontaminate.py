@@ -50,3 +50,35 @@ def test_empty_tables(spark):
     assert D.decontaminate(documents(spark), items).count() == len(AWKWARD)
     assert D.decontaminate(documents(spark, []), items).count() == 0
     assert D.find_windows(documents(spark, []), items, broadcast_bytes=-1).count() == 0
+
+
+def test_set_stays_within_its_bound():
+    """What the set takes follows from the number of words: short ones, long ones, repeated ones."""
+    for words in (["a"] * 5000, [f"w{i}" for i in range(20_000)], ["longish" + str(i % 7) for i in range(3000)]):
+        found = D.WindowSet([("i", " ".join(words).encode())], 13)
+        assert found.nbytes() <= D.BYTES_PER_WORD * len(words) + len(" ".join(words)) + 1024
+
+
+def test_windows_that_many_items_share(spark):
+    shared = " ".join(prose(5).split()[:20])
+    items = spark.createDataFrame([(f"i{i}", shared) for i in range(40)], "item_id string, text string")
+    docs = documents(spark, [(1, f"before {shared} after", None, None), (2, prose(6), None, None)])
+    for limit in (1 << 20, 0):
+        found = {r.doc_id: r.x for r in D.find_windows(docs, items, broadcast_bytes=limit, name="x").collect()}
+        assert len(found[1]["items"]) == 40 and found[1].n_hit == len(D.words_of(shared.encode())) and found[2].n_hit == 0
+
+
+def test_bloom_filter_holds_every_window(spark):
+    rows = [(f"i{i}", prose(i, 30)) for i in range(60)]
+    items = spark.createDataFrame([*rows, (None, "x y"), ("null", None)], "item string, text string").repartition(3)
+    import numpy as np
+
+    for bits in (1 << 10, 1 << 17, 1 << 20):
+        filled = D.bloom_filter(items, 13, bits)
+        assert filled.nbytes == bits // 8
+        for _, text in rows:
+            words = D.words_of(text.encode())
+            hashes = D.window_hashes(D.word_hashes(words), np.arange(len(words) - 12), 13)
+            assert D.passes(filled, hashes).all()
+    others = D.word_hashes([f"{i}".encode() for i in range(5000)])
+    assert D.passes(filled, others).mean() < 0.05
