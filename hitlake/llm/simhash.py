@@ -5,8 +5,9 @@ fingerprints within ``distance`` (3) bits agree up to one bit in at least one 32
 Every distinct fingerprint therefore stands in one table per half under its own value, and
 looks up its Hamming ball of radius 1 there (the value and those with one more bit set: of
 two values one bit apart only one has to look). Bucket mates are verified on all 64 bits.
-A bucket gives the edges of a spanning forest, never all its pairs; where it holds very
-many fingerprints, a lookup enumerates the ball of the other half instead of comparing all.
+A bucket gives the edges of a spanning forest, never all its pairs. One that holds very many
+fingerprints is dealt out to buckets by the bytes of the other half; where even such a one is
+large, a lookup enumerates the ball of the other half instead of comparing all.
 
 Defined cases: null and empty texts, and texts without a word, have fingerprint zero, which
 links like any other; a text of fewer words than a shingle is one shingle; rows with one id
@@ -36,6 +37,11 @@ SEED = 42
 #: Comparisons made at once, and the bucket size beyond which lookups enumerate instead of comparing.
 PAIRS_AT_ONCE = 500_000
 ENUMERATE_ABOVE = 200_000
+#: Fingerprints beyond which a bucket is dealt out, and large buckets that are broadcast (eight bytes each) at most.
+LARGE = 20_000
+BROADCAST_BUCKETS = 1_000_000
+#: A bucket is a half's value, the half's number, and from this bit on the byte of the other half that it is dealt out by.
+SUB_BUCKET = 34
 
 
 def fingerprint(text: bytes | None, words_in_shingle: int = 3) -> int:
@@ -94,8 +100,9 @@ def _ball(half: int) -> np.ndarray:
 
 
 def _near_by_enumeration(members: np.ndarray, lookers: np.ndarray, bucket: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    ordered, masks = np.sort(members), _ball(bucket >> HALF)
-    shift = np.uint64(HALF * (bucket >> HALF))
+    half = bucket >> HALF & 1
+    ordered, masks = np.sort(members), _ball(half)
+    shift = np.uint64(HALF * half)
     value = np.uint64(bucket & ((1 << HALF) - 1)) << shift
     outside = ~(np.uint64((1 << HALF) - 1) << shift)
     for looker in lookers:
@@ -168,10 +175,33 @@ def link_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members = fps[last : last + size[-1]].copy()
 
 
+def split_large(rows: DataFrame, fingerprints: DataFrame) -> DataFrame:
+    """``rows`` of :func:`bucket_rows` with the buckets of very many fingerprints dealt out to smaller ones.
+
+    In a bucket one half is known up to the bit that the bucket stands for, so the other halves of two
+    near fingerprints differ in three bits at most and agree in one of their four bytes: members
+    stand, and lookers look, in the four buckets of their bytes.
+    """
+    halves = F.array(*[F.shiftrightunsigned("fp", HALF * half).bitwiseAND((1 << HALF) - 1) + (half << HALF) for half in (0, 1)])
+    sizes = fingerprints.select(F.explode(halves).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+    large = materialize(sizes.where(F.col("members") > LARGE).select("bucket", F.lit(True).alias("large")), "large-buckets")
+    count = large.count()  # at most one for each LARGE / 2 fingerprints
+    if not count:
+        return rows
+    marked = rows.join(F.broadcast(large) if count <= BROADCAST_BUCKETS else large, "bucket", "left")
+    low, high = F.col("fp").bitwiseAND((1 << HALF) - 1), F.shiftrightunsigned("fp", HALF)
+    other = F.when(F.col("bucket") < (1 << HALF), high).otherwise(low)
+    byte = lambda at: F.shiftrightunsigned(other, 8 * at).bitwiseAND(255)
+    parts = F.array(*[F.col("bucket") + F.shiftleft(byte(at) * 4 + at + 1024, SUB_BUCKET) for at in range(4)])
+    dealt = F.when(F.col("large"), parts).otherwise(F.array("bucket"))
+    return marked.select(F.explode(dealt).alias("bucket"), "probe", "fp")
+
+
 def link_fingerprints(fingerprints: DataFrame) -> DataFrame:
     """Edges (a, b) that connect every two of the distinct ``fp`` within three bits, directly or through others."""
-    rows = bucket_rows(fingerprints).repartition("bucket").sortWithinPartitions("bucket", "probe")
-    return rows.mapInArrow(link_buckets, "a bigint, b bigint")
+    rows = split_large(bucket_rows(fingerprints), fingerprints)
+    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "probe")
+    return ordered.mapInArrow(link_buckets, "a bigint, b bigint")
 
 
 def near_duplicates(

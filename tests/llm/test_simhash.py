@@ -69,6 +69,19 @@ def test_links_lose_nothing(spark):
     assert linked(spark, prints) == expected(prints)
 
 
+def test_buckets_dealt_out_lose_nothing(spark, monkeypatch):
+    """Fingerprints that share either half, in buckets split by bytes of the other one."""
+    monkeypatch.setattr(S, "LARGE", 20)
+    draw = random.Random(8)
+    low, high = draw.getrandbits(32), draw.getrandbits(32)
+    prints = {draw.getrandbits(9) << 47 | low for _ in range(150)} | {high << 32 | draw.getrandbits(9) << 20 for _ in range(150)}
+    prints |= {near(draw, f, 4) for f in list(prints)[:200]}
+    prints = sorted(prints)
+    rows = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in prints], "fp bigint")
+    assert S.split_large(S.bucket_rows(rows), rows).where(f"bucket >= {1 << S.SUB_BUCKET}").count() > 0
+    assert linked(spark, prints) == expected(prints)
+
+
 def test_enumeration_finds_what_comparison_finds(monkeypatch):
     draw = random.Random(6)
     half = draw.getrandbits(32)
