@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
@@ -126,8 +125,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
-    found = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.token_report(table(spark, sf_dir, "documents"), bpe.load(found))
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.token_report(table(spark, sf_dir, "documents"), bpe.load(vocabulary))
 
 
 QUERIES: dict[str, Query] = {

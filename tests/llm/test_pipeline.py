@@ -1,5 +1,7 @@
 """The stages one by one against plain versions, each on what its predecessor kept."""
 
+import hashlib
+
 import corpus_pipeline as P
 from pyspark.sql import functions as F
 from rows import AWKWARD, clashing, documents, prose
@@ -8,6 +10,8 @@ from test_mixing import poisson
 from test_simhash import plain_classes, plain_fingerprint
 from test_substring import plain as plain_removed
 
+from hitlake.llm import mixing
+
 
 def texts_of(df):
     return [(r.doc_id, r.text, r.lang, r.source) for r in df.select("doc_id", "text", "lang", "source").collect()]
@@ -38,8 +42,8 @@ def test_stages(spark, tmp_path, sf_dir):
                 least[root] = min(least.get(root, r[0]), r[0])
             assert ids == set(least.values()) and len(after) == len(ids) < len(before)
         elif k == 2:
-            gone = plain_removed(before)
-            changed = {r[0] for r in before if gone[r[0], r[1]]}
+            gone = {(i, text): n for i, text, n in plain_removed(before)}
+            changed = {r[0] for r in before if gone[str(r[0]), str(r[1])]}
             texts = {r[0]: r[1] for r in before}
             assert {r[0] for r in after if r[1] != texts[r[0]]} <= changed and {9001, 9002, 9003} <= changed
             assert {r[0] for r in before} - ids <= changed
@@ -47,8 +51,12 @@ def test_stages(spark, tmp_path, sf_dir):
             hits = {r[0]: plain_hits(r[1], items) for r in before}
             assert ids == {i for i, (n, hit, _) in hits.items() if not (hit and 20 * hit >= n)} and len(ids) < len(before)
         else:
-            assert {r[0] for r in after} <= {r[0] for r in before} and len(after) > len(before) / 2
-            assert [r.shuffle_key for r in result.collect()] is not None
+            rates = {r.source: r.rate for r in mixing.source_rates(docs, temperature=0.5, total=1.0).collect()}
+            share = lambda i: int(hashlib.md5(f"6:{i}".encode()).hexdigest()[:13], 16) / 16**13
+            copies = {(r[0], c) for r in before for c in range(poisson(rates[r[3]], share(r[0])))}
+            assert {(r.doc_id, r.copy) for r in result.collect()} == copies and len(after) == len(copies) > len(before) / 2
+            keys = {r.shuffle_key for r in result.collect()}
+            assert keys == {hashlib.md5(f"6:{i}:{c}".encode()).hexdigest() for i, c in copies}
         docs, before = result, after
 
 
@@ -69,4 +77,3 @@ def test_awkward_rows(spark, sf_dir, tmp_path):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
-    assert poisson(1.0, 0.0) == 0
