@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
-from decimal import Decimal, InvalidOperation
+from decimal import ROUND_FLOOR, Decimal, InvalidOperation
 from functools import reduce
 from typing import Any
 
@@ -57,6 +57,10 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
 
 
+#: Beyond every number a column of whole numbers holds.
+FAR = 10**36
+
+
 def field_type(schema: T.StructType, field: str) -> T.DataType:
     data_type = type_at(schema, field)
     if data_type is None:
@@ -82,20 +86,27 @@ def typed_literal(value: Value, data_type: T.DataType) -> Column:
 
 
 def _number(text: str, data_type: T.DataType) -> Column:
-    """A number in any spelling, to be compared exactly: with the column's type where it is whole."""
+    """A number in any spelling, to be compared exactly with a column of whole numbers.
+
+    A whole number has the column's type where it fits. Any other lies between two whole numbers, and
+    compares like the middle between them; beyond 37 digits like the last number that has so many.
+    """
     try:
         number = Decimal(text.strip())
     except InvalidOperation:
         number = Decimal("NaN")
     if not number.is_finite():
         return F.lit(text).cast(data_type)  # an error that names the text
-    if number == number.to_integral_value():
-        whole = int(number)
-        bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(data_type), 64)
-        kind = data_type if -(1 << bits - 1) <= whole < 1 << bits - 1 else T.DecimalType(38, 0)
-        return F.lit(str(whole)).cast(kind)
-    scale = min(18, -number.as_tuple().exponent)
-    return F.lit(format(number, "f")).cast(T.DecimalType(38, scale))
+    if number.copy_abs() >= FAR:
+        return F.lit(str(FAR if number > 0 else -FAR)).cast(T.DecimalType(38, 0))
+    whole = int(number.to_integral_value(ROUND_FLOOR))
+    if number != whole:
+        # Spelled out: a division would round long numbers.
+        half = f"{whole}.5" if whole >= 0 else f"-{-whole - 1}.5"
+        return F.lit(half).cast(T.DecimalType(38, 1))
+    bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(data_type), 64)
+    kind = data_type if -(1 << bits - 1) <= whole < 1 << bits - 1 else T.DecimalType(38, 0)
+    return F.lit(str(whole)).cast(kind)
 
 
 def contains_pattern(text: str) -> str:

@@ -165,7 +165,8 @@ def one_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def one_row_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     detail = row_detail(row_by_id(spark, f"{sf_dir}/documents.parquet", 123))
-    return detail.select(F.from_json("detail", "doc_id bigint, text string, lang string").alias("d")).select("d.*")
+    whole = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return detail.select(F.from_json("detail", whole).alias("d")).select("d.*")
 
 
 def export_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,7 +297,7 @@ QUERIES = {
     ),
     "row_ids": (row_ids, "SELECT row_number() OVER () - 1 AS row_id, o_orderkey, o_totalprice FROM orders"),
     "row_by_id": (one_row, "SELECT * FROM orders LIMIT 1 OFFSET 1234"),
-    "row_detail": (one_row_detail, "SELECT doc_id, text, lang FROM documents LIMIT 1 OFFSET 123"),
+    "row_detail": (one_row_detail, "SELECT doc_id, text, lang, source, CAST(n_chars AS BIGINT) AS n_chars FROM documents LIMIT 1 OFFSET 123"),
     "export_hits": (
         export_hits,
         f'SELECT CAST(event_id AS VARCHAR) AS _id, ts AS "@timestamp", {_MESSAGE}, event_id {_EXPORTED}',

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from plans import plan
 from pyspark.sql import functions as F, types as T
@@ -40,7 +42,11 @@ def catalog(spark, tmp_path):
 def test_inventory(spark, catalog):
     rows = inventory(spark, catalog, sort="docs").collect()
     assert [(r["index"], r.docs) for r in rows] == [("empty", 0), ("logs-0", 1), ("logs-1", 1), ("raw", 2)]
-    assert all(r.bytes > 0 and r.files >= 1 and r.created is not None for r in rows)
+    for r in rows:
+        place = Path(catalog.datasets[r["index"]].path)
+        files = [place] if place.is_file() else [f for f in place.iterdir() if f.name[0] not in "._"]
+        assert (r.bytes, r.files) == (sum(f.stat().st_size for f in files), len(files))
+        assert abs(r.created.timestamp() - min(f.stat().st_mtime for f in files)) < 0.01
     assert [r["index"] for r in inventory(spark, catalog, "logs-*").collect()] == ["logs-0", "logs-1"]
     assert inventory(spark, catalog, "*.*").count() == 0
     down = inventory(spark, catalog, sort="index", descending=True).collect()

@@ -166,7 +166,9 @@ def test_scan_sees_the_filters(spark, sf_dir):
 
 @pytest.mark.parametrize(
     "operator, value, found",
-    [("gt", "5.5", [6, 7]), ("gte", "6.0", [6, 7]), ("lt", "6.25", [5, 6]), ("eq", "5.5", []), ("eq", " 6e0 ", [6]), ("neq", "5.5", [5, 6, 7]), ("lt", "9" * 25, [5, 6, 7])],
+    [("gt", "5.5", [6, 7]), ("gte", "6.0", [6, 7]), ("lt", "6.25", [5, 6]), ("eq", "5.5", []), ("eq", " 6e0 ", [6]), ("neq", "5.5", [5, 6, 7]), ("lt", "9" * 25, [5, 6, 7]),
+     ("eq", "6.0000000000000000000000000001", []), ("gt", "5.9999999999999999999999999999", [6, 7]), ("lt", "1e400", [5, 6, 7]), ("gt", "-1e400", [5, 6, 7]),
+     ("gte", "-0.3", [5, 6, 7]), ("lt", "-5.5", []), ("lte", "7." + "0" * 60, [5, 6, 7]), ("eq", "1" * 60, [])],
 )
 def test_numbers_in_any_spelling(spark, operator, value, found):
     df = spark.createDataFrame([(5,), (6,), (7,)], "n int")
