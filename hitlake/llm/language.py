@@ -9,7 +9,8 @@ n-gram matrix with the (n-grams x languages) matrix L alpha, which every task ha
 
 Bounds (parameters): ``per_language`` training texts, ``landmarks`` of them, and ``training``
 texts over all languages; whole texts are used, and all texts are scored. The sample is the
-texts whose ids have the smallest hashes.
+texts whose ids have the smallest hashes; with more languages than ``training`` texts some are
+never learned. What tasks get grows with the languages, not with the texts.
 
 Defined cases: a null text and one without a letter is ``und`` with score 0, as is every
 text where nothing is labelled; ties go to the language that sorts first.

@@ -196,26 +196,30 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     tag = F.xxhash64(column(text))
     second = F.shiftleft(F.xxhash64(F.lit("second"), column(text)), 64 - SECOND)
     owner = column(doc_id).cast("bigint")
-    rows = docs.select(owner, column(text), tag, second).mapInArrow(_run_rows, "h bigint, c int, id bigint, tag bigint, place bigint")
+    runs_in = lambda part: part.select(owner, column(text), tag, second).mapInArrow(_run_rows, "h bigint, c int, id bigint, tag bigint, place bigint")
     least = [F.min("id").alias("first"), F.min(F.when(F.col("id").isNull(), F.col("tag"))).alias("first_tag"), F.count(F.lit(1)).alias("n")]
-    repeated = rows.groupBy("h", "c").agg(*least)
+    repeated = runs_in(docs).groupBy("h", "c").agg(*least)
     # Written out, so that both sides of the join are shuffled for it alone and a hot run can be split.
     repeated = materialize(repeated.where("n > 1").drop("n"), "repeated-runs")
-    later = f"CASE WHEN id IS NULL THEN first IS NOT NULL OR tag > first_tag ELSE id > first END OR (place & {AGAIN}) != 0"
-    again = rows.join(repeated, ["h", "c"]).where(later)
-    found = again.groupBy("id", "tag", F.expr(f"place >> {64 - SECOND}").alias("second")).agg(F.collect_set("place").alias("places"))
+
+    def found_in(part: DataFrame, later: str) -> DataFrame:
+        again = runs_in(part).join(repeated, ["h", "c"]).where(f"{later} OR (place & {AGAIN}) != 0")
+        return again.groupBy("id", "tag", F.expr(f"place >> {64 - SECOND}").alias("second")).agg(F.collect_set("place").alias("places"))
+
+    has_id = column(doc_id).isNotNull()
     row, key, tagged, more, places, copy = (new_name(docs, n) for n in ("row", "id", "tag", "second", "places", "copy"))
     wrapped = docs.select(
         F.struct(*[column(c) for c in docs.columns]).alias(row), owner.alias(key), tag.alias(tagged), F.shiftright(second, 64 - SECOND).alias(more)
     )
-    found = found.select(F.col("id").alias(f"{key}_"), F.col("tag").alias(f"{tagged}_"), F.col("second").alias(f"{more}_"), F.col("places").alias(places))
+    renamed = lambda found: found.select(F.col("id").alias(f"{key}_"), F.col("tag").alias(f"{tagged}_"), F.col("second").alias(f"{more}_"), F.col("places").alias(places))
     same = (F.col(tagged) == F.col(f"{tagged}_")) & (F.col(more) == F.col(f"{more}_"))
-    known = wrapped.where(F.col(key).isNotNull()).join(found.where(F.col(f"{key}_").isNotNull()), same & (F.col(key) == F.col(f"{key}_")), "left")
+    found = renamed(found_in(docs.where(has_id), "id > first"))
+    known = wrapped.where(F.col(key).isNotNull()).join(found, same & (F.col(key) == F.col(f"{key}_")), "left")
     # Rows without an id get a number that stays, since they are written, and equal texts but the least are copies.
     orphans = materialize(wrapped.where(F.col(key).isNull()).withColumn(copy, F.monotonically_increasing_id()), "rows-without-id")
     stays = orphans.groupBy(F.col(tagged).alias("of"), F.col(more).alias("of_second")).agg(F.min(copy).alias("stays"))
     unknown = orphans.join(stays, (F.col(tagged) == F.col("of")) & (F.col(more) == F.col("of_second")))
-    unknown = unknown.join(found.where(F.col(f"{key}_").isNull()), same, "left")
+    unknown = unknown.join(renamed(found_in(docs.where(~has_id), "(first IS NOT NULL OR tag > first_tag)")), same, "left")
     parts = known.select(row, places, F.lit(False).alias(copy)).union(unknown.select(row, places, F.col(copy) > F.col("stays")))
     result = F.arrow_udf(_without, returnType=RESULT).asNondeterministic()(F.col(row)[text], F.col(places), F.col(copy))
     return parts.select(f"{row}.*", result.alias(name))
