@@ -20,7 +20,13 @@ from hitlake.sources import (
 
 from .tables import event_hits, events, hit_lines, table
 
-FLAT = ("_id", "_source.message", "_source.host.name", "_source.k")
+FLAT = ("_id", "_source.message", "_source.host.name", "_source.k", "_source.event_id")
+
+
+def flat(hits: DataFrame) -> DataFrame:
+    """Every field of a hit but its place, its time to the microsecond."""
+    time = F.date_format(F.col("_source.`@timestamp`"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return hits.select(*FLAT, time.alias("time"))
 
 
 def path_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +59,7 @@ def included_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_hits(spark, hit_lines(spark, sf_dir)).select(*FLAT)
+    return flat(read_hits(spark, hit_lines(spark, sf_dir)))
 
 
 def damaged_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +108,7 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = read_hits(spark, hit_lines(spark, sf_dir)).drop("_corrupt_record")
-    return store_hits(hits, scratch_path(spark, "stored")).select(*FLAT)
+    return flat(store_hits(hits, scratch_path(spark, "stored")))
 
 
 def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +123,7 @@ def raw_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = hit_lines(spark, sf_dir)
     second = scratch_path(spark, "raw")
     write_jsonl(read_lines(spark, first), second, raw=True)
-    return read_hits(spark, second, schema=infer_schema(spark, first)).select(*FLAT)
+    return flat(read_hits(spark, second, schema=infer_schema(spark, first)))
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +152,7 @@ def small_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ROWS = """SELECT CAST(event_id AS VARCHAR) AS _id, event_type || ' user=' || CAST(user_id AS VARCHAR) AS message,
     'node' || CAST(user_id % 7 AS VARCHAR) AS name, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
+_FLAT = _ROWS.replace(" FROM events", ", event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time FROM events")
 _META = """SELECT DISTINCT unnest(regexp_extract_all(html, '<meta [^>]+>')) AS match, url,
     CAST(page_id AS VARCHAR) AS page_id FROM pages"""
 
@@ -180,7 +187,7 @@ QUERIES = {
         """SELECT CAST(event_id AS VARCHAR) AS _id, '{"host":{"name":"node' || CAST(user_id % 7 AS VARCHAR)
         || '"},"k":' || json_extract_string(props, '$.k') || '}' AS source FROM events""",
     ),
-    "read_hits": (typed_hits, _ROWS),
+    "read_hits": (typed_hits, _FLAT),
     "read_hits_damaged": (
         damaged_hits,
         """SELECT damaged, count(*) AS lines, count(*) FILTER (damaged) AS kept_texts,
@@ -192,9 +199,9 @@ QUERIES = {
         damaged_lines,
         "SELECT event_id, TRUE AS numbered_right FROM events WHERE event_type IN ('error', 'purchase')",
     ),
-    "store_hits": (stored_hits, _ROWS),
+    "store_hits": (stored_hits, _FLAT),
     "write_jsonl": (jsonl_round_trip, "SELECT * FROM documents"),
-    "write_raw_lines": (raw_round_trip, _ROWS),
+    "write_raw_lines": (raw_round_trip, _FLAT),
     "write_csv": (csv_round_trip, _META),
     "write_csv_crlf": (csv_crlf_round_trip, _META),
     "as_json_array": (
