@@ -177,7 +177,8 @@ def load(path: str) -> Vocabulary:
         kept = json.load(file)
     model, split = kept["model"], kept["pre_tokenizer"] or {}
     plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
-    changed = kept.get("normalizer") or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    options = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    changed = kept.get("normalizer") or any(model.get(option) for option in options)
     if model["type"] != "BPE" or not plain or changed:
         raise ValueError(f"not a plain byte-level BPE: {path}")
     if len(model["merges"]) > MOST_MERGES:
@@ -404,5 +405,8 @@ def token_report(docs: DataFrame, vocabulary: Vocabulary, *, doc_id: str = "doc_
     back = new_name(docs, "decoded")
     done = decode(encode(docs.select(column(doc_id), column(text)), vocabulary, text=text, name=ids), vocabulary, ids=ids, name=back)
     return done.select(
-        column(doc_id), F.size(ids).cast("bigint").alias("n_tokens"), ids_digest(F.col(ids)).alias("ids_sha256"), F.sha2(F.col(back), 256).alias("decoded_sha256")
+        column(doc_id),
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        ids_digest(F.col(ids)).alias("ids_sha256"),
+        F.sha2(F.col(back), 256).alias("decoded_sha256"),
     )

@@ -163,7 +163,9 @@ def damage(messages: DataFrame, *, conv: str = "conv_id", turn: str = "turn", ro
     """(conv, turn, role, text) with faults drawn by a hash of the conversation and turn: rows gone, emptied, cut off, repeated, re-roled."""
     part = lambda name: F.coalesce(column(name).cast("string"), F.lit(" "))
     drawn = F.crc32(F.concat(part(conv), F.lit(":"), part(turn)).cast("binary")) % 20
-    rows = messages.select(column(conv).alias("conv"), column(turn).alias("turn"), part(role).alias("role"), part(text).alias("text"), drawn.alias("drawn"))
+    rows = messages.select(
+        column(conv).alias("conv"), column(turn).alias("turn"), part(role).alias("role"), part(text).alias("text"), drawn.alias("drawn")
+    )
     said = F.when(F.col("drawn") == 1, "").when(F.col("drawn") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
     times = F.when(F.col("drawn") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     kept = rows.where("drawn <> 0").withColumn("time", F.explode(times))
@@ -254,8 +256,10 @@ def judge(numbered: DataFrame) -> DataFrame:
     blocks = rows.select("conv", "block", first.alias("first"), F.array_join("rows.code", "").alias("codes"), inside.alias("whole"))
     solved = blocks.mapInArrow(_solve_blocks, f"conv {kind}, block bigint, first bigint, codes string, ways {WAYS}")
     ordered = solved.repartition("conv").sortWithinPartitions("conv", "block")
-    run = by_conversation(_verdict, ["first", "codes", "blank", "duplicate", "truncated", "illegal", "cost", "audit"], [pa.int64(), pa.string(), *[pa.int64()] * 5, pa.string()])
-    return ordered.mapInArrow(run, f"conv {kind}, first bigint, codes string, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string")
+    counts = ["blank", "duplicate", "truncated", "illegal", "cost"]
+    kinds = [pa.int64(), pa.string(), *[pa.int64()] * len(counts), pa.string()]
+    shape = f"conv {kind}, first bigint, codes string, {', '.join(f'{name} bigint' for name in counts)}, audit string"
+    return ordered.mapInArrow(by_conversation(_verdict, ["first", "codes", *counts, "audit"], kinds), shape)
 
 
 def _edits(verdicts: Iterator[tuple]) -> Iterator[tuple]:

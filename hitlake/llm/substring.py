@@ -7,7 +7,8 @@ From every sentence the shortest run of at least ``MIN_SENTENCES`` sentences and
 ``MIN_WORDS`` words is hashed (96 bits of XXH3 over the lower-cased words). Hashes meet in a
 shuffle; a run that stands in a document before, or earlier in its own, is a
 repeat, and all its sentences are removed. So any passage of fifty words with the same line
-breaks shares a run with its copies, and one copy of the run stays. The runs that stand in several places are written to the scratch folder. Counting combines before the shuffle; a run that very many documents share is a skewed
+breaks shares a run with its copies, and one copy of the run stays. The runs that stand in several places
+are written to the scratch folder. Counting combines before the shuffle; a run that very many documents share is a skewed
 join key with one row on the other side, which adaptive execution splits.
 
 A row is known by its id and 88 bits of hash of its text, so rows of one id never take each
@@ -196,7 +197,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     tag = F.xxhash64(column(text))
     second = F.shiftleft(F.xxhash64(F.lit("second"), column(text)), 64 - SECOND)
     owner = column(doc_id).cast("bigint")
-    runs_in = lambda part: part.select(owner, column(text), tag, second).mapInArrow(_run_rows, "h bigint, c int, id bigint, tag bigint, place bigint")
+    shape = "h bigint, c int, id bigint, tag bigint, place bigint"
+    runs_in = lambda part: part.select(owner, column(text), tag, second).mapInArrow(_run_rows, shape)
     least = [F.min("id").alias("first"), F.min(F.when(F.col("id").isNull(), F.col("tag"))).alias("first_tag"), F.count(F.lit(1)).alias("n")]
     repeated = runs_in(docs).groupBy("h", "c").agg(*least)
     # Written out, so that both sides of the join are shuffled for it alone and a hot run can be split.
@@ -211,7 +213,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     wrapped = docs.select(
         F.struct(*[column(c) for c in docs.columns]).alias(row), owner.alias(key), tag.alias(tagged), F.shiftright(second, 64 - SECOND).alias(more)
     )
-    renamed = lambda found: found.select(F.col("id").alias(f"{key}_"), F.col("tag").alias(f"{tagged}_"), F.col("second").alias(f"{more}_"), F.col("places").alias(places))
+    names = {"id": f"{key}_", "tag": f"{tagged}_", "second": f"{more}_", "places": places}
+    renamed = lambda found: found.select(*(F.col(c).alias(name) for c, name in names.items()))
     same = (F.col(tagged) == F.col(f"{tagged}_")) & (F.col(more) == F.col(f"{more}_"))
     found = renamed(found_in(docs.where(has_id), "id > first"))
     known = wrapped.where(F.col(key).isNotNull()).join(found, same & (F.col(key) == F.col(f"{key}_")), "left")

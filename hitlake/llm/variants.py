@@ -56,7 +56,9 @@ def slipped(word: bytes, seed: int, one_in: int) -> bytes | None:
     return word[:at] + word[at + 1 :]
 
 
-def count_words(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_chars: int = 6, min_count: int = 5, one_in: int | None = None) -> DataFrame:
+def count_words(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", min_chars: int = 6, min_count: int = 5, one_in: int | None = None
+) -> DataFrame:
     """(word, n) of the words of at least ``min_chars`` letters that occur at least ``min_count`` times.
 
     A word is a run of letters of Latin-1, A-Z lower-cased. With ``one_in`` an occurrence whose
@@ -69,7 +71,8 @@ def count_words(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         counts: Counter[bytes] = Counter()
 
         def ready() -> pa.RecordBatch:
-            batch = pa.record_batch([pa.array([w.decode("latin-1") for w in counts], pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+            words_here = pa.array([w.decode("latin-1") for w in counts], pa.string())
+            batch = pa.record_batch([words_here, pa.array(counts.values(), pa.int64())], ["word", "n"])
             counts.clear()
             return batch
 
@@ -126,7 +129,8 @@ def lookups(form: Column, symbols: int) -> Column:
 def near_pairs(vocabulary: DataFrame, symbols: int) -> DataFrame:
     """(a, a_n, b, b_n) for every two words one edit apart, each pair once; ``vocabulary`` has distinct ``word`` and ``n``."""
     formed = vocabulary.select("word", "n", reduced(F.col("word"), symbols).alias("form"))
-    lookers = formed.select(F.explode(lookups(F.col("form"), symbols)).alias("key"), F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("form").alias("a_form"))
+    keys = F.explode(lookups(F.col("form"), symbols)).alias("key")
+    lookers = formed.select(keys, F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("form").alias("a_form"))
     members = formed.select(F.col("form").alias("key"), F.col("word").alias("b"), F.col("n").alias("b_n"))
     once = (F.col("key") != F.col("a_form")) | (F.col("a") < F.col("b"))  # words of one form look each other up
     met = lookers.join(members, "key").where(once & (F.levenshtein("a", "b", 1) == 1))
@@ -138,7 +142,8 @@ def roots(forms: DataFrame) -> DataFrame:
     state = materialize(forms.select("word", F.col("form").alias("root")), "variant-roots")
     while True:
         further = state.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        longer = state.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        moves = F.col("next").isNotNull().alias("moved")
+        longer = state.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), moves)
         following = materialize(longer, "variant-roots")
         moved = following.where("moved").limit(1).count()
         remove_scratch(state)
@@ -156,7 +161,8 @@ def group_variants(vocabulary: DataFrame, *, ratio: int = 5, symbols: int | None
     kept = materialize(vocabulary.where("word IS NOT NULL").select("word", "n"), "vocabulary")
     shortest, size = kept.agg(F.min(F.length("word")), F.count(F.lit(1))).first()
     pairs = near_pairs(kept, symbols or symbols_for(size, max(1, shortest or 1)))
-    both = F.array(*[F.struct(F.col(x).alias("word"), F.col(f"{x}_n").alias("n"), F.struct((-F.col(f"{y}_n")).alias("less"), F.col(y).alias("word")).alias("near")) for x, y in ("ab", "ba")])
+    near = lambda y: F.struct((-F.col(f"{y}_n")).alias("less"), F.col(y).alias("word")).alias("near")
+    both = F.array(*[F.struct(F.col(x).alias("word"), F.col(f"{x}_n").alias("n"), near(y)) for x, y in ("ab", "ba")])
     sides = pairs.select(F.explode(both).alias("s")).select("s.*")
     nearest = sides.groupBy("word").agg(F.min("near").alias("best"), F.count(F.lit(1)).alias("n_near"))
     joined = kept.join(nearest, "word", "left")
