@@ -29,7 +29,14 @@ def sketch_fields(df: DataFrame, by: Sequence[Column] = (), fields: Sequence[str
     """
     leaves = [f for f in walk_fields(df.schema) if fields is None or f.display_path in fields]
     # A leaf's value stands in a struct with its names, so that groups may be called anything.
-    cells = [F.struct(F.lit(f.display_path).alias("field"), F.lit(short_type(f.data_type)).alias("type"), text_of(column_at(f.path), f.data_type).alias("value")) for f in leaves]
+    cells = [
+        F.struct(
+            F.lit(f.display_path).alias("field"),
+            F.lit(short_type(f.data_type)).alias("type"),
+            text_of(column_at(f.path), f.data_type).alias("value"),
+        )
+        for f in leaves
+    ]
     values = df.select(*by, F.explode(F.array(*cells)).alias("cell")).select("*", "cell.*").drop("cell")
     groups = [c for c in values.columns if c not in ("field", "type", "value")]
     return values.groupBy(*(F.col(f"`{g}`") for g in groups), "field", "type").agg(
