@@ -64,7 +64,7 @@ def clustered_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two days of clustered events, and the share of the files that had to be opened."""
     snapshot = event_snapshot(spark, sf_dir)
     time = TimeRange("ts", "2024-01-12T00:00:00", "2024-01-13T12:00:00")
-    few = len(snapshot.files_between(time)) * 10 <= len(snapshot.files)
+    few = len(snapshot.files_between(time)) * 8 <= len(snapshot.files)
     return snapshot.between(time).select("event_id", "ts", F.lit(few).alias("few_files"))
 
 
