@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -10,7 +12,28 @@ from pyspark.sql.functions import arrow_udf
 
 
 #: Texts that are Python objects at one time in a task.
-TEXTS_AT_ONCE = 1_000
+TEXTS_AT_ONCE = 500
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on beside the JVM, from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` over a task's batches, giving memory back at the end."""
+
+    @wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
 
 
 def column(name: str) -> Column:
@@ -52,7 +75,7 @@ def per_text(function: Callable[[Iterator[list]], Iterator[list]], returns: str,
                 parts = []
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return arrow_udf(run, returnType=returns).asNondeterministic()
+    return arrow_udf(tidy(run), returnType=returns).asNondeterministic()
 
 
 def held_out(doc_id: Column, parts: int, part: int = 2) -> Column:

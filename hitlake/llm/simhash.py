@@ -28,7 +28,7 @@ from pyspark.sql.types import AtomicType
 
 from hitlake.scratch import materialize
 
-from .common import column, new_name, per_text
+from .common import column, new_name, per_text, tidy
 from .components import connected_components, forest
 
 HALF = 32
@@ -201,7 +201,7 @@ def link_fingerprints(fingerprints: DataFrame) -> DataFrame:
     """Edges (a, b) that connect every two of the distinct ``fp`` within three bits, directly or through others."""
     rows = split_large(bucket_rows(fingerprints), fingerprints)
     ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "probe")
-    return ordered.mapInArrow(link_buckets, "a bigint, b bigint")
+    return ordered.mapInArrow(tidy(link_buckets), "a bigint, b bigint")
 
 
 def near_duplicates(

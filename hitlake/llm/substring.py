@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from hitlake.scratch import materialize
 
-from .common import column, new_name
+from .common import column, new_name, tidy
 
 MIN_SENTENCES = 3
 MIN_WORDS = 20
@@ -154,7 +154,7 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own: set[bytes] = set()
                 place += [AGAIN if d in own or own.add(d) else 0 for d in found]
             places.append(place)
-            if len(digests) > 200_000 or at == len(ids) - 1:
+            if len(digests) > 100_000 or at == len(ids) - 1:
                 bits = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
                 yield pa.record_batch(
                     [
@@ -198,7 +198,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     second = F.shiftleft(F.xxhash64(F.lit("second"), column(text)), 64 - SECOND)
     owner = column(doc_id).cast("bigint")
     shape = "h bigint, c int, id bigint, tag bigint, place bigint"
-    runs_in = lambda part: part.select(owner, column(text), tag, second).mapInArrow(_run_rows, shape)
+    runs_in = lambda part: part.select(owner, column(text), tag, second).mapInArrow(tidy(_run_rows), shape)
     least = [F.min("id").alias("first"), F.min(F.when(F.col("id").isNull(), F.col("tag"))).alias("first_tag"), F.count(F.lit(1)).alias("n")]
     repeated = runs_in(docs).groupBy("h", "c").agg(*least)
     # Written out, so that both sides of the join are shuffled for it alone and a hot run can be split.
@@ -224,7 +224,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     unknown = orphans.join(stays, (F.col(tagged) == F.col("of")) & (F.col(more) == F.col("of_second")))
     unknown = unknown.join(renamed(found_in(docs.where(~has_id), "(first IS NOT NULL OR tag > first_tag)")), same, "left")
     parts = known.select(row, places, F.lit(False).alias(copy)).union(unknown.select(row, places, F.col(copy) > F.col("stays")))
-    result = F.arrow_udf(_without, returnType=RESULT).asNondeterministic()(F.col(row)[text], F.col(places), F.col(copy))
+    result = F.arrow_udf(tidy(_without), returnType=RESULT).asNondeterministic()(F.col(row)[text], F.col(places), F.col(copy))
     return parts.select(f"{row}.*", result.alias(name))
 
 
