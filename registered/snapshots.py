@@ -131,7 +131,7 @@ def profile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = events(spark, sf_dir)
     path = scratch_path(spark, "sketches")
     sketch_fields(df, [F.to_date("ts").alias("day")]).write.parquet(path)
-    merged = merge_sketches(spark.read.parquet(path))
+    merged = merge_sketches(spark.read.parquet(path), rows=df)
     counts = value_counts(df)
     exact = profile(df)
     found = merged.select("field", F.explode("top.value").alias("value")).join(counts, ["field", "value"])

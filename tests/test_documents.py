@@ -90,6 +90,24 @@ def test_sketches_merge_to_a_profile(spark, tmp_path):
     assert [tuple(t) for t in some.top] == [("1", 6000)]
 
 
+def test_fields_beyond_their_sketch_are_counted(spark):
+    n = F.col("id")
+    df = spark.range(60_000).select(
+        n, F.when(n % 5 == 0, n % 7).otherwise(n % 20_011).alias("short"), F.when(n % 4 > 0, n % 13).otherwise(n + 100).alias("tall"), (n % 50).alias("few")
+    )
+    sketches = sketch_fields(df, [(n % 3).alias("part")])
+    alone = {r.field: r for r in merge_sketches(sketches).collect()}
+    assert {f for f, r in alone.items() if not r.reliable} == {"id", "short"}
+    got = {r.field: r for r in merge_sketches(sketches, rows=df).collect()}
+    exact = {}
+    for r in profile(df).orderBy("rank").collect():
+        exact.setdefault(r.field, []).append((r.value, r["count"]))
+    assert all(r.reliable for r in got.values())
+    assert {f: [tuple(t) for t in got[f].top] for f in ("id", "short")} == {f: exact[f] for f in ("id", "short")}
+    assert len(got["tall"].top) == 10 and {t["value"] for t in got["tall"].top} <= {str(value) for value in range(13)}
+    assert sorted(t["count"] for t in got["few"].top) == sorted(count for _, count in exact["few"])
+
+
 def test_nested_times_are_whole(spark):
     rows = spark.sql(
         """SELECT array(timestamp'2024-01-01T00:00:00.000001Z') AS list, struct(timestamp_ntz'2024-01-01 00:00:00.000001' AS t) AS s,
