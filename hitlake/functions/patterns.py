@@ -12,6 +12,7 @@ from functools import reduce
 from typing import NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 
@@ -98,13 +99,31 @@ def required_literals(pattern: str) -> tuple[str, ...]:
     return tuple(longest) if all(longest) else ()
 
 
+#: Bytes of texts searched before their matches go back, more only for a single text: a pattern can match at every character.
+BYTES_AT_ONCE = 1 << 18
+
+
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """A batch in parts of at most ``BYTES_AT_ONCE``, or of one text."""
+    start = held = 0
+    for at, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if at > start and held + (size or 0) > BYTES_AT_ONCE:
+            yield texts.slice(start, at - start)
+            start, held = at, 0
+        held += size or 0
+    yield texts.slice(start)
+
+
 def _find_all(pattern: str):
-    """An Arrow UDF from texts to arrays of matches."""
+    """An Arrow UDF from texts to arrays of matches.
+
+    Matches can take many times the memory of their texts, so those of a batch go back in several parts.
+    """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         compiled = re.compile(pattern)
         several = compiled.groups > 1
-        for texts in batches:
+        for texts in (part for batch in batches for part in _slices(batch)):
             found = []
             for text in texts.to_pylist():
                 matches = None if text is None else compiled.findall(text)

@@ -3,11 +3,13 @@
 import json
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from hitlake.functions import finder
+from hitlake.functions.patterns import BYTES_AT_ONCE, _find_all
 from hitlake.operators import extract_matches
 from hitlake.operators.extract import raw_matches
 
@@ -221,3 +223,17 @@ def test_nulls_and_groups_without_part(spark):
     conditional = r"(a)?(?(1)b|c)"
     found = df.select(finder(conditional).all_in(F.col("text"))).collect()
     assert [r[0] for r in found] == [python_matches(conditional, "ab c ac"), None, []]
+
+
+def parts_of_matches(pattern, texts):
+    """What the function behind a pattern gives back for one batch."""
+    return list(_find_all(pattern).func(iter([pa.array(texts, pa.string())])))
+
+
+@pytest.mark.parametrize("pattern", [r"(?:zz)??(?:yy)?"])
+def test_matches_at_every_character_come_in_parts(pattern):
+    texts = [None, "", *["é" * n + "zz" for n in range(2_000)], "", "z" * 2 * BYTES_AT_ONCE, None, "zé"]
+    parts = parts_of_matches(pattern, texts)
+    assert pa.concat_arrays(parts).to_pylist() == [None if text is None else re.findall(pattern, text) for text in texts]
+    assert all(len(part) == 1 or len(part.flatten()) <= BYTES_AT_ONCE + len(part) for part in parts)
+    assert sum(map(len, parts_of_matches(pattern, []))) == 0
