@@ -230,7 +230,7 @@ def parts_of_matches(pattern, texts):
     return list(_find_all(pattern).func(iter([pa.array(texts, pa.string())])))
 
 
-@pytest.mark.parametrize("pattern", [r"(?:zz)??(?:yy)?"])
+@pytest.mark.parametrize("pattern", [r"(?:zz)??(?:yy)?", r"(?:zz|yy)?"])
 def test_matches_at_every_character_come_in_parts(pattern):
     texts = [None, "", *["é" * n + "zz" for n in range(2_000)], "", "z" * 2 * BYTES_AT_ONCE, None, "zé"]
     parts = parts_of_matches(pattern, texts)
