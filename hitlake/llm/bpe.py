@@ -245,6 +245,7 @@ class InStep:
     def __init__(self, vocabulary: Vocabulary):
         self.pairs, self.merges = vocabulary.pairs
         self.byte_ids = np.array([vocabulary.ids[bytes([byte])] for byte in range(256)], np.int64)
+        self.of_bytes = self.merges_of(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256))
 
     def merges_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         if not len(self.pairs):
@@ -253,31 +254,32 @@ class InStep:
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
         return np.where(self.pairs[at] == wanted, self.merges[at], NEVER)
 
-    def encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """(word, its packed token ids); words have one length."""
-        tokens = self.byte_ids[np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)]
-        merges = self.merges_of(tokens[:, :-1], tokens[:, 1:])
+    def encode(self, words: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """(place in ``words``, packed token ids) of each; words have one length."""
+        raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
+        tokens = self.byte_ids[raw]
+        merges = self.of_bytes[raw[:, :-1].astype(np.int64) * 256 + raw[:, 1:]]
         rows = np.arange(len(words))
         while len(rows):
             if merges.shape[1]:
-                best = merges.min(axis=1)
+                at = merges.argmin(axis=1)
+                best = merges[np.arange(len(rows)), at]
                 done = best == NEVER
             else:
                 done = np.ones(len(rows), bool)
             if done.any():
-                packed = tokens[done].astype("<i4")
-                yield from zip((words[row] for row in rows[done]), map(np.ndarray.tobytes, packed))
+                packed, size = tokens[done].astype("<i4").tobytes(), 4 * tokens.shape[1]
+                yield from zip(rows[done].tolist(), [packed[at : at + size] for at in range(0, len(packed), size)])
                 rows, tokens, merges = rows[~done], tokens[~done], merges[~done]
                 if not len(rows):
                     return
-                best = best[~done]
-            at = merges.argmin(axis=1)
+                at, best = at[~done], best[~done]
             every, width = np.arange(len(rows)), tokens.shape[1] - 1
             tokens[every, at] = best & MADE
-            behind = np.arange(width)
-            tokens = np.take_along_axis(tokens, behind + (behind > at[:, None]), axis=1)  # without the second of the two
-            behind = behind[:-1]
-            merges = np.take_along_axis(merges, behind + (behind >= at[:, None]), axis=1)
+            stay = np.ones(tokens.shape, bool)
+            stay[every, at + 1] = False  # without the second of the two
+            tokens = tokens[stay].reshape(len(rows), width)
+            merges = merges[stay[:, 1:]].reshape(len(rows), width - 1)
             left = np.flatnonzero(at > 0)
             merges[left, at[left] - 1] = self.merges_of(tokens[left, at[left] - 1], tokens[left, at[left]])
             right = np.flatnonzero(at < width - 1)
@@ -304,17 +306,20 @@ class Encoder:
         """The ids of all the words; long ones among them are not remembered."""
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
-        known, older, found, new = self.known, self.older, {}, defaultdict(list)
-        for word in words - known.keys():
+        known, older, found, new = self.known, self.older, {}, defaultdict(lambda: ([], []))
+        for word in words.difference(known):  # of the dict itself: its keys as a set would all be gone through
             if (ids := older.get(word)) is not None:
                 known[word] = ids
             elif len(raw := word.encode()) <= SHORT:
-                new[len(raw)].append(raw)
+                words_at, raw_at = new[len(raw)]
+                words_at.append(word)
+                raw_at.append(raw)
             else:
                 found[word] = np.array([*self.transducer.feed(raw), *self.transducer.finish()], "<i4").tobytes()
-        for same_length in new.values():
-            for start in range(0, len(same_length), IN_STEP):
-                known.update((raw.decode(), ids) for raw, ids in self.in_step.encode(same_length[start : start + IN_STEP]))
+        for words_at, raw_at in new.values():
+            for start in range(0, len(raw_at), IN_STEP):
+                for at, ids in self.in_step.encode(raw_at[start : start + IN_STEP]):
+                    known[words_at[start + at]] = ids
         return found
 
     def parts(self, text: str) -> list[list[str]]:
@@ -327,7 +332,7 @@ class Encoder:
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.parts(text) for text in texts]
         marked = lambda part: len(part) == 2 and part[0] is None
-        long = self.learn({word for parts in split for part in parts if not marked(part) for word in part})
+        long = self.learn(set().union(*(part for parts in split for part in parts if not marked(part))))
         known = self.known.__getitem__
         if long:
             known = lambda word, short=self.known: long.get(word) or short[word]
@@ -345,11 +350,22 @@ class Decoder:
     """Token ids in, text out as soon as its characters are whole."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.bytes_of = vocabulary.bytes_of
+        bytes_of = vocabulary.bytes_of
+        self.beyond = max(bytes_of, default=-1) + 1
+        #: The bytes of every id, and none at the end, for null and unknown ones.
+        self.table = pa.array([bytes_of.get(i, b"") for i in range(self.beyond + 1)], pa.large_binary())
         self.characters = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def feed(self, ids: list) -> str:
-        return self.characters.decode(b"".join([self.bytes_of.get(i, b"") for i in ids]))
+    def feed(self, ids: pa.Array | list) -> str:
+        given = pa.array(ids, pa.int64()) if isinstance(ids, list) else ids
+        if not len(given):
+            return ""
+        places = (given.fill_null(-1) if given.null_count else given).to_numpy()
+        if places.min() < 0 or places.max() >= self.beyond:
+            places = np.where((places >= 0) & (places < self.beyond), places, self.beyond)
+        _, offsets, data = self.table.take(pa.array(places)).buffers()
+        end = int(np.frombuffer(offsets, "<i8")[len(places)])
+        return self.characters.decode(data.slice(0, end).to_pybytes())
 
     def finish(self) -> str:
         rest = self.characters.decode(b"", True)
@@ -386,7 +402,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, *, ids: str = "ids", name: s
             out = []
             for at in range(len(batch)):
                 values = batch[at].values
-                parts = [values.slice(start, IDS_AT_ONCE).to_pylist() for start in range(0, len(values or ()), IDS_AT_ONCE)]
+                parts = [values.slice(start, IDS_AT_ONCE) for start in range(0, len(values or ()), IDS_AT_ONCE)]
                 out.append("".join([*map(decoder.feed, parts), decoder.finish()]))
             yield pa.array(out, pa.string())
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from rows import clashing, documents
 from tokenizers import Tokenizer
@@ -136,3 +137,11 @@ def test_improper_merges_are_refused():
         bpe.sufficient_lookahead([(b"ab", b"c")])
     with pytest.raises(ValueError):
         bpe.sufficient_lookahead([(b"a", b"b"), (b"ab", b"c"), (b"b", b"c"), (b"a", b"bc")])
+
+
+def test_decoder_takes_arrays_with_null_and_unknown_ids(vocabulary):
+    decoder, ids = bpe.Decoder(vocabulary), bpe.Encoder(vocabulary).encode("Zoë \U0001f600 ends")
+    assert decoder.feed(pa.array(ids)[:2]) + decoder.feed(pa.array(ids)[2:]) + decoder.finish() == "Zoë \U0001f600 ends"
+    odd = [None, -1, 1 << 30, *ids.tolist(), None, max(vocabulary.bytes_of) + 1]
+    assert decoder.feed(pa.array(odd, pa.int32())) + decoder.finish() == "Zoë \U0001f600 ends" == decoder.feed(odd) + decoder.finish()
+    assert decoder.feed(pa.array([], pa.int32())) == decoder.feed([None]) == decoder.finish() == ""
