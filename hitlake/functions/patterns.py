@@ -99,7 +99,7 @@ def required_literals(pattern: str) -> tuple[str, ...]:
     return tuple(longest) if all(longest) else ()
 
 
-#: Bytes of texts searched before their matches go back, more only for a single text: a pattern can match at every character.
+#: Bytes of texts whose matches are Python objects at one time, more only for a single text: a pattern can match at every character.
 BYTES_AT_ONCE = 1 << 18
 
 
@@ -117,18 +117,21 @@ def _slices(texts: pa.Array) -> Iterator[pa.Array]:
 def _find_all(pattern: str):
     """An Arrow UDF from texts to arrays of matches.
 
-    Matches can take many times the memory of their texts, so those of a batch go back in several parts.
+    Matches can take many times the memory of their texts, so few are Python objects at one time.
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         compiled = re.compile(pattern)
         several = compiled.groups > 1
-        for texts in (part for batch in batches for part in _slices(batch)):
-            found = []
-            for text in texts.to_pylist():
-                matches = None if text is None else compiled.findall(text)
-                found.append([groups[0] for groups in matches] if several and matches else matches)
-            yield pa.array(found, pa.list_(pa.string()))
+        for batch in batches:
+            parts = []
+            for texts in _slices(batch):
+                found = []
+                for text in texts.to_pylist():
+                    matches = None if text is None else compiled.findall(text)
+                    found.append([groups[0] for groups in matches] if several and matches else matches)
+                parts.append(pa.array(found, pa.list_(pa.string())))
+            yield pa.concat_arrays(parts)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(run, returnType="array<string>").asNondeterministic()

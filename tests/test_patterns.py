@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from hitlake.functions import finder
-from hitlake.functions.patterns import BYTES_AT_ONCE, _find_all
+from hitlake.functions.patterns import BYTES_AT_ONCE, _find_all, _slices
 from hitlake.operators import extract_matches
 from hitlake.operators.extract import raw_matches
 
@@ -231,9 +231,11 @@ def parts_of_matches(pattern, texts):
 
 
 @pytest.mark.parametrize("pattern", [r"(?:zz)??(?:yy)?", r"(?:zz|yy)?"])
-def test_matches_at_every_character_come_in_parts(pattern):
+def test_matches_at_every_character_are_made_in_parts(pattern):
     texts = [None, "", *["é" * n + "zz" for n in range(2_000)], "", "z" * 2 * BYTES_AT_ONCE, None, "zé"]
     parts = parts_of_matches(pattern, texts)
     assert pa.concat_arrays(parts).to_pylist() == [None if text is None else re.findall(pattern, text) for text in texts]
-    assert all(len(part) == 1 or len(part.flatten()) <= BYTES_AT_ONCE + len(part) for part in parts)
+    assert len(parts) == 1
+    slices = list(_slices(pa.array(texts, pa.string())))
+    assert sum(map(len, slices)) == len(texts) and all(len(s) == 1 or sum(len((t or "").encode()) for t in s.to_pylist()) <= BYTES_AT_ONCE for s in slices)
     assert sum(map(len, parts_of_matches(pattern, []))) == 0
