@@ -231,7 +231,7 @@ def parts_of_matches(pattern, texts):
 
 
 @pytest.mark.parametrize("pattern", [r"(?:zz)??(?:yy)?", r"(?:zz|yy)?"])
-def test_matches_at_every_character_are_made_in_parts(pattern):
+def test_matches_at_every_character_are_made_in_parts(spark, pattern):
     texts = [None, "", *["é" * n + "zz" for n in range(2_000)], "", "z" * 2 * BYTES_AT_ONCE, None, "zé"]
     parts = parts_of_matches(pattern, texts)
     assert pa.concat_arrays(parts).to_pylist() == [None if text is None else re.findall(pattern, text) for text in texts]
